@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload being reproduced is a bounded batch job (pull pages, clean,
+check, load, model, report). It has no unbounded source, watermark, window
+over event time or state, so every stage here is a batch DataFrame plan.
+"""
