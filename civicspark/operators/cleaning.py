@@ -79,11 +79,12 @@ def parse_coordinates(df: DataFrame) -> DataFrame:
     out = df
     for lat, lon in COORDINATE_PAIRS:
         if lat in df.columns and lon in df.columns:
+            # Two projections: the range check reads the parsed value three
+            # times, and Catalyst keeps an expensive parse from being inlined
+            # into each reference when it stays in its own projection.
+            out = out.withColumns({lat: C.parse_number(F.col(lat)), lon: C.parse_number(F.col(lon))})
             out = out.withColumns(
-                {
-                    lat: C.within(C.parse_number(F.col(lat)), *LATITUDE_RANGE),
-                    lon: C.within(C.parse_number(F.col(lon)), *LONGITUDE_RANGE),
-                }
+                {lat: C.within(F.col(lat), *LATITUDE_RANGE), lon: C.within(F.col(lon), *LONGITUDE_RANGE)}
             )
     return out
 

@@ -44,12 +44,14 @@ def lookup(
     value_cols: list[str],
     broadcast_rows: int = BROADCAST_ROWS,
     hot_slots: int = HOT_SLOTS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` and append ``value_cols`` of the matching row.
 
     ``eq_keys`` match with ``=`` (a null never matches); ``nullsafe_keys`` match
     with IS NOT DISTINCT FROM. ``dim`` must be unique on its keys, so the
-    result has exactly the rows of ``fact``.
+    result has exactly the rows of ``fact``. ``dim_rows``, when the caller
+    already knows the dimension's size (e.g. from its write), skips the count.
     """
     keys = eq_keys + nullsafe_keys
     d = dim.select(*[F.col(k).alias(f"_d_{k}") for k in keys], *value_cols)
@@ -63,7 +65,8 @@ def lookup(
     def join(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.join(right, cond(left, right), "left").select(*left.columns, *value_cols)
 
-    if bounded_count(dim, broadcast_rows) is not None:
+    small = dim_rows <= broadcast_rows if dim_rows is not None else bounded_count(dim, broadcast_rows) is not None
+    if small:
         return join(fact, F.broadcast(d))
 
     # Large dimension: find the hot key values (partial aggregation keeps this

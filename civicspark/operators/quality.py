@@ -2,9 +2,10 @@
 
 Every check yields rows ``(seq, check_name, subject, observed, threshold,
 passed)``; ``seq`` is the check's place in the run-all order. In the combined
-report the aggregate checks (row count, null rates, date logic) share one
-global aggregate; the key check is one ``groupBy(key)`` (map-side combined);
-the value-domain check is one filtered distinct count.
+report every data check shares one aggregate pass: row count, null rates,
+date logic, rows outside the borough domain, and the exact distinct key
+count behind the duplicate check (planned as a map-side combined group-by on
+the key). The schema check reads only the schema.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicspark.operators.stats import duplicate_count
 from civicspark.schema import KEY_COLUMN, NULL_THRESHOLDS, REQUIRED_COLUMNS, VALID_BOROUGHS
 
 CHECK_SCHEMA = T.StructType(
@@ -102,8 +102,8 @@ def check_unique_key(df: DataFrame, key: str = KEY_COLUMN) -> DataFrame:
     """V3: no key value occurs twice (null keys count as equal). A missing key column fails."""
     if key not in df.columns:
         return df.sparkSession.createDataFrame([(3, "unique_key", key, None, 0.0, False)], CHECK_SCHEMA)
-    d = F.col("n_duplicates")
-    return _rows(duplicate_count(df, key), [_row(3, "unique_key", key, d, 0.0, d == F.lit(0))])
+    aggs, structs = _unique_key_parts(df, key)
+    return _rows(df.agg(*aggs), structs)
 
 
 def check_null_rates(df: DataFrame, thresholds: dict[str, float] = NULL_THRESHOLDS) -> DataFrame:
@@ -122,25 +122,57 @@ def _unexpected_boroughs(df: DataFrame, allowed: set[str]) -> DataFrame:
     return df.where(F.col("borough").isNotNull() & ~F.col("borough").isin(sorted(allowed)))
 
 
-def check_borough_values(df: DataFrame, allowed: set[str] = VALID_BOROUGHS) -> DataFrame:
-    """V6: number of distinct non-null borough values outside the allowed set."""
+def _unique_key_parts(df: DataFrame, key: str) -> tuple[list[Column], list[Column]]:
+    """Rows beyond the first per key value (null keys equal) from exact counts.
+
+    rows - distinct non-null keys - (1 if any key is null): the distinct count
+    is planned as a group-by on the key with map-side combining, so a hot key
+    costs one row per task, and it shares the pass with the other checks.
+    """
+    if key not in df.columns:
+        return [], []
+    k = F.col(f"`{key}`")
+    aggs = [
+        F.count(F.lit(1)).alias("_key_rows"),
+        F.count_distinct(k).alias("_key_distinct"),
+        F.count_if(k.isNull()).alias("_key_nulls"),
+    ]
+    d = F.col("_key_rows") - F.col("_key_distinct") - F.when(F.col("_key_nulls") > 0, F.lit(1)).otherwise(F.lit(0))
+    return aggs, [_row(3, "unique_key", key, d, 0.0, d == F.lit(0))]
+
+
+def _borough_parts(df: DataFrame, allowed: set[str]) -> tuple[list[Column], list[Column]]:
     if "borough" not in df.columns:
-        return _empty(df)
-    bad = F.col("_bad")
-    counted = _unexpected_boroughs(df, allowed).agg(F.count_distinct("borough").alias("_bad"))
-    return _rows(counted, [_row(6, "borough_values", "borough", bad, 0.0, bad == F.lit(0))])
+        return [], []
+    b = F.col("borough")
+    bad = F.col("_bad_boroughs")
+    return (
+        [F.count_if(b.isNotNull() & ~b.isin(sorted(allowed))).alias("_bad_boroughs")],
+        [_row(6, "borough_values", "borough", bad, 0.0, bad == F.lit(0))],
+    )
+
+
+def check_borough_values(df: DataFrame, allowed: set[str] = VALID_BOROUGHS) -> DataFrame:
+    """V6: rows whose non-null borough lies outside the allowed set (must be 0)."""
+    aggs, structs = _borough_parts(df, allowed)
+    return _rows(df.agg(*aggs), structs) if aggs else _empty(df)
 
 
 def quality_report(df: DataFrame, min_rows: int = 1) -> DataFrame:
-    """V7: every check, in run-all order (seq 1..6), as one small table."""
+    """V7: every check, in run-all order (seq 1..6), from one aggregate pass."""
     aggs, structs = _row_count_parts(min_rows)
-    for part in (_null_rate_parts(df, NULL_THRESHOLDS), _date_logic_parts(df)):
+    missing_key = KEY_COLUMN not in df.columns
+    for part in (
+        _unique_key_parts(df, KEY_COLUMN),
+        _null_rate_parts(df, NULL_THRESHOLDS),
+        _date_logic_parts(df),
+        _borough_parts(df, VALID_BOROUGHS),
+    ):
         aggs += part[0]
         structs += part[1]
-    shared = _rows(df.agg(*aggs), structs)
-    out = shared
-    for p in (check_required_columns(df), check_unique_key(df), check_borough_values(df)):
-        out = out.unionByName(p)
+    out = _rows(df.agg(*aggs), structs).unionByName(check_required_columns(df))
+    if missing_key:
+        out = out.unionByName(check_unique_key(df))
     return out
 
 
@@ -177,7 +209,7 @@ def _message(df: DataFrame, group: list) -> str:
     if name == "date_logic":
         return f"Found {int(observed)} rows where closed_date is before created_date."
     if name == "borough_values":
-        # At most a few examples are fetched for the message.
+        # At most a few example values are fetched for the message.
         sample = [r[0] for r in _unexpected_boroughs(df, VALID_BOROUGHS).select("borough").distinct().limit(10).collect()]
-        return f"Unexpected borough values: {set(sample)}"
+        return f"Unexpected borough values: {set(sample)} ({int(observed)} rows)"
     return f"Check {name} failed"

@@ -1,14 +1,15 @@
-"""Dense surrogate keys over distinct rows, without a one-task window.
+"""Dense surrogate keys over distinct rows, without an unbounded one-task window.
 
 ``dense_rank() OVER (ORDER BY ...)`` with no PARTITION BY runs in a single task.
-Here the rows are range-partitioned on the order keys (nulls last), sorted
-inside each partition and numbered locally; the per-partition row counts (one
-row per partition, so a proven bound) give each partition its offset. The rows
+That is kept only for inputs a bounded count has shown to be small. Larger
+inputs are range-partitioned on the order keys (nulls last), sorted inside
+each partition and numbered locally; the per-partition row counts (one row
+per partition, so a proven bound) give each partition its offset. The rows
 are distinct, so the global row number is the dense rank.
 
-The numbered rows are written to the scratch folder before the offsets are
-taken: range boundaries are sampled, and a recomputation after a lost
-executor must not move a row to another partition.
+On the range path the numbered rows are written to the scratch folder before
+the offsets are taken: range boundaries are sampled, and a recomputation after
+a lost executor must not move a row to another partition.
 """
 
 from __future__ import annotations
@@ -16,24 +17,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicspark.operators.joins import bounded_count
 from civicspark.session import materialize
 
+# Inputs up to this many rows are ranked by one window task.
+SINGLE_TASK_ROWS = 200_000
+
 
 def dense_rank_ids(
     df: DataFrame,
     order_cols: list[str],
     id_col: str,
     num_partitions: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Append ``id_col`` (bigint, 1-based) ranking the distinct rows of ``df``.
 
-    ``df`` must hold distinct values of ``order_cols``. The result is sorted on
-    ``id_col`` inside each partition (no extra shuffle just for order), with
-    ``id_col`` as its first column.
+    ``df`` must hold distinct values of ``order_cols``. ``id_col`` comes first
+    in the result. ``single_task_rows=0`` always takes the range path.
     """
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    if single_task_rows and bounded_count(df, single_task_rows) is not None:
+        rank = F.dense_rank().over(Window.orderBy(*order)).cast("bigint")
+        return df.select(rank.alias(id_col), *df.columns)
+    return _range_ranked(df, order, id_col, num_partitions)
+
+
+def _range_ranked(df: DataFrame, order: list, id_col: str, num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc_nulls_last() for c in order_cols]
     numbered = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

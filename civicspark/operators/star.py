@@ -63,21 +63,32 @@ FACT_COLUMNS = [
 
 
 def fact_requests(
-    clean: DataFrame, agency: DataFrame, complaint: DataFrame, location: DataFrame
+    clean: DataFrame,
+    agency: DataFrame,
+    complaint: DataFrame,
+    location: DataFrame,
+    dim_rows: dict[str, int] | None = None,
 ) -> DataFrame:
     """One fact row per clean row with its three surrogate keys (D5 = J1 + J2 + J3).
 
     The agency and complaint keys match with plain ``=``, so an empty agency
     or a null descriptor finds no key. The location matches borough and zip
-    with ``=`` and the coordinates with IS NOT DISTINCT FROM.
+    with ``=`` and the coordinates with IS NOT DISTINCT FROM. ``dim_rows``
+    (table name -> rows) lets the lookups decide on broadcasting without
+    counting again.
     """
+    rows = dim_rows or {}
     base = clean.select(
         "unique_key", "created_date", "closed_date", "response_time_hours",
         "agency", "complaint_type", "descriptor", *LOCATION_COLUMNS,
     )
-    with_agency = lookup(base, agency, ["agency"], [], ["agency_id"])
-    with_complaint = lookup(with_agency, complaint, ["complaint_type", "descriptor"], [], ["complaint_id"])
+    with_agency = lookup(base, agency, ["agency"], [], ["agency_id"], dim_rows=rows.get("dim_agency"))
+    with_complaint = lookup(
+        with_agency, complaint, ["complaint_type", "descriptor"], [], ["complaint_id"],
+        dim_rows=rows.get("dim_complaint"),
+    )
     with_location = lookup(
-        with_complaint, location, ["borough", "incident_zip"], ["latitude", "longitude"], ["location_id"]
+        with_complaint, location, ["borough", "incident_zip"], ["latitude", "longitude"], ["location_id"],
+        dim_rows=rows.get("dim_location"),
     )
     return with_location.select(*FACT_COLUMNS)

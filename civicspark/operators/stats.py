@@ -1,38 +1,101 @@
 """Column statistics that stay distributed at any size.
 
-* null counts: one combinable global aggregate.
-* exact median: Spark's ``median`` keeps every distinct value of the column in
-  the single task that finishes a global aggregate. Here the median is found by
-  narrowing a value window instead: approximate quantiles (bounded-size
-  sketches) propose a window around the middle rank, exact counts confirm it,
-  and once the window holds few distinct values their (value, count) histogram
-  -- a bounded number of rows -- is read to pick the exact middle values.
-* mode: ``groupBy(c).count()`` (map-side combined) then a top-1, so no task
-  ever holds more than its own share of the distinct values.
+* null counts: one combinable global aggregate (or an observation riding on a
+  write that happens anyway).
+* exact median: Spark's ``median`` keeps every distinct value of a column in
+  the single task that finishes a global aggregate. Here the median is found
+  by narrowing a value window instead: approximate quantiles (bounded-size
+  sketches) propose a window around the middle ranks, exact counts confirm
+  it, and once the window holds few distinct values their (value, count)
+  histogram -- a bounded number of rows -- is read to pick the middle values.
+  The first probe (count, distinct estimate, quantiles near 0.5) can be
+  evaluated as an observation of an earlier write, so a column with a modest
+  number of distinct values costs one histogram job in total.
+* mode: ``(column, value) -> count`` (map-side combined), then per column the
+  largest count, smallest value on ties; all columns in one job.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Histograms up to this many distinct values are read to the driver.
+# Histograms up to this many distinct values per column are read to the driver.
 HISTOGRAM_ROWS = 50_000
 # percentile_approx accuracy: rank error at most 1/ACCURACY of the window.
 ACCURACY = 10_000
 _MARGIN = 3.0 / ACCURACY
+# The first probe does not know n yet; twice the margin covers |k/n - 0.5| <= 1/n
+# whenever n >= ACCURACY / 3, and smaller inputs are read as a histogram anyway.
+_FIRST = (0.5 - 2 * _MARGIN, 0.5 + 2 * _MARGIN)
+_RSD = 0.05
+
+
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+@dataclass
+class Probe:
+    """Non-null count, distinct estimate and quantile bounds of one column's window."""
+
+    n: int
+    distinct: int
+    bounds: tuple[float, float] | None
+
+
+@dataclass
+class Profile:
+    """Row count, null counts per column and a median probe per numeric column."""
+
+    rows: int
+    nulls: dict[str, int]
+    probes: dict[str, Probe] = field(default_factory=dict)
+
+
+def profile_exprs(columns: list[str], numeric: list[str]) -> list[Column]:
+    """Aggregates for :func:`read_profile`: usable in ``agg`` or ``observe``."""
+    exprs = [F.count(F.lit(1)).alias("_rows")]
+    exprs += [F.count_if(_c(c).isNull()).alias(f"_null{i}") for i, c in enumerate(columns)]
+    for i, c in enumerate(numeric):
+        x = _c(c).cast("double")
+        exprs += [
+            F.count(x).alias(f"_n{i}"),
+            F.approx_count_distinct(x, _RSD).alias(f"_d{i}"),
+            F.percentile_approx(x, F.array(F.lit(_FIRST[0]), F.lit(_FIRST[1])), ACCURACY).alias(f"_q{i}"),
+        ]
+    return exprs
+
+
+def read_profile(values: dict, columns: list[str], numeric: list[str]) -> Profile:
+    probes = {}
+    for i, c in enumerate(numeric):
+        q = values.get(f"_q{i}")
+        probes[c] = Probe(int(values[f"_n{i}"]), int(values[f"_d{i}"]), (q[0], q[1]) if q else None)
+    return Profile(
+        rows=int(values["_rows"]),
+        nulls={c: int(values[f"_null{i}"]) for i, c in enumerate(columns)},
+        probes=probes,
+    )
+
+
+def profile(df: DataFrame, numeric: list[str] | None = None) -> Profile:
+    """Row count, null counts and median probes in one aggregate."""
+    cols = list(df.columns)
+    num = list(numeric or [])
+    row = df.agg(*profile_exprs(cols, num)).first().asDict()
+    return read_profile(row, cols, num)
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> tuple[int, dict[str, int]]:
-    """(row count, {column: null count}) in one aggregate."""
+    """(row count, {column: null count}) in one aggregate."""
     cols = list(df.columns if columns is None else columns)
-    exprs = [F.count(F.lit(1)).alias("_n")] + [
-        F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)
-    ]
-    row = df.agg(*exprs).first()
-    return int(row["_n"]), {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
+    row = df.agg(*profile_exprs(cols, [])).first().asDict()
+    p = read_profile(row, cols, [])
+    return p.rows, p.nulls
 
 
 @dataclass
@@ -49,13 +112,20 @@ class _Window:
     def targets(self) -> tuple[int, int]:
         return (self.n - 1) // 2, self.n // 2
 
+    def fractions(self) -> tuple[float, float]:
+        k_lo, k_hi = self.targets
+        return (
+            max(0.0, (k_lo - self.below) / self.size - _MARGIN),
+            min(1.0, (k_hi - self.below + 1) / self.size + _MARGIN),
+        )
 
-def _inside(c: Column, w: _Window) -> Column:
-    cond = c.isNotNull()
+
+def _inside(x: Column, w: _Window) -> Column:
+    cond = x.isNotNull()
     if w.lo is not None:
-        cond = cond & (c >= F.lit(w.lo))
+        cond = cond & (x >= F.lit(w.lo))
     if w.hi is not None:
-        cond = cond & (c <= F.lit(w.hi))
+        cond = cond & (x <= F.lit(w.hi))
     return cond
 
 
@@ -75,107 +145,156 @@ def _middle(hist: list[tuple[float, int]], w: _Window) -> float:
     return a if a == b else (a + b) / 2.0
 
 
-def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    """Exact median of each column, nulls skipped, even count -> mean of the middle two."""
+def _histograms(df: DataFrame, x: dict[str, Column], windows: dict[str, _Window]) -> dict[str, list] | None:
+    """(value, count) lists of every window, one job; None if the row bound was hit."""
+    names = list(windows)
+    cells = F.array(
+        *[F.when(_inside(x[c], windows[c]), F.struct(F.lit(j).alias("c"), x[c].alias("v"))) for j, c in enumerate(names)]
+    )
+    limit = len(names) * (2 * HISTOGRAM_ROWS + 1)
+    rows = (
+        df.select(F.explode(cells).alias("cell"))
+        .where(F.col("cell").isNotNull())
+        .groupBy("cell.c", "cell.v")
+        .agg(F.count(F.lit(1)).alias("cnt"))
+        .orderBy("c", "v")
+        .limit(limit)
+        .collect()
+    )
+    if len(rows) >= limit:
+        return None
+    out: dict[str, list] = {c: [] for c in names}
+    for r in rows:
+        out[names[r["c"]]].append((r["v"], r["cnt"]))
+    return out
+
+
+def exact_medians(
+    df: DataFrame, columns: list[str], probes: dict[str, Probe] | None = None
+) -> dict[str, float | None]:
+    """Exact median per column, nulls skipped, even count -> mean of the middle two."""
     cols = list(columns)
     if not cols:
         return {}
-    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
-    row = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    x = {c: _c(c).cast("double") for c in cols}
+    if probes is None or not all(c in probes for c in cols):
+        probes = profile(df.select(*[_c(c) for c in cols]), cols).probes
+
     result: dict[str, float | None] = {}
     open_: dict[str, _Window] = {}
-    for i, c in enumerate(cols):
-        n = int(row[f"n{i}"])
-        if n == 0:
+    proposal: dict[str, tuple[float, float] | None] = {}
+    distinct: dict[str, int] = {}
+    for c in cols:
+        p = probes[c]
+        if p.n == 0:
             result[c] = None
-        else:
-            open_[c] = _Window(n=n, size=n)
-
-    rounds = 0
-    while open_:
-        rounds += 1
-        if rounds > 64:
-            raise RuntimeError(f"median search did not converge for {sorted(open_)}")
-        # Distinct count and proposed narrower window for every open column: one job.
-        exprs = []
-        names = list(open_)
-        for j, c in enumerate(names):
-            w = open_[c]
-            v = F.when(_inside(x[c], w), x[c])
-            k_lo, k_hi = w.targets
-            f_lo = max(0.0, (k_lo - w.below) / w.size - _MARGIN)
-            f_hi = min(1.0, (k_hi - w.below + 1) / w.size + _MARGIN)
-            exprs += [
-                F.approx_count_distinct(v, 0.05).alias(f"d{j}"),
-                F.percentile_approx(v, F.array(F.lit(f_lo), F.lit(f_hi)), ACCURACY).alias(f"q{j}"),
-            ]
-        row = df.agg(*exprs).first()
-
-        narrow: dict[str, tuple[float, float]] = {}
-        for j, c in enumerate(names):
-            w = open_[c]
-            if row[f"d{j}"] <= HISTOGRAM_ROWS:
-                hist = (
-                    df.where(_inside(x[c], w))
-                    .groupBy(x[c].alias("v"))
-                    .agg(F.count(F.lit(1)).alias("cnt"))
-                    .orderBy("v")
-                    .limit(2 * HISTOGRAM_ROWS + 1)
-                    .collect()
-                )
-                if len(hist) <= 2 * HISTOGRAM_ROWS:
-                    result[c] = _middle([(r["v"], r["cnt"]) for r in hist], w)
+            continue
+        open_[c] = _Window(n=p.n, size=p.n)
+        proposal[c], distinct[c] = p.bounds, p.distinct
+
+    for _ in range(64):
+        if not open_:
+            return result
+        small = {c: w for c, w in open_.items() if distinct[c] <= HISTOGRAM_ROWS}
+        if small:
+            hists = _histograms(df, x, small)
+            for c, w in small.items():
+                hist = hists[c] if hists is not None else None
+                if hist is not None and len(hist) <= 2 * HISTOGRAM_ROWS:
+                    result[c] = _middle(hist, w)
                     del open_[c]
-                    continue
-            q1, q2 = row[f"q{j}"]
-            narrow[c] = (q1, q2)
+                else:
+                    distinct[c] = 2 * HISTOGRAM_ROWS + 1  # narrow it instead
+        wide = [c for c in open_ if proposal.get(c) is not None]
+        if not wide:
+            if open_:
+                # No proposal yet (first probe missing): take a fresh one.
+                _propose(df, x, open_, proposal, distinct)
+            continue
+        _narrow(df, x, {c: open_[c] for c in wide}, proposal, open_)
+        _propose(df, x, {c: open_[c] for c in wide}, proposal, distinct)
+    raise RuntimeError(f"median search did not converge for {sorted(open_)}")
 
-        if not narrow:
-            break
-        # Exact counts below and up to the proposed bounds: one job.
-        exprs = []
-        keys = list(narrow)
-        for j, c in enumerate(keys):
-            w = open_[c]
-            q1, q2 = narrow[c]
-            inside = _inside(x[c], w)
-            exprs += [
-                F.count_if(inside & (x[c] < F.lit(q1))).alias(f"lt{j}"),
-                F.count_if(inside & (x[c] <= F.lit(q2))).alias(f"le{j}"),
-            ]
-        row = df.agg(*exprs).first()
-        for j, c in enumerate(keys):
-            w = open_[c]
-            q1, q2 = narrow[c]
-            lt, le = int(row[f"lt{j}"]), int(row[f"le{j}"])
-            k_lo, k_hi = w.targets
-            lo, below = w.lo, w.below
-            if k_lo >= w.below + lt:  # the lower middle rank lies at or above q1
-                lo, below = q1, w.below + lt
-            hi, top = w.hi, w.below + w.size
-            if k_hi < w.below + le:  # the upper middle rank lies at or below q2
-                hi, top = q2, w.below + le
-            open_[c] = _Window(n=w.n, lo=lo, hi=hi, below=below, size=top - below)
-    return result
+
+def _propose(df, x, windows: dict[str, _Window], proposal, distinct) -> None:
+    """Distinct estimate and quantile bounds inside each window: one job."""
+    names = list(windows)
+    exprs = []
+    for j, c in enumerate(names):
+        w = windows[c]
+        v = F.when(_inside(x[c], w), x[c])
+        f_lo, f_hi = w.fractions()
+        exprs += [
+            F.approx_count_distinct(v, _RSD).alias(f"d{j}"),
+            F.percentile_approx(v, F.array(F.lit(f_lo), F.lit(f_hi)), ACCURACY).alias(f"q{j}"),
+        ]
+    row = df.agg(*exprs).first()
+    for j, c in enumerate(names):
+        distinct[c] = int(row[f"d{j}"])
+        q = row[f"q{j}"]
+        proposal[c] = (q[0], q[1]) if q else None
+
+
+def _narrow(df, x, windows: dict[str, _Window], proposal, open_) -> None:
+    """Exact counts below and up to the proposed bounds; keep a side only if it holds the middle."""
+    names = list(windows)
+    exprs = []
+    for j, c in enumerate(names):
+        q1, q2 = proposal[c]
+        inside = _inside(x[c], windows[c])
+        exprs += [
+            F.count_if(inside & (x[c] < F.lit(q1))).alias(f"lt{j}"),
+            F.count_if(inside & (x[c] <= F.lit(q2))).alias(f"le{j}"),
+        ]
+    row = df.agg(*exprs).first()
+    for j, c in enumerate(names):
+        w = windows[c]
+        q1, q2 = proposal[c]
+        lt, le = int(row[f"lt{j}"]), int(row[f"le{j}"])
+        k_lo, k_hi = w.targets
+        lo, below = w.lo, w.below
+        if k_lo >= w.below + lt:  # the lower middle rank lies at or above q1
+            lo, below = q1, w.below + lt
+        hi, top = w.hi, w.below + w.size
+        if k_hi < w.below + le:  # the upper middle rank lies at or below q2
+            hi, top = q2, w.below + le
+        open_[c] = _Window(n=w.n, lo=lo, hi=hi, below=below, size=top - below)
 
 
 def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent non-null value per column, smallest value on ties."""
+    """Most frequent non-null value per column, smallest value on ties (G7). One job."""
+    cols = list(columns)
+    if not cols:
+        return {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cells = F.array(
+        *[F.when(_c(c).isNotNull(), F.struct(F.lit(j).alias("c"), _c(c).cast("string").alias("v"))) for j, c in enumerate(cols)]
+    )
+    counted = (
+        df.select(F.explode(cells).alias("cell"))
+        .where(F.col("cell").isNotNull())
+        .groupBy("cell.c", "cell.v")
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    # Largest count first, then the smallest value: the minimum of (-count, value).
+    best = counted.groupBy("c").agg(F.min(F.struct((-F.col("cnt")).alias("k"), F.col("v").alias("v"))).alias("b"))
+    found = {cols[r["c"]]: r["b"]["v"] for r in best.collect()}  # one row per column
     out: dict[str, object] = {}
-    for c in columns:
-        top = (
-            df.where(F.col(f"`{c}`").isNotNull())
-            .groupBy(F.col(f"`{c}`").alias("v"))
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .orderBy(F.desc("cnt"), F.asc("v"))
-            .limit(1)
-            .collect()
-        )
-        out[c] = top[0]["v"] if top else None
+    for c in cols:
+        v = found.get(c)
+        out[c] = None if v is None else _typed(v, types.get(c))
     return out
 
 
+def _typed(v: str, dtype: T.DataType | None) -> object:
+    if dtype is None or isinstance(dtype, T.StringType):
+        return v
+    if isinstance(dtype, T.BooleanType):
+        return v == "true"
+    return v
+
+
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
     """One row: rows beyond the first per key value, null keys counted as equal."""
-    per_key = df.groupBy(F.col(f"`{key}`")).agg(F.count(F.lit(1)).alias("cnt"))
+    per_key = df.groupBy(_c(key)).agg(F.count(F.lit(1)).alias("cnt"))
     return per_key.agg(F.coalesce(F.sum(F.col("cnt") - F.lit(1)), F.lit(0)).cast("bigint").alias("n_duplicates"))

@@ -251,7 +251,7 @@ def _checks(table: str) -> dict[str, str]:
     allowed = ", ".join(f"'{b}'" for b in sorted(VALID_BOROUGHS))
     boroughs = (
         _check_row(6, "borough_values", "borough", "bad", 0.0, "bad = 0")
-        + f" FROM (SELECT count(DISTINCT borough) AS bad FROM {table} "
+        + f" FROM (SELECT count(*) AS bad FROM {table} "
         f"WHERE borough IS NOT NULL AND borough NOT IN ({allowed}))"
     )
     return {

@@ -1,64 +1,95 @@
 """The cleaning job (L1): raw requests -> typed, repaired, imputed, de-duplicated.
 
-Plan shape: P1-P3 need the schema only (plus one aggregate for P2); the typed
-projection F1..P4 is one lazy, codegen'd stage written once to the scratch
-folder; the statistics for imputation read that stage column-pruned; the
-final table is ``stage -> coalesce(fills) -> distinct``, still lazy.
+Plan shape, with the raw source scanned once in the common case:
+
+1. P1 and P3 need only the schema; F1..P4 are one lazy, codegen'd projection.
+2. That projection is written once to the scratch folder. Observations on the
+   same write collect the non-null count of every raw column (P2), the null
+   count of every typed column (G9) and the first median probe of every
+   numeric column -- no separate scans.
+3. If some raw column had no value at all, P2 drops it and step 2 is redone
+   (a column's absence changes which typing steps apply).
+4. Medians and modes read the staged files column-pruned (one histogram job
+   and one mode job when the distinct counts are moderate).
+5. The result is ``stage -> coalesce(fills) -> distinct``, still lazy.
 """
 
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from civicspark.operators import cleaning as K
-from civicspark.operators.stats import exact_medians, modes, null_counts
-from civicspark.schema import KEY_COLUMN, RESPONSE_COLUMN
-from civicspark.session import materialize
+from civicspark.operators.stats import Profile, exact_medians, modes, profile, profile_exprs, read_profile
+from civicspark.schema import RESPONSE_COLUMN
+from civicspark.session import scratch_path
 
 log = logging.getLogger(__name__)
 
 
-def _typed_with_key_report(df: DataFrame) -> tuple[DataFrame, Observation | None]:
-    """F1..P4 with the rows dropped for a missing key counted during the write."""
-    typed = K.parse_dates(df)
-    typed = K.parse_coordinates(typed)
-    typed = K.standardize_borough(typed)
-    typed = K.repair_dates(typed)
-    typed = K.add_response_time(typed)
-    if KEY_COLUMN not in typed.columns:
-        return typed, None
-    obs = Observation("null_keys")
-    typed = typed.observe(obs, F.count_if(F.col(KEY_COLUMN).isNull()).alias("dropped"))
-    return K.drop_null_keys(typed), obs
+@dataclass
+class Stage:
+    """Typed, key-filtered rows written to the scratch folder, with their profile."""
+
+    df: DataFrame
+    profile: Profile | None
+    dropped_keys: int = 0
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    df = K.parse_dates(df)
+    df = K.parse_coordinates(df)
+    df = K.standardize_borough(df)
+    df = K.repair_dates(df)
+    return K.add_response_time(df)
 
 
-def stage_requests(df: DataFrame, required_columns: list[str] | None = None) -> DataFrame:
-    """Raw -> typed and key-filtered rows, materialised (input of imputation)."""
+def stage_requests(df: DataFrame, required_columns: list[str] | None = None) -> Stage:
+    """P1, P2, P3, F1..P4, written once; P2 and the statistics come from observations."""
+    spark = df.sparkSession
     df = K.select_required(df, required_columns)
-    df = K.drop_empty_columns(df)
-    df = K.normalize_column_names(df)
-    if not df.columns:
-        return df
-    typed, obs = _typed_with_key_report(df)
-    stage = materialize(typed, "clean-stage")
-    if obs is not None:
-        dropped = obs.get.get("dropped", 0)
-        if dropped:
-            log.info("Dropped %d rows with null unique_key", dropped)
-    return stage
-
-
-def impute(stage: DataFrame, impute_response_time: bool = True) -> DataFrame:
+    raw_cols = list(df.columns)
+    if not raw_cols:
+        return Stage(df, None)
+    seen = Observation("raw_values")
+    observed = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(F.col(f"`{c}`")).alias(f"_v{i}") for i, c in enumerate(raw_cols)],
+    )
+    typed = _typed(K.normalize_column_names(observed))
+    staged = K.drop_null_keys(typed)
+    numeric = K.imputation_plan(staged)["median"]
+    stats = Observation("stage_profile")
+    path = scratch_path(spark, "clean-stage")
+    staged.observe(stats, *profile_exprs(staged.columns, numeric)).write.parquet(path)
+
+    counts = seen.get
+    empty = [c for i, c in enumerate(raw_cols) if counts[f"_v{i}"] == 0]
+    if empty:
+        # Columns without any value leave before typing; redo the stage without them.
+        log.info("Dropping columns without values: %s", empty)
+        return stage_requests(K.select_required(df, [c for c in raw_cols if c not in empty]))
+    prof = read_profile(stats.get, staged.columns, numeric)
+    dropped = int(counts["_rows"]) - prof.rows
+    if dropped:
+        log.info("Dropped %d rows with null unique_key", dropped)
+    return Stage(spark.read.parquet(path), prof, dropped)
+
+
+def impute(stage: DataFrame, prof: Profile | None = None, impute_response_time: bool = True) -> DataFrame:
     """F5-F8 on the staged rows: statistics first (small jobs), then one projection."""
     plan = K.imputation_plan(stage)
-    _, nulls = null_counts(stage)
+    if prof is None:
+        prof = profile(stage, plan["median"])
+    nulls = prof.nulls
     median_cols = [c for c in plan["median"] if nulls[c] > 0 and (impute_response_time or c != RESPONSE_COLUMN)]
     unknown_cols = [c for c in plan["unknown"] if nulls[c] > 0]
     mode_cols = [c for c in plan["mode"] if nulls[c] > 0]
-    out = K.impute_median(stage, exact_medians(stage, median_cols))
+    out = K.impute_median(stage, exact_medians(stage, median_cols, prof.probes))
     out = K.impute_unknown(out, unknown_cols)
     return K.impute_mode(out, modes(stage, mode_cols))
 
@@ -75,7 +106,7 @@ def clean_requests(
     time instead of giving them the median.
     """
     stage = stage_requests(df, required_columns)
-    if not stage.columns:
-        return stage
-    out = impute(stage, impute_response_time)
+    if not stage.df.columns:
+        return stage.df
+    out = impute(stage.df, stage.profile, impute_response_time)
     return K.dedup_rows(out) if drop_duplicates else out

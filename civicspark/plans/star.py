@@ -2,7 +2,8 @@
 
 Dimensions are written first and read back, and the fact looks its keys up
 in the written files, so the keys in a dimension file and in the fact are the
-same by construction.
+same by construction. Row counts come from observations on the writes; they
+also tell the fact's lookups which dimensions are small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -10,50 +11,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from civicspark.operators import star as S
-from civicspark.schema import RESPONSE_COLUMN, STAR_TABLES
-from civicspark.sinks.files import star_row_counts, write_star
-from civicspark.sources.files import read_dataset, read_star
+from civicspark.schema import FACT_TABLE, RESPONSE_COLUMN, STAR_TABLES
+from civicspark.sinks.files import write_star
+from civicspark.sources.files import read_dataset
 
+DIMENSIONS = ["dim_agency", "dim_complaint", "dim_location", "dim_date"]
 
-def star_tables(clean: DataFrame) -> dict[str, DataFrame]:
-    """The five star tables as DataFrames (dimension keys already stable)."""
+
+def _require_response(clean: DataFrame) -> None:
     if RESPONSE_COLUMN not in clean.columns:
         raise ValueError(f"star schema needs the column '{RESPONSE_COLUMN}'")
-    dims = {
-        "dim_agency": S.dim_agency(clean),
-        "dim_complaint": S.dim_complaint(clean),
-        "dim_location": S.dim_location(clean),
-        "dim_date": S.dim_date(clean),
-    }
-    fact = S.fact_requests(clean, dims["dim_agency"], dims["dim_complaint"], dims["dim_location"])
-    return {**dims, "fact_311_requests": fact}
 
 
-def build_star_schema(spark: SparkSession, clean_dir: str, star_dir: str) -> dict[str, int]:
-    """Read the clean dataset, write the star tables, return their row counts."""
-    clean = read_dataset(spark, clean_dir)
-    if RESPONSE_COLUMN not in clean.columns:
-        raise ValueError(f"star schema needs the column '{RESPONSE_COLUMN}'")
-    dims = {
+def dimensions(clean: DataFrame) -> dict[str, DataFrame]:
+    _require_response(clean)
+    return {
         "dim_agency": S.dim_agency(clean),
         "dim_complaint": S.dim_complaint(clean),
         "dim_location": S.dim_location(clean),
         "dim_date": S.dim_date(clean),
     }
-    write_star(dims, star_dir)
-    written = read_star_dims(spark, star_dir)
-    fact = S.fact_requests(clean, written["dim_agency"], written["dim_complaint"], written["dim_location"])
-    write_star({"fact_311_requests": fact}, star_dir)
-    counts = star_row_counts(spark, star_dir).collect()  # five rows
-    by_name = {r["table_name"]: int(r["n_rows"]) for r in counts}
-    return {t: by_name[t] for t in STAR_TABLES}
 
 
-def read_star_dims(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
-    return {
-        name: spark.read.parquet(f"{star_dir.rstrip('/')}/{name}.parquet")
-        for name in ("dim_agency", "dim_complaint", "dim_location", "dim_date")
-    }
+def star_tables(clean: DataFrame) -> dict[str, DataFrame]:
+    """The five star tables as DataFrames (dimension keys already stable)."""
+    dims = dimensions(clean)
+    fact = S.fact_requests(clean, dims["dim_agency"], dims["dim_complaint"], dims["dim_location"])
+    return {**dims, FACT_TABLE: fact}
 
 
-__all__ = ["build_star_schema", "star_tables", "read_star", "read_star_dims"]
+def build_star_schema(spark: SparkSession, clean_dir: str, star_dir: str) -> dict[str, int]:
+    """Read the clean dataset, write the star tables, return their row counts."""
+    clean = read_dataset(spark, clean_dir)
+    counts = write_star(dimensions(clean), star_dir)
+    written = {name: spark.read.parquet(f"{star_dir.rstrip('/')}/{name}.parquet") for name in DIMENSIONS}
+    fact = S.fact_requests(
+        clean, written["dim_agency"], written["dim_complaint"], written["dim_location"], dim_rows=counts
+    )
+    counts.update(write_star({FACT_TABLE: fact}, star_dir))
+    return {t: counts[t] for t in STAR_TABLES}

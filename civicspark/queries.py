@@ -20,7 +20,7 @@ from civicspark.operators import quality as V
 from civicspark.operators import reports as R
 from civicspark.operators.stats import duplicate_count, exact_medians, modes
 from civicspark.plans.batch import BatchSettings, run_batch
-from civicspark.plans.clean import clean_requests, impute, stage_requests
+from civicspark.plans.clean import Stage, clean_requests, impute, stage_requests
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS, RAW_SCHEMA
 from civicspark.session import scratch_path
@@ -52,15 +52,20 @@ def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.select_required(_raw(spark, sf_dir), RAW_COLUMNS)
 
 
-def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed, key-filtered rows (written once by ``stage_requests``)."""
+def _staged(spark: SparkSession, sf_dir: str) -> Stage:
+    """Typed, key-filtered rows and their profile (written once by ``stage_requests``)."""
     return _memo(spark, sf_dir, "stage", lambda: stage_requests(_raw(spark, sf_dir), RAW_COLUMNS))
 
 
+def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir).df
+
+
 def _clean_dir(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         path = scratch_path(spark, "clean")
-        save_parquet(K.dedup_rows(impute(_stage(spark, sf_dir))), path)
+        st = _staged(spark, sf_dir)
+        save_parquet(K.dedup_rows(impute(st.df, st.profile)), path)
         return path
 
     return _memo(spark, sf_dir, "clean", build)
@@ -100,8 +105,8 @@ _typing = [K.parse_dates, K.parse_coordinates, K.standardize_borough, K.repair_d
 
 
 def _impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = _stage(spark, sf_dir)
-    return K.impute_median(stage, exact_medians(stage, K.imputation_plan(stage)["median"]))
+    st = _staged(spark, sf_dir)
+    return K.impute_median(st.df, exact_medians(st.df, K.imputation_plan(st.df)["median"], st.profile.probes))
 
 
 def _impute_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +207,7 @@ def queries() -> dict[str, Query]:
         "impute_median": _impute_median,
         "impute_unknown": _impute_unknown,
         "impute_mode": _impute_mode,
-        "dedup_rows": lambda s, d: K.dedup_rows(impute(_stage(s, d))),
+        "dedup_rows": lambda s, d: K.dedup_rows(impute(_staged(s, d).df, _staged(s, d).profile)),
         "clean_requests": lambda s, d: clean_requests(_raw(s, d), RAW_COLUMNS),
         "column_medians": _column_medians,
         "column_modes": _column_modes,

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from civicspark.schema import RAW_COLUMNS
 
-_ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +24,27 @@ def _every(k: Column, n: int) -> Column:
     return (k % F.lit(n)) == F.lit(0)
 
 
+def _iso_text(ts: Column) -> Column:
+    """timestamp_ntz -> 'yyyy-MM-ddTHH:mm:ss' (fraction dropped).
+
+    A plain cast of a zone-less timestamp to text never consults the session
+    time zone, unlike ``date_format``, which would shift wall times that fall
+    into a daylight-saving gap of that zone.
+    """
+    return F.translate(F.substring(ts.cast("string"), 1, 19), " ", "T")
+
+
 def requests_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw request table: ten string columns, see FIXTURES.md section 3."""
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # Hash-partitioned on the order key: the partitioning the join with the
+    # per-order line aggregate needs anyway, so at scale this is that join's
+    # shuffle (not an extra one), and a single-file orders table is spread out.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = (
+        _table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderdate")
+        .repartition(parts, "o_orderkey")
+    )
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -67,9 +84,9 @@ def requests_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~_every(k, 41), F.col("p_type")).alias("complaint_type"),
         borough_by_region.alias("borough"),
         F.when(_every(k, 101), F.lit("invalid"))
-        .otherwise(F.date_format("o_orderdate", _ISO))
+        .otherwise(_iso_text(F.col("o_orderdate")))
         .alias("created_date"),
-        F.date_format("ship", _ISO).alias("closed_date"),
+        _iso_text(F.col("ship")).alias("closed_date"),
         F.when(_every(k, 53), F.lit(""))
         .when(_every(k, 59), F.lit(None).cast("string"))
         .otherwise(F.col("c_mktsegment"))
@@ -81,8 +98,8 @@ def requests_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("40."), frac))
         .alias("latitude"),
         F.when(_every(k, 79), F.lit("-72.5")).otherwise(F.concat(F.lit("-73."), frac)).alias("longitude"),
-        k.alias("_k"),
+        # Every 11th order is emitted twice (exact copies), so de-duplication
+        # has work to do; one pass over the joined rows, no second join.
+        F.explode(F.when(_every(k, 11), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"),
     )
-    # Exact copies of every 11th order, so de-duplication has work to do.
-    dupes = raw.where(_every(F.col("_k"), 11))
-    return raw.unionByName(dupes).select(*RAW_COLUMNS)
+    return raw.select(*RAW_COLUMNS)

@@ -42,11 +42,13 @@ def created_between(
     """
     ts = _as_timestamp(df, column)
     cond = F.lit(True)
+    # Bounds are zone-less timestamps built from text: no session or process
+    # time zone takes part.
     if start_date:
-        lo = dt.datetime.fromisoformat(f"{start_date}T00:00:00")
+        lo = dt.date.fromisoformat(start_date).isoformat() + " 00:00:00"
         cond = cond & (ts >= F.lit(lo).cast("timestamp_ntz"))
     if end_date:
-        hi = dt.datetime.fromisoformat(f"{end_date}T23:59:59")
+        hi = dt.date.fromisoformat(end_date).isoformat() + " 23:59:59"
         cond = cond & (ts <= F.lit(hi).cast("timestamp_ntz"))
     return df.where(cond) if (start_date or end_date) else df
 
@@ -57,7 +59,7 @@ def newest_first(df: DataFrame, column: str = "created_date") -> list[Column]:
     The trailing columns make the order total up to identical rows, so page
     slices never overlap or miss a row at a tie.
     """
-    rest = [c for c in df.columns if c not in (column, KEY_COLUMN)]
+    rest = [c for c in df.columns if c != KEY_COLUMN]
     order = [_as_timestamp(df, column).desc_nulls_last()]
     if KEY_COLUMN in df.columns:
         order.append(F.col(KEY_COLUMN).asc_nulls_last())
