@@ -176,14 +176,14 @@ def quality_report(df: DataFrame, min_rows: int = 1) -> DataFrame:
     return out
 
 
-def validate(df: DataFrame, min_rows: int = 1) -> DataFrame:
-    """Strict mode: run all checks and raise ``ValidationError`` at the first failure.
+def raise_first_failure(report: DataFrame, df: DataFrame) -> DataFrame:
+    """Strict mode for any check table: raise ``ValidationError`` at its first failure.
 
-    The report has one row per check and listed column, so it is read whole.
-    Failed rows of one check are reported together.
+    A report has one row per check and listed column, so it is read whole.
+    Failed rows of one check are reported together (e.g. every column over
+    its null-rate limit in one message).
     """
-    report = quality_report(df, min_rows)
-    rows = sorted(report.collect(), key=lambda r: (r["seq"]))
+    rows = sorted(report.collect(), key=lambda r: r["seq"])
     failed = [r for r in rows if not r["passed"]]
     if failed:
         first = failed[0]["seq"]
@@ -192,6 +192,11 @@ def validate(df: DataFrame, min_rows: int = 1) -> DataFrame:
     return report
 
 
+def validate(df: DataFrame, min_rows: int = 1) -> DataFrame:
+    """Run all checks in order V1..V6 and raise at the first failure (V7, strict)."""
+    return raise_first_failure(quality_report(df, min_rows), df)
+
+
 def _message(df: DataFrame, group: list) -> str:
     row = group[0]
     name, subject, observed, threshold = row["check_name"], row["subject"], row["observed"], row["threshold"]
