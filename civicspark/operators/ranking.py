@@ -1,7 +1,7 @@
 """Dense surrogate keys over distinct rows, without an unbounded one-task window.
 
 ``dense_rank() OVER (ORDER BY ...)`` with no PARTITION BY runs in a single task.
-That is kept only for inputs a bounded count has shown to be small. Larger
+That is kept only for inputs whose written row count is small. Larger
 inputs are range-partitioned on the order keys (nulls last), sorted inside
 each partition and numbered locally; the per-partition row counts (one row
 per partition, so a proven bound) give each partition its offset. The rows
@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.operators.joins import bounded_count
-from civicspark.session import materialize
+from civicspark.session import materialize, materialize_counted
 
 # Inputs up to this many rows are ranked by one window task.
 SINGLE_TASK_ROWS = 200_000
@@ -34,13 +33,16 @@ def dense_rank_ids(
     """Append ``id_col`` (bigint, 1-based) ranking the distinct rows of ``df``.
 
     ``df`` must hold distinct values of ``order_cols``. ``id_col`` comes first
-    in the result. ``single_task_rows=0`` always takes the range path.
+    in the result. ``single_task_rows=0`` always takes the range path (unless
+    there are no rows at all).
     """
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    if single_task_rows and bounded_count(df, single_task_rows) is not None:
+    # The distinct rows are computed once and written; their count decides the path.
+    rows, n = materialize_counted(df, f"distinct-{id_col}")
+    if n <= single_task_rows:
         rank = F.dense_rank().over(Window.orderBy(*order)).cast("bigint")
-        return df.select(rank.alias(id_col), *df.columns)
-    return _range_ranked(df, order, id_col, num_partitions)
+        return rows.select(rank.alias(id_col), *df.columns)
+    return _range_ranked(rows, order, id_col, num_partitions)
 
 
 def _range_ranked(df: DataFrame, order: list, id_col: str, num_partitions: int | None) -> DataFrame:

@@ -17,6 +17,8 @@ Plan shape, with the raw source scanned once in the common case:
 from __future__ import annotations
 
 import logging
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -54,7 +56,7 @@ def stage_requests(df: DataFrame, required_columns: list[str] | None = None) ->
     raw_cols = list(df.columns)
     if not raw_cols:
         return Stage(df, None)
-    seen = Observation("raw_values")
+    seen = Observation(f"raw_values_{uuid.uuid4().hex[:8]}")
     observed = df.observe(
         seen,
         F.count(F.lit(1)).alias("_rows"),
@@ -63,7 +65,7 @@ def stage_requests(df: DataFrame, required_columns: list[str] | None = None) ->
     typed = _typed(K.normalize_column_names(observed))
     staged = K.drop_null_keys(typed)
     numeric = K.imputation_plan(staged)["median"]
-    stats = Observation("stage_profile")
+    stats = Observation(f"stage_profile_{uuid.uuid4().hex[:8]}")
     path = scratch_path(spark, "clean-stage")
     staged.observe(stats, *profile_exprs(staged.columns, numeric)).write.parquet(path)
 
@@ -89,9 +91,13 @@ def impute(stage: DataFrame, prof: Profile | None = None, impute_response_time:
     median_cols = [c for c in plan["median"] if nulls[c] > 0 and (impute_response_time or c != RESPONSE_COLUMN)]
     unknown_cols = [c for c in plan["unknown"] if nulls[c] > 0]
     mode_cols = [c for c in plan["mode"] if nulls[c] > 0]
-    out = K.impute_median(stage, exact_medians(stage, median_cols, prof.probes))
-    out = K.impute_unknown(out, unknown_cols)
-    return K.impute_mode(out, modes(stage, mode_cols))
+    # Medians and modes are independent jobs over the staged files: run them side by side.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        medians = pool.submit(exact_medians, stage, median_cols, prof.probes)
+        most_frequent = pool.submit(modes, stage, mode_cols)
+        out = K.impute_median(stage, medians.result())
+        out = K.impute_unknown(out, unknown_cols)
+        return K.impute_mode(out, most_frequent.result())
 
 
 def clean_requests(

@@ -11,7 +11,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(
@@ -83,3 +84,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`materialize` plus the number of rows written (observed during the write)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    seen = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(seen.get["n"])

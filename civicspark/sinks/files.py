@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -51,7 +52,7 @@ def write_star(tables: dict[str, DataFrame], star_dir: str, concurrent: bool = T
     """
 
     def write(name: str) -> int:
-        seen = Observation(f"rows_{name}")
+        seen = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
         tables[name].observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
             f"{star_dir.rstrip('/')}/{name}.parquet"
         )
