@@ -3,6 +3,7 @@ inside whole-stage codegen and never leave the JVM."""
 
 from __future__ import annotations
 
+import datetime as dt
 from itertools import chain
 
 from pyspark.sql import Column
@@ -58,9 +59,23 @@ def repaired_closed(created: Column, closed: Column) -> Column:
     return F.when(created.isNotNull() & closed.isNotNull() & (closed < created), F.lit(None)).otherwise(closed)
 
 
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a ``timestamp_ntz`` wall time.
+
+    Built from calendar parts, which a zone-less timestamp has without any
+    time zone. (``timestamp_diff`` converts its inputs to zoned timestamps in
+    the session zone first, so a wall time inside a daylight-saving gap moves
+    and durations across it gain or lose an hour.)
+    """
+    days = F.date_diff(F.to_date(ts), F.lit(dt.date(1970, 1, 1))).cast("long")
+    seconds = (F.hour(ts) * F.lit(3600) + F.minute(ts) * F.lit(60)).cast("long")
+    fraction = (F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long")
+    return days * F.lit(86_400_000_000) + seconds * F.lit(1_000_000) + fraction
+
+
 def hours_between(start: Column, end: Column) -> Column:
     """(end - start) in hours as double, null when either side is null."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
+    micros = epoch_micros(end) - epoch_micros(start)
     return micros.cast("double") / F.lit(1e6) / F.lit(3600.0)
 
 

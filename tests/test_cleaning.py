@@ -158,3 +158,20 @@ def test_column_names_normalised_after_selection(spark):
     df = spark.createDataFrame([("1", "Noise")], "`Unique Key` string, ` Complaint Type ` string")
     out = clean_requests(df, required_columns=["Unique Key", " Complaint Type "])
     assert out.columns == ["unique_key", "complaint_type"]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    # 1995-10-15 00:00 does not exist in America/Sao_Paulo (clocks jumped to 01:00).
+    df = _df(spark, {
+        "unique_key": ["1"],
+        "created_date": ["1995-10-15T00:00:00"],
+        "closed_date": ["1995-10-16T00:00:00"],
+    })
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        row = K.add_response_time(K.parse_dates(df)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row["created_date"] == dt.datetime(1995, 10, 15)
+    assert row["response_time_hours"] == 24.0
