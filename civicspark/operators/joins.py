@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.session import materialize
+from civicspark.session import materialize, tuning
 
 BROADCAST_ROWS = 200_000
 HOT_SLOTS = 10_000
@@ -27,8 +27,10 @@ def bounded_count(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``limit`` rows, else ``df`` unchanged."""
+    if limit is None:
+        limit = tuning(df.sparkSession, "broadcastRows", BROADCAST_ROWS)
     return F.broadcast(df) if bounded_count(df, limit) is not None else df
 
 
@@ -42,8 +44,8 @@ def lookup(
     eq_keys: list[str],
     nullsafe_keys: list[str],
     value_cols: list[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_slots: int = HOT_SLOTS,
+    broadcast_rows: int | None = None,
+    hot_slots: int | None = None,
     dim_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` and append ``value_cols`` of the matching row.
@@ -53,6 +55,11 @@ def lookup(
     result has exactly the rows of ``fact``. ``dim_rows``, when the caller
     already knows the dimension's size (e.g. from its write), skips the count.
     """
+    spark = fact.sparkSession
+    if broadcast_rows is None:
+        broadcast_rows = tuning(spark, "broadcastRows", BROADCAST_ROWS)
+    if hot_slots is None:
+        hot_slots = tuning(spark, "hotSlots", HOT_SLOTS)
     keys = eq_keys + nullsafe_keys
     d = dim.select(*[F.col(k).alias(f"_d_{k}") for k in keys], *value_cols)
 

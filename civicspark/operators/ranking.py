@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.session import materialize, materialize_counted
+from civicspark.session import materialize, materialize_counted, tuning
 
 # Inputs up to this many rows are ranked by one window task.
 SINGLE_TASK_ROWS = 200_000
@@ -28,7 +28,7 @@ def dense_rank_ids(
     order_cols: list[str],
     id_col: str,
     num_partitions: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Append ``id_col`` (bigint, 1-based) ranking the distinct rows of ``df``.
 
@@ -36,6 +36,8 @@ def dense_rank_ids(
     in the result. ``single_task_rows=0`` always takes the range path (unless
     there are no rows at all).
     """
+    if single_task_rows is None:
+        single_task_rows = tuning(df.sparkSession, "singleTaskRows", SINGLE_TASK_ROWS)
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     # The distinct rows are computed once and written; their count decides the path.
     rows, n = materialize_counted(df, f"distinct-{id_col}")

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicspark.session import tuning
+
 # Histograms up to this many distinct values per column are read to the driver.
 HISTOGRAM_ROWS = 50_000
 # percentile_approx accuracy: rank error at most 1/ACCURACY of the window.
@@ -145,13 +147,18 @@ def _middle(hist: list[tuple[float, int]], w: _Window) -> float:
     return a if a == b else (a + b) / 2.0
 
 
+def _histogram_rows(df: DataFrame) -> int:
+    return tuning(df.sparkSession, "histogramRows", HISTOGRAM_ROWS)
+
+
 def _histograms(df: DataFrame, x: dict[str, Column], windows: dict[str, _Window]) -> dict[str, list] | None:
     """(value, count) lists of every window, one job; None if the row bound was hit."""
+    bound = _histogram_rows(df)
     names = list(windows)
     cells = F.array(
         *[F.when(_inside(x[c], windows[c]), F.struct(F.lit(j).alias("c"), x[c].alias("v"))) for j, c in enumerate(names)]
     )
-    limit = len(names) * (2 * HISTOGRAM_ROWS + 1)
+    limit = len(names) * (2 * bound + 1)
     rows = (
         df.select(F.explode(cells).alias("cell"))
         .where(F.col("cell").isNotNull())
@@ -192,19 +199,20 @@ def exact_medians(
         open_[c] = _Window(n=p.n, size=p.n)
         proposal[c], distinct[c] = p.bounds, p.distinct
 
+    bound = _histogram_rows(df)
     for _ in range(64):
         if not open_:
             return result
-        small = {c: w for c, w in open_.items() if distinct[c] <= HISTOGRAM_ROWS}
+        small = {c: w for c, w in open_.items() if distinct[c] <= bound}
         if small:
             hists = _histograms(df, x, small)
             for c, w in small.items():
                 hist = hists[c] if hists is not None else None
-                if hist is not None and len(hist) <= 2 * HISTOGRAM_ROWS:
+                if hist is not None and len(hist) <= 2 * bound:
                     result[c] = _middle(hist, w)
                     del open_[c]
                 else:
-                    distinct[c] = 2 * HISTOGRAM_ROWS + 1  # narrow it instead
+                    distinct[c] = 2 * bound + 1  # narrow it instead
         wide = [c for c in open_ if proposal.get(c) is not None]
         if not wide:
             if open_:

@@ -93,3 +93,14 @@ def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     seen = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), int(seen.get["n"])
+
+
+def tuning(spark: SparkSession, name: str, default: int) -> int:
+    """An integer knob read from the session conf ``civicspark.<name>``, else ``default``.
+
+    The engine's size bounds (broadcast rows, single-task rows, hot-key slots,
+    histogram rows) are set this way, e.g. to force every large-data path on
+    a small input.
+    """
+    value = spark.conf.get(f"civicspark.{name}", None)
+    return default if value is None else int(value)
