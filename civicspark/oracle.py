@@ -317,6 +317,7 @@ def oracle_sql() -> dict[str, str]:
     )
     for name, body in _reports("").items():
         q[name] = _q(["fact"], body)
+    q["reports_csv"] = q["avg_response_time_by_borough"]
     for name, body in _checks("clean").items():
         q[name] = _q(["clean"], body)
 

@@ -21,6 +21,7 @@ from civicspark.operators import reports as R
 from civicspark.operators.stats import duplicate_count, exact_medians, modes
 from civicspark.plans.batch import BatchSettings, run_batch
 from civicspark.plans.clean import Stage, clean_requests, impute, stage_requests
+from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS, RAW_SCHEMA
 from civicspark.session import scratch_path
@@ -184,6 +185,14 @@ def _batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_batch(spark, _raw(spark, sf_dir), settings)
 
 
+def _reports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report job writes every report as CSV; one is read back with its schema."""
+    out = scratch_path(spark, "reports")
+    reports = generate_reports(spark, _star_dir(spark, sf_dir), out)
+    name = "avg_response_time_by_borough"
+    return load_file(spark, f"{out}/{name}.csv", reports[name].schema)
+
+
 def _report(name: str) -> Query:
     return lambda spark, sf_dir: R.all_reports(_stars(spark, sf_dir))[name]
 
@@ -238,6 +247,7 @@ def queries() -> dict[str, Query]:
             "round_trip_parquet": _round_trip_parquet,
             "round_trip_csv": _round_trip_csv,
             "round_trip_table": _round_trip_table,
+            "reports_csv": _reports_csv,
             "batch_summary": _batch_summary,
         }
     )
