@@ -175,3 +175,23 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert row["created_date"] == dt.datetime(1995, 10, 15)
     assert row["response_time_hours"] == 24.0
+
+
+def test_second_coordinate_pair_and_other_categoricals(spark):
+    df = spark.createDataFrame(
+        [("1", "40.5", "-74.0", None, "Brooklyn"), ("2", "45.0", "-74.2", "Open", None), ("3", "40.7", "-80", "Open", None)],
+        "unique_key string, incident_address_latitude string, incident_address_longitude string, "
+        "status string, city string",
+    )
+    out = {r["unique_key"]: r for r in clean_requests(df).collect()}
+    assert out["1"]["status"] == "UNKNOWN" and out["2"]["city"] == "UNKNOWN"
+    assert out["2"]["incident_address_latitude"] == pytest.approx(40.6)  # 45.0 out of range -> median
+    assert out["3"]["incident_address_longitude"] == pytest.approx(-74.1)
+
+
+def test_half_a_coordinate_pair_is_left_as_text(spark):
+    df = spark.createDataFrame([("1", "40.5"), ("2", None)], "unique_key string, latitude string")
+    out = clean_requests(df)
+    assert dict(out.dtypes)["latitude"] == "string"
+    # a text column outside the categorical list takes the mode
+    assert {r["unique_key"]: r["latitude"] for r in out.collect()} == {"1": "40.5", "2": "40.5"}

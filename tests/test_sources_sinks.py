@@ -116,3 +116,12 @@ def test_date_range_is_inclusive(spark):
     got = sorted(r["unique_key"] for r in paging.created_between(df, "2024-01-01", "2024-01-31").collect())
     assert got == ["a", "b"]
     assert paging.created_between(df).count() == 4
+
+
+def test_pretty_printed_pages(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "pretty")
+    os.makedirs(p)
+    with open(os.path.join(p, "page.json"), "w") as f:
+        f.write('[\n  {"unique_key": "1",\n   "agency": "NYPD"},\n  {"unique_key": "2"}\n]\n')
+    got = {r["unique_key"]: r["agency"] for r in read_pages(spark, p, multi_line=True).collect()}
+    assert got == {"1": "NYPD", "2": None}
