@@ -117,14 +117,18 @@ def drop_null_keys(df: DataFrame) -> DataFrame:
     return df.where(F.col(KEY_COLUMN).isNotNull())
 
 
-def typed_requests(df: DataFrame) -> DataFrame:
-    """Steps F1, F2+P7, F3, P8, F4, P4 in their fixed order: one lazy projection."""
+def typed_columns(df: DataFrame) -> DataFrame:
+    """Steps F1, F2+P7, F3, P8, F4 in their fixed order: one lazy projection."""
     df = parse_dates(df)
     df = parse_coordinates(df)
     df = standardize_borough(df)
     df = repair_dates(df)
-    df = add_response_time(df)
-    return drop_null_keys(df)
+    return add_response_time(df)
+
+
+def typed_requests(df: DataFrame) -> DataFrame:
+    """Steps F1, F2+P7, F3, P8, F4, then P4."""
+    return drop_null_keys(typed_columns(df))
 
 
 # --------------------------------------------------------------------------

@@ -41,14 +41,6 @@ class Stage:
     dropped_keys: int = 0
 
 
-def _typed(df: DataFrame) -> DataFrame:
-    df = K.parse_dates(df)
-    df = K.parse_coordinates(df)
-    df = K.standardize_borough(df)
-    df = K.repair_dates(df)
-    return K.add_response_time(df)
-
-
 def stage_requests(df: DataFrame, required_columns: list[str] | None = None) -> Stage:
     """P1, P2, P3, F1..P4, written once; P2 and the statistics come from observations."""
     spark = df.sparkSession
@@ -62,7 +54,7 @@ def stage_requests(df: DataFrame, required_columns: list[str] | None = None) ->
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(F.col(f"`{c}`")).alias(f"_v{i}") for i, c in enumerate(raw_cols)],
     )
-    typed = _typed(K.normalize_column_names(observed))
+    typed = K.typed_columns(K.normalize_column_names(observed))
     staged = K.drop_null_keys(typed)
     numeric = K.imputation_plan(staged)["median"]
     stats = Observation(f"stage_profile_{uuid.uuid4().hex[:8]}")

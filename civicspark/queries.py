@@ -12,7 +12,6 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from civicspark import oracle
 from civicspark.operators import cleaning as K
@@ -174,7 +173,7 @@ def _round_trip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _round_trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "table")
-    name = "service_requests_clean"
+    name = "requests_clean_round_trip"
     save_table(_clean(spark, sf_dir), name, path)
     return spark.table(name)
 

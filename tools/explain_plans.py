@@ -41,7 +41,7 @@ def main() -> None:
     from civicspark.operators.joins import lookup
     from civicspark.operators.quality import quality_report
     from civicspark.operators.reports import all_reports
-    from civicspark.plans.clean import _typed, impute, stage_requests
+    from civicspark.plans.clean import impute, stage_requests
     from civicspark.plans.star import build_star_schema
     from civicspark.schema import RAW_COLUMNS
     from civicspark.session import build_session, scratch_path
@@ -66,7 +66,7 @@ def main() -> None:
         rendered.append((title, _plan(df)))
 
     add("requests_raw (fixture from the driver tables)", raw)
-    add("clean stage: typed projection F1..P4 (written once, observed)", K.drop_null_keys(_typed(raw)))
+    add("clean stage: typed projection F1..P4 (written once, observed)", K.typed_requests(raw))
     add("clean: imputation + de-duplication over the staged files", K.dedup_rows(impute(stage.df, stage.profile)))
     add("quality_report (V1-V6 in one aggregate pass)", quality_report(clean))
     add("dim_location distinct input", clean.select(*S.LOCATION_COLUMNS).distinct())
