@@ -77,7 +77,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    spark = build_session(master=f"local[{cpus}]", app_name="civicspark-bench", shuffle_partitions=max(cpus, 2))
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if "=" in kv)
+    spark = build_session(
+        master=f"local[{cpus}]", app_name="civicspark-bench", shuffle_partitions=max(cpus, 2), extra=extra
+    )
 
     one_run(spark, sf_dir)  # warm-up: JIT, file listing caches
     samples = [one_run(spark, sf_dir) for _ in range(runs)]

@@ -39,6 +39,9 @@ def build_session(
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master.startswith("local"):
+        # One host: waiting for a "better" locality level only delays tasks.
+        builder = builder.config("spark.locality.wait", "0s")
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
