@@ -39,37 +39,45 @@ SHORT = {
 }
 
 
-def one_run(spark, sf_dir: str) -> dict[str, float]:
-    t: dict[str, float] = {}
+class _Timer:
+    """Wall time and Spark job count of one named stage (via a job group)."""
+
+    def __init__(self, spark, run: int):
+        self.sc = spark.sparkContext
+        self.run = run
+        self.seconds: dict[str, float] = {}
+        self.jobs: dict[str, int] = {}
+
+    def __call__(self, name: str, fn):
+        group = f"bench-{self.run}-{name}"
+        self.sc.setJobGroup(group, name)
+        start = time.perf_counter()
+        out = fn()
+        self.seconds[name] = time.perf_counter() - start
+        self.jobs[name] = len(self.sc.statusTracker().getJobIdsForGroup(group))
+        return out
+
+
+def one_run(spark, sf_dir: str, run: int) -> _Timer:
+    t = _Timer(spark, run)
 
-    s = time.perf_counter()
     raw_path = scratch_path(spark, "bench-raw")
     # Landed like pages: bounded records per file, so the clean job reads the
     # raw table with more than one task per input file.
-    requests_raw(spark, sf_dir).write.option("maxRecordsPerFile", 20_000).parquet(raw_path)
+    t("raw", lambda: requests_raw(spark, sf_dir).write.option("maxRecordsPerFile", 20_000).parquet(raw_path))
     raw = spark.read.parquet(raw_path)
-    t["raw"] = time.perf_counter() - s
 
-    s = time.perf_counter()
     clean_path = scratch_path(spark, "bench-clean")
-    save_parquet(clean_requests(raw, RAW_COLUMNS), clean_path)
+    t("clean", lambda: save_parquet(clean_requests(raw, RAW_COLUMNS), clean_path))
     clean = spark.read.parquet(clean_path)
-    t["clean"] = time.perf_counter() - s
 
-    s = time.perf_counter()
-    quality_report(clean).collect()
-    t["checks"] = time.perf_counter() - s
+    t("checks", lambda: quality_report(clean).collect())
 
-    s = time.perf_counter()
     star_dir = scratch_path(spark, "bench-star")
-    build_star_schema(spark, clean_path, star_dir)
-    t["star"] = time.perf_counter() - s
-
-    reports = all_reports(read_star(spark, star_dir))
-    for name, df in reports.items():
-        s = time.perf_counter()
-        df.collect()
-        t[SHORT[name]] = time.perf_counter() - s
+    t("star", lambda: build_star_schema(spark, clean_path, star_dir))
+
+    for name, df in all_reports(read_star(spark, star_dir)).items():
+        t(SHORT[name], df.collect)
     return t
 
 
@@ -82,9 +90,10 @@ def main() -> None:
         master=f"local[{cpus}]", app_name="civicspark-bench", shuffle_partitions=max(cpus, 2), extra=extra
     )
 
-    one_run(spark, sf_dir)  # warm-up: JIT, file listing caches
-    samples = [one_run(spark, sf_dir) for _ in range(runs)]
-    per_query = {k: round(statistics.median(s[k] for s in samples), 3) for k in samples[0]}
+    one_run(spark, sf_dir, 0)  # warm-up: JIT, file listing caches
+    samples = [one_run(spark, sf_dir, i + 1) for i in range(runs)]
+    per_query = {k: round(statistics.median(s.seconds[k] for s in samples), 3) for k in samples[0].seconds}
+    jobs = samples[-1].jobs
     total = round(sum(per_query.values()), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
@@ -97,6 +106,7 @@ def main() -> None:
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "runs": runs,
                 "cpus": cpus,
+                "spark_jobs": jobs,
             }
         )
     )

@@ -21,6 +21,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -84,9 +85,10 @@ def impute(stage: DataFrame, prof: Profile | None = None, impute_response_time:
     unknown_cols = [c for c in plan["unknown"] if nulls[c] > 0]
     mode_cols = [c for c in plan["mode"] if nulls[c] > 0]
     # Medians and modes are independent jobs over the staged files: run them side by side.
+    # (inheritable targets keep the caller's job group and other local properties)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        medians = pool.submit(exact_medians, stage, median_cols, prof.probes)
-        most_frequent = pool.submit(modes, stage, mode_cols)
+        medians = pool.submit(inheritable_thread_target(exact_medians), stage, median_cols, prof.probes)
+        most_frequent = pool.submit(inheritable_thread_target(modes), stage, mode_cols)
         out = K.impute_median(stage, medians.result())
         out = K.impute_unknown(out, unknown_cols)
         return K.impute_mode(out, most_frequent.result())

@@ -41,9 +41,20 @@ def star_tables(clean: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_star_schema(spark: SparkSession, clean_dir: str, star_dir: str) -> dict[str, int]:
-    """Read the clean dataset, write the star tables, return their row counts."""
+    """Read the clean dataset, write the star tables, return their row counts.
+
+    Each dimension is built and written in its own thread (its ranking jobs
+    included); the fact follows once all four are written.
+    """
     clean = read_dataset(spark, clean_dir)
-    counts = write_star(dimensions(clean), star_dir)
+    _require_response(clean)
+    builders = {
+        "dim_agency": lambda: S.dim_agency(clean),
+        "dim_complaint": lambda: S.dim_complaint(clean),
+        "dim_location": lambda: S.dim_location(clean),
+        "dim_date": lambda: S.dim_date(clean),
+    }
+    counts = write_star(builders, star_dir)
     written = {name: spark.read.parquet(f"{star_dir.rstrip('/')}/{name}.parquet") for name in DIMENSIONS}
     fact = S.fact_requests(
         clean, written["dim_agency"], written["dim_complaint"], written["dim_location"], dim_rows=counts

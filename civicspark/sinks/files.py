@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,17 +45,23 @@ def save_table(df: DataFrame, table_name: str, path: str | None = None) -> None:
     writer.saveAsTable(table_name)
 
 
-def write_star(tables: dict[str, DataFrame], star_dir: str, concurrent: bool = True) -> dict[str, int]:
+def write_star(
+    tables: dict[str, DataFrame | Callable[[], DataFrame]], star_dir: str, concurrent: bool = True
+) -> dict[str, int]:
     """One Parquet dataset per star table (S11); returns the rows written per table.
 
-    The counts are observed during the writes, so no table is read twice.
-    Independent tables are written by concurrent jobs, which share the
+    A table may be given as a DataFrame or as a function building it (whose
+    own jobs, e.g. a dimension's key ranking, then run in that table's
+    thread). The counts are observed during the writes, so no table is read
+    twice. Independent tables are written by concurrent jobs, which share the
     cluster's slots instead of waiting for each other's stragglers.
     """
 
     def write(name: str) -> int:
+        table = tables[name]
+        df = table() if callable(table) else table
         seen = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
-        tables[name].observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
             f"{star_dir.rstrip('/')}/{name}.parquet"
         )
         return int(seen.get["n"])
@@ -62,7 +70,7 @@ def write_star(tables: dict[str, DataFrame], star_dir: str, concurrent: bool = T
     if not concurrent or len(names) < 2:
         return {name: write(name) for name in names}
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        return dict(zip(names, pool.map(write, names)))
+        return dict(zip(names, pool.map(inheritable_thread_target(write), names)))
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
