@@ -87,8 +87,9 @@ def impute(stage: DataFrame, prof: Profile | None = None, impute_response_time:
     # Medians and modes are independent jobs over the staged files: run them side by side.
     # (inheritable targets keep the caller's job group and other local properties)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        medians = pool.submit(inheritable_thread_target(exact_medians), stage, median_cols, prof.probes)
-        most_frequent = pool.submit(inheritable_thread_target(modes), stage, mode_cols)
+        inherit = inheritable_thread_target(stage.sparkSession)
+        medians = pool.submit(inherit(exact_medians), stage, median_cols, prof.probes)
+        most_frequent = pool.submit(inherit(modes), stage, mode_cols)
         out = K.impute_median(stage, medians.result())
         out = K.impute_unknown(out, unknown_cols)
         return K.impute_mode(out, most_frequent.result())

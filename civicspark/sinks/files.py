@@ -70,7 +70,18 @@ def write_star(
     if not concurrent or len(names) < 2:
         return {name: write(name) for name in names}
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        return dict(zip(names, pool.map(inheritable_thread_target(write), names)))
+        target = inheritable_thread_target(_session(tables))(write)
+        return dict(zip(names, pool.map(target, names)))
+
+
+def _session(tables: dict[str, DataFrame | Callable[[], DataFrame]]) -> SparkSession:
+    for t in tables.values():
+        if isinstance(t, DataFrame):
+            return t.sparkSession
+    session = SparkSession.getActiveSession()
+    if session is None:
+        raise RuntimeError("no active Spark session")
+    return session
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
