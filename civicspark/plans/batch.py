@@ -18,6 +18,7 @@ from civicspark.plans.clean import clean_requests
 from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS
+from civicspark.session import materialize
 from civicspark.sinks.files import save_parquet, save_raw, save_table
 from civicspark.sources.paging import check_batch_size, created_between, take_newest
 
@@ -55,7 +56,12 @@ def run_batch(spark: SparkSession, source: DataFrame, settings: BatchSettings) -
     if raw.limit(1).count() == 0:
         raise EmptySourceError("No data fetched - aborting")
 
+    # The clean table is computed once (its de-duplication is the largest
+    # shuffle of the job) and written to the scratch folder; the checks and the
+    # load both read those files.
     clean = clean_requests(raw, settings.required_columns, settings.drop_duplicates)
+    if clean.columns:  # (a table without columns cannot be written; the checks reject it anyway)
+        clean = materialize(clean, "batch-clean")
     validate(clean)  # raises ValidationError before anything is loaded
 
     clean_dir = settings.path("clean")

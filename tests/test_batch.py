@@ -41,3 +41,10 @@ def test_batch_aborts_on_failed_validation_before_loading(spark, tmp_dir):
 def test_batch_rejects_bad_page_size(spark, tmp_dir):
     with pytest.raises(ValueError, match="batch_size"):
         run_batch(spark, requests_raw(spark, SF_SMALL), BatchSettings(out_dir=tmp_dir, batch_size=5000))
+
+
+def test_batch_rejects_a_source_without_values(spark, tmp_dir):
+    # Every required column is empty: cleaning drops them all and the schema check fails.
+    source = spark.createDataFrame([(None, None), (None, None)], "unique_key string, created_date string")
+    with pytest.raises(ValidationError, match="Missing required columns"):
+        run_batch(spark, source, BatchSettings(out_dir=tmp_dir))
