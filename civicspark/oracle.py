@@ -87,6 +87,8 @@ _cte("raw_once", ["first_line"], """
     JOIN region r ON n.n_regionkey = r.r_regionkey
     LEFT JOIN first_line fl ON fl.l_orderkey = o.o_orderkey
     LEFT JOIN part p ON p.p_partkey = fl.pk""")
+# Every order once, plus a second exact copy of every 11th order (the fixture's
+# duplicates); the modulo rules above and here inject dirt, they drop nothing.
 _cte("requests_raw", ["raw_once"], f"SELECT {_RAW} FROM raw_once UNION ALL SELECT {_RAW} FROM raw_once WHERE k % 11 = 0")
 
 
