@@ -21,6 +21,7 @@ from civicspark.schema import (
 DATE_RANGE = ("1997-01-01", "1998-12-31")
 PAGE = (2000, 1000)  # offset, page size
 TOTAL_LIMIT = 5000
+PAGED_LIMIT = 2500  # pages of PAGE[1] rows: two full pages and a shrunk last one
 BATCH_RANGE = ("1995-01-01", "2001-12-31")
 
 _TS_RE = r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?"
@@ -342,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
     order = _newest_first_order()
     q["page_slice"] = _q(["requests_raw"], f"SELECT * FROM requests_raw ORDER BY {order} LIMIT {size} OFFSET {off}")
     q["total_limit"] = _q(["requests_raw"], f"SELECT * FROM requests_raw ORDER BY {order} LIMIT {TOTAL_LIMIT}")
+    q["paged_read"] = _q(["requests_raw"], f"SELECT * FROM requests_raw ORDER BY {order} LIMIT {PAGED_LIMIT}")
     q["read_pages"] = _q(["requests_raw"], "SELECT * FROM requests_raw")
     q["round_trip_csv"] = _q(
         ["requests_raw"], "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS) + " FROM requests_raw"

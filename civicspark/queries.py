@@ -146,6 +146,14 @@ def _total_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.take_newest(_raw(spark, sf_dir), oracle.TOTAL_LIMIT)
 
 
+def _paged_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 1000 appended until the total limit, as the paged source reads."""
+    out = None
+    for page in paging.pages(_raw(spark, sf_dir), oracle.PAGE[1], oracle.PAGED_LIMIT):
+        out = page if out is None else out.unionByName(page)
+    return out
+
+
 def _read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Land the records as JSON (absent keys for nulls), then read them back.
     path = scratch_path(spark, "pages")
@@ -241,6 +249,7 @@ def queries() -> dict[str, Query]:
             "date_range_filter": _date_range,
             "page_slice": _page_slice,
             "total_limit": _total_limit,
+            "paged_read": _paged_read,
             "read_pages": _read_pages,
             "hive_scan": _hive_scan,
             "round_trip_parquet": _round_trip_parquet,

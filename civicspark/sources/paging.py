@@ -79,3 +79,28 @@ def take_newest(df: DataFrame, total_limit: int | None, column: str = "created_d
     if total_limit < 0:
         raise ValueError(f"total_limit must be >= 0, got {total_limit}")
     return df.orderBy(*newest_first(df, column)).limit(total_limit)
+
+
+def pages(df: DataFrame, batch_size: int, total_limit: int | None = None, column: str = "created_date"):
+    """Yield newest-first pages of at most ``batch_size`` rows (S1 + S3 + S4).
+
+    Stops after an empty page, a short page, or once ``total_limit`` rows were
+    yielded (the last page shrinks to fit). Each page is its own top-k job, so
+    page k costs a top-(k * batch_size); for a bulk read use
+    :func:`take_newest`, which returns the union of these pages in one job.
+    """
+    check_batch_size(batch_size)
+    order = newest_first(df, column)
+    offset = 0
+    while True:
+        size = batch_size if total_limit is None else min(batch_size, total_limit - offset)
+        if size <= 0:
+            return
+        page = df.orderBy(*order).offset(offset).limit(size)
+        n = page.count()
+        if n == 0:
+            return
+        yield page
+        offset += n
+        if n < size:
+            return

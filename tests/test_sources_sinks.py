@@ -125,3 +125,13 @@ def test_pretty_printed_pages(spark, tmp_dir):
         f.write('[\n  {"unique_key": "1",\n   "agency": "NYPD"},\n  {"unique_key": "2"}\n]\n')
     got = {r["unique_key"]: r["agency"] for r in read_pages(spark, p, multi_line=True).collect()}
     assert got == {"1": "NYPD", "2": None}
+
+
+def test_pages_stop_at_limit_and_short_pages(spark):
+    df = _requests(spark)  # 10 rows
+    sizes = [p.count() for p in paging.pages(df, 5, total_limit=7)]
+    assert sizes == [5, 2]
+    keys = [r["unique_key"] for p in paging.pages(df, 5, total_limit=7) for r in p.collect()]
+    assert keys == [str(i) for i in range(10, 3, -1)]
+    assert [p.count() for p in paging.pages(df, 4)] == [4, 4, 2]  # short page ends the read
+    assert [p.count() for p in paging.pages(df, 5)] == [5, 5]  # then an empty page
