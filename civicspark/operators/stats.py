@@ -5,12 +5,13 @@
 * exact median: Spark's ``median`` keeps every distinct value of a column in
   the single task that finishes a global aggregate. Here the median is found
   by narrowing a value window instead: approximate quantiles (bounded-size
-  sketches) propose a window around the middle ranks, exact counts confirm
-  it, and once the window holds few distinct values their (value, count)
-  histogram -- a bounded number of rows -- is read to pick the middle values.
-  The first probe (count, distinct estimate, quantiles near 0.5) can be
-  evaluated as an observation of an earlier write, so a column with a modest
-  number of distinct values costs one histogram job in total.
+  sketches, built per group of partitions) propose a window around the middle
+  ranks, exact counts confirm it, and once the window holds few distinct
+  values or few rows their (value, count) histogram -- a bounded number of
+  rows -- is read to pick the middle values; a window down to one value ends
+  the search. The first probe (count, distinct estimate, coarse quantiles near
+  0.5) can be evaluated as an observation of an earlier write, so a column
+  with a modest number of distinct values costs one histogram job in total.
 * mode: ``(column, value) -> count`` (map-side combined), then per column the
   largest count, smallest value on ties; all columns in one job.
 """
@@ -25,14 +26,21 @@ from pyspark.sql import types as T
 
 from civicspark.session import tuning
 
-# Histograms up to this many distinct values per column are read to the driver.
+# Histograms up to this many distinct values (or rows) per window are read to the driver.
 HISTOGRAM_ROWS = 50_000
-# percentile_approx accuracy: rank error at most 1/ACCURACY of the window.
-ACCURACY = 10_000
+# percentile_approx accuracy of the narrowing rounds: rank error at most
+# 1/ACCURACY of the window. Each task's sketch is O(ACCURACY) entries.
+ACCURACY = 1_000
 _MARGIN = 3.0 / ACCURACY
-# The first probe does not know n yet; twice the margin covers |k/n - 0.5| <= 1/n
-# whenever n >= ACCURACY / 3, and smaller inputs are read as a histogram anyway.
-_FIRST = (0.5 - 2 * _MARGIN, 0.5 + 2 * _MARGIN)
+# Rounds compute their sketches per group of input partitions, so reducers
+# merge them in parallel and the driver reads at most this many rows.
+SKETCH_GROUPS = 256
+# The first probe rides on a write as an observation, whose per-task buffers
+# are merged by the driver: it stays coarse (about a kilobyte per task). Twice
+# its margin covers |k/n - 0.5| <= 1/n whenever n >= PROBE_ACCURACY / 3, and
+# smaller inputs are read as a histogram anyway.
+PROBE_ACCURACY = 100
+_FIRST = (0.5 - 6.0 / PROBE_ACCURACY, 0.5 + 6.0 / PROBE_ACCURACY)
 _RSD = 0.05
 
 
@@ -67,7 +75,7 @@ def profile_exprs(columns: list[str], numeric: list[str]) -> list[Column]:
         exprs += [
             F.count(x).alias(f"_n{i}"),
             F.approx_count_distinct(x, _RSD).alias(f"_d{i}"),
-            F.percentile_approx(x, F.array(F.lit(_FIRST[0]), F.lit(_FIRST[1])), ACCURACY).alias(f"_q{i}"),
+            F.percentile_approx(x, F.array(F.lit(_FIRST[0]), F.lit(_FIRST[1])), PROBE_ACCURACY).alias(f"_q{i}"),
         ]
     return exprs
 
@@ -201,9 +209,13 @@ def exact_medians(
 
     bound = _histogram_rows(df)
     for _ in range(64):
+        for c, w in list(open_.items()):
+            if w.lo is not None and w.lo == w.hi:  # one value holds both middle ranks
+                result[c] = w.lo
+                del open_[c]
         if not open_:
             return result
-        small = {c: w for c, w in open_.items() if distinct[c] <= bound}
+        small = {c: w for c, w in open_.items() if distinct[c] <= bound or w.size <= bound}
         if small:
             hists = _histograms(df, x, small)
             for c, w in small.items():
@@ -219,14 +231,29 @@ def exact_medians(
                 # No proposal yet (first probe missing): take a fresh one.
                 _propose(df, x, open_, proposal, distinct)
             continue
-        _narrow(df, x, {c: open_[c] for c in wide}, proposal, open_)
-        _propose(df, x, {c: open_[c] for c in wide}, proposal, distinct)
+        before = {c: open_[c] for c in wide}
+        _narrow(df, x, before, proposal, open_)
+        for c in wide:
+            if open_[c] == before[c]:
+                # The sketches cannot split this window (its mass sits on its
+                # end values): read it as a histogram next.
+                distinct[c] = 0
+        _propose(df, x, {c: open_[c] for c in wide if distinct[c] != 0}, proposal, distinct)
     raise RuntimeError(f"median search did not converge for {sorted(open_)}")
 
 
 def _propose(df, x, windows: dict[str, _Window], proposal, distinct) -> None:
-    """Distinct estimate and quantile bounds inside each window: one job."""
+    """Distinct bound and quantile bounds inside each window: one job.
+
+    Sketches are built per group of input partitions (a grouped aggregate, so
+    merging is spread over reducers) and the driver reads one row per group.
+    The proposal is the widest of the group bounds and the distinct bound the
+    sum of the group estimates; both only steer the search, since exact counts
+    confirm every window.
+    """
     names = list(windows)
+    if not names:
+        return
     exprs = []
     for j, c in enumerate(names):
         w = windows[c]
@@ -236,11 +263,12 @@ def _propose(df, x, windows: dict[str, _Window], proposal, distinct) -> None:
             F.approx_count_distinct(v, _RSD).alias(f"d{j}"),
             F.percentile_approx(v, F.array(F.lit(f_lo), F.lit(f_hi)), ACCURACY).alias(f"q{j}"),
         ]
-    row = df.agg(*exprs).first()
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")
+    rows = df.groupBy(group).agg(*exprs).collect()  # at most SKETCH_GROUPS rows
     for j, c in enumerate(names):
-        distinct[c] = int(row[f"d{j}"])
-        q = row[f"q{j}"]
-        proposal[c] = (q[0], q[1]) if q else None
+        distinct[c] = sum(int(r[f"d{j}"]) for r in rows)
+        qs = [r[f"q{j}"] for r in rows if r[f"q{j}"]]
+        proposal[c] = (min(q[0] for q in qs), max(q[1] for q in qs)) if qs else None
 
 
 def _narrow(df, x, windows: dict[str, _Window], proposal, open_) -> None:

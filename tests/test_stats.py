@@ -63,3 +63,16 @@ def test_duplicate_count_treats_null_keys_as_equal(spark):
 def test_null_counts(spark):
     df = spark.createDataFrame([(1, None), (None, "x"), (None, None)], "a long, b string")
     assert S.null_counts(df) == (3, {"a": 2, "b": 2})
+
+
+def test_exact_median_hot_middle_value(spark, monkeypatch):
+    monkeypatch.setattr(S, "HISTOGRAM_ROWS", 10)
+    vals = [float(i) for i in range(3000)] + [1234.5] * 2500  # the hot value holds the middle
+    got = S.exact_medians(_frame(spark, vals), ["x"])["x"]
+    assert got == 1234.5
+
+
+def test_exact_median_between_two_hot_values(spark, monkeypatch):
+    monkeypatch.setattr(S, "HISTOGRAM_ROWS", 1)
+    vals = [1.0] * 4000 + [2.0] * 4000  # even count, middle ranks straddle the two values
+    assert S.exact_medians(_frame(spark, vals), ["x"])["x"] == 1.5
