@@ -1,7 +1,9 @@
 """Key lookups from a large table into a dimension.
 
-A dimension is broadcast only after a bounded count has shown it is small
-(``limit(n + 1).count()`` reads at most n + 1 rows). A dimension beyond that
+A dimension is broadcast only when its size is known to be small: from the
+caller (e.g. the row count observed when the dimension was written) or from a
+bounded count (``limit(n + 1).count()`` reads at most n + 1 rows). A dimension
+beyond that
 is joined with a shuffle, and the fact's hot key values -- any value holding at
 least 1/HOT_SLOTS of the fact rows, hence at most HOT_SLOTS of them -- are
 split off first and looked up through a broadcast of just their dimension rows,
