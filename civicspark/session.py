@@ -24,8 +24,9 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings the engine is tested under.
 
-    AQE stays on (runtime coalescing and skew-join splitting); the session
-    time zone is UTC so that any zone-aware step is deterministic.
+    AQE stays on (runtime coalescing and skew-join splitting). The session
+    time zone is UTC, although no engine step depends on it (timestamps are
+    zone-less end to end).
     """
     builder = (
         SparkSession.builder.master(master)
