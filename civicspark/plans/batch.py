@@ -18,7 +18,7 @@ from civicspark.plans.clean import clean_requests
 from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS
-from civicspark.session import materialize
+from civicspark.session import materialize, scratch_scope
 from civicspark.sinks.files import save_parquet, save_raw, save_table
 from civicspark.sources.paging import check_batch_size, created_between, take_newest
 
@@ -47,7 +47,18 @@ class EmptySourceError(RuntimeError):
 
 
 def run_batch(spark: SparkSession, source: DataFrame, settings: BatchSettings) -> DataFrame:
-    """Run every stage; return ``(stage, n_rows)`` for the raw, clean, star and report tables."""
+    """Run every stage; return ``(stage, n_rows)`` for the raw, clean, star and report tables.
+
+    Intermediate tables (the typed stage, which is as large as the raw input,
+    ranking and hot-key tables, the clean staging copy) live in one scratch
+    folder that is removed when the run ends, successfully or not. The result
+    reads only the job's outputs.
+    """
+    with scratch_scope(spark, "batch-run"):
+        return _run(spark, source, settings)
+
+
+def _run(spark: SparkSession, source: DataFrame, settings: BatchSettings) -> DataFrame:
     check_batch_size(settings.batch_size)
     raw = take_newest(created_between(source, settings.start_date, settings.end_date), settings.total_limit)
     raw_path = settings.path("raw/requests_raw.parquet")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +73,42 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_SCOPE = "civicspark.scratch.scope"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the scratch root."""
-    return f"{scratch_root(spark)}/civicspark/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the scratch root (or the current scratch scope)."""
+    scope = spark.sparkContext.getLocalProperty(_SCOPE)
+    base = scope or f"{scratch_root(spark)}/civicspark"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str):
+    """Put the intermediate tables written inside the block in one folder, removed at exit.
+
+    The folder is carried as a Spark local property, which threads started
+    with ``inheritable_thread_target`` inherit, so work fanned out to worker
+    threads lands there too, while unrelated threads are unaffected. The
+    folder is deleted whether the block succeeds or fails; nothing returned
+    from the block may still read from it.
+    """
+    sc = spark.sparkContext
+    outer = sc.getLocalProperty(_SCOPE)
+    folder = scratch_path(spark, name)
+    sc.setLocalProperty(_SCOPE, folder)
+    try:
+        yield folder
+    finally:
+        sc.setLocalProperty(_SCOPE, outer)
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` through the Hadoop file system Spark writes with."""
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

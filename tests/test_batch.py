@@ -48,3 +48,15 @@ def test_batch_rejects_a_source_without_values(spark, tmp_dir):
     source = spark.createDataFrame([(None, None), (None, None)], "unique_key string, created_date string")
     with pytest.raises(ValidationError, match="Missing required columns"):
         run_batch(spark, source, BatchSettings(out_dir=tmp_dir))
+
+
+def test_batch_leaves_no_scratch_tables(spark, tmp_dir):
+    from civicspark.session import scratch_root
+
+    root = scratch_root(spark).replace("file:", "") + "/civicspark"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    settings = BatchSettings(out_dir=tmp_dir, start_date="1995-01-01", end_date="2001-12-31")
+    summary = run_batch(spark, requests_raw(spark, SF_SMALL), settings).collect()
+    after = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert len(summary) == 13
+    assert after - before == set()  # stage, ranking, hot-key and staging tables all removed
