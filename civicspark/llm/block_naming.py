@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import TEXT_HASH, ascii_lower, keyed
+from civicspark.llm.common import TEXT_HASH, ascii_lower, keyed, one_row_each
 from civicspark.session import materialize
 
 #: Bytes in a block.
@@ -147,7 +147,4 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     verdict = verdict.withColumnsRenamed({"doc_id": "_k_id", TEXT_HASH: "_k_hash"})
     low = F.xxhash64(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))))
     on = F.col(id_col).eqNullSafe(F.col("_k_id")) & (F.col("_low_hash") == F.col("_k_hash"))
-    joined = docs.withColumn("_low_hash", low).join(verdict, on)
-    single = joined.where("_n_copies = 1").select(docs.columns)
-    repeated = joined.where("_n_copies > 1").dropDuplicates(["_k_id", "_k_hash"]).select(docs.columns)
-    return single.unionByName(repeated)
+    return one_row_each(docs.withColumn("_low_hash", low), verdict, on, ["_k_id", "_k_hash"]).drop("_low_hash")

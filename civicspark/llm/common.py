@@ -13,8 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
@@ -91,3 +93,32 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
     if len(sorted_values) == 0:
         return np.zeros(0, dtype=np.int64)
     return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]]))
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of texts, A-Z lower-cased, between ASCII white space (space and 9 to 13).
+
+    Returns the distinct words, the words of all texts in a row as indices of
+    those, and where each text's words start (one entry more than texts).
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    values = lists.flatten()
+    offsets = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+    full = np.asarray(pc.greater(pc.binary_length(values), 0))
+    if not full.all():  # white space at an end of a text leaves an empty string there
+        offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
+        values = values.filter(pa.array(full))
+    encoded = values.dictionary_encode()
+    return encoded.dictionary, np.asarray(encoded.indices, dtype=np.int64), offsets
+
+
+def hash_words(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    return np.fromiter((xxh3_64_intdigest(w) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
+
+
+def one_row_each(docs: DataFrame, verdict: DataFrame, on: Column, keys: list[str]) -> DataFrame:
+    """Rows of ``docs`` matched by ``verdict`` (``keys`` and ``_n_copies``), repeated rows once."""
+    joined = docs.join(verdict, on)
+    single = joined.where("_n_copies = 1").select(docs.columns)
+    return single.unionByName(joined.where("_n_copies > 1").dropDuplicates(keys).select(docs.columns))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, decontaminate, oracle, pair_index_bpe, secrets, url_filter, warc
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, secrets, url_filter, warc
 from civicspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = circulant_minhash.near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op5_pair_index_bpe": op5_pair_index_bpe,
         "op7_secrets": op7_secrets,
         "op8_decontaminate": op8_decontaminate,
+        "op10_circulant_minhash": op10_circulant_minhash,
     }
 
 
