@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, secrets, url_filter, warc
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, secrets, suffix_radix, url_filter, warc
 from civicspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op3_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_radix.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op5_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     encoded = pair_index_bpe.encode_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -85,6 +90,7 @@ def queries() -> dict[str, Query]:
         "op1_warc": op1_warc,
         "op2_url_filter": op2_url_filter,
         "op3_block_naming": op3_block_naming,
+        "op4_suffix_radix": op4_suffix_radix,
         "op5_pair_index_bpe": op5_pair_index_bpe,
         "op7_secrets": op7_secrets,
         "op8_decontaminate": op8_decontaminate,
