@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, secrets, suffix_radix, url_filter, warc
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, pitman_yor, secrets, suffix_radix, url_filter, warc
 from civicspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op5_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -92,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op3_block_naming": op3_block_naming,
         "op4_suffix_radix": op4_suffix_radix,
         "op5_pair_index_bpe": op5_pair_index_bpe,
+        "op6_pitman_yor": op6_pitman_yor,
         "op7_secrets": op7_secrets,
         "op8_decontaminate": op8_decontaminate,
         "op10_circulant_minhash": op10_circulant_minhash,
