@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, pitman_yor, secrets, suffix_radix, url_filter, warc
-from civicspark.session import scratch_path
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, warc
+from civicspark.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +85,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    heads = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text", *quality.SITE_LEVELS), heads).drop("text")
+    scored = materialize(scored, "quality-scores")
+    return quality.judge(scored, quality.site_posteriors(scored)).drop(*quality.SITE_LEVELS)
+
+
 def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = circulant_minhash.near_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
@@ -99,7 +108,9 @@ def queries() -> dict[str, Query]:
         "op6_pitman_yor": op6_pitman_yor,
         "op7_secrets": op7_secrets,
         "op8_decontaminate": op8_decontaminate,
+        "op9_quality": op9_quality,
         "op10_circulant_minhash": op10_circulant_minhash,
+        "pipeline": corpus_pipeline.run,
     }
 
 
