@@ -4,16 +4,19 @@ inside whole-stage codegen and never leave the JVM."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicspark.schema import BOROUGH_MAP, UNKNOWN
 
-# Accepted timestamp layouts: ISO date, optionally followed by 'T' or ' ' and a
-# time with an optional fraction. Anything else (including a bare year, which a
-# plain cast would take) parses to null.
+# Accepted timestamp layouts by default: ISO date, optionally followed by 'T' or
+# ' ' and a time with an optional fraction. Anything else (including a bare
+# year, which a plain cast would take) parses to null.
+ISO_LAYOUT = "iso"
 _TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?$"
 
 # Plain decimal or scientific notation with surrounding blanks. Suffixes such as
@@ -21,21 +24,50 @@ _TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?$"
 _NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def parse_timestamp(c: Column) -> Column:
+def is_missing(c: Column, dtype: T.DataType) -> Column:
+    """Null, or NaN in a floating column."""
+    return c.isNull() | F.isnan(c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c.isNull()
+
+
+def nan_as_null(c: Column, dtype: T.DataType) -> Column:
+    """A floating column with null for NaN; any other column as it is."""
+    return F.when(~F.isnan(c), c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c
+
+
+def parse_timestamp(c: Column, dtype: T.DataType | None = None, layouts: tuple[str, ...] = (ISO_LAYOUT,)) -> Column:
     """Text -> timestamp_ntz, bad or missing values -> null (F1).
 
-    Casting text to ``timestamp_ntz`` does not depend on the session time zone.
+    ``layouts`` are tried in order: ``iso`` (above), or a datetime pattern such
+    as ``MM/dd/yyyy hh:mm:ss a``. A pattern that names a zone (``X``) gives the
+    UTC wall time. A column that already is a timestamp or date (``dtype``)
+    is not parsed. Nothing here depends on the session time zone.
     """
+    if isinstance(dtype, T.TimestampNTZType):
+        return c
+    if isinstance(dtype, (T.TimestampType, T.DateType)):
+        return c.cast("timestamp_ntz")
     text = c.cast("string")
-    return F.when(text.rlike(_TIMESTAMP_TEXT), text.try_cast("timestamp_ntz"))
+    return F.coalesce(*(_parse_layout(text, layout) for layout in layouts))
+
+
+def _parse_layout(text: Column, layout: str) -> Column:
+    if layout == ISO_LAYOUT:
+        return F.when(text.rlike(_TIMESTAMP_TEXT), text.try_cast("timestamp_ntz"))
+    if not re.search(r"[XxZVzO]", re.sub(r"'[^']*'", "", layout)):  # no zone in the pattern: read the wall time as UTC
+        text, layout = F.concat(text, F.lit(" +0000")), f"{layout} xx"
+    micros = F.unix_micros(F.try_to_timestamp(text, F.lit(layout)))
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def parse_number(c: Column) -> Column:
+def parse_number(c: Column, dtype: T.DataType | None = None) -> Column:
     """Text -> double, bad or missing values -> null, never NaN (F2).
 
     An overflowing literal such as 1e999 becomes infinity, as a numeric parse
-    of it does; range checks (P7) then null it.
+    of it does; range checks (P7) then null it. A numeric column (``dtype``)
+    is only cast.
     """
+    if isinstance(dtype, T.NumericType):
+        return nan_as_null(c.cast("double"), T.DoubleType())
     text = c.cast("string")
     return F.when(text.rlike(_NUMBER_TEXT), text.try_cast("double"))
 

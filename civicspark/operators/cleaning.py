@@ -2,15 +2,15 @@
 
 Every step looks at ``df.schema`` when the plan is built, so a column that is
 absent costs nothing and no job runs for the check. Only two steps need data
-first: dropping all-null columns (one aggregate) and imputation (a statistics
-row computed by :mod:`civicspark.operators.stats`).
+first: dropping columns without values (one aggregate) and imputation (a
+statistics row computed by :mod:`civicspark.operators.stats`).
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ from civicspark.schema import (
 log = logging.getLogger(__name__)
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_FLOATS = (T.FloatType, T.DoubleType)
 _TEMPORAL = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
@@ -44,15 +45,26 @@ def select_required(df: DataFrame, required: list[str] | None) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in required if c in present])
 
 
+def nan_columns_as_null(df: DataFrame) -> DataFrame:
+    """Null for NaN in every floating column: a missing number has one form from here on."""
+    floats = {f.name: C.nan_as_null(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if isinstance(f.dataType, _FLOATS)}
+    return df.withColumns(floats) if floats else df
+
+
+def count_values(df: DataFrame, name: str) -> Column:
+    """Number of rows with a value (neither null nor NaN) in a column."""
+    return F.count(C.nan_as_null(F.col(f"`{name}`"), df.schema[name].dataType))
+
+
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns without a single non-null value.
+    """Drop columns without a single value (P2); NaN is none.
 
-    One global aggregate of ``count(c)`` per column (combinable, so each task
-    sends one row). A table with no rows loses every column.
+    One global aggregate of counts (combinable, so each task sends one row).
+    A table with no rows loses every column.
     """
     if not df.columns:
         return df
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
+    counts = df.agg(*[count_values(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
     keep = [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
     return df.select(*[F.col(f"`{c}`") for c in keep])
 
@@ -65,12 +77,12 @@ def normalize_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*new)
 
 
-def parse_dates(df: DataFrame) -> DataFrame:
-    """created_date / closed_date text -> timestamp_ntz, bad -> null (F1)."""
+def parse_dates(df: DataFrame, layouts: tuple[str, ...] = (C.ISO_LAYOUT,)) -> DataFrame:
+    """created_date / closed_date text -> timestamp_ntz by the declared layouts, bad -> null (F1)."""
     out = df
     for c in DATE_COLUMNS:
         if c in df.columns:
-            out = out.withColumn(c, C.parse_timestamp(F.col(c)))
+            out = out.withColumn(c, C.parse_timestamp(F.col(c), df.schema[c].dataType, layouts))
     return out
 
 
@@ -82,7 +94,7 @@ def parse_coordinates(df: DataFrame) -> DataFrame:
             # Two projections: the range check reads the parsed value three
             # times, and Catalyst keeps an expensive parse from being inlined
             # into each reference when it stays in its own projection.
-            out = out.withColumns({lat: C.parse_number(F.col(lat)), lon: C.parse_number(F.col(lon))})
+            out = out.withColumns({c: C.parse_number(F.col(c), df.schema[c].dataType) for c in (lat, lon)})
             out = out.withColumns(
                 {lat: C.within(F.col(lat), *LATITUDE_RANGE), lon: C.within(F.col(lon), *LONGITUDE_RANGE)}
             )
@@ -117,9 +129,9 @@ def drop_null_keys(df: DataFrame) -> DataFrame:
     return df.where(F.col(KEY_COLUMN).isNotNull())
 
 
-def typed_columns(df: DataFrame) -> DataFrame:
+def typed_columns(df: DataFrame, layouts: tuple[str, ...] = (C.ISO_LAYOUT,)) -> DataFrame:
     """Steps F1, F2+P7, F3, P8, F4 in their fixed order: one lazy projection."""
-    df = parse_dates(df)
+    df = parse_dates(df, layouts)
     df = parse_coordinates(df)
     df = standardize_borough(df)
     df = repair_dates(df)
@@ -152,7 +164,7 @@ def imputation_plan(df: DataFrame) -> dict[str, list[str]]:
 
 
 def impute_median(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
-    """Fill numeric nulls with the column median (F5). A column with no values stays null."""
+    """Fill missing numbers (null or NaN) with the column median (F5). A column with no values stays null."""
     fills = {}
     types = _types(df)
     for c, m in medians.items():
@@ -160,7 +172,7 @@ def impute_median(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
             continue
         dtype = types[c]
         if isinstance(dtype, (T.DoubleType, T.FloatType)) or float(m).is_integer():
-            fills[c] = F.coalesce(F.col(f"`{c}`"), F.lit(m).cast(dtype))
+            fills[c] = F.coalesce(C.nan_as_null(F.col(f"`{c}`"), dtype), F.lit(m).cast(dtype))
         else:
             # A fractional median turns an integral column into a double one.
             fills[c] = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m)))

@@ -49,6 +49,7 @@ def lookup(
     broadcast_rows: int | None = None,
     hot_slots: int | None = None,
     dim_rows: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``fact`` to ``dim`` and append ``value_cols`` of the matching row.
 
@@ -56,6 +57,9 @@ def lookup(
     with IS NOT DISTINCT FROM. ``dim`` must be unique on its keys, so the
     result has exactly the rows of ``fact``. ``dim_rows``, when the caller
     already knows the dimension's size (e.g. from its write), skips the count.
+    ``keys_from`` has the same key columns, row for row, as ``fact`` and is
+    cheaper to read (e.g. the files ``fact`` was joined from): a large
+    dimension's hot keys are counted there.
     """
     spark = fact.sparkSession
     if broadcast_rows is None:
@@ -80,12 +84,11 @@ def lookup(
 
     # Large dimension: find the hot key values (partial aggregation keeps this
     # shuffle to one row per key and map task), at most hot_slots of them.
-    n = fact.count()
+    source = (fact if keys_from is None else keys_from).select(*keys)
+    per_key = materialize(source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")), "key-counts")
+    n = int(per_key.agg(F.sum("_cnt")).first()[0] or 0)
     threshold = max(1, -(-n // hot_slots))
-    hot = materialize(
-        fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") >= threshold).select(*keys),
-        "hot-keys",
-    )
+    hot = materialize(per_key.where(F.col("_cnt") >= threshold).select(*keys), "hot-keys")
     hot_b = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
 
     def is_hot(left: DataFrame, prefix: str = "") -> Column:

@@ -1,72 +1,51 @@
-"""Dense surrogate keys over distinct rows, without an unbounded one-task window.
+"""Global row numbers and dense surrogate keys, without a one-task window.
 
-``dense_rank() OVER (ORDER BY ...)`` with no PARTITION BY runs in a single task.
-That is kept only for inputs whose written row count is small. Larger
-inputs are range-partitioned on the order keys (nulls last), sorted inside
-each partition and numbered locally; the per-partition row counts (one row
-per partition, so a proven bound) give each partition its offset. The rows
-are distinct, so the global row number is the dense rank.
+``row_number() OVER (ORDER BY ...)`` with no PARTITION BY runs in a single
+task. Here the rows are range-partitioned on the order keys, sorted inside
+each partition and numbered there; the per-partition row counts (one row per
+partition, so a proven bound) give each partition its offset. Over distinct
+rows the row number is the dense rank.
 
-On the range path the numbered rows are written to the scratch folder before
-the offsets are taken: range boundaries are sampled, and a recomputation after
-a lost executor must not move a row to another partition.
+The numbered rows are written to the scratch folder before the offsets are
+taken: range boundaries are sampled, and a recomputation after a lost executor
+must not move a row to another partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.session import materialize, materialize_counted, tuning
+from civicspark.session import materialize
 
-# Inputs up to this many rows are ranked by one window task.
-SINGLE_TASK_ROWS = 200_000
 
-
-def dense_rank_ids(
-    df: DataFrame,
-    order_cols: list[str],
-    id_col: str,
-    num_partitions: int | None = None,
-    single_task_rows: int | None = None,
-) -> DataFrame:
-    """Append ``id_col`` (bigint, 1-based) ranking the distinct rows of ``df``.
-
-    ``df`` must hold distinct values of ``order_cols``. ``id_col`` comes first
-    in the result. ``single_task_rows=0`` always takes the range path (unless
-    there are no rows at all).
-    """
-    if single_task_rows is None:
-        single_task_rows = tuning(df.sparkSession, "singleTaskRows", SINGLE_TASK_ROWS)
-    order = [F.col(c).asc_nulls_last() for c in order_cols]
-    # The distinct rows are computed once and written; their count decides the path.
-    rows, n = materialize_counted(df, f"distinct-{id_col}")
-    if n <= single_task_rows:
-        rank = F.dense_rank().over(Window.orderBy(*order)).cast("bigint")
-        return rows.select(rank.alias(id_col), *df.columns)
-    return _range_ranked(rows, order, id_col, num_partitions)
-
-
-def _range_ranked(df: DataFrame, order: list, id_col: str, num_partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (
+def numbered(df: DataFrame, order: list[Column], name: str, num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name`` (bigint, 1-based): each row's place in the order; ties get any of their places."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    numbered = materialize(numbered, f"rank-{id_col}")
+    placed = materialize(placed, f"numbered-{name}")
 
     # One row per range partition: its first position and running offset.
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        numbered.groupBy("_part")
+        placed.groupBy("_part")
         .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
         .withColumn("_offset", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
         .select("_part", "_first", "_offset")
     )
-    ranked = numbered.join(F.broadcast(offsets), "_part").withColumn(
-        id_col, (F.col("_offset") + F.col("_pos") - F.col("_first") + F.lit(1)).cast("bigint")
-    )
-    return ranked.select(id_col, *df.columns).sortWithinPartitions(id_col)
+    place = F.col("_offset") + F.col("_pos") - F.col("_first") + F.lit(1)
+    return placed.join(F.broadcast(offsets), "_part").select(place.cast("bigint").alias(name), *df.columns)
+
+
+def dense_rank_ids(df: DataFrame, order_cols: list[str], id_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Append ``id_col`` (bigint, 1-based) ranking the distinct rows of ``df``, nulls last.
+
+    ``df`` must hold distinct values of ``order_cols``. ``id_col`` comes first
+    in the result.
+    """
+    return numbered(df, [F.col(c).asc_nulls_last() for c in order_cols], id_col, num_partitions)

@@ -89,6 +89,6 @@ def fact_requests(
     )
     with_location = lookup(
         with_complaint, location, ["borough", "incident_zip"], ["latitude", "longitude"], ["location_id"],
-        dim_rows=rows.get("dim_location"),
+        dim_rows=rows.get("dim_location"), keys_from=clean,
     )
     return with_location.select(*FACT_COLUMNS)

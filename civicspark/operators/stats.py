@@ -1,300 +1,112 @@
 """Column statistics that stay distributed at any size.
 
 * null counts: one combinable global aggregate (or an observation riding on a
-  write that happens anyway).
+  write that happens anyway). A NaN counts as a missing value.
 * exact median: Spark's ``median`` keeps every distinct value of a column in
-  the single task that finishes a global aggregate. Here the median is found
-  by narrowing a value window instead: approximate quantiles (bounded-size
-  sketches, built per group of partitions) propose a window around the middle
-  ranks, exact counts confirm it, and once the window holds few distinct
-  values or few rows their (value, count) histogram -- a bounded number of
-  rows -- is read to pick the middle values; a window down to one value ends
-  the search. The first probe (count, distinct estimate, coarse quantiles near
-  0.5) can be evaluated as an observation of an earlier write, so a column
-  with a modest number of distinct values costs one histogram job in total.
+  the single task that finishes a global aggregate. Here ``(value, count)``
+  pairs (map-side combined) are range-partitioned and written; the partition
+  totals tell which partition holds the middle ranks, and a running count
+  inside that partition finds the values.
 * mode: ``(column, value) -> count`` (map-side combined), then per column the
   largest count, smallest value on ties; all columns in one job.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicspark.session import tuning
-
-# Histograms up to this many distinct values (or rows) per window are read to the driver.
-HISTOGRAM_ROWS = 50_000
-# percentile_approx accuracy of the narrowing rounds: rank error at most
-# 1/ACCURACY of the window. Each task's sketch is O(ACCURACY) entries.
-ACCURACY = 1_000
-_MARGIN = 3.0 / ACCURACY
-# Rounds compute their sketches per group of input partitions, so reducers
-# merge them in parallel and the driver reads at most this many rows.
-SKETCH_GROUPS = 256
-# The first probe rides on a write as an observation, whose per-task buffers
-# are merged by the driver: it stays coarse (about a kilobyte per task). Twice
-# its margin covers |k/n - 0.5| <= 1/n whenever n >= PROBE_ACCURACY / 3, and
-# smaller inputs are read as a histogram anyway.
-PROBE_ACCURACY = 100
-_FIRST = (0.5 - 6.0 / PROBE_ACCURACY, 0.5 + 6.0 / PROBE_ACCURACY)
-_RSD = 0.05
+from civicspark.functions.columns import is_missing, nan_as_null
+from civicspark.session import materialize
 
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-@dataclass
-class Probe:
-    """Non-null count, distinct estimate and quantile bounds of one column's window."""
-
-    n: int
-    distinct: int
-    bounds: tuple[float, float] | None
-
-
 @dataclass
 class Profile:
-    """Row count, null counts per column and a median probe per numeric column."""
+    """Row count and missing values (null or NaN) per column."""
 
     rows: int
     nulls: dict[str, int]
-    probes: dict[str, Probe] = field(default_factory=dict)
 
 
-def profile_exprs(columns: list[str], numeric: list[str]) -> list[Column]:
+def profile_exprs(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
     """Aggregates for :func:`read_profile`: usable in ``agg`` or ``observe``."""
+    cols = df.columns if columns is None else columns
     exprs = [F.count(F.lit(1)).alias("_rows")]
-    exprs += [F.count_if(_c(c).isNull()).alias(f"_null{i}") for i, c in enumerate(columns)]
-    for i, c in enumerate(numeric):
-        x = _c(c).cast("double")
-        exprs += [
-            F.count(x).alias(f"_n{i}"),
-            F.approx_count_distinct(x, _RSD).alias(f"_d{i}"),
-            F.percentile_approx(x, F.array(F.lit(_FIRST[0]), F.lit(_FIRST[1])), PROBE_ACCURACY).alias(f"_q{i}"),
-        ]
-    return exprs
+    return exprs + [F.count_if(is_missing(_c(c), df.schema[c].dataType)).alias(f"_null{i}") for i, c in enumerate(cols)]
 
 
-def read_profile(values: dict, columns: list[str], numeric: list[str]) -> Profile:
-    probes = {}
-    for i, c in enumerate(numeric):
-        q = values.get(f"_q{i}")
-        probes[c] = Probe(int(values[f"_n{i}"]), int(values[f"_d{i}"]), (q[0], q[1]) if q else None)
-    return Profile(
-        rows=int(values["_rows"]),
-        nulls={c: int(values[f"_null{i}"]) for i, c in enumerate(columns)},
-        probes=probes,
-    )
+def read_profile(values: dict, columns: list[str]) -> Profile:
+    return Profile(rows=int(values["_rows"]), nulls={c: int(values[f"_null{i}"]) for i, c in enumerate(columns)})
 
 
-def profile(df: DataFrame, numeric: list[str] | None = None) -> Profile:
-    """Row count, null counts and median probes in one aggregate."""
-    cols = list(df.columns)
-    num = list(numeric or [])
-    row = df.agg(*profile_exprs(cols, num)).first().asDict()
-    return read_profile(row, cols, num)
+def profile(df: DataFrame) -> Profile:
+    """Row count and missing values per column in one aggregate."""
+    return read_profile(df.agg(*profile_exprs(df)).first().asDict(), list(df.columns))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> tuple[int, dict[str, int]]:
-    """(row count, {column: null count}) in one aggregate."""
+    """(row count, {column: missing count}) in one aggregate."""
     cols = list(df.columns if columns is None else columns)
-    row = df.agg(*profile_exprs(cols, [])).first().asDict()
-    p = read_profile(row, cols, [])
+    p = read_profile(df.agg(*profile_exprs(df, cols)).first().asDict(), cols)
     return p.rows, p.nulls
 
 
-@dataclass
-class _Window:
-    """Values v with lo <= v <= hi (None = unbounded); ``below`` values are < lo."""
-
-    n: int
-    lo: float | None = None
-    hi: float | None = None
-    below: int = 0
-    size: int = 0
-
-    @property
-    def targets(self) -> tuple[int, int]:
-        return (self.n - 1) // 2, self.n // 2
-
-    def fractions(self) -> tuple[float, float]:
-        k_lo, k_hi = self.targets
-        return (
-            max(0.0, (k_lo - self.below) / self.size - _MARGIN),
-            min(1.0, (k_hi - self.below + 1) / self.size + _MARGIN),
-        )
-
-
-def _inside(x: Column, w: _Window) -> Column:
-    cond = x.isNotNull()
-    if w.lo is not None:
-        cond = cond & (x >= F.lit(w.lo))
-    if w.hi is not None:
-        cond = cond & (x <= F.lit(w.hi))
-    return cond
-
-
-def _middle(hist: list[tuple[float, int]], w: _Window) -> float:
-    k_lo, k_hi = w.targets
-    seen = w.below
-    a = b = None
-    for value, cnt in hist:
-        if a is None and k_lo < seen + cnt:
-            a = value
-        if b is None and k_hi < seen + cnt:
-            b = value
-            break
-        seen += cnt
-    if a is None or b is None:
-        raise RuntimeError("median window lost its middle ranks")
-    return a if a == b else (a + b) / 2.0
-
-
-def _histogram_rows(df: DataFrame) -> int:
-    return tuning(df.sparkSession, "histogramRows", HISTOGRAM_ROWS)
-
+def median_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column_name, median)`` per column that has a value (G6): NaN and null are skipped.
 
-def _histograms(df: DataFrame, x: dict[str, Column], windows: dict[str, _Window]) -> dict[str, list] | None:
-    """(value, count) lists of every window, one job; None if the row bound was hit."""
-    bound = _histogram_rows(df)
-    names = list(windows)
-    cells = F.array(
-        *[F.when(_inside(x[c], windows[c]), F.struct(F.lit(j).alias("c"), x[c].alias("v"))) for j, c in enumerate(names)]
-    )
-    limit = len(names) * (2 * bound + 1)
-    rows = (
+    One job writes the counted values in range partitions (so that sampled
+    boundaries cannot move when a task is run again); the plan returned reads
+    them. Totals are one row per partition and column; only the at most two
+    partitions per column with a middle rank are ranked.
+    """
+    cols = list(columns)
+    value = {c: nan_as_null(_c(c).cast("double"), T.DoubleType()) for c in cols}
+    cells = F.array(*[F.when(value[c].isNotNull(), F.struct(F.lit(j).alias("c"), value[c].alias("v"))) for j, c in enumerate(cols)])
+    counted = (
         df.select(F.explode(cells).alias("cell"))
         .where(F.col("cell").isNotNull())
         .groupBy("cell.c", "cell.v")
         .agg(F.count(F.lit(1)).alias("cnt"))
-        .orderBy("c", "v")
-        .limit(limit)
-        .collect()
     )
-    if len(rows) >= limit:
-        return None
-    out: dict[str, list] = {c: [] for c in names}
-    for r in rows:
-        out[names[r["c"]]].append((r["v"], r["cnt"]))
-    return out
-
-
-def exact_medians(
-    df: DataFrame, columns: list[str], probes: dict[str, Probe] | None = None
-) -> dict[str, float | None]:
-    """Exact median per column, nulls skipped, even count -> mean of the middle two."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counted.repartitionByRange(n, "c", "v").withColumn("part", F.spark_partition_id())
+    ranged = materialize(ranged, "counted-values")
+
+    totals = ranged.groupBy("c", "part").agg(F.sum("cnt").alias("total"))
+    by_part = Window.partitionBy("c").orderBy("part")
+    totals = totals.select(
+        "c", "part", "total",
+        (F.sum("total").over(by_part) - F.col("total")).alias("below"),
+        F.sum("total").over(Window.partitionBy("c")).alias("n"),
+    )
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    middle = totals.where((F.col("below") <= high) & (F.col("below") + F.col("total") > low))
+
+    # Few partitions hold a middle rank; the others are filtered out before the running count.
+    inside = ranged.join(F.broadcast(middle.select("c", "part", "below", "n")), ["c", "part"])
+    running = Window.partitionBy("c", "part").orderBy("v")
+    upto = inside.withColumn("upto", F.col("below") + F.sum("cnt").over(running))
+    first = F.col("upto") - F.col("cnt")
+    picked = upto.where((first <= high) & (F.col("upto") > low)).groupBy("c").agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    names = F.array(*[F.lit(c) for c in cols])
+    mean = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((F.col("a") + F.col("b")) / 2)
+    return picked.select(F.element_at(names, F.col("c") + 1).alias("column_name"), mean.alias("median"))
+
+
+def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Exact median per column, missing values skipped, even count -> mean of the middle two."""
     cols = list(columns)
     if not cols:
         return {}
-    x = {c: _c(c).cast("double") for c in cols}
-    if probes is None or not all(c in probes for c in cols):
-        probes = profile(df.select(*[_c(c) for c in cols]), cols).probes
-
-    result: dict[str, float | None] = {}
-    open_: dict[str, _Window] = {}
-    proposal: dict[str, tuple[float, float] | None] = {}
-    distinct: dict[str, int] = {}
-    for c in cols:
-        p = probes[c]
-        if p.n == 0:
-            result[c] = None
-            continue
-        open_[c] = _Window(n=p.n, size=p.n)
-        proposal[c], distinct[c] = p.bounds, p.distinct
-
-    bound = _histogram_rows(df)
-    for _ in range(64):
-        for c, w in list(open_.items()):
-            if w.lo is not None and w.lo == w.hi:  # one value holds both middle ranks
-                result[c] = w.lo
-                del open_[c]
-        if not open_:
-            return result
-        small = {c: w for c, w in open_.items() if distinct[c] <= bound or w.size <= bound}
-        if small:
-            hists = _histograms(df, x, small)
-            for c, w in small.items():
-                hist = hists[c] if hists is not None else None
-                if hist is not None and len(hist) <= 2 * bound:
-                    result[c] = _middle(hist, w)
-                    del open_[c]
-                else:
-                    distinct[c] = 2 * bound + 1  # narrow it instead
-        wide = [c for c in open_ if proposal.get(c) is not None]
-        if not wide:
-            if open_:
-                # No proposal yet (first probe missing): take a fresh one.
-                _propose(df, x, open_, proposal, distinct)
-            continue
-        before = {c: open_[c] for c in wide}
-        _narrow(df, x, before, proposal, open_)
-        for c in wide:
-            if open_[c] == before[c]:
-                # The sketches cannot split this window (its mass sits on its
-                # end values): read it as a histogram next.
-                distinct[c] = 0
-        _propose(df, x, {c: open_[c] for c in wide if distinct[c] != 0}, proposal, distinct)
-    raise RuntimeError(f"median search did not converge for {sorted(open_)}")
-
-
-def _propose(df, x, windows: dict[str, _Window], proposal, distinct) -> None:
-    """Distinct bound and quantile bounds inside each window: one job.
-
-    Sketches are built per group of input partitions (a grouped aggregate, so
-    merging is spread over reducers) and the driver reads one row per group.
-    The proposal is the widest of the group bounds and the distinct bound the
-    sum of the group estimates; both only steer the search, since exact counts
-    confirm every window.
-    """
-    names = list(windows)
-    if not names:
-        return
-    exprs = []
-    for j, c in enumerate(names):
-        w = windows[c]
-        v = F.when(_inside(x[c], w), x[c])
-        f_lo, f_hi = w.fractions()
-        exprs += [
-            F.approx_count_distinct(v, _RSD).alias(f"d{j}"),
-            F.percentile_approx(v, F.array(F.lit(f_lo), F.lit(f_hi)), ACCURACY).alias(f"q{j}"),
-        ]
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")
-    rows = df.groupBy(group).agg(*exprs).collect()  # at most SKETCH_GROUPS rows
-    for j, c in enumerate(names):
-        distinct[c] = sum(int(r[f"d{j}"]) for r in rows)
-        qs = [r[f"q{j}"] for r in rows if r[f"q{j}"]]
-        proposal[c] = (min(q[0] for q in qs), max(q[1] for q in qs)) if qs else None
-
-
-def _narrow(df, x, windows: dict[str, _Window], proposal, open_) -> None:
-    """Exact counts below and up to the proposed bounds; keep a side only if it holds the middle."""
-    names = list(windows)
-    exprs = []
-    for j, c in enumerate(names):
-        q1, q2 = proposal[c]
-        inside = _inside(x[c], windows[c])
-        exprs += [
-            F.count_if(inside & (x[c] < F.lit(q1))).alias(f"lt{j}"),
-            F.count_if(inside & (x[c] <= F.lit(q2))).alias(f"le{j}"),
-        ]
-    row = df.agg(*exprs).first()
-    for j, c in enumerate(names):
-        w = windows[c]
-        q1, q2 = proposal[c]
-        lt, le = int(row[f"lt{j}"]), int(row[f"le{j}"])
-        k_lo, k_hi = w.targets
-        lo, below = w.lo, w.below
-        if k_lo >= w.below + lt:  # the lower middle rank lies at or above q1
-            lo, below = q1, w.below + lt
-        hi, top = w.hi, w.below + w.size
-        if k_hi < w.below + le:  # the upper middle rank lies at or below q2
-            hi, top = q2, w.below + le
-        open_[c] = _Window(n=w.n, lo=lo, hi=hi, below=below, size=top - below)
+    found = {r["column_name"]: r["median"] for r in median_table(df, cols).collect()}  # one row per column
+    return {c: found.get(c) for c in cols}
 
 
 def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:

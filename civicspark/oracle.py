@@ -2,7 +2,9 @@
 
 Each statement starts from the driver tables, rebuilds ``requests_raw`` and
 the stage it needs with plain SQL, and selects the same columns (same names
-and types) as the Spark query of the same name. Ties at a LIMIT are broken
+and types) as the Spark query of the same name. Reports are computed from the
+clean table on its own columns, and the fact is compared by what its keys lead
+back to, so a wrong surrogate key shows. Ties at a LIMIT are broken
 by name in both, and rounding uses ``ROUND(x, 2)``, whose binary half-away
 rounding the Spark side reproduces.
 """
@@ -23,6 +25,7 @@ PAGE = (2000, 1000)  # offset, page size
 TOTAL_LIMIT = 5000
 PAGED_LIMIT = 2500  # pages of PAGE[1] rows: two full pages and a shrunk last one
 BATCH_RANGE = ("1995-01-01", "2001-12-31")
+NAN_THRESHOLDS = {"latitude": 0.01, "longitude": 0.01}
 
 _TS_RE = r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?"
 _NUM_RE = r"\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*"
@@ -69,13 +72,16 @@ _cte("first_line", [], "SELECT l_orderkey, min(l_shipdate) AS ship, min(l_partke
 _cte("raw_once", ["first_line"], """
     SELECT o.o_orderkey AS k,
       CASE WHEN o.o_orderkey % 997 = 0 THEN NULL ELSE CAST(o.o_orderkey AS VARCHAR) END AS unique_key,
-      CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE p.p_type END AS complaint_type,
+      CASE WHEN o.o_orderkey % 41 <> 0
+        THEN concat_ws(' ', p.p_type, CAST(CAST(floor(sqrt(p.p_size)) AS INTEGER) AS VARCHAR)) END AS complaint_type,
       CASE r.r_name WHEN 'AFRICA' THEN 'bx' WHEN 'AMERICA' THEN 'Kings' WHEN 'ASIA' THEN 'MN'
         WHEN 'EUROPE' THEN 'QUEENS' ELSE CASE WHEN o.o_orderkey % 2 = 0 THEN 'Richmond' ELSE 'Unspecified' END
       END AS borough,
       CASE WHEN o.o_orderkey % 101 = 0 THEN 'invalid' ELSE strftime(o.o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS created_date,
       strftime(fl.ship, '%Y-%m-%dT%H:%M:%S') AS closed_date,
-      CASE WHEN o.o_orderkey % 53 = 0 THEN '' WHEN o.o_orderkey % 59 = 0 THEN NULL ELSE c.c_mktsegment END AS agency,
+      CASE WHEN o.o_orderkey % 53 = 0 THEN '' WHEN o.o_orderkey % 59 = 0 THEN NULL
+        WHEN o.o_orderkey % 3 = 0 THEN 'DESK ' || lpad(CAST((o.o_orderkey // 3) % 20 AS VARCHAR), 2, '0')
+        ELSE c.c_mktsegment END AS agency,
       CASE WHEN o.o_orderkey % 61 = 0 THEN NULL ELSE p.p_brand END AS descriptor,
       CASE WHEN o.o_orderkey % 37 = 0 THEN NULL ELSE CAST(10000 + n.n_nationkey AS VARCHAR) END AS incident_zip,
       CASE WHEN o.o_orderkey % 71 = 0 THEN '39.9' WHEN o.o_orderkey % 73 = 0 THEN 'n/a'
@@ -124,81 +130,99 @@ def _register_chain(p: str, source: str) -> None:
     _cte(f"{p}s_unknown", [st], f"SELECT * REPLACE ({unknowns}) FROM {st}")
     _cte(f"{p}s_mode", [st], f"SELECT * REPLACE ({mode}) FROM {st}")
     _cte(f"{p}clean", [st], f"SELECT DISTINCT * FROM (SELECT * REPLACE ({medians}, {unknowns}, {mode}) FROM {st})")
-    c = f"{p}clean"
-    # Dimension rows are unique per key (GROUP BY), so a row number over the
-    # key order is the dense rank; NULLS LAST matches the Spark ordering.
-    _cte(f"{p}dim_agency", [c], f"""
-        SELECT row_number() OVER (ORDER BY agency)::BIGINT AS agency_id, agency
-        FROM (SELECT agency FROM {c} WHERE length(agency) > 0 GROUP BY agency)""")
-    _cte(f"{p}dim_complaint", [c], f"""
-        SELECT row_number() OVER (ORDER BY complaint_type, descriptor NULLS LAST)::BIGINT AS complaint_id,
-          complaint_type, descriptor
-        FROM (SELECT complaint_type, descriptor FROM {c} WHERE length(complaint_type) > 0
-              GROUP BY complaint_type, descriptor)""")
-    _cte(f"{p}dim_location", [c], f"""
-        SELECT row_number() OVER (ORDER BY borough NULLS LAST, incident_zip NULLS LAST,
-            latitude NULLS LAST, longitude NULLS LAST)::BIGINT AS location_id,
-          borough, incident_zip, latitude, longitude
-        FROM (SELECT borough, incident_zip, latitude, longitude FROM {c}
-              GROUP BY borough, incident_zip, latitude, longitude)""")
+    _register_star(p, f"{p}clean")
+
+
+# What a fact row finds in each dimension, on the row's own columns: an agency
+# or type that is not empty, a descriptor that is known, a known borough and zip.
+_HAS_AGENCY = "coalesce(agency, '') <> ''"
+_HAS_COMPLAINT = "coalesce(complaint_type, '') <> '' AND descriptor IS NOT NULL"
+_HAS_LOCATION = "borough IS NOT NULL AND incident_zip IS NOT NULL"
+
+
+def _ids(name: str, columns: list[str], table: str, where: str = "true") -> str:
+    """Distinct values numbered in their order, nulls last."""
+    order = ", ".join(f"{c} NULLS LAST" for c in columns)
+    return f"SELECT DISTINCT dense_rank() OVER (ORDER BY {order}) AS {name}, {', '.join(columns)} FROM {table} WHERE {where}"
+
+
+def _register_star(p: str, c: str) -> None:
+    """Dimension CTEs over the table ``c``, and its rows as the fact's keys must lead back to them."""
+    _cte(f"{p}dim_agency", [c], _ids("agency_id", ["agency"], c, _HAS_AGENCY))
+    _cte(f"{p}dim_complaint", [c], _ids("complaint_id", ["complaint_type", "descriptor"], c, "coalesce(complaint_type, '') <> ''"))
+    _cte(f"{p}dim_location", [c], _ids("location_id", ["borough", "incident_zip", "latitude", "longitude"], c))
     _cte(f"{p}dim_date", [c], f"""
-        SELECT created_date::DATE AS date, year(created_date)::BIGINT AS year, month(created_date)::BIGINT AS month,
-          day(created_date)::BIGINT AS day, dayofweek(created_date)::BIGINT AS day_of_week
-        FROM {c} WHERE created_date IS NOT NULL
-        GROUP BY ALL""")
-    _cte(f"{p}fact", [c, f"{p}dim_agency", f"{p}dim_complaint", f"{p}dim_location"], f"""
-        SELECT r.unique_key, r.created_date, r.closed_date, r.response_time_hours,
-          da.agency_id, dc.complaint_id, dl.location_id
-        FROM {c} r
-        LEFT JOIN {p}dim_agency da ON da.agency = r.agency
-        LEFT JOIN {p}dim_complaint dc
-          ON dc.complaint_type = r.complaint_type AND dc.descriptor = r.descriptor
-        LEFT JOIN {p}dim_location dl
-          ON dl.borough = r.borough AND dl.incident_zip = r.incident_zip
-          AND dl.latitude IS NOT DISTINCT FROM r.latitude AND dl.longitude IS NOT DISTINCT FROM r.longitude""")
+        SELECT DISTINCT CAST(created_date AS DATE) AS date, year(created_date) AS year, month(created_date) AS month,
+          day(created_date) AS day, dayofweek(created_date) AS day_of_week
+        FROM {c} WHERE created_date IS NOT NULL""")
+    _cte(f"{p}fact", [c], f"""
+        SELECT unique_key, created_date, closed_date, response_time_hours,
+          CASE WHEN {_HAS_AGENCY} THEN agency END AS agency,
+          CASE WHEN {_HAS_COMPLAINT} THEN complaint_type END AS complaint_type,
+          CASE WHEN {_HAS_COMPLAINT} THEN descriptor END AS descriptor,
+          CASE WHEN {_HAS_LOCATION} THEN borough END AS borough,
+          CASE WHEN {_HAS_LOCATION} THEN incident_zip END AS incident_zip,
+          CASE WHEN {_HAS_LOCATION} THEN latitude END AS latitude,
+          CASE WHEN {_HAS_LOCATION} THEN longitude END AS longitude
+        FROM {c}""")
 
 
 def _reports(p: str) -> dict[str, str]:
-    fact, loc, comp, agency = f"{p}fact", f"{p}dim_location", f"{p}dim_complaint", f"{p}dim_agency"
-    pct = "round(100.0::DOUBLE * count(*) FILTER (WHERE {} IS NULL) / count(*), 2)"
+    """The six reports from the clean table itself: no keys, no fact, no dimension."""
+    c = f"{p}clean"
+
+    def top(what: str, has: str, k: int) -> str:
+        return f"""
+            SELECT {what}, count(*) AS n_requests FROM {c} WHERE {has}
+            GROUP BY {what} ORDER BY n_requests DESC, {what} LIMIT {k}"""
+
+    def share(condition: str, name: str) -> str:
+        return f"round(100.0 * avg(CASE WHEN {condition} THEN 0.0 ELSE 1.0 END), 2) AS {name}"
+
     return {
         "avg_response_time_by_borough": f"""
-            SELECT dl.borough, round(avg(f.response_time_hours), 2) AS avg_hours, count(*) AS n_requests
-            FROM {fact} f JOIN {loc} dl USING (location_id)
-            WHERE f.response_time_hours >= 0 AND dl.borough IS NOT NULL
-            GROUP BY dl.borough""",
-        "top_20_complaint_types": f"""
-            SELECT dc.complaint_type, count(*) AS n_requests
-            FROM {fact} f JOIN {comp} dc USING (complaint_id)
-            GROUP BY dc.complaint_type
-            ORDER BY n_requests DESC, dc.complaint_type LIMIT 20""",
-        "top_agencies_by_volume": f"""
-            SELECT da.agency, count(*) AS n_requests
-            FROM {fact} f JOIN {agency} da USING (agency_id)
-            GROUP BY da.agency
-            ORDER BY n_requests DESC, da.agency LIMIT 15""",
+            SELECT borough, round(avg(response_time_hours), 2) AS avg_hours, count(*) AS n_requests
+            FROM {c} WHERE response_time_hours >= 0 AND {_HAS_LOCATION} GROUP BY borough""",
+        "top_20_complaint_types": top("complaint_type", _HAS_COMPLAINT, 20),
+        "top_agencies_by_volume": top("agency", _HAS_AGENCY, 15),
         "monthly_volume_trend": f"""
-            SELECT year(created_date)::BIGINT AS year, month(created_date)::BIGINT AS month, count(*) AS n_requests
-            FROM {fact} WHERE created_date IS NOT NULL
-            GROUP BY ALL""",
+            SELECT year(created_date) AS year, month(created_date) AS month, count(*) AS n_requests
+            FROM {c} WHERE created_date IS NOT NULL GROUP BY 1, 2""",
         "slowest_complaints_by_avg_time": f"""
-            SELECT complaint_type, round(mean_hours, 2) AS avg_hours, n_requests
-            FROM (SELECT dc.complaint_type, avg(f.response_time_hours) AS mean_hours, count(*) AS n_requests
-                  FROM {fact} f JOIN {comp} dc USING (complaint_id)
-                  WHERE f.response_time_hours >= 0
-                  GROUP BY dc.complaint_type)
-            WHERE n_requests >= 100
+            SELECT complaint_type, round(avg(response_time_hours), 2) AS avg_hours, count(*) AS n_requests
+            FROM {c} WHERE response_time_hours >= 0 AND {_HAS_COMPLAINT}
+            GROUP BY complaint_type HAVING count(*) >= 100
             ORDER BY avg_hours DESC, complaint_type LIMIT 20""",
         "data_quality_null_rates": f"""
-            SELECT {pct.format("created_date")} AS pct_created_null,
-              {pct.format("complaint_id")} AS pct_complaint_fk_null,
-              {pct.format("agency_id")} AS pct_agency_fk_null,
-              {pct.format("location_id")} AS pct_location_fk_null
-            FROM {fact}""",
+            SELECT {share("created_date IS NOT NULL", "pct_created_null")},
+              {share(_HAS_COMPLAINT, "pct_complaint_fk_null")},
+              {share(_HAS_AGENCY, "pct_agency_fk_null")},
+              {share(_HAS_LOCATION, "pct_location_fk_null")}
+            FROM {c}""",
     }
 
 
+def _report_lines(p: str) -> str:
+    """All six reports in one table: what a line is about, its number of requests and its figure."""
+    r = _reports(p)
+
+    def line(name: str, label: str, n: str, value: str) -> str:
+        return f"SELECT '{name}' AS report, {label} AS label, CAST({n} AS BIGINT) AS n_requests, CAST({value} AS DOUBLE) AS value FROM ({r[name]})"
+
+    parts = [
+        line("avg_response_time_by_borough", "borough", "n_requests", "avg_hours"),
+        line("top_20_complaint_types", "complaint_type", "n_requests", "NULL"),
+        line("top_agencies_by_volume", "agency", "n_requests", "NULL"),
+        line("monthly_volume_trend", "year || '-' || month", "n_requests", "NULL"),
+        line("slowest_complaints_by_avg_time", "complaint_type", "n_requests", "avg_hours"),
+    ]
+    pcts = ["pct_created_null", "pct_complaint_fk_null", "pct_agency_fk_null", "pct_location_fk_null"]
+    parts += [line("data_quality_null_rates", f"'{c}'", "NULL", c) for c in pcts]
+    return " UNION ALL ".join(parts)
+
+
 _register_chain("", "requests_raw")
+_register_star("u_", "stage")
 _cte("b_raw", ["requests_raw"], f"""
     SELECT * FROM requests_raw WHERE {_ts('created_date')} >= TIMESTAMP '{BATCH_RANGE[0]} 00:00:00'
       AND {_ts('created_date')} <= TIMESTAMP '{BATCH_RANGE[1]} 23:59:59'""")
@@ -233,6 +257,15 @@ def _check_row(seq: int, name: str, subject: str | None, observed: str, threshol
     )
 
 
+def _null_rates(table: str, thresholds: dict[str, float], missing: str = "{} IS NULL") -> str:
+    parts = []
+    for col, limit in thresholds.items():
+        rate = f"(count(*) FILTER (WHERE {missing.format(col)}))::DOUBLE / nullif(count(*), 0)"
+        passed = f"coalesce(NOT ({rate} > {float(limit)!r}), true)"
+        parts.append(_check_row(4, "null_rate", col, rate, limit, passed) + f" FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
 def _checks(table: str) -> dict[str, str]:
     rows_count = _check_row(1, "row_count", None, "count(*)", 1, "count(*) >= 1") + f" FROM {table}"
     req_values = ", ".join(f"({i}, '{c}')" for i, c in enumerate(REQUIRED_COLUMNS))
@@ -248,14 +281,7 @@ def _checks(table: str) -> dict[str, str]:
         + " FROM (SELECT coalesce(sum(cnt - 1), 0) AS d FROM "
         f"(SELECT unique_key, count(*) AS cnt FROM {table} GROUP BY unique_key))"
     )
-    null_parts = []
-    for col, limit in NULL_THRESHOLDS.items():
-        rate = f"(count(*) FILTER (WHERE {col} IS NULL))::DOUBLE / nullif(count(*), 0)"
-        null_parts.append(
-            _check_row(4, "null_rate", col, rate, limit, f"coalesce(NOT ({rate} > {float(limit)!r}), true)")
-            + f" FROM {table}"
-        )
-    nulls = " UNION ALL ".join(null_parts)
+    nulls = _null_rates(table, NULL_THRESHOLDS)
     dates = (
         _check_row(5, "date_logic", "closed_date", "bad", 0.0, "bad = 0")
         + f" FROM (SELECT count(*) FILTER (WHERE closed_date < created_date) AS bad FROM {table})"
@@ -318,20 +344,33 @@ def oracle_sql() -> dict[str, str]:
         "SELECT coalesce(sum(cnt - 1), 0)::BIGINT AS n_duplicates FROM "
         "(SELECT unique_key, count(*) AS cnt FROM requests_raw GROUP BY unique_key)",
     )
-    for dim in ["dim_agency", "dim_complaint", "dim_location", "dim_date"]:
+    q["median_two_peaks"] = (
+        "WITH peaks AS (SELECT CASE WHEN o_orderkey % 20 < 10 THEN 0.0::DOUBLE WHEN o_orderkey % 20 < 19 THEN 10.0::DOUBLE "
+        "ELSE (o_orderkey % 997)::DOUBLE / 100 END AS x FROM orders) "
+        f"SELECT 'x' AS column_name, {_median('x', 'peaks')} AS median"
+    )
+    dims = ["dim_agency", "dim_complaint", "dim_location", "dim_date"]
+    for dim in dims:
         q[dim] = _q([dim], f"SELECT * FROM {dim}")
     q["fact_requests"] = _q(["fact"], "SELECT * FROM fact")
-    star = [("dim_agency", "dim_agency"), ("dim_complaint", "dim_complaint"), ("dim_location", "dim_location"),
-            ("dim_date", "dim_date"), ("fact_311_requests", "fact")]
+    q["fact_unimputed"] = _q(["u_fact"], "SELECT * FROM u_fact")
+    star = [*((d, d) for d in dims), ("fact_311_requests", "fact")]
     q["star_row_counts"] = _q(
-        ["fact", "dim_date"],
-        " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {src}" for t, src in star),
+        [*dims, "fact"], " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {src}" for t, src in star)
     )
     for name, body in _reports("").items():
-        q[name] = _q(["fact"], body)
-    q["reports_csv"] = q["avg_response_time_by_borough"]
+        q[name] = _q(["clean"], body)
+    q["reports_csv"] = _q(["clean"], _report_lines(""))
     for name, body in _checks("clean").items():
         q[name] = _q(["clean"], body)
+    q["quality_report_untreated"] = _q(["s_dates"], _checks("s_dates")["quality_report"])
+    q["null_rates_nan"] = _q(["requests_raw"], _null_rates("requests_raw", NAN_THRESHOLDS, "TRY_CAST({} AS DOUBLE) IS NULL"))
+    allowed = ", ".join(f"'{b}'" for b in sorted(VALID_BOROUGHS))
+    q["unexpected_boroughs"] = _q(
+        ["requests_raw"], f"SELECT borough, count(*) AS n_rows FROM requests_raw WHERE borough NOT IN ({allowed}) GROUP BY borough"
+    )
+    q["parse_dates_layouts"] = q["parse_dates"]
+    q["clean_nan_source"] = q["clean_requests"]
 
     lo, hi = DATE_RANGE
     q["date_range_filter"] = _q(
@@ -348,12 +387,26 @@ def oracle_sql() -> dict[str, str]:
     q["round_trip_csv"] = _q(
         ["requests_raw"], "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS) + " FROM requests_raw"
     )
-    for name in ["hive_scan", "round_trip_parquet", "round_trip_table"]:
+    q["csv_reordered_header"] = q["round_trip_csv"]
+    cols = [f"nullif({c}, '') AS {c}" if c != "descriptor" else "descriptor || chr(10) || 'second line' AS descriptor" for c in RAW_COLUMNS]
+    q["csv_multiline"] = _q(["requests_raw"], f"SELECT {', '.join(cols)} FROM requests_raw")
+    for name in ["hive_scan", "nested_scan", "round_trip_parquet", "round_trip_table"]:
         q[name] = _q(["clean"], "SELECT * FROM clean")
 
-    # End-to-end batch over the whole date span of the source.
-    parts = ["SELECT 'raw' AS stage, count(*) AS n_rows FROM b_raw", "SELECT 'clean', count(*) FROM b_clean"]
-    parts += [f"SELECT '{t}', count(*) FROM b_{src}" for t, src in star]
-    parts += [f"SELECT 'report:{name}', count(*) FROM ({body})" for name, body in _reports("b_").items()]
-    q["batch_summary"] = _q(["b_fact", "b_dim_date"], " UNION ALL ".join(parts))
+    # End-to-end batch. Its range leaves out rows without a parseable creation
+    # time, which the null-rate check (V4) would stop the job for.
+    totals = [
+        ("raw", "b_raw", "sum(length(unique_key))"),
+        ("clean", "b_clean", "round(sum(latitude + longitude), 3)"),
+        ("dim_agency", "b_dim_agency", "sum(agency_id * length(agency))"),
+        ("dim_complaint", "b_dim_complaint", "sum(complaint_id * length(complaint_type))"),
+        ("dim_location", "b_dim_location", "sum(location_id * length(borough))"),
+        ("dim_date", "b_dim_date", "sum(year * 10000 + month * 100 + day + day_of_week)"),
+        ("fact_311_requests", "b_fact", "sum(coalesce(length(agency), 0) + coalesce(length(complaint_type), 0) + coalesce(length(borough), 0))"),
+    ]
+    parts = [f"SELECT '{name}' AS stage, count(*) AS n_rows, CAST({total} AS DOUBLE) AS total FROM {src}" for name, src, total in totals]
+    parts += [
+        f"SELECT 'report:' || report, count(*), CAST(round(sum(coalesce(n_requests, 0) + coalesce(value, 0)), 2) AS DOUBLE) FROM ({_report_lines('b_')}) GROUP BY report"
+    ]
+    q["batch_summary"] = _q([src for _, src, _ in totals], " UNION ALL ".join(parts))
     return q

@@ -18,8 +18,8 @@ from civicspark.plans.clean import clean_requests
 from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS
-from civicspark.session import materialize, scratch_scope
-from civicspark.sinks.files import save_parquet, save_raw, save_table
+from civicspark.session import scratch_scope
+from civicspark.sinks.files import publish, register_table, save_parquet, save_raw
 from civicspark.sources.paging import check_batch_size, created_between, take_newest
 
 log = logging.getLogger(__name__)
@@ -50,7 +50,7 @@ def run_batch(spark: SparkSession, source: DataFrame, settings: BatchSettings) -
     """Run every stage; return ``(stage, n_rows)`` for the raw, clean, star and report tables.
 
     Intermediate tables (the typed stage, which is as large as the raw input,
-    ranking and hot-key tables, the clean staging copy) live in one scratch
+    ranking and hot-key tables) live in one scratch
     folder that is removed when the run ends, successfully or not. The result
     reads only the job's outputs.
     """
@@ -67,18 +67,19 @@ def _run(spark: SparkSession, source: DataFrame, settings: BatchSettings) -> Dat
     if raw.limit(1).count() == 0:
         raise EmptySourceError("No data fetched - aborting")
 
-    # The clean table is computed once (its de-duplication is the largest
-    # shuffle of the job) and written to the scratch folder; the checks and the
-    # load both read those files.
+    # The clean table is written once, next to its final place, checked there,
+    # and then moved; the catalog table lies over the same files. So the job
+    # writes its input three times: raw, typed stage, clean.
     clean = clean_requests(raw, settings.required_columns, settings.drop_duplicates)
+    clean_dir, unchecked = settings.path("clean"), settings.path("clean.unchecked")
     if clean.columns:  # (a table without columns cannot be written; the checks reject it anyway)
-        clean = materialize(clean, "batch-clean")
+        save_parquet(clean, unchecked)
+        clean = spark.read.parquet(unchecked)
     validate(clean)  # raises ValidationError before anything is loaded
 
-    clean_dir = settings.path("clean")
-    save_parquet(clean, clean_dir)
+    publish(spark, unchecked, clean_dir)
     clean = spark.read.parquet(clean_dir)
-    save_table(clean, settings.table_name, settings.path(f"tables/{settings.table_name}"))
+    register_table(spark, settings.table_name, clean_dir)
 
     star_dir = settings.path("analytics")
     counts = build_star_schema(spark, clean_dir, star_dir)

@@ -16,8 +16,6 @@ def generate_reports(spark: SparkSession, star_dir: str, reports_dir: str) -> di
     report re-reads only the columns it needs from the star files.
     """
     star = read_star(spark, star_dir)
-    for name, view in star.items():
-        view.createOrReplaceTempView(name)
     reports = all_reports(star)
     for name, df in reports.items():
         write_report_csv(df, f"{reports_dir.rstrip('/')}/{name}.csv")

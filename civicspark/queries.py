@@ -10,14 +10,18 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from civicspark import oracle
+from civicspark.functions.columns import ISO_LAYOUT
 from civicspark.operators import cleaning as K
 from civicspark.operators import quality as V
 from civicspark.operators import reports as R
-from civicspark.operators.stats import duplicate_count, exact_medians, modes
+from civicspark.operators.stats import duplicate_count, exact_medians, median_table, modes
 from civicspark.plans.batch import BatchSettings, run_batch
 from civicspark.plans.clean import Stage, clean_requests, impute, stage_requests
 from civicspark.plans.reports import generate_reports
@@ -25,7 +29,7 @@ from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS, RAW_SCHEMA
 from civicspark.session import scratch_path
 from civicspark.sinks.files import save_parquet, save_raw, save_table, star_row_counts
-from civicspark.sources import paging
+from civicspark.sources import fixture, paging
 from civicspark.sources.files import load_file, read_dataset, read_pages, read_star
 from civicspark.sources.fixture import requests_raw
 
@@ -106,7 +110,7 @@ _typing = [K.parse_dates, K.parse_coordinates, K.standardize_borough, K.repair_d
 
 def _impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _staged(spark, sf_dir)
-    return K.impute_median(st.df, exact_medians(st.df, K.imputation_plan(st.df)["median"], st.profile.probes))
+    return K.impute_median(st.df, exact_medians(st.df, K.imputation_plan(st.df)["median"]))
 
 
 def _impute_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,9 +124,7 @@ def _impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = ["latitude", "longitude", "response_time_hours"]
-    med = exact_medians(_stage(spark, sf_dir), cols)
-    return spark.createDataFrame([(c, med[c]) for c in cols], "column_name string, median double")
+    return median_table(_stage(spark, sf_dir), ["latitude", "longitude", "response_time_hours"])
 
 
 def _column_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,16 +169,34 @@ def _hive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, path)
 
 
+def _nested_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files at the root, in a plain folder and below hive folders, beside files of another kind."""
+    path, clean = scratch_path(spark, "nested"), _clean(spark, sf_dir)
+    b = F.col("borough")
+    clean.where(b == "BRONX").write.parquet(path)
+    clean.where(b == "QUEENS").write.parquet(f"{path}/older/second")
+    clean.where(~b.isin("BRONX", "QUEENS")).write.mode("append").partitionBy("borough").parquet(path)
+    clean.select(b).distinct().write.text(f"{path}/notes")
+    return read_dataset(spark, path)
+
+
 def _round_trip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "rt") + ".parquet"
     save_parquet(_clean(spark, sf_dir), path)
     return load_file(spark, path)
 
 
-def _round_trip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "rt") + ".csv"
-    save_raw(_raw(spark, sf_dir), path)
-    return load_file(spark, path, RAW_SCHEMA)
+def _csv_round_trip(source: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "rt") + ".csv"
+        save_raw(source(spark, sf_dir), path)
+        return load_file(spark, path, RAW_SCHEMA, multi_line=True)
+
+    return run
+
+
+def _two_line_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir).withColumn("descriptor", F.concat("descriptor", F.lit("\nsecond line")))
 
 
 def _round_trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,18 +206,100 @@ def _round_trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _report_lines(spark: SparkSession, reports_dir: str, schemas: dict[str, StructType]) -> DataFrame:
+    """The report CSVs of a folder in one table: ``report, label, n_requests, value``."""
+    none = F.lit(None)
+
+    def lines(name: str, label: Column, n: Column, value: Column) -> DataFrame:
+        csv = load_file(spark, f"{reports_dir}/{name}.csv", schemas[name], multi_line=True)
+        return csv.select(F.lit(name).alias("report"), label.alias("label"), n.cast("bigint").alias("n_requests"), value.cast("double").alias("value"))
+
+    n, hours = F.col("n_requests"), F.col("avg_hours")
+    parts = [
+        lines("avg_response_time_by_borough", F.col("borough"), n, hours),
+        lines("top_20_complaint_types", F.col("complaint_type"), n, none),
+        lines("top_agencies_by_volume", F.col("agency"), n, none),
+        lines("monthly_volume_trend", F.concat_ws("-", "year", "month"), n, none),
+        lines("slowest_complaints_by_avg_time", F.col("complaint_type"), n, hours),
+    ]
+    rates = schemas["data_quality_null_rates"].names
+    parts += [lines("data_quality_null_rates", F.lit(c), none, F.col(c)) for c in rates]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = BatchSettings(out_dir=scratch_path(spark, "batch"), start_date=oracle.BATCH_RANGE[0],
-                             end_date=oracle.BATCH_RANGE[1])
-    return run_batch(spark, _raw(spark, sf_dir), settings)
+    """Rows and a total over the values of every table that the batch job leaves behind."""
+    out = scratch_path(spark, "batch")
+    settings = BatchSettings(out_dir=out, start_date=oracle.BATCH_RANGE[0], end_date=oracle.BATCH_RANGE[1])
+    counts = run_batch(spark, _raw(spark, sf_dir), settings)
+    star = read_star(spark, f"{out}/analytics")
+    fact = _fact_attributes(star)
+
+    def total(stage: str, df: DataFrame, value: Column) -> DataFrame:
+        return df.agg(value.cast("double").alias("total")).select(F.lit(stage).alias("stage"), "total")
+
+    def length(c: str) -> Column:
+        return F.coalesce(F.length(c), F.lit(0))
+
+    parts = [
+        total("raw", spark.read.parquet(f"{out}/raw/requests_raw.parquet"), F.sum(F.length("unique_key"))),
+        total("clean", spark.read.parquet(f"{out}/clean"), F.round(F.sum(F.col("latitude") + F.col("longitude")), 3)),
+        total("dim_agency", star["dim_agency"], F.sum(F.col("agency_id") * F.length("agency"))),
+        total("dim_complaint", star["dim_complaint"], F.sum(F.col("complaint_id") * F.length("complaint_type"))),
+        total("dim_location", star["dim_location"], F.sum(F.col("location_id") * F.length("borough"))),
+        total("dim_date", star["dim_date"], F.sum(F.expr("year * 10000 + month * 100 + day + day_of_week"))),
+        total("fact_311_requests", fact, F.sum(length("agency") + length("complaint_type") + length("borough"))),
+    ]
+    schemas = {name: df.schema for name, df in R.all_reports(star).items()}
+    lines = _report_lines(spark, f"{out}/reports", schemas).groupBy("report").agg(
+        F.round(F.sum(F.coalesce("n_requests", F.lit(0)) + F.coalesce("value", F.lit(0.0))), 2).alias("total"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    reports = lines.select(F.concat(F.lit("report:"), "report").alias("stage"), F.col("n").alias("n_rows"), "total")
+    tables = counts.where(~F.col("stage").startswith("report:")).join(reduce(DataFrame.unionByName, parts), "stage")
+    return tables.unionByName(reports)
 
 
 def _reports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report job writes every report as CSV; one is read back with its schema."""
+    """The report job writes every report as CSV; all are read back."""
     out = scratch_path(spark, "reports")
     reports = generate_reports(spark, _star_dir(spark, sf_dir), out)
-    name = "avg_response_time_by_borough"
-    return load_file(spark, f"{out}/{name}.csv", reports[name].schema)
+    return _report_lines(spark, out, {name: df.schema for name, df in reports.items()})
+
+
+def _fact_attributes(star: dict[str, DataFrame]) -> DataFrame:
+    """The fact with what its keys stand for in place of the keys."""
+    fact = star["fact_311_requests"]
+    for name, key in (("dim_agency", "agency_id"), ("dim_complaint", "complaint_id"), ("dim_location", "location_id")):
+        fact = fact.join(star[name], key, "left").drop(key)
+    return fact
+
+
+def _fact_unimputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star over rows that still miss descriptors, zips and coordinates."""
+
+    def build() -> str:
+        path, star = scratch_path(spark, "unimputed"), scratch_path(spark, "unimputed-star")
+        save_parquet(_stage(spark, sf_dir), path)
+        build_star_schema(spark, path, star)
+        return star
+
+    return _fact_attributes(read_star(spark, _memo(spark, sf_dir, "unimputed-star", build)))
+
+
+def _null_rates_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.check_null_rates(fixture.requests_nan(spark, sf_dir), oracle.NAN_THRESHOLDS)
+
+
+def _clean_nan_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "nan") + ".parquet"
+    save_raw(fixture.requests_nan(spark, sf_dir), path)
+    return clean_requests(load_file(spark, path), RAW_COLUMNS)
+
+
+def _parse_dates_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layouts = (ISO_LAYOUT, fixture.US_LAYOUT, fixture.ZULU_LAYOUT)
+    return K.parse_dates(fixture.requests_two_layouts(spark, sf_dir), layouts)
 
 
 def _report(name: str) -> Query:
@@ -211,9 +313,9 @@ def _check(fn: Callable[[DataFrame], DataFrame]) -> Query:
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "requests_raw": _raw,
-        "select_required": _selected,
-        "drop_empty_columns": _step(K.drop_empty_columns),
-        "rename_columns": _step(K.drop_empty_columns, K.normalize_column_names),
+        "select_required": lambda s, d: K.select_required(fixture.requests_wide(s, d), RAW_COLUMNS),
+        "drop_empty_columns": lambda s, d: K.drop_empty_columns(fixture.requests_wide(s, d).drop("note")),
+        "rename_columns": lambda s, d: K.normalize_column_names(fixture.requests_odd_names(s, d)),
         "parse_dates": _step(*_typing[:1]),
         "parse_coordinates": _step(*_typing[:2]),
         "standardize_borough": _step(*_typing[:3]),
@@ -225,14 +327,18 @@ def queries() -> dict[str, Query]:
         "impute_mode": _impute_mode,
         "dedup_rows": lambda s, d: K.dedup_rows(impute(_staged(s, d).df, _staged(s, d).profile)),
         "clean_requests": lambda s, d: clean_requests(_raw(s, d), RAW_COLUMNS),
+        "clean_nan_source": _clean_nan_source,
+        "parse_dates_layouts": _parse_dates_layouts,
         "column_medians": _column_medians,
+        "median_two_peaks": lambda s, d: median_table(fixture.two_peaks(s, d), ["x"]),
         "column_modes": _column_modes,
         "raw_key_duplicates": lambda s, d: duplicate_count(_raw(s, d), "unique_key"),
         "dim_agency": lambda s, d: _stars(s, d)["dim_agency"],
         "dim_complaint": lambda s, d: _stars(s, d)["dim_complaint"],
         "dim_location": lambda s, d: _stars(s, d)["dim_location"],
         "dim_date": lambda s, d: _stars(s, d)["dim_date"],
-        "fact_requests": lambda s, d: _stars(s, d)["fact_311_requests"],
+        "fact_requests": lambda s, d: _fact_attributes(_stars(s, d)),
+        "fact_unimputed": _fact_unimputed,
         "star_row_counts": lambda s, d: star_row_counts(s, _star_dir(s, d)),
     }
     for name in R.REPORT_NAMES:
@@ -246,14 +352,20 @@ def queries() -> dict[str, Query]:
             "check_date_logic": _check(V.check_date_logic),
             "check_borough_values": _check(V.check_borough_values),
             "quality_report": _check(V.quality_report),
+            "quality_report_untreated": lambda s, d: V.quality_report(K.parse_dates(_raw(s, d))),
+            "null_rates_nan": _null_rates_nan,
+            "unexpected_boroughs": lambda s, d: V.unexpected_boroughs(_raw(s, d)),
             "date_range_filter": _date_range,
             "page_slice": _page_slice,
             "total_limit": _total_limit,
             "paged_read": _paged_read,
             "read_pages": _read_pages,
             "hive_scan": _hive_scan,
+            "nested_scan": _nested_scan,
             "round_trip_parquet": _round_trip_parquet,
-            "round_trip_csv": _round_trip_csv,
+            "round_trip_csv": _csv_round_trip(_raw),
+            "csv_reordered_header": _csv_round_trip(lambda s, d: _raw(s, d).select(*reversed(RAW_COLUMNS))),
+            "csv_multiline": _csv_round_trip(_two_line_descriptors),
             "round_trip_table": _round_trip_table,
             "reports_csv": _reports_csv,
             "batch_summary": _batch_summary,

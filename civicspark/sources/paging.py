@@ -2,8 +2,10 @@
 
 The page transport of a remote API is not rebuilt; what the pages compute is:
 a date-range predicate, newest-first order, page slices and a total limit.
-Slices and the total limit are top-k plans (``TakeOrderedAndProject``): every
-task keeps its own best rows, so no task sorts the whole source.
+Slices and limits filter on each row's place in the newest-first order, which
+one range-partitioned pass assigns (:func:`newest_positions`), so no task holds
+more than its share of the rows, whatever the offset or limit, and all pages
+come from that one pass.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicspark.functions.columns import parse_timestamp
+from civicspark.operators.ranking import numbered
 from civicspark.schema import KEY_COLUMN, MAX_BATCH_SIZE
 
 
@@ -26,10 +29,7 @@ def check_batch_size(batch_size: int) -> int:
 
 
 def _as_timestamp(df: DataFrame, column: str) -> Column:
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        return F.col(column)
-    return parse_timestamp(F.col(column))
+    return parse_timestamp(F.col(column), df.schema[column].dataType)
 
 
 def created_between(
@@ -38,69 +38,80 @@ def created_between(
     """Rows created from ``start_date`` 00:00:00 up to ``end_date`` 23:59:59.
 
     Either bound may be omitted; with a bound, rows without a parseable time
-    drop out. Literal bounds let Parquet sources push the filter down.
+    drop out. A text column is compared as text first: every accepted text
+    starts with the ISO date, so these bounds follow from the parsed ones, and
+    a Parquet source can skip row groups by them.
     """
     ts = _as_timestamp(df, column)
+    is_text = isinstance(df.schema[column].dataType, T.StringType)
     cond = F.lit(True)
     # Bounds are zone-less timestamps built from text: no session or process
     # time zone takes part.
     if start_date:
-        lo = dt.date.fromisoformat(start_date).isoformat() + " 00:00:00"
-        cond = cond & (ts >= F.lit(lo).cast("timestamp_ntz"))
+        first = dt.date.fromisoformat(start_date)
+        cond = cond & (ts >= F.lit(f"{first.isoformat()} 00:00:00").cast("timestamp_ntz"))
+        if is_text:
+            cond = (F.col(column) >= F.lit(first.isoformat())) & cond
     if end_date:
-        hi = dt.date.fromisoformat(end_date).isoformat() + " 23:59:59"
-        cond = cond & (ts <= F.lit(hi).cast("timestamp_ntz"))
+        last = dt.date.fromisoformat(end_date)
+        cond = cond & (ts <= F.lit(f"{last.isoformat()} 23:59:59").cast("timestamp_ntz"))
+        if is_text and last < dt.date.max:
+            cond = (F.col(column) < F.lit((last + dt.timedelta(days=1)).isoformat())) & cond
     return df.where(cond) if (start_date or end_date) else df
 
 
+POSITION = "_position"
+
+
 def newest_first(df: DataFrame, column: str = "created_date") -> list[Column]:
     """Sort order: newest first, then the key, then every other column.
 
     The trailing columns make the order total up to identical rows, so page
     slices never overlap or miss a row at a tie.
     """
-    rest = [c for c in df.columns if c != KEY_COLUMN]
+    rest = [c for c in df.columns if c not in (KEY_COLUMN, column)]
     order = [_as_timestamp(df, column).desc_nulls_last()]
     if KEY_COLUMN in df.columns:
         order.append(F.col(KEY_COLUMN).asc_nulls_last())
-    return order + [F.col(c).asc_nulls_last() for c in rest]
+    return order + [F.col(c).asc_nulls_last() for c in [column, *rest]]
+
+
+def newest_positions(df: DataFrame, column: str = "created_date") -> DataFrame:
+    """``df`` with ``_position`` (1-based) in newest-first order, from one range-partitioned pass."""
+    return numbered(df, newest_first(df, column), POSITION)
+
+
+def _page(placed: DataFrame, first: int, last: int) -> DataFrame:
+    """Positions first+1 .. last, sorted."""
+    return placed.where((F.col(POSITION) > first) & (F.col(POSITION) <= last)).orderBy(POSITION).drop(POSITION)
 
 
 def page_slice(df: DataFrame, offset: int, limit: int, column: str = "created_date") -> DataFrame:
-    """Rows offset+1 .. offset+limit in newest-first order (S3)."""
+    """Rows offset+1 .. offset+limit in newest-first order (S3), at most a page, sorted."""
     check_batch_size(limit)
-    return df.orderBy(*newest_first(df, column)).offset(offset).limit(limit)
+    return _page(newest_positions(df, column), offset, offset + limit)
 
 
 def take_newest(df: DataFrame, total_limit: int | None, column: str = "created_date") -> DataFrame:
-    """At most ``total_limit`` newest rows; everything when no limit is set."""
+    """At most ``total_limit`` newest rows, in no particular order; everything when no limit is set."""
     if total_limit is None:
         return df
     if total_limit < 0:
         raise ValueError(f"total_limit must be >= 0, got {total_limit}")
-    return df.orderBy(*newest_first(df, column)).limit(total_limit)
+    return newest_positions(df, column).where(F.col(POSITION) <= total_limit).drop(POSITION)
 
 
 def pages(df: DataFrame, batch_size: int, total_limit: int | None = None, column: str = "created_date"):
     """Yield newest-first pages of at most ``batch_size`` rows (S1 + S3 + S4).
 
-    Stops after an empty page, a short page, or once ``total_limit`` rows were
-    yielded (the last page shrinks to fit). Each page is its own top-k job, so
-    page k costs a top-(k * batch_size); for a bulk read use
-    :func:`take_newest`, which returns the union of these pages in one job.
+    Ends after the last row or once ``total_limit`` rows were yielded (the last
+    page shrinks to fit). The source is read once, for the positions; a page is
+    a filter over them. For a bulk read use :func:`take_newest`, which returns
+    the union of these pages.
     """
     check_batch_size(batch_size)
-    order = newest_first(df, column)
-    offset = 0
-    while True:
-        size = batch_size if total_limit is None else min(batch_size, total_limit - offset)
-        if size <= 0:
-            return
-        page = df.orderBy(*order).offset(offset).limit(size)
-        n = page.count()
-        if n == 0:
-            return
-        yield page
-        offset += n
-        if n < size:
-            return
+    placed = newest_positions(df, column)
+    n = placed.count()
+    end = n if total_limit is None else min(n, total_limit)
+    for offset in range(0, end, batch_size):
+        yield _page(placed, offset, min(offset + batch_size, end))

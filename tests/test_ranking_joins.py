@@ -22,7 +22,7 @@ def _locations(spark, n=3000, seed=3):
 def test_range_ranked_ids_equal_dense_rank(spark):
     df = _locations(spark)
     cols = ["borough", "zip", "lat", "lon"]
-    ours = dense_rank_ids(df, cols, "id", num_partitions=5, single_task_rows=0)
+    ours = dense_rank_ids(df, cols, "id", num_partitions=5)
     ref = df.withColumn("ref", F.dense_rank().over(Window.orderBy(*[F.col(c).asc_nulls_last() for c in cols])))
     joined = ours.join(ref, [ours[c].eqNullSafe(ref[c]) for c in cols])
     assert joined.count() == df.count()
@@ -30,12 +30,12 @@ def test_range_ranked_ids_equal_dense_rank(spark):
     assert ours.columns[0] == "id" and dict(ours.dtypes)["id"] == "bigint"
 
 
-def test_single_task_path_matches_range_path(spark):
+def test_ids_are_dense_whatever_the_partitions(spark):
     df = _locations(spark, n=500, seed=9)
     cols = ["borough", "zip", "lat", "lon"]
-    a = {tuple(r[c] for c in cols): r["id"] for r in dense_rank_ids(df, cols, "id").collect()}
-    b = {tuple(r[c] for c in cols): r["id"] for r in dense_rank_ids(df, cols, "id", single_task_rows=0).collect()}
+    a, b = ({tuple(r[c] for c in cols): r["id"] for r in dense_rank_ids(df, cols, "id", n).collect()} for n in (1, 7))
     assert a == b and sorted(a.values()) == list(range(1, len(a) + 1))
+    assert dense_rank_ids(df.limit(0), cols, "id").count() == 0
 
 
 def _facts(spark):

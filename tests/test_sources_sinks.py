@@ -1,4 +1,4 @@
-"""Sources and sinks (mirrors the reference's loader and ingestion tests)."""
+"""Sources and sinks."""
 
 import os
 
@@ -85,6 +85,65 @@ def test_hive_layout_and_nested_plain_dirs(spark, small, tmp_dir):
     assert read_dataset(spark, q).count() == 6
 
 
+def test_every_layout_below_a_folder_is_read(spark, small, tmp_dir):
+    p = os.path.join(tmp_dir, "mixed")
+    small.write.parquet(p)
+    small.write.parquet(os.path.join(p, "plain", "deep"))
+    small.withColumn("c d", small.a + 10).write.mode("append").partitionBy("b").parquet(p)
+    with open(os.path.join(p, "readme.txt"), "w") as f:
+        f.write("not a table")
+    df = read_dataset(spark, p)
+    assert df.count() == 9 and sorted(df.columns) == ["a", "b", "c d"]
+    assert sorted((r["a"], r["b"]) for r in df.collect()) == sorted([(1, "x"), (2, "y"), (3, "z")] * 3)
+    spaced = os.path.join(tmp_dir, "with space")
+    small.withColumnRenamed("b", "k").replace({"x": "a b", "y": "50%"}).write.partitionBy("k").parquet(spaced)
+    assert sorted(r["k"] for r in read_dataset(spark, spaced).collect()) == ["50%", "a b", "z"]
+
+
+def test_layouts_that_do_not_combine_and_empty_folders_are_errors(spark, small, tmp_dir):
+    p = os.path.join(tmp_dir, "clash")
+    small.write.parquet(p)
+    small.selectExpr("cast(a as string) a", "b").write.mode("append").partitionBy("b").parquet(p)
+    with pytest.raises(ValueError, match="different types"):
+        read_dataset(spark, p)
+    q = os.path.join(tmp_dir, "void")
+    os.makedirs(q)
+    with pytest.raises(FileNotFoundError):
+        read_dataset(spark, q)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_dir):
+    df = spark.createDataFrame([("2024-01-01T00:00:00", "42", "NYPD", "x")], "created_date string, unique_key string, agency string, other string")
+    p = os.path.join(tmp_dir, "swapped.csv")
+    save_raw(df, p)
+    back = load_file(spark, p, RAW_SCHEMA)
+    row = back.first()
+    assert back.columns == RAW_SCHEMA.fieldNames()
+    assert (row["unique_key"], row["created_date"], row["agency"], row["complaint_type"]) == ("42", "2024-01-01T00:00:00", "NYPD", None)
+    save_raw(df.select("agency", "unique_key"), os.path.join(tmp_dir, "other.csv"))
+    part = next(f for f in os.listdir(os.path.join(tmp_dir, "other.csv")) if f.endswith(".csv"))
+    os.link(os.path.join(tmp_dir, "other.csv", part), os.path.join(p, "zz.csv"))
+    with pytest.raises(Exception, match="CSV header|header"):
+        load_file(spark, p, RAW_SCHEMA).collect()
+
+
+def test_csv_line_ends_inside_a_field(spark, tmp_dir):
+    df = spark.createDataFrame([("1", "two\nlines"), ("2", "one")], "unique_key string, descriptor string")
+    p = os.path.join(tmp_dir, "lines.csv")
+    save_raw(df, p)
+    got = {r["unique_key"]: r["descriptor"] for r in load_file(spark, p, df.schema, multi_line=True).collect()}
+    assert got == {"1": "two\nlines", "2": "one"}
+
+
+def test_date_range_reaches_the_scan(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "requests.parquet")
+    _requests(spark).write.parquet(p)
+    plan = paging.created_between(spark.read.parquet(p), "2024-01-03", "2024-01-04")
+    assert sorted(r["unique_key"] for r in plan.collect()) == ["3", "4"]
+    pushed = plan._jdf.queryExecution().executedPlan().toString().split("PushedFilters:")[1]
+    assert "GreaterThanOrEqual(created_date," in pushed and "LessThan(created_date,2024-01-05)" in pushed
+
+
 def _requests(spark):
     rows = [(str(i), f"2024-01-{i:02d}T00:00:00") for i in range(1, 11)]
     return spark.createDataFrame(rows, "unique_key string, created_date string")
@@ -93,8 +152,9 @@ def _requests(spark):
 def test_total_limit_over_pages(spark):
     # a limit of 7 over pages of 5: the 7 newest rows
     df = _requests(spark)
-    keys = [r["unique_key"] for r in paging.take_newest(df, 7).collect()]
-    assert keys == [str(i) for i in range(10, 3, -1)]
+    keys = {r["unique_key"] for r in paging.take_newest(df, 7).collect()}
+    assert keys == {str(i) for i in range(10, 3, -1)}
+    assert "TakeOrdered" not in paging.take_newest(df, 7)._jdf.queryExecution().executedPlan().toString()
     pages = [paging.page_slice(df, off, 5) for off in (0, 5)]
     both = [r["unique_key"] for p in pages for r in p.collect()]
     assert both == [str(i) for i in range(10, 0, -1)]
@@ -134,4 +194,12 @@ def test_pages_stop_at_limit_and_short_pages(spark):
     keys = [r["unique_key"] for p in paging.pages(df, 5, total_limit=7) for r in p.collect()]
     assert keys == [str(i) for i in range(10, 3, -1)]
     assert [p.count() for p in paging.pages(df, 4)] == [4, 4, 2]  # short page ends the read
-    assert [p.count() for p in paging.pages(df, 5)] == [5, 5]  # then an empty page
+    assert [p.count() for p in paging.pages(df, 5)] == [5, 5]
+    assert list(paging.pages(df.limit(0), 5)) == [] and list(paging.pages(df, 5, total_limit=0)) == []
+
+
+def test_repeated_rows_have_places_of_their_own(spark):
+    df = _requests(spark)
+    df = df.unionByName(df).unionByName(df)
+    got = [r["unique_key"] for p in paging.pages(df, 7) for r in p.collect()]
+    assert got == [str(i) for i in range(10, 0, -1) for _ in range(3)]

@@ -1,28 +1,31 @@
-"""Star schema and reports (mirrors the reference's analytics tests, plus values)."""
+"""Star schema and reports over the cleaned fixture."""
 
 import datetime as dt
+import glob
 import os
+from collections import Counter
 
 import pytest
 
 from civicspark.operators.reports import REPORT_NAMES
+from civicspark.plans.clean import clean_requests
 from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
+from civicspark.schema import RAW_COLUMNS
 from civicspark.sources.files import read_star
+from civicspark.sources.fixture import requests_raw
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def clean(spark):
+    return clean_requests(requests_raw(spark, SF_SMALL), RAW_COLUMNS).where("created_date IS NOT NULL")
 
 
 @pytest.fixture
-def clean_dir(spark, tmp_dir):
-    rows = [
-        ("1", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), 24.0, "NYPD", "Noise", "Loud Music", "MANHATTAN", "10001", 40.75, -73.99),
-        ("2", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 4), 48.0, "DSNY", "Graffiti", "Wall", "BROOKLYN", "11201", 40.69, -73.99),
-        ("3", dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 5), 48.0, "HPD", "HEAT/HOT WATER", "No Heat", "BRONX", "10451", 40.84, -73.93),
-    ]
-    schema = ("unique_key string, created_date timestamp_ntz, closed_date timestamp_ntz, response_time_hours double, "
-              "agency string, complaint_type string, descriptor string, borough string, incident_zip string, "
-              "latitude double, longitude double")
+def clean_dir(spark, clean, tmp_dir):
     p = os.path.join(tmp_dir, "clean")
-    spark.createDataFrame(rows, schema).write.parquet(p)
+    clean.write.parquet(p)
     return p
 
 
@@ -33,13 +36,13 @@ def star_dir(spark, clean_dir, tmp_dir):
     return p
 
 
-def test_star_schema_creates_all_files(spark, clean_dir, tmp_dir):
+def test_star_schema_creates_all_files(spark, clean, clean_dir, tmp_dir):
     p = os.path.join(tmp_dir, "analytics")
     counts = build_star_schema(spark, clean_dir, p)
     for name in ["dim_agency", "dim_complaint", "dim_location", "dim_date", "fact_311_requests"]:
         assert os.path.isdir(os.path.join(p, f"{name}.parquet"))
-    assert counts["fact_311_requests"] == 3
-    assert counts["dim_agency"] == 3
+    assert counts["fact_311_requests"] == clean.count()
+    assert counts["dim_agency"] == clean.where("agency <> ''").select("agency").distinct().count()
 
 
 def test_star_schema_raises_on_missing_clean_dir(spark, tmp_dir):
@@ -50,26 +53,29 @@ def test_star_schema_raises_on_missing_clean_dir(spark, tmp_dir):
 def test_keys_are_dense_and_sorted(spark, star_dir):
     star = read_star(spark, star_dir)
     agency = [(r["agency_id"], r["agency"]) for r in star["dim_agency"].orderBy("agency_id").collect()]
-    assert agency == [(1, "DSNY"), (2, "HPD"), (3, "NYPD")]
-    days = {r["date"]: r["day_of_week"] for r in star["dim_date"].collect()}
-    assert days[dt.date(2024, 1, 1)] == 1  # a Monday; Sunday is 0
+    assert [i for i, _ in agency] == list(range(1, len(agency) + 1))
+    assert [a for _, a in agency] == sorted(a for _, a in agency)
+    for r in star["dim_date"].collect():
+        assert r["day_of_week"] == r["date"].isoweekday() % 7  # Sunday is 0
 
 
-def test_generate_reports_creates_csvs_and_returns_frames(spark, star_dir, tmp_dir):
+def test_generate_reports_creates_csvs_and_returns_frames(spark, clean, star_dir, tmp_dir):
     p = os.path.join(tmp_dir, "reports")
     results = generate_reports(spark, star_dir, p)
+    assert sorted(results) == sorted(REPORT_NAMES)
     for name in REPORT_NAMES:
         assert os.path.isdir(os.path.join(p, f"{name}.csv"))
-        assert name in results
-    borough = {r["borough"]: (r["avg_hours"], r["n_requests"]) for r in results["avg_response_time_by_borough"].collect()}
-    assert borough == {"MANHATTAN": (24.0, 1), "BROOKLYN": (48.0, 1), "BRONX": (48.0, 1)}
-    nulls = results["data_quality_null_rates"].first().asDict()
-    assert nulls == {"pct_created_null": 0.0, "pct_complaint_fk_null": 0.0, "pct_agency_fk_null": 0.0,
-                     "pct_location_fk_null": 0.0}
-    months = [(r["year"], r["month"], r["n_requests"]) for r in results["monthly_volume_trend"].collect()]
-    assert months == [(2024, 1, 3)]
-    # fewer than 100 requests per type: the slowest-types report is empty
-    assert results["slowest_complaints_by_avg_time"].count() == 0
+    rows = clean.collect()
+    months = Counter((r["created_date"].year, r["created_date"].month) for r in rows)
+    got = [(r["year"], r["month"], r["n_requests"]) for r in results["monthly_volume_trend"].collect()]
+    assert got == [(*k, n) for k, n in sorted(months.items())]
+    desks = Counter(r["agency"] for r in rows if r["agency"])
+    top = sorted(desks.items(), key=lambda x: (-x[1], x[0]))
+    assert len(top) > 15 and top[14][1] == top[15][1]  # the cut is a tie
+    assert [(r["agency"], r["n_requests"]) for r in results["top_agencies_by_volume"].collect()] == top[:15]
+    # The CSV keeps the report's order.
+    with open(glob.glob(os.path.join(p, "top_agencies_by_volume.csv", "part-*"))[0]) as f:
+        assert [line.split(",")[0] for line in f.read().splitlines()[1:]] == [a for a, _ in top[:15]]
 
 
 def test_generate_reports_raises_on_missing_analytics(spark, tmp_dir):

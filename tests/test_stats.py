@@ -2,7 +2,6 @@
 
 import random
 
-import numpy as np
 import pytest
 
 from civicspark.operators import stats as S
@@ -12,40 +11,48 @@ def _frame(spark, values):
     return spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
 
 
+def _median(values):
+    s = sorted(values)
+    return (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 100, 1001])
-def test_exact_median_histogram_path(spark, n):
+def test_exact_median(spark, n):
     rnd = random.Random(n)
     vals = [rnd.choice([None, round(rnd.uniform(-5, 5), 3)]) for _ in range(n)]
-    got = S.exact_medians(_frame(spark, vals), ["x"])["x"]
     present = [v for v in vals if v is not None]
-    if not present:
-        assert got is None
-    else:
-        s = sorted(present)
-        expected = (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
-        assert got == expected
+    assert S.exact_medians(_frame(spark, vals), ["x"])["x"] == (_median(present) if present else None)
 
 
-def test_exact_median_narrowing_path(spark, monkeypatch):
-    # Force the window search: histograms only for tiny windows.
-    monkeypatch.setattr(S, "HISTOGRAM_ROWS", 50)
+def test_exact_median_of_several_columns_in_one_search(spark):
     rnd = random.Random(7)
-    vals = [rnd.gauss(0, 1) for _ in range(20_000)] + [3.0] * 7000  # a hot value
-    got = S.exact_medians(_frame(spark, vals), ["x"])["x"]
-    s = sorted(vals)
-    assert got == (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
+    rows = [(rnd.gauss(0, 1), rnd.choice([3.0, 4.0]), None) for _ in range(5001)]
+    df = spark.createDataFrame(rows, "x double, y double, z double").repartition(5)
+    got = S.exact_medians(df, ["x", "y", "z"])
+    assert got == {"x": _median([r[0] for r in rows]), "y": _median([r[1] for r in rows]), "z": None}
+
+
+def test_exact_median_ends_between_two_peaks(spark):
+    vals = [0.0] * 6000 + [10.0] * 6000 + [1 + i / 100 for i in range(51)]  # mass on both ends, the median between
+    assert S.exact_medians(_frame(spark, vals), ["x"])["x"] == _median(vals)
 
 
 def test_exact_median_even_count_is_mean_of_middle_two(spark):
     assert S.exact_medians(_frame(spark, [1.0, 2.0, 4.0, 8.0]), ["x"])["x"] == 3.0
+    assert S.exact_medians(_frame(spark, [1.0] * 4000 + [2.0] * 4000), ["x"])["x"] == 1.5
+
+
+def test_exact_median_skips_nan(spark):
+    nan = float("nan")
+    df = _frame(spark, [1.0, nan, 3.0, None, 5.0])
+    assert S.exact_medians(df, ["x"])["x"] == 3.0
+    assert S.null_counts(df) == (5, {"x": 2})
+    assert S.exact_medians(_frame(spark, [nan, None]), ["x"])["x"] is None
 
 
-def test_exact_median_with_probe_from_profile(spark):
-    vals = [float(v) for v in np.random.default_rng(1).integers(0, 500, 3000)]
-    df = _frame(spark, vals)
-    prof = S.profile(df, ["x"])
-    assert prof.rows == 3000 and prof.nulls == {"x": 0}
-    assert S.exact_medians(df, ["x"], prof.probes)["x"] == float(np.median(vals))
+def test_exact_median_hot_middle_value(spark):
+    vals = [float(i) for i in range(3000)] + [1234.5] * 2500  # the hot value holds the middle
+    assert S.exact_medians(_frame(spark, vals), ["x"])["x"] == 1234.5
 
 
 def test_modes_smallest_on_ties_and_all_null(spark):
@@ -63,16 +70,3 @@ def test_duplicate_count_treats_null_keys_as_equal(spark):
 def test_null_counts(spark):
     df = spark.createDataFrame([(1, None), (None, "x"), (None, None)], "a long, b string")
     assert S.null_counts(df) == (3, {"a": 2, "b": 2})
-
-
-def test_exact_median_hot_middle_value(spark, monkeypatch):
-    monkeypatch.setattr(S, "HISTOGRAM_ROWS", 10)
-    vals = [float(i) for i in range(3000)] + [1234.5] * 2500  # the hot value holds the middle
-    got = S.exact_medians(_frame(spark, vals), ["x"])["x"]
-    assert got == 1234.5
-
-
-def test_exact_median_between_two_hot_values(spark, monkeypatch):
-    monkeypatch.setattr(S, "HISTOGRAM_ROWS", 1)
-    vals = [1.0] * 4000 + [2.0] * 4000  # even count, middle ranks straddle the two values
-    assert S.exact_medians(_frame(spark, vals), ["x"])["x"] == 1.5
