@@ -14,9 +14,10 @@ components. No bucket is ever expanded into all its pairs up front:
 1. Documents with equal shingle sets are one class; one of them stands for it.
 2. Each bucket compares its members with one leader. Verified links give
    components. While buckets still hold members of different components and
-   comparing all of those pairs would be much work, other leaders are tried.
+   the last leaders found many links, others are tried.
 3. What is left - pairs of one bucket but different components - is checked
-   completely, so no pair that shares a bucket stays undecided.
+   completely, in cells of bounded size that give out links only. So no pair
+   that shares a bucket stays undecided.
 
 Shingles are 64-bit hashes of their words; class identity is a 128-bit
 fingerprint of the set. With 40 bands of 5 rows a pair at the threshold shares
@@ -34,9 +35,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import TEXT_HASH, byte_slices, hash_words, keyed, mix64, one_row_each, runs, split_words
+from civicspark.llm.common import TEXT_HASH, byte_slices, few_tasks, hash_words, keyed, mix64, one_row_each, runs, split_words
 from civicspark.llm.components import connected_components
-from civicspark.session import materialize
+from civicspark.session import materialize, materialize_counted
 
 #: Words in a shingle.
 SHINGLE_WORDS = 5
@@ -51,8 +52,11 @@ SEED = 20
 SLICE_BYTES = 4 << 20
 #: Shingles whose stretches are gathered at a time.
 _GATHER = 4096
-#: All pairs across components are checked once there are at most this many per class.
-PAIRS_PER_CLASS = 4
+#: New leaders are tried while they yield this many links per undecided bucket member.
+STAR_YIELD = 0.05
+#: Shingles on either side of a cell in which pairs across components are compared.
+CELL_SHINGLES = 1 << 18
+_COLUMNS = 4096
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -195,39 +199,105 @@ def _similar_sizes(n: Column, m: Column, percent: int) -> Column:
     return F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
 
 
-def _link(members: DataFrame, sets: DataFrame, percent: int, n_classes: int) -> DataFrame:
-    """``(node, comp)`` of the classes that have a link; ``members`` is ``(band, node, n)`` of shared buckets."""
-    links, comps, idle, turn = None, None, 0, 0
+def _cell_links(percent: int):
+    """All links of one cell, minors against everyone, one for each minor and component that it reaches."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        minor = np.asarray(cell.column("minor"), dtype=bool)
+        node, comp, n = (np.asarray(cell.column(c), dtype=np.int64) for c in ("node", "comp", "n"))
+        raw = cell.column("shingles").to_pylist()
+        x, y = np.flatnonzero(minor), np.flatnonzero(~minor)
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if not len(x) or not len(y):
+            return none
+        values = [np.frombuffer(b"".join(raw[i] for i in side), np.uint64) for side in (x, y)]
+        owners = [np.repeat(np.arange(len(side)), n[side]) for side in (x, y)]
+        shared = np.intersect1d(*values)  # other shingles are in no intersection
+        common = np.zeros((len(x), len(y)))
+        for at in range(0, len(shared), _COLUMNS):
+            part = shared[at : at + _COLUMNS]
+            held = []
+            for side, v, own in zip((x, y), values, owners, strict=True):
+                place = np.minimum(np.searchsorted(part, v), len(part) - 1)
+                has = part[place] == v
+                table = np.zeros((len(side), len(part)), np.float32)
+                table[own[has], place[has]] = 1
+                held.append(table)
+            common += held[0] @ held[1].T
+        union = n[x][:, None] + n[y][None, :] - common
+        i, j = np.nonzero((100 * common >= percent * union) & (comp[x][:, None] != comp[y][None, :]))
+        _, once = np.unique(np.stack([i, comp[y][j]]), axis=1, return_index=True)
+        return pa.table({"a": pa.array(node[x][i[once]]), "b": pa.array(node[y][j[once]])})
+
+    return run
+
+
+def _across(members: DataFrame, n_members: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components that share a bucket, completely.
+
+    ``members`` is ``(band, node, n, comp, main)``, ``main`` the bucket's
+    largest component. Buckets with one main component are put together, so a
+    class that agrees with a cloud of copies in many bands is compared once;
+    members of the main component need no comparison among themselves. Clouds
+    are cut into cells by the size of their sets, and only the links leave a cell.
+    """
+    cloud = members.groupBy("main", "node").agg(F.max("n").alias("n"), F.max("comp").alias("comp"))
+    cloud, n_cloud = materialize_counted(few_tasks(cloud, n_members), "clouds")
+    minor = F.col("comp") != F.col("main")
+    blocks = cloud.groupBy("main").agg(F.sum("n").alias("all"), F.sum(F.when(minor, F.col("n")).otherwise(0)).alias("minors"))
+    blocks = blocks.select("main", *(F.ceil(F.col(c) / F.lit(CELL_SHINGLES)).cast("int").alias(c) for c in ("all", "minors")))
+    blocks = materialize(few_tasks(blocks, n_members).where("minors > 0"), "cloud-blocks")
+    placed = few_tasks(cloud.join(blocks, "main"), n_cloud)
+
+    def block(count: str, salt: int) -> Column:
+        return F.pmod(F.xxhash64(F.col("node"), F.lit(salt)), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    cols = ["main", "node", "n", "comp"]
+    minors = placed.where(minor).select(*cols, F.lit(True).alias("minor"), block("minors", 1).alias("p"), every("all").alias("q"))
+    others = placed.select(*cols, F.lit(False).alias("minor"), block("all", 2).alias("q"), every("minors").alias("p"))
+    cells = minors.unionByName(others).join(sets, "node").select("main", "p", "q", "minor", "node", "n", "comp", "shingles")
+    return cells.groupBy("main", "p", "q").applyInArrow(_cell_links(percent), "a bigint, b bigint")
+
+
+def _link(buckets: DataFrame, n_members: int, sets: DataFrame, percent: int) -> DataFrame:
+    """``(node, comp)`` of the classes that have a link.
+
+    ``buckets`` is ``(band, node, n, a, a_n)``: the members of shared buckets,
+    each beside its bucket's first leader.
+    """
+    members = buckets.select("band", "node", "n")
+    tried = buckets.where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("a_n"), percent))
+    links, turn = None, 0
     while True:
-        if comps is None:
-            open_members = members.withColumn("comp", F.col("node"))
-        else:
-            open_members = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            undecided = open_members.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-            undecided = materialize(undecided, "undecided-bands")
-            open_members = materialize(open_members.join(undecided, "band", "left_semi"), "bucket-members")
-            per_comp = open_members.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("k"))
-            buckets = per_comp.groupBy("band").agg(F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("within"))
-            todo = int(buckets.agg(F.sum(F.expr("size * size - within")) / 2).first()[0] or 0)
-            if todo == 0:
-                return comps
-            if todo <= PAIRS_PER_CLASS * n_classes or idle >= 2:
-                break
-        order = F.col("node") if turn == 0 else F.xxhash64(F.col("node"), F.lit(turn))
-        leaders = open_members.groupBy("band").agg(F.min(F.struct(order.alias("o"), "node", "n", "comp")).alias("l"))
-        leaders = leaders.select("band", F.col("l.node").alias("a"), F.col("l.n").alias("a_n"), F.col("l.comp").alias("a_comp"))
-        leaders = materialize(leaders, "leaders")
-        tried = open_members.join(leaders, "band").where((F.col("comp") != F.col("a_comp")) & _similar_sizes(F.col("n"), F.col("a_n"), percent))
-        found = materialize(_verified(tried.select("a", F.col("node").alias("b")).distinct(), sets, percent), "links")
-        idle = idle + 1 if found.isEmpty() else 0
+        found = _verified(tried.select("a", F.col("node").alias("b")).distinct(), sets, percent)
+        found, n_found = materialize_counted(found, "links")
         links = found if links is None else links.unionByName(found)
         comps = connected_components(links)
         turn += 1
-    # The rest completely: within a bucket, members of different components.
-    left = open_members.select("band", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_comp"))
-    across = left.join(open_members, "band").where((F.col("a") < F.col("node")) & (F.col("a_comp") != F.col("comp")) & _similar_sizes(F.col("n"), F.col("a_n"), percent))
-    found = materialize(_verified(across.select("a", F.col("node").alias("b")).distinct(), sets, percent), "links")
-    return comps if found.isEmpty() else connected_components(links.unionByName(found))
+
+        # Buckets that still hold several components, with the largest one and the next leader.
+        members = few_tasks(members.join(comps, "node", "left"), n_members).withColumn("comp", F.coalesce("comp", "node"))
+        members = materialize(members.select("band", "node", "n", "comp"), "bucket-members")
+        one = F.struct(F.xxhash64(F.col("node"), F.lit(turn)).alias("o"), "node", "n", "comp")
+        per_comp = few_tasks(members.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(one).alias("l")), n_members)
+        largest = F.max(F.struct("k", (-F.col("comp")).alias("c")))
+        bands = per_comp.groupBy("band").agg(F.count(F.lit(1)).alias("comps"), largest.alias("m"), F.min("l").alias("l"))
+        bands = bands.where("comps > 1").select(
+            "band", (-F.col("m.c")).alias("main"), F.col("l.node").alias("a"), F.col("l.n").alias("a_n"), F.col("l.comp").alias("a_comp")
+        )
+        bands = materialize(few_tasks(bands, n_members), "undecided-bands")
+        members, n_members = materialize_counted(few_tasks(members.join(bands, "band"), n_members), "undecided-members")
+        if n_members == 0:
+            return comps
+        if n_found < STAR_YIELD * n_members:
+            break
+        tried = members.where((F.col("comp") != F.col("a_comp")) & _similar_sizes(F.col("n"), F.col("a_n"), percent))
+        members = members.select("band", "node", "n")
+    found, n_found = materialize_counted(_across(members, n_members, sets, percent), "links")
+    return connected_components(links.unionByName(found)) if n_found else comps
 
 
 def near_groups(
@@ -254,12 +324,13 @@ def near_groups(
         "classes",
     )
     members = classes.select("node", "n", F.explode("bands").alias("band"))
-    # Written before they are joined, these lists are plain shuffles beside a hot bucket, so that AQE can split it.
-    shared = materialize(members.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("band"), "shared-bands")
-    members = materialize(members.join(shared, "band", "left_semi"), "buckets")
-    in_buckets = members.select("node").distinct()
+    # Written before they are joined, the leaders are a plain shuffle beside a hot bucket, so that AQE can split it.
+    leaders = members.groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("node", "n")).alias("l")).where("k > 1")
+    leaders = materialize(leaders.select("band", F.col("l.node").alias("a"), F.col("l.n").alias("a_n")), "leaders")
+    buckets, n_members = materialize_counted(members.join(leaders, "band"), "buckets")
+    in_buckets = few_tasks(buckets.select("node").distinct(), n_members)
     sets = _sets_of(rows_in, classes.join(in_buckets, "node", "left_semi").select("node", "rep", "rep_hash", "n_rows"))
-    comps = _link(members, sets, percent, classes.count())
+    comps = _link(buckets, n_members, sets, percent)
 
     placed = classes.select("node", *same, "rep").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))

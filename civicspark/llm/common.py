@@ -16,7 +16,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
@@ -51,6 +50,16 @@ def partitions_for(n_bytes: int, per_partition: int) -> int:
     return max(1, -(-n_bytes // per_partition))
 
 
+#: Rows that are worth a task of their own.
+ROWS_PER_TASK = 50_000
+
+
+def few_tasks(df: DataFrame, n_rows: int) -> DataFrame:
+    """``df`` read by as many tasks as its ``n_rows`` are worth, if those are fewer than it has shuffle partitions."""
+    n = partitions_for(n_rows, ROWS_PER_TASK)
+    return df.coalesce(n) if n < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into runs of rows holding at most ``limit`` bytes (one row at least)."""
     values = batch.column(batch.schema.get_field_index(column))
@@ -113,8 +122,20 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def hash_words(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    return np.fromiter((xxh3_64_intdigest(w) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
+    """A 64-bit hash of each word: its bytes' codes times a random odd number for each place, added up and scrambled."""
+    n = len(words)
+    if n == 0:
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + n + 1].astype(np.int64)
+    size = np.diff(offsets)
+    raw = words.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    starts = offsets[:-1] - offsets[0]
+    place = np.arange(len(data)) - np.repeat(starts, size)
+    weight = mix64(np.arange(1, int(size.max()) + 1, dtype=np.uint64)) | np.uint64(1)
+    code = mix64(np.arange(257, 513, dtype=np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[data] * weight[place], dtype=np.uint64)])
+    return mix64(total[starts + size] - total[starts] + size.astype(np.uint64))
 
 
 def one_row_each(docs: DataFrame, verdict: DataFrame, on: Column, keys: list[str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.session import materialize
+from civicspark.llm.common import few_tasks
+from civicspark.session import materialize, materialize_counted
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,15 +18,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     a node with very many edges is pre-aggregated, and AQE splits its join.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v")))
-    both = materialize(both.where("u <> v").distinct(), "cc-edges")
+    both, n = materialize_counted(both.where("u <> v").distinct(), "cc-edges")
     labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v"))
-    labels = materialize(labels.select("node", F.least("node", "v").alias("comp")), "cc-labels")
+    labels = materialize(few_tasks(labels, n).select("node", F.least("node", "v").alias("comp")), "cc-labels")
     while True:
-        seen = both.join(labels.select(F.col("node").alias("v"), "comp"), "v").groupBy(F.col("u").alias("node")).agg(F.min("comp").alias("near"))
-        nearest = labels.join(seen, "node", "left").select("node", F.col("comp").alias("was"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
+        seen = few_tasks(both.join(labels.select(F.col("node").alias("v"), "comp"), "v"), n)
+        seen = seen.groupBy(F.col("u").alias("node")).agg(F.min("comp").alias("near"))
+        nearest = few_tasks(labels.join(seen, "node", "left"), n)
+        nearest = nearest.select("node", F.col("comp").alias("was"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
+        nearest = materialize(nearest, "cc-nearest")
         jump = nearest.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
-        after = nearest.join(jump, "comp", "left").select("node", "was", F.least("comp", F.coalesce("further", "comp")).alias("comp"))
-        after = materialize(after, "cc-labels")
+        after = few_tasks(nearest.join(jump, "comp", "left"), n)
+        after = materialize(after.select("node", "was", F.least("comp", F.coalesce("further", "comp")).alias("comp")), "cc-labels")
         labels = after.select("node", "comp")
         if after.where("was <> comp").isEmpty():
             return labels
