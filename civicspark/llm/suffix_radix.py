@@ -138,8 +138,15 @@ _CONTEXTS = ("<i8", "<i8", "<i8", "<i4", "u1", "u1", "V84")  # gram name, key, d
 _WINDOWS = ("<u8", "<u8", "<i8", "<i8", "<i4")  # window (two), key, doc, place
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, the first bytes of all, then the second: equal high bytes lie together."""
+    if x.dtype.kind == "V":
+        return x.tobytes()
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes()
+
+
 def _dealt(rows: list[tuple], bucket: np.ndarray, kind: int, types: tuple, *columns: np.ndarray) -> None:
-    """Append one packed row per bucket."""
+    """Append one packed row per bucket: the number of entries, then the compressed columns."""
     if len(bucket) == 0:
         return
     order = np.argsort(bucket, kind="stable")
@@ -147,20 +154,27 @@ def _dealt(rows: list[tuple], bucket: np.ndarray, kind: int, types: tuple, *colu
     columns = [np.ascontiguousarray(c[order].astype(t, copy=False)) for c, t in zip(columns, types, strict=True)]
     first = runs(bucket)
     for a, b in zip(first, [*first[1:], len(bucket)], strict=True):
-        rows.append((int(bucket[a]), kind, b"".join(c[a:b].tobytes() for c in columns)))
+        packed = pa.compress(b"".join(_planes(c[a:b]) for c in columns), codec="zstd", asbytes=True)
+        rows.append((int(bucket[a]), kind, int(b - a).to_bytes(8, "little") + packed))
 
 
 def _undealt(table: pa.Table, kind: int, types: tuple) -> list[np.ndarray]:
     """The columns of all packed rows of a kind."""
-    size = sum(np.dtype(t).itemsize for t in types)
+    types = [np.dtype(t) for t in types]
+    size = sum(t.itemsize for t in types)
     parts: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in types]
     for k, data in zip(table.column("kind").to_pylist(), table.column("data"), strict=True):
         if k == kind:
-            buffer, at = data.as_buffer(), 0
-            n = buffer.size // size
+            blob, at = data.as_py(), 0
+            n = int.from_bytes(blob[:8], "little")
+            buffer = pa.decompress(blob[8:], n * size, codec="zstd")
             for part, t in zip(parts, types, strict=True):
-                part.append(np.frombuffer(buffer, t, n, at))
-                at += n * np.dtype(t).itemsize
+                if t.kind == "V":
+                    part.append(np.frombuffer(buffer, t, n, at))
+                else:
+                    planes = np.frombuffer(buffer, np.uint8, n * t.itemsize, at).reshape(t.itemsize, n)
+                    part.append(np.ascontiguousarray(planes.T).view(t).ravel())
+                at += n * t.itemsize
     return [np.concatenate(p) for p in parts]
 
 
@@ -252,11 +266,6 @@ def _shared_grams(hot: int) -> Callable:
     return run
 
 
-def _spans_in(part: pa.RecordBatch, column: str, row: int) -> np.ndarray:
-    """The struct list of a row as a structured array's columns, or nothing."""
-    return part.column(column)[row].as_py() or []
-
-
 def _deal_contexts(buckets: int) -> Callable:
     """Pass 2, map side: the contexts of the anchors whose gram is shared."""
 
