@@ -29,19 +29,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import partitions_for
+from civicspark.session import materialize, tuning
 
 VERSION = b"WARC/1.1"
 #: Payloads shorter than this are always written out.
 MIN_REVISIT_BYTES = 100
-#: Payload bytes per archive that the writer aims at.
+#: Payload bytes per archive, on average, that the writer does not exceed.
 ARCHIVE_BYTES = 16 << 20
+#: Revisits up to which their list is broadcast.
+BROADCAST_REVISITS = 100_000
 
 _CRLF = "\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _DATE = "1970-01-01T00:00:00Z"
 _VERSION_LINE = re.compile(rb"WARC/\d\.\d\r?\n")
 _GZIP_MAGIC = b"\x1f\x8b\x08"
+_HASHES = ("sha256", "sha1", "md5")
+#: Compressed bytes inflated at a time.
+_INFLATE = 256
 
 
 # -- writer -------------------------------------------------------------------
@@ -94,10 +99,12 @@ def write_archives(
         row_key.alias("row_key"),
         F.octet_length(payload).cast("bigint").alias("payload_bytes"),
     )
-    total = int(pages.agg(F.sum(F.octet_length(F.col(payload_col)))).first()[0] or 0)
-    n = partitions_for(total, archive_bytes)
-    revisits = mark_revisits(rows.select("row_key", "page_id", "digest", "payload_bytes"), min_revisit_bytes)
-    marked = rows.repartition(n, "row_key").join(revisits, "row_key", "left")
+    revisits = materialize(mark_revisits(rows.select("row_key", "page_id", "digest", "payload_bytes"), min_revisit_bytes), "revisits")
+    # Few revisits reach every task; for more of them the pages are shuffled.
+    few = revisits.count() <= tuning(pages.sparkSession, "warcBroadcastRevisits", BROADCAST_REVISITS)
+    marked = rows.join(F.broadcast(revisits) if few else revisits, "row_key", "left")
+    size = pages.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(payload_col))).alias("total")).first()
+    per_archive = max(1, archive_bytes * size["n"] // max(1, size["total"] or 0))
     revisit = F.col("refers_to").isNotNull()
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     http = F.concat(F.lit(_HTTP), _header("Content-Length", F.col("payload_bytes")), F.lit(_CRLF))
@@ -117,7 +124,8 @@ def write_archives(
         F.lit(_CRLF),
         block,
     )
-    marked.select(record.alias("value")).write.option("lineSep", _CRLF * 2).option("compression", compression).text(path)
+    writer = marked.select(record.alias("value")).write.option("lineSep", _CRLF * 2).option("compression", compression)
+    writer.option("maxRecordsPerFile", per_archive).text(path)
 
 
 # -- salvage reader -----------------------------------------------------------
@@ -155,11 +163,17 @@ class _Invalid(Exception):
 def _digest_matches(stated: str, data: bytes) -> bool:
     """False if ``stated`` is a hex sha256, sha1 or md5 of other bytes; other digests are not checked."""
     kind, _, value = stated.partition(":")
-    if kind not in ("sha256", "sha1", "md5") or not re.fullmatch(r"[0-9a-f]+", value):
+    if kind not in _HASHES or not re.fullmatch(r"[0-9a-f]+", value):
         return True
     return hashlib.new(kind, data).hexdigest() == value
 
 
+def _proven(record: Record) -> bool:
+    """Whether the record states a digest that :func:`_parse` has checked."""
+    stated = (record.headers.get(f"warc-{part}-digest", "").partition(":") for part in ("block", "payload"))
+    return any(kind in _HASHES and re.fullmatch(r"[0-9a-f]+", value) for kind, _, value in stated)
+
+
 def _parse(data: bytes, at: int, offset: int) -> tuple[Record, int]:
     """The record of ``data`` at ``at`` and where it ends; raises if a check fails."""
     line = _VERSION_LINE.match(data, at)
@@ -173,7 +187,10 @@ def _parse(data: bytes, at: int, offset: int) -> tuple[Record, int]:
         name, colon, value = field.partition(b":")
         if not colon or not name.strip() or name != name.strip():
             raise _Invalid("malformed header")
-        headers[name.decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+        key = name.decode("latin-1").lower()
+        if key in headers and key != "warc-concurrent-to":
+            raise _Invalid("repeated header")
+        headers[key] = value.strip().decode("utf-8", "replace")
     length = headers.get("content-length", "")
     if not length.isascii() or not length.isdigit():
         raise _Invalid("no length")
@@ -189,16 +206,20 @@ def _parse(data: bytes, at: int, offset: int) -> tuple[Record, int]:
     return record, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The bytes of the gzip member at ``at`` and where it ends; its CRC and size are checked by zlib."""
-    inflate = zlib.decompressobj(wbits=31)
-    try:
-        plain = inflate.decompress(data[at:] if at else data)
-    except zlib.error as e:
-        raise _Invalid(f"gzip member: {e}") from None
-    if not inflate.eof:
-        raise _Invalid("unfinished gzip member")
-    return plain, len(data) - len(inflate.unused_data)
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` inflates to, where it ends and what is wrong with it ('' if nothing).
+
+    Its CRC and size are checked by zlib; of a broken member the part before the damage is returned.
+    """
+    inflate, plain = zlib.decompressobj(wbits=31), []
+    for start in range(at, len(data), _INFLATE):
+        try:
+            plain.append(inflate.decompress(data[start : start + _INFLATE]))
+        except zlib.error as e:
+            return b"".join(plain), at, f"gzip member: {e}"
+        if inflate.eof:
+            return b"".join(plain), min(start + _INFLATE, len(data)) - len(inflate.unused_data), ""
+    return b"".join(plain), at, "unfinished gzip member"
 
 
 def _plain(data: bytes, base: int | None = None) -> Iterator[Record | Gap]:
@@ -227,7 +248,8 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
 
     Gaps of plain archives and of broken gzip members are counted in the
     archive's bytes; a gap inside a sound member has the member's offset and
-    the length in uncompressed bytes.
+    the length in uncompressed bytes. A broken member is a gap as a whole, but
+    records before its damage are given out when their digest proves them.
     """
     if _GZIP_MAGIC not in data[:4096] and _VERSION_LINE.search(data[:4096]):
         yield from _plain(data)
@@ -237,15 +259,14 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         return
     at, gap, reason = 0, None, ""
     while at < len(data):
-        try:
-            if data[at : at + 3] != _GZIP_MAGIC:
-                raise _Invalid("no gzip member")
-            plain, end = _member(data, at)
-            if not _VERSION_LINE.search(plain):
-                raise _Invalid("no record in gzip member")
-        except _Invalid as e:
+        plain, end, wrong = _member(data, at) if data[at : at + 3] == _GZIP_MAGIC else (b"", at, "no gzip member")
+        if not wrong and not _VERSION_LINE.search(plain):
+            wrong = "no record in gzip member"
+        if wrong:
+            # Records before the damage count if their digest proves them whole.
+            yield from (x for x in _plain(plain, at) if isinstance(x, Record) and _proven(x))
             if gap is None:
-                gap, reason = at, str(e)
+                gap, reason = at, wrong
             found = data.find(_GZIP_MAGIC, at + 1)
             at = found if found >= 0 else len(data)
             continue
