@@ -15,10 +15,13 @@ import json
 import os
 import statistics
 import sys
+import threading
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import DataFrameWriter  # noqa: E402
+
 from civicspark.operators.quality import quality_report  # noqa: E402
 from civicspark.operators.reports import all_reports  # noqa: E402
 from civicspark.plans.clean import clean_requests  # noqa: E402
@@ -39,22 +42,41 @@ SHORT = {
 }
 
 
+_written = threading.Lock(), [0]
+
+
+def _count_writes() -> None:
+    """Count the Parquet tables that any code writes from now on."""
+    lock, n = _written
+    write = DataFrameWriter.parquet
+
+    def counted(self, *args, **kwargs):
+        with lock:
+            n[0] += 1
+        return write(self, *args, **kwargs)
+
+    DataFrameWriter.parquet = counted
+
+
 class _Timer:
-    """Wall time and Spark job count of one named stage (via a job group)."""
+    """Wall time, Spark jobs (via a job group) and Parquet tables written, by named stage."""
 
     def __init__(self, spark, run: int):
         self.sc = spark.sparkContext
         self.run = run
         self.seconds: dict[str, float] = {}
         self.jobs: dict[str, int] = {}
+        self.writes: dict[str, int] = {}
 
     def __call__(self, name: str, fn):
         group = f"bench-{self.run}-{name}"
+        before = _written[1][0]
         self.sc.setJobGroup(group, name)
         start = time.perf_counter()
         out = fn()
         self.seconds[name] = time.perf_counter() - start
         self.jobs[name] = len(self.sc.statusTracker().getJobIdsForGroup(group))
+        self.writes[name] = _written[1][0] - before
         return out
 
 
@@ -90,6 +112,7 @@ def main() -> None:
         master=f"local[{cpus}]", app_name="civicspark-bench", shuffle_partitions=max(cpus, 2), extra=extra
     )
 
+    _count_writes()
     one_run(spark, sf_dir, 0)  # warm-up: JIT, file listing caches
     samples = [one_run(spark, sf_dir, i + 1) for i in range(runs)]
     per_query = {k: round(statistics.median(s.seconds[k] for s in samples), 3) for k in samples[0].seconds}
@@ -107,6 +130,7 @@ def main() -> None:
                 "runs": runs,
                 "cpus": cpus,
                 "spark_jobs": jobs,
+                "tables_written": {k: n for k, n in samples[-1].writes.items() if n},
             }
         )
     )
