@@ -120,7 +120,8 @@ def exact_groups(
     rows = normal.select(*_KEY, F.sha2("text", 256).alias("text_sha256"))
     named = materialize(_join_on_key(rows, identity), "doc-rows")
     groups = named.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    several = groups.where("group_size > 1")
+    # Written first, the few groups of several rows are a plain shuffle beside a hot group, which AQE can then split.
+    several = materialize(groups.where("group_size > 1"), "equal-groups")
     copies = named.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n_copies")).where("n_copies > 1")
     out = _join_on_key(named.join(several, ["level", "name"], "left"), copies, "left")
     single = F.col("group_size").isNull()
