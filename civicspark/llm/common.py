@@ -8,13 +8,14 @@ document whose verdict each of them gets.
 
 from __future__ import annotations
 
+import os
 import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
@@ -23,6 +24,17 @@ UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 TEXT_HASH = "_text_hash"
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def show_package(spark: SparkSession) -> None:
+    """Python workers started from now on look for this package where the driver found it.
+
+    On a cluster the package is installed or shipped with ``--py-files``; there the extra path does no harm.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters keep their case.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, warc
+from civicspark.llm.common import show_package
 from civicspark.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,8 +99,16 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _importable(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        show_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op1_warc": op1_warc,
         "op2_url_filter": op2_url_filter,
         "op3_block_naming": op3_block_naming,
@@ -112,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op10_circulant_minhash": op10_circulant_minhash,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _importable(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,11 +10,13 @@ left and the text they decode to.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from civicspark.llm import block_naming, circulant_minhash, decontaminate, pair_index_bpe, quality
+from civicspark.llm.common import show_package
 from civicspark.session import materialize
 
 #: Vocabulary file of the last stage.
@@ -51,12 +53,20 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return pair_index_bpe.decode_documents(pair_index_bpe.encode_documents(docs, path), path)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_classifier", quality_classifier),
-    ("exact_dedup", exact_dedup),
-    ("near_dedup", near_dedup),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("bpe_encoding", bpe_encoding),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _importable(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        show_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (stage.__name__, _importable(stage)) for stage in (quality_classifier, exact_dedup, near_dedup, benchmark_decontamination, bpe_encoding)
 ]
 
 #: SQL cannot express the classifier that the first stage fits; tests compare run() with a brute-force version.
