@@ -19,8 +19,8 @@ the texts; all passes read it again. Chunks send each distinct word and word
 pair once, packed, to buckets by hash, which add up the counts and answer in
 the order asked. So no word, context or pair meets in one task in more rows
 than there are chunks, however frequent it is. Word counts are exact (words
-are compared as strings); pairs are matched on 48 bits of a hash within their
-bucket.
+are compared as strings); pairs, and the words whose tables are added up, are
+matched on 48 bits of a hash within their bucket.
 """
 
 from __future__ import annotations
@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from civicspark.llm.common import hash_words, mix64, pack, partitions_for, split_words, text_bytes, unpack
 
 #: Text bytes in a chunk, and for each bucket.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Chains of seatings that are averaged, and sweeps through all restaurants for each.
-CHAINS, SWEEPS = 3, 2
+CHAINS, SWEEPS = 3, 1
 #: Discount and strength of the unigram restaurant and of the context restaurants.
 UNIGRAM = (0.6, 1.0)
 CONTEXT = (0.8, 1.0)
@@ -46,9 +46,10 @@ BASE_ADD = 0.1
 
 _END, _START = "\n", "\r"  # no word holds white space
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_PAIR_BYTES = 6
-#: Customers seated one by one; later ones come in blocks that grow by a quarter.
-_SINGLY = 48
+#: Bytes of a hash, after its bucket's bits, that tell words or pairs of a bucket apart.
+_KEY_BYTES = 6
+#: Customers of a dish seated one by one; later ones come in blocks that grow by a third.
+_SINGLY = 12
 
 _WORDS, _PAIRS, _TOTALS, _TABLES, _OWN = range(5)
 _MESSAGE = "bucket int, chunk int, kind int, data binary"
@@ -66,16 +67,22 @@ def _unplanes(data: bytes, n: int, at: int = 0) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n, at).reshape(8, n).T).view("<i8").ravel()
 
 
-def _low_bytes(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_PAIR_BYTES]).tobytes()
+def _key_bytes(hashes: np.ndarray, buckets: int) -> bytes:
+    """Sorted hashes of one bucket: the bits that follow the bucket's own, plane by plane."""
+    rest = (hashes << np.uint64(_bits(buckets))) >> np.uint64(64 - 8 * _KEY_BYTES)
+    return np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].T).tobytes()
 
 
-def _from_low_bytes(data: bytes, n: int) -> np.ndarray:
+def _keys(data: bytes, n: int, at: int = 0) -> np.ndarray:
     wide = np.zeros((n, 8), np.uint8)
-    wide[:, :_PAIR_BYTES] = np.frombuffer(data, np.uint8, _PAIR_BYTES * n).reshape(n, _PAIR_BYTES)
+    wide[:, :_KEY_BYTES] = np.frombuffer(data, np.uint8, _KEY_BYTES * n, at).reshape(_KEY_BYTES, n).T
     return wide.view("<u8").ravel()
 
 
+def _bits(buckets: int) -> int:
+    return buckets.bit_length() - 1
+
+
 # -- seating ----------------------------------------------------------------------
 
 
@@ -83,6 +90,21 @@ def _uniform(key: np.ndarray, seed: int, n: int) -> np.ndarray:
     return (mix64(key ^ np.uint64((seed * 0x9E3779B97F4A7C15 + n * 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1)) >> np.uint64(11)) * 2.0**-53
 
 
+def _poisson(rate: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Poisson numbers from uniform ones; for large rates, where it makes no difference, rounded normal ones."""
+    big = rate > 25
+    bell = np.sqrt(-2 * np.log(np.maximum(u, 1e-300))) * np.cos(2 * np.pi * v)
+    out = np.where(big, np.maximum(np.rint(rate + np.sqrt(rate) * bell), 0), 0.0)
+    p = np.exp(-np.where(big, 0.0, rate))
+    total, more = p.copy(), np.flatnonzero(~big & (u > p))
+    while len(more):
+        out[more] += 1
+        p[more] *= rate[more] / out[more]
+        total[more] += p[more]
+        more = more[(u[more] > total[more]) & (p[more] > 1e-15)]
+    return out
+
+
 def seat(key: np.ndarray, customers: np.ndarray, new: np.ndarray, discount: float, seed: int) -> np.ndarray:
     """Tables that ``customers`` of one dish take when a new table has weight ``new``.
 
@@ -91,31 +113,37 @@ def seat(key: np.ndarray, customers: np.ndarray, new: np.ndarray, discount: floa
     open a Poisson number of tables with the same expectation.
     """
     tables = (customers > 0).astype(np.float64)
-    who, n = np.flatnonzero(customers > 1), 1
-    while len(who) and n < _SINGLY:
-        a = new[who]
-        tables[who] += _uniform(key[who], seed, n) * (a + n - discount * tables[who]) < a
-        n += 1
-        who = who[customers[who] > n]
-    while len(who):
-        a, t, until = new[who], tables[who], np.minimum(customers[who], n + max(1, n // 4))
-        rate = a * np.log((a + until - discount * t) / (a + n - discount * t))
-        u, p, opened = _uniform(key[who], seed, n), np.exp(-rate), np.zeros(len(who))
-        more, total = np.flatnonzero(u > p), p.copy()
-        while len(more):
-            opened[more] += 1
-            p[more] *= rate[more] / opened[more]
-            total[more] += p[more]
-            more = more[(u[more] > total[more]) & (opened[more] < (until - n)[more])]
-        tables[who] += opened
-        n += max(1, n // 4)
-        who = who[customers[who] > n]
+    # Dishes by falling number of customers: those still being seated are always the first ones.
+    order = np.flatnonzero(customers > 1)
+    order = order[np.argsort(-customers[order], kind="stable")]
+    guests, a, k, t = customers[order], new[order], key[order], tables[order]
+    n, left = 1, len(order)
+    while left:
+        alpha, seated = a[:left], t[:left]
+        if n < _SINGLY:
+            seated += _uniform(k[:left], seed, n) * (alpha + n - discount * seated) < alpha
+            n += 1
+        else:
+            step = max(1, n // 3)
+            until = np.minimum(guests[:left], n + step)
+            rate = alpha * np.log((alpha + until - discount * seated) / (alpha + n - discount * seated))
+            opened = _poisson(rate, _uniform(k[:left], seed, n), _uniform(k[:left], seed, -n))
+            seated += np.minimum(opened, until - n)
+            n += step
+        left = int(np.searchsorted(-guests[:left], -n, "left"))
+    tables[order] = t
     return tables
 
 
 # -- one chunk of documents -------------------------------------------------------
 
 
+def _cuts(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's hashes begin: a bucket is one value of the first bits (``buckets`` is a power of two)."""
+    first = sorted_hashes >> np.uint64(64 - _bits(buckets)) if buckets > 1 else np.zeros(len(sorted_hashes), np.uint64)
+    return np.searchsorted(first, np.arange(buckets + 1, dtype=np.uint64))
+
+
 class _Chunk:
     """Words and word pairs of a chunk, each distinct one in an order that any task finds again."""
 
@@ -125,15 +153,14 @@ class _Chunk:
         words, codes, offsets = split_words(texts)
         words = pa.concat_arrays([words.cast(pa.string()), pa.array([_END, _START], pa.string())])
         h = hash_words(words)
-        order = np.lexsort((h, h % np.uint64(buckets)))
-        same = np.flatnonzero(h[order][1:] == h[order][:-1])
-        if len(same):  # one hash for several words: those by their text
-            order = np.array(sorted(order.tolist(), key=lambda i: (int(h[i]) % buckets, int(h[i]), words[i].as_py())))
+        order = np.argsort(h, kind="stable")
+        if (h[order][1:] == h[order][:-1]).any():  # one hash for several words: those by their text
+            order = np.array(sorted(order.tolist(), key=lambda i: (int(h[i]), words[i].as_py())))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.words, self.hash = words.take(pa.array(order)), h[order]
         self.end, self.start = int(place[-2]), int(place[-1])
-        self.word_cut = np.searchsorted(self.hash % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
+        self.word_cut = _cuts(self.hash, buckets)
 
         n = np.diff(offsets)
         self.ends = np.cumsum(n + 1) - 1
@@ -151,8 +178,7 @@ class _Chunk:
         key = mix64(self.hash[before] * _STEP + mix64(self.hash[token]))
         self.pair, first, self.pair_of = np.unique(key, return_index=True, return_inverse=True)
         self.context, self.word = before[first], token[first]
-        top = self.pair >> np.uint64(32)
-        self.pair_cut = np.searchsorted((top * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+        self.pair_cut = _cuts(self.pair, buckets)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences of each word and pair in the training documents."""
@@ -178,7 +204,7 @@ class _Model:
             return (self.c_word + uniform) / (self.total + 1.0)
         discount, strength = UNIGRAM
         c, (all_c, all_t) = state["customers"][chain], state["totals"][chain]
-        t = seat(self.chunk.hash, c, np.full(len(c), parent_weight(self.distinct)), discount, parent_seed(chain, state["sweep"]))
+        t = seat(self.chunk.hash >> np.uint64(64 - 8 * _KEY_BYTES), c, np.full(len(c), parent_weight(self.distinct)), discount, parent_seed(chain, state["sweep"]))
         return (c - discount * t + (strength + discount * all_t) * uniform) / (strength + all_c)
 
     def tables(self, state: dict | None, chain: int, sweep: int) -> np.ndarray:
@@ -202,7 +228,9 @@ def parent_seed(chain: int, sweep: int) -> int:
 
 
 def _messages(rows: list[tuple]) -> pa.Table:
+    """Rows ``(bucket, chunk, kind, data)``; the data is compressed behind its length."""
     bucket, chunk, kind, data = zip(*rows, strict=True) if rows else ((), (), (), ())
+    data = [len(d).to_bytes(8, "little") + pa.compress(d, codec="zstd", asbytes=True) for d in data]
     return pa.table({"bucket": pa.array(bucket, pa.int32()), "chunk": pa.array(chunk, pa.int32()), "kind": pa.array(kind, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
@@ -211,7 +239,8 @@ def _rows(table: pa.Table, *kinds: int) -> Iterator[tuple[int, int, int, bytes]]
     columns = [table.column(c).to_pylist() for c in ("bucket", "chunk", "kind")]
     data = table.column("data")
     for i in sorted((i for i in range(table.num_rows) if columns[2][i] in kinds), key=lambda i: (columns[1][i], columns[0][i])):
-        yield columns[0][i], columns[1][i], columns[2][i], data[i].as_py()
+        packed = data[i].as_py()
+        yield columns[0][i], columns[1][i], columns[2][i], pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
 
 
 def _send_counts(buckets: int) -> Callable:
@@ -227,7 +256,7 @@ def _send_counts(buckets: int) -> Callable:
             if w.stop > w.start:
                 rows.append((b, number, _WORDS, pack(word=chunk.words[w], n=words[w])))
             if p.stop > p.start:
-                rows.append((b, number, _PAIRS, _low_bytes(chunk.pair[p]) + _planes(pairs[p])))
+                rows.append((b, number, _PAIRS, _key_bytes(chunk.pair[p], buckets) + _planes(pairs[p])))
         return _messages(rows)
 
     return run
@@ -251,10 +280,10 @@ def _add_counts(chunks: int) -> Callable:
                 at += batch.num_rows
         rows += [(bucket, chunk, _TOTALS, np.array([total, distinct], "<i8").tobytes()) for chunk in range(chunks)]
 
-        asked = [(chunk, data, len(data) // (_PAIR_BYTES + 8)) for _, chunk, _, data in _rows(table, _PAIRS)]
+        asked = [(chunk, data, len(data) // (_KEY_BYTES + 8)) for _, chunk, _, data in _rows(table, _PAIRS)]
         if asked:
-            key = np.concatenate([_from_low_bytes(data, n) for _, data, n in asked])
-            own = np.concatenate([_unplanes(data, n, _PAIR_BYTES * n) for _, data, n in asked])
+            key = np.concatenate([_keys(data, n) for _, data, n in asked])
+            own = np.concatenate([_unplanes(data, n, _KEY_BYTES * n) for _, data, n in asked])
             _, index = np.unique(key, return_inverse=True)
             count = np.zeros(int(index.max()) + 1, np.int64)
             np.add.at(count, index, own)
@@ -334,7 +363,7 @@ def _send_tables(buckets: int, sweep: int) -> Callable:
         for b in range(buckets):
             w = slice(chunk.word_cut[b], chunk.word_cut[b + 1])
             if w.stop > w.start:
-                head = np.array([model.distinct], "<i8").tobytes() + chunk.hash[w].astype("<u8").tobytes()
+                head = np.array([model.distinct], "<i8").tobytes() + _key_bytes(chunk.hash[w], buckets)
                 rows.append((b, number, _TABLES, head + b"".join(_planes(s[w]) for s in stats)))
         own = [np.array([model.total, model.distinct, sweep], "<i8").tobytes(), _planes(model.c_word), _planes(model.c_pair), np.packbits(owner).tobytes()]
         if sweep > 0:
@@ -346,29 +375,31 @@ def _send_tables(buckets: int, sweep: int) -> Callable:
     return run
 
 
-def _add_tables(chunks: int, sweep: int) -> Callable:
+def _add_tables(chunks: int, buckets: int, sweep: int) -> Callable:
     """Bucket: tables of each context and the parent's customers, and their totals; chunks' own rows pass through."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         rows = [(bucket, chunk, _OWN, data) for _, chunk, _, data in _rows(table, _OWN)]
-        asked = [(chunk, data, (len(data) - 8) // (8 + 16 * CHAINS)) for _, chunk, _, data in _rows(table, _TABLES)]
+        asked = [(chunk, data, (len(data) - 8) // (_KEY_BYTES + 16 * CHAINS)) for _, chunk, _, data in _rows(table, _TABLES)]
         totals = np.zeros((CHAINS, 2), np.int64)
         if asked:
             distinct = int(np.frombuffer(asked[0][1], "<i8", 1)[0])
-            word, index = np.unique(np.concatenate([np.frombuffer(data, "<u8", n, 8) for _, data, n in asked]), return_inverse=True)
+            word, index = np.unique(np.concatenate([_keys(data, n, 8) for _, data, n in asked]), return_inverse=True)
+            bits = _bits(buckets)
+            first_bits = (word >> np.uint64(bits)) | np.uint64(bucket << (8 * _KEY_BYTES - bits))  # of the whole hash, as chunks have it
             answers: list[list[bytes]] = [[] for _ in asked]
             for c in range(CHAINS):
                 for k in range(2):
                     total = np.zeros(len(word), np.int64)
-                    np.add.at(total, index, np.concatenate([_unplanes(data, n, 8 + 8 * n * (1 + 2 * c + k)) for _, data, n in asked]))
+                    np.add.at(total, index, np.concatenate([_unplanes(data, n, 8 + _KEY_BYTES * n + 8 * n * (2 * c + k)) for _, data, n in asked]))
                     at = 0
                     for answer, (_, _, n) in zip(answers, asked, strict=True):
                         answer.append(_planes(total[index[at : at + n]]))
                         at += n
                 # The parent's own seating: each word's customers, seated on its tables.
                 weight = np.full(len(word), parent_weight(distinct))
-                totals[c] = total.sum(), seat(word, total, weight, UNIGRAM[0], parent_seed(c, sweep)).sum()
+                totals[c] = total.sum(), seat(first_bits, total, weight, UNIGRAM[0], parent_seed(c, sweep)).sum()
             rows += [(bucket, chunk, _TABLES, b"".join(a)) for a, (chunk, _, _) in zip(answers, asked, strict=True)]
         rows += [(bucket, chunk, _TOTALS, totals.astype("<i8").tobytes()) for chunk in range(chunks)]
         return _messages(rows)
@@ -440,16 +471,17 @@ def score_documents(
     held_out = held_out_by_crc(F.col(id_col)) if held_out is None else F.coalesce(held_out, F.lit(True))
     text = F.coalesce(F.col(text_col), F.lit(""))
     n = partitions_for(text_bytes(docs, text_col), chunk_bytes)
+    buckets = 1 << (n - 1).bit_length()
     number = F.pmod(F.xxhash64(F.col(id_col), text), F.lit(n)).cast("int")
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), text.alias("text"), number.alias("chunk"))
     chunks = rows.groupBy("chunk")
-    answers = chunks.applyInArrow(_send_counts(n), _MESSAGE).groupBy("bucket").applyInArrow(_add_counts(n), _MESSAGE)
+    answers = chunks.applyInArrow(_send_counts(buckets), _MESSAGE).groupBy("bucket").applyInArrow(_add_counts(n), _MESSAGE)
     for sweep in range(sweeps):
-        sent = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_send_tables(n, sweep), _MESSAGE)
-        answers = sent.groupBy("bucket").applyInArrow(_add_tables(n, sweep), _MESSAGE)
+        sent = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_send_tables(buckets, sweep), _MESSAGE)
+        answers = sent.groupBy("bucket").applyInArrow(_add_tables(n, buckets, sweep), _MESSAGE)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_score(n, sweeps), schema)
+    return chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_score(buckets, sweeps), schema)
 
 
 def perplexity(scores: DataFrame) -> DataFrame:
