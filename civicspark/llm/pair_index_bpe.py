@@ -17,6 +17,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from civicspark.llm.common import byte_slices
+from civicspark.llm.common import byte_slices, releasing
 
 #: Distinct words whose encodings a task remembers between batches.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 300_000
 #: Text bytes handled at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
+
+_NEVER = 1 << 40
 
 # The word pattern and the byte alphabet belong to the vocabulary file's format.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
@@ -68,40 +71,62 @@ class PairIndexBpe:
             self.rank[a * size + b] = r
             self.merges.append((a, b, vocab[left + right]))
         letters = byte_alphabet()
-        self.inner = [vocab.get(c) for c in letters]
-        self.final = [vocab.get(c + self.end) for c in letters]
+        #: symbol of each byte inside a word and at its end; -1 without one
+        self.inner = np.array([vocab.get(c, -1) for c in letters])
+        self.final = np.array([vocab.get(c + self.end, -1) for c in letters])
+        #: ranks of pairs of single symbols, by the symbols' places among themselves
+        single = sorted({*self.inner.tolist(), *self.final.tolist()} - {-1})
+        self.single = np.full(size, -1)
+        self.single[single] = np.arange(len(single))
+        self.first_rank = np.array([[self.rank.get(x * size + y, _NEVER) for y in single] for x in single])
         self.split_special = (
             regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         )
 
-    def symbols(self, word: str) -> list[int]:
-        """One symbol per byte, the last one ending the word; bytes outside the vocabulary have none."""
-        data = word.encode("utf-8")
-        ids = [self.inner[b] for b in data[:-1]]
-        ids.append(self.final[data[-1]])
-        return [i for i in ids if i is not None]
-
-    def encode_words(self, words: Iterable[str]) -> list[list[int]]:
-        """Token ids of each word, by merging over the pair index of all words together."""
-        sym: list[int] = []
-        prev: list[int] = []
-        after: list[int] = []
-        starts: list[int] = []
-        index: dict[int, list[int]] = {}
-        rank, width = self.rank, self.width
-        for word in words:
-            ids = self.symbols(word)
-            base, n = len(sym), len(ids)
-            starts.append(base if n else -1)
-            sym.extend(ids)
-            prev.extend(range(base - 1, base + n - 1))
-            after.extend(range(base + 1, base + n + 1))
-            if n:
-                prev[base] = after[-1] = -1
-            for i in range(n - 1):
-                r = rank.get(ids[i] * width + ids[i + 1])
-                if r is not None:
-                    index.setdefault(r, []).append(base + i)
+    def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One symbol per byte of all words in a row, the last of a word ending it, and how many each word has."""
+        data = [w.encode("utf-8") for w in words]
+        n = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
+        raw = np.frombuffer(b"".join(data), np.uint8)
+        sym = self.inner[raw]
+        last = np.cumsum(n) - 1
+        sym[last] = self.final[raw[last]]
+        if (sym < 0).any():  # bytes outside the vocabulary have no symbol
+            n = np.add.reduceat((sym >= 0).astype(np.int64), last - n + 1)
+            sym = sym[sym >= 0]
+        return sym, n
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words (none empty) in a row, and how many each has."""
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        symbols, n = self.symbols(words)
+        ends = np.cumsum(n)
+        starts = ends - n
+        some = n > 0
+        before, behind = np.arange(-1, len(symbols) - 1), np.arange(1, len(symbols) + 1)
+        before[starts[some]] = -1
+        behind[ends[some] - 1] = -1
+        # The index: every mergeable pair's positions, in order.
+        place = np.flatnonzero(behind >= 0)
+        at = self.single[symbols]
+        found = self.first_rank[at[place], at[place + 1]]
+        place, found = place[found < _NEVER], found[found < _NEVER]
+        order = np.argsort(found, kind="stable")
+        cuts = np.flatnonzero(np.diff(found[order], prepend=-1))
+        index = {int(found[order[c]]): part.tolist() for c, part in zip(cuts, np.split(place[order], cuts[1:]), strict=True)} if len(cuts) else {}
+        sym, prev, after = symbols.tolist(), before.tolist(), behind.tolist()
+        self._merge(index, sym, prev, after)
+        merged = np.array(sym)
+        alive = merged >= 0
+        sizes = np.zeros(len(words), np.int64)
+        if some.any():
+            sizes[some] = np.add.reduceat(alive.astype(np.int64), starts[some])
+        return merged[alive].astype(np.int32), sizes
+
+    def _merge(self, index: dict[int, list[int]], sym: list[int], prev: list[int], after: list[int]) -> None:
+        """Take the active ranks in ascending order and merge each one's positions; dead symbols become -1."""
+        rank_of, width = self.rank.get, self.width
         active = list(index)
         heapify(active)
         while active:
@@ -111,43 +136,40 @@ class PairIndexBpe:
                 continue
             places.sort()
             a, b, merged = self.merges[r]
+            left_of, right_of = merged * width, merged
             for k, p in enumerate(places):
+                if sym[p] != a:
+                    continue
                 q = after[p]
-                if sym[p] != a or q < 0 or sym[q] != b:
+                if q < 0 or sym[q] != b:
                     continue
                 sym[p], sym[q] = merged, -1
-                follower, leader = after[q], prev[p]
+                follower, leader, lower = after[q], prev[p], False
                 after[p] = follower
-                lowest = r
                 if follower >= 0:
                     prev[follower] = p
-                    lowest = min(lowest, self._note(index, active, merged * width + sym[follower], p, r))
+                    new = rank_of(left_of + sym[follower])
+                    if new is not None:
+                        if new in index:
+                            index[new].append(p)
+                        else:
+                            index[new] = [p]
+                            heappush(active, new)
+                        lower = new < r
                 if leader >= 0:
-                    lowest = min(lowest, self._note(index, active, sym[leader] * width + merged, leader, r))
-                if lowest < r:  # a lower rank became active: it goes first, then the rest of this list
-                    index.setdefault(r, []).extend(places[k + 1 :])
-                    heappush(active, r)
+                    new = rank_of(sym[leader] * width + right_of)
+                    if new is not None:
+                        if new in index:
+                            index[new].append(leader)
+                        else:
+                            index[new] = [leader]
+                            heappush(active, new)
+                        lower = lower or new < r
+                if lower:  # a lower rank became active: it goes first, then the rest of this list
+                    if k + 1 < len(places):
+                        index.setdefault(r, []).extend(places[k + 1 :])
+                        heappush(active, r)
                     break
-        out = []
-        for p in starts:
-            ids = []
-            while p >= 0:
-                ids.append(sym[p])
-                p = after[p]
-            out.append(ids)
-        return out
-
-    def _note(self, index: dict[int, list[int]], active: list[int], pair: int, place: int, default: int) -> int:
-        """Add a position to the list of a new pair; its rank, or ``default`` if it never merges."""
-        r = self.rank.get(pair)
-        if r is None:
-            return default
-        if r in index:
-            index[r].append(place)
-        else:
-            index[r] = [place]
-            heappush(active, r)
-        return r
 
     def pieces(self, text: str) -> Iterator[str]:
         """Words and special tokens of a text, in order."""
@@ -179,81 +201,96 @@ def load(path: str) -> PairIndexBpe:
 
 
 class _WordTable:
-    """Words met so far in a task with their ids, as numbers into one flat array."""
+    """Words met lately in a task with their ids, as numbers into one flat array.
 
-    def __init__(self, bpe: PairIndexBpe):
-        self.bpe = bpe
-        self.clear()
+    Two generations bound its size: when the young one is full, it becomes the
+    old one, and words that are met again move over.
+    """
 
-    def clear(self) -> None:
+    def __init__(self, bpe: PairIndexBpe, remembered: int = REMEMBERED_WORDS):
+        self.bpe, self.half = bpe, max(1, remembered // 2)
         self.code: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.old: tuple[dict[str, int], np.ndarray, np.ndarray] = (self.code, self.flat, self.sizes)
 
-    def add(self, words: list[str]) -> None:
-        if not words:
-            return
-        special = self.bpe.special
-        ids = iter(self.bpe.encode_words([w for w in words if w not in special]))
-        encoded = [[special[w]] if w in special else next(ids) for w in words]
+    def _add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
         base = len(self.code)
-        self.code.update((w, base + i) for i, w in enumerate(words))
-        self.sizes.append(np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)))
-        self.flat.append(np.fromiter((i for e in encoded for i in e), dtype=np.int32))
+        self.code.update(zip(words, range(base, base + len(words)), strict=True))
+        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+
+    def _learn(self, words: set[str]) -> None:
+        special = self.bpe.special
+        known = [w for w in words if w in self.old[0]]
+        if known:
+            code, flat, sizes = self.old
+            at = np.fromiter(map(code.__getitem__, known), dtype=np.int64, count=len(known))
+            self._add(known, _gather(flat, np.cumsum(sizes) - sizes, sizes, at)[0], sizes[at])
+            words = words.difference(known)
+        marks = [w for w in words if w in special]
+        self._add(marks, np.array([special[w] for w in marks], np.int32), np.ones(len(marks), np.int64))
+        plain = sorted(words.difference(marks))
+        self._add(plain, *self.bpe.encode_words(plain))
 
     def encode(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents in a row, and where each document's ids start."""
-        code = self.code
-        if len(code) > REMEMBERED_WORDS:
-            self.clear()
-            code = self.code
-        new: dict[str, None] = {}
-        for words in docs:
-            new.update(dict.fromkeys(w for w in words if w not in code))
-        self.add(list(new))
-        code = self.code
+        if len(self.code) > self.half:
+            self.old = (self.code, self.flat, self.sizes)
+            self.code, self.flat, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
+        words = list(chain.from_iterable(docs))
         n_words = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs))
-        codes = np.fromiter((code[w] for words in docs for w in words), dtype=np.int64, count=int(n_words.sum()))
-        if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(len(docs) + 1, np.int64)
-        if len(self.flat) > 1:
-            self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
-        flat, sizes = self.flat[0], self.sizes[0]
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        size = sizes[codes]
-        ends = np.cumsum(size)
-        ids = flat[np.repeat(starts[codes] - (ends - size), size) + np.arange(ends[-1])]
-        word_ends = np.concatenate([[0], np.cumsum(n_words)])
-        return ids, np.concatenate([[0], ends])[word_ends]
+        self._learn(set(words).difference(self.code))
+        codes = np.fromiter(map(self.code.__getitem__, words), dtype=np.int64, count=len(words))
+        ids, ends = _gather(self.flat, np.cumsum(self.sizes) - self.sizes, self.sizes, codes)
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_words)])]
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` numbered ``at`` in a row, and where each ends."""
+    size = sizes[at]
+    ends = np.cumsum(size)
+    return flat[np.repeat(starts[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
-def _with_column(batch: pa.RecordBatch, kept: list[str], name: str, values: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), values], names=[*kept, name])
+def _decoded(tokens: pa.Array, lists: pa.Array) -> pa.Array:
+    """The tokens of each list of ids joined by one space; null lists are empty, unknown ids are left out."""
+    lists = pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists
+    flat = np.asarray(lists.flatten())
+    starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+    known = (flat >= 0) & (flat < len(tokens))
+    if not known.all():
+        starts, flat = np.concatenate([[0], np.cumsum(known)])[starts], flat[known]
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), tokens.take(pa.array(flat, pa.int32()))), " ")
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode_documents(
+    docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+) -> DataFrame:
     """``docs`` plus ``ids``: the token ids of each whole text.
 
     A null text is empty and has an empty list. Special tokens that stand in a
     text become their ids, as the tokenizers library does by default; none are
-    added. A column already named ``ids_col`` is replaced. One Arrow pass, no
-    shuffle; texts are worked through in slices of ``SLICE_BYTES`` (a longer
-    text alone).
+    added. With ``decoded_col``, the ids are decoded again in the same pass.
+    Columns already named so are replaced. One Arrow pass, no shuffle; texts
+    are worked through in slices of ``SLICE_BYTES`` (a longer text alone).
     """
-    kept = [f for f in docs.schema.fields if f.name != ids_col]
-    schema = T.StructType([*kept, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
+    new = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)]
+    new += [T.StructField(decoded_col, T.StringType(), False)] if decoded_col else []
+    kept = [f for f in docs.schema.fields if f.name not in (ids_col, decoded_col)]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _WordTable(load(tokenizer))
+        tokens = pa.array(table.bpe.tokens, pa.string())
         for batch in batches:
             for part in byte_slices(batch, text_col, SLICE_BYTES):
                 texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
                 ids, starts = table.encode([list(table.bpe.pieces(t)) if t else [] for t in texts])
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
-                yield _with_column(part, names, ids_col, lists)
+                columns = [*(part.column(part.schema.get_field_index(n)) for n in names), lists]
+                columns += [_decoded(tokens, lists)] if decoded_col else []
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *(f.name for f in new)])
 
-    return docs.select(*(f"`{n}`" for n in names)).mapInArrow(run, schema)
+    return docs.select(*(f"`{n}`" for n in names)).mapInArrow(releasing(run), T.StructType([*kept, *new]))
 
 
 def decode_documents(docs: DataFrame, tokenizer: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -263,24 +300,16 @@ def decode_documents(docs: DataFrame, tokenizer: str, ids_col: str = "ids", deco
     skipped. A column already named ``decoded_col`` is replaced.
     """
     kept = [f for f in docs.schema.fields if f.name != decoded_col]
-    schema = T.StructType([*kept, T.StructField(decoded_col, T.StringType(), False)])
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(tokenizer)
-        tokens = pa.array(bpe.tokens, pa.string())
+        tokens = pa.array(load(tokenizer).tokens, pa.string())
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                column = part.column(part.schema.get_field_index(ids_col))
-                column = pc.fill_null(column, pa.scalar([], column.type)) if column.null_count else column
-                flat = np.asarray(column.flatten())
-                starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(column), dtype=np.int64))])
-                known = (flat >= 0) & (flat < bpe.width)
-                if not known.all():
-                    starts = np.concatenate([[0], np.cumsum(known)])[starts]
-                    flat = flat[known]
-                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), tokens.take(pa.array(flat, pa.int32())))
-                yield _with_column(part, names, decoded_col, pc.binary_join(lists, " "))
-
-    return docs.select(*(f"`{n}`" for n in names)).mapInArrow(run, schema)
+                columns = [part.column(part.schema.get_field_index(n)) for n in names]
+                decoded = _decoded(tokens, part.column(part.schema.get_field_index(ids_col)))
+                yield pa.RecordBatch.from_arrays([*columns, decoded], names=[*names, decoded_col])
+
+    schema = T.StructType([*kept, T.StructField(decoded_col, T.StringType(), False)])
+    return docs.select(*(f"`{n}`" for n in names)).mapInArrow(releasing(run), schema)

@@ -48,7 +48,7 @@ REJECT = 0.5
 #: Sites up to which their posteriors are broadcast; more are joined by a shuffle.
 BROADCAST_SITES = 100_000
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _TRIM = ".,;:!?\"'()[]|%*&$#"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Largest log odds a probability is taken for.
@@ -66,7 +66,7 @@ def _byte_classes() -> np.ndarray:
     upper, lower, digit = ((b >= lo) & (b <= hi) for lo, hi in ((65, 90), (97, 122), (48, 57)))
     space, high = np.isin(b, [9, 10, 11, 12, 13, 32]), b >= 128
     mark = ~(upper | lower | digit | space | high) & ~np.isin(b, [ord("."), ord(",")])
-    return np.stack([upper, lower, digit, space, mark, high]).astype(np.int64)
+    return np.stack([upper, lower, digit, space, mark, high]).astype(np.uint8)
 
 
 _BYTE_CLASSES = _byte_classes()
@@ -81,7 +81,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = np.concatenate([[0], np.cumsum(size)])
     count = {}
     for name, row in zip(_CLASSES, _BYTE_CLASSES, strict=True):
-        total = np.concatenate([[0], np.cumsum(row[data])])
+        total = np.concatenate([[0], np.cumsum(row[data], dtype=np.int64)])
         count[name] = total[starts[1:]] - total[starts[:-1]]
     words, codes, offsets = split_words(texts)
     n_words = np.diff(offsets)
@@ -193,12 +193,12 @@ def fit_head(style: np.ndarray, lexical: np.ndarray, starts: np.ndarray, y: np.n
     """The head whose evidence threshold does best on a fifth of the sample, refitted on all of it."""
     if len(y) == 0 or y.min() == y.max():
         return Head(None, None)
-    row = np.repeat(np.arange(len(y)), np.diff(starts))
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))
     aside = np.arange(len(y)) % 5 == 4
     learn = ~aside
     best = (math.inf, LEAST_EVIDENCE[-1])
     if y[learn].min() < y[learn].max() and aside.any():
-        of = np.cumsum(learn) - 1
+        of = (np.cumsum(learn) - 1).astype(np.int32)
         mine = learn[row]
         for least in LEAST_EVIDENCE:
             head = _fit_with(style[learn], lexical[mine], of[row[mine]], y[learn], least)
@@ -233,18 +233,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     sample = rows.select("doc_id", "low", "toxic", "text").mapInArrow(run, f"doc_id {kind}, low double, toxic double, style array<double>, lexical array<int>")
-    table = sample.toArrow().combine_chunks().sort_by("doc_id")
-    heads = {}
-    for name in HEADS:
-        part = table.filter(pc.is_valid(table.column(name)))
-        if part.num_rows == 0:
-            heads[name] = Head(None, None)
-            continue
-        style = np.array(part.column("style").to_pylist(), dtype=np.float64)
-        lists = part.column("lexical").combine_chunks()
-        starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
-        heads[name] = fit_head(style, np.asarray(lists.flatten(), dtype=np.int64), starts, np.asarray(part.column(name), dtype=np.float64))
-    return heads
+    table = sample.toArrow()
+    return {name: _fit_column(table.filter(pc.is_valid(table.column(name))), name) for name in HEADS}
+
+
+def _fit_column(sample: pa.Table, name: str) -> Head:
+    """The head of one label over the sampled rows that have it."""
+    if sample.num_rows == 0:
+        return Head(None, None)
+    sample = sample.take(pc.sort_indices(sample.column("doc_id")))
+    style = np.array(sample.column("style").to_pylist(), dtype=np.float64)
+    lists = sample.column("lexical").combine_chunks()
+    starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+    return fit_head(style, np.asarray(lists.flatten()), starts, np.asarray(sample.column(name), dtype=np.float64))
 
 
 def score(docs: DataFrame, heads: dict[str, Head], text_col: str = "text") -> DataFrame:

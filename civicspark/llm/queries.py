@@ -49,9 +49,8 @@ def op4_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
-    encoded = pair_index_bpe.encode_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    decoded = pair_index_bpe.decode_documents(encoded.select("doc_id", "ids"), path)
-    return decoded.select(
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pair_index_bpe.encode_documents(docs, path, decoded_col="decoded").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -49,8 +49,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add ``ids``, the tokens of each text, and ``decoded``, the text they give back."""
-    path = public_tokenizers.path(TOKENIZER)
-    return pair_index_bpe.decode_documents(pair_index_bpe.encode_documents(docs, path), path)
+    return pair_index_bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), decoded_col="decoded")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
