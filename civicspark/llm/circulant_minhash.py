@@ -35,7 +35,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import TEXT_HASH, byte_slices, few_tasks, hash_words, keyed, mix64, one_row_each, runs, split_words
+from civicspark.llm.common import TEXT_HASH, byte_slices, few_tasks, hash_words, keyed, mix64, one_row_each, release_memory, releasing, runs, split_words
 from civicspark.llm.components import connected_components
 from civicspark.session import materialize, materialize_counted
 
@@ -55,8 +55,8 @@ _GATHER = 4096
 #: New leaders are tried while they yield this many links per undecided bucket member.
 STAR_YIELD = 0.05
 #: Shingles on either side of a cell in which pairs across components are compared.
-CELL_SHINGLES = 1 << 18
-_COLUMNS = 4096
+CELL_SHINGLES = 1 << 17
+_COLUMNS = 2048
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -145,7 +145,7 @@ def sign_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Dat
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", TEXT_HASH, "text").mapInArrow(
-        run, f"doc_id {id_type}, {TEXT_HASH} bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"
+        releasing(run), f"doc_id {id_type}, {TEXT_HASH} bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"
     )
 
 
@@ -164,7 +164,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 data = [shingles[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary()), part.column(2)], names=["node", "shingles", "several"])
 
-    sets = materialize(texts.mapInArrow(run, "node bigint, shingles binary, several boolean"), "shingle-sets")
+    sets = materialize(texts.mapInArrow(releasing(run), "node bigint, shingles binary, several boolean"), "shingle-sets")
     several = sets.where("several").dropDuplicates(["node"])
     return sets.where("NOT several").unionByName(several).drop("several")
 
@@ -192,7 +192,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             good = [jaccard_at_least(p.as_py(), q.as_py(), percent) for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return with_both.mapInArrow(run, "a bigint, b bigint")
+    return with_both.mapInArrow(releasing(run), "a bigint, b bigint")
 
 
 def _similar_sizes(n: Column, m: Column, percent: int) -> Column:
@@ -213,7 +213,7 @@ def _cell_links(percent: int):
         values = [np.frombuffer(b"".join(raw[i] for i in side), np.uint64) for side in (x, y)]
         owners = [np.repeat(np.arange(len(side)), n[side]) for side in (x, y)]
         shared = np.intersect1d(*values)  # other shingles are in no intersection
-        common = np.zeros((len(x), len(y)))
+        common, held = np.zeros((len(x), len(y)), np.float32), []  # counts up to 2^24 are exact
         for at in range(0, len(shared), _COLUMNS):
             part = shared[at : at + _COLUMNS]
             held = []
@@ -224,9 +224,13 @@ def _cell_links(percent: int):
                 table[own[has], place[has]] = 1
                 held.append(table)
             common += held[0] @ held[1].T
-        union = n[x][:, None] + n[y][None, :] - common
-        i, j = np.nonzero((100 * common >= percent * union) & (comp[x][:, None] != comp[y][None, :]))
+        del held, values, owners, raw
+        # 100 * common >= percent * (n_x + n_y - common)
+        close = (100 + percent) * common >= percent * (n[x][:, None] + n[y][None, :]).astype(np.float32)
+        i, j = np.nonzero(close & (comp[x][:, None] != comp[y][None, :]))
         _, once = np.unique(np.stack([i, comp[y][j]]), axis=1, return_index=True)
+        del common, close
+        release_memory()
         return pa.table({"a": pa.array(node[x][i[once]]), "b": pa.array(node[y][j[once]])})
 
     return run

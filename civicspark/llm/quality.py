@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicspark.llm.common import byte_slices, hash_words, mix64, split_words
+from civicspark.llm.common import byte_slices, hash_words, mix64, releasing, split_words
 from civicspark.session import materialize, tuning
 
 #: Most labelled documents the heads are fitted on (those with the smallest hash of their id).
@@ -232,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sample = rows.select("doc_id", "low", "toxic", "text").mapInArrow(run, f"doc_id {kind}, low double, toxic double, style array<double>, lexical array<int>")
+    sample = rows.select("doc_id", "low", "toxic", "text").mapInArrow(releasing(run), f"doc_id {kind}, low double, toxic double, style array<double>, lexical array<int>")
     table = sample.toArrow()
     return {name: _fit_column(table.filter(pc.is_valid(table.column(name))), name) for name in HEADS}
 
@@ -266,7 +266,7 @@ def score(docs: DataFrame, heads: dict[str, Head], text_col: str = "text") -> Da
                 p = [pa.array(heads[h].probabilities(*found)) for h in HEADS]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *p], names=[*names, *new])
 
-    return docs.select(*(f"`{n}`" for n in names)).mapInArrow(run, schema)
+    return docs.select(*(f"`{n}`" for n in names)).mapInArrow(releasing(run), schema)
 
 
 # -- sites --------------------------------------------------------------------------
