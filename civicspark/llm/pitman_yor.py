@@ -15,7 +15,7 @@ hashes of (pair, chain, sweep, customer), so every task that meets a pair
 draws the same seating, and a task that runs again draws it once more.
 
 Scale. Documents are dealt into chunks of bounded size, the one shuffle of
-the texts; all passes read it again. Chunks send each distinct word and word
+the texts; all passes read it again, and the answers of earlier passes too. Chunks send each distinct word and word
 pair once, packed, to buckets by hash, which add up the counts and answer in
 the order asked. So no word, context or pair meets in one task in more rows
 than there are chunks, however frequent it is. Word counts are exact (words
@@ -26,18 +26,19 @@ matched on 48 bits of a hash within their bucket.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import hash_words, mix64, pack, partitions_for, split_words, text_bytes, unpack
+from civicspark.llm.common import hash_words, mix64, pack, partitions_for, runs, split_words, text_bytes, unpack
 
 #: Text bytes in a chunk, and for each bucket.
 CHUNK_BYTES = 8 << 20
 #: Chains of seatings that are averaged, and sweeps through all restaurants for each.
-CHAINS, SWEEPS = 3, 1
+CHAINS, SWEEPS = 3, 2
 #: Discount and strength of the unigram restaurant and of the context restaurants.
 UNIGRAM = (0.6, 1.0)
 CONTEXT = (0.8, 1.0)
@@ -48,10 +49,10 @@ _END, _START = "\n", "\r"  # no word holds white space
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of a hash, after its bucket's bits, that tell words or pairs of a bucket apart.
 _KEY_BYTES = 6
-#: Customers of a dish seated one by one; later ones come in blocks that grow by a third.
-_SINGLY = 12
+#: Customers of a dish seated one by one; later ones come in blocks that grow by a quarter.
+_SINGLY = 48
 
-_WORDS, _PAIRS, _TOTALS, _TABLES, _OWN = range(5)
+_WORDS, _PAIRS, _TOTALS, _TABLES, _OWN = _KINDS = range(5)
 _MESSAGE = "bucket int, chunk int, kind int, data binary"
 
 
@@ -68,15 +69,16 @@ def _unplanes(data: bytes, n: int, at: int = 0) -> np.ndarray:
 
 
 def _key_bytes(hashes: np.ndarray, buckets: int) -> bytes:
-    """Sorted hashes of one bucket: the bits that follow the bucket's own, plane by plane."""
+    """Sorted hashes of one bucket: the bits that follow the bucket's own, as steps from one to the next, plane by plane."""
     rest = (hashes << np.uint64(_bits(buckets))) >> np.uint64(64 - 8 * _KEY_BYTES)
+    rest[1:] -= rest[:-1].copy()
     return np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].T).tobytes()
 
 
 def _keys(data: bytes, n: int, at: int = 0) -> np.ndarray:
     wide = np.zeros((n, 8), np.uint8)
     wide[:, :_KEY_BYTES] = np.frombuffer(data, np.uint8, _KEY_BYTES * n, at).reshape(_KEY_BYTES, n).T
-    return wide.view("<u8").ravel()
+    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
 
 
 def _bits(buckets: int) -> int:
@@ -124,7 +126,7 @@ def seat(key: np.ndarray, customers: np.ndarray, new: np.ndarray, discount: floa
             seated += _uniform(k[:left], seed, n) * (alpha + n - discount * seated) < alpha
             n += 1
         else:
-            step = max(1, n // 3)
+            step = max(1, n // 4)
             until = np.minimum(guests[:left], n + step)
             rate = alpha * np.log((alpha + until - discount * seated) / (alpha + n - discount * seated))
             opened = _poisson(rate, _uniform(k[:left], seed, n), _uniform(k[:left], seed, -n))
@@ -144,6 +146,18 @@ def _cuts(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(first, np.arange(buckets + 1, dtype=np.uint64))
 
 
+def _order(hashes: np.ndarray) -> np.ndarray:
+    """The stable sorting order. First bits and index are sorted as one number, several times faster than by argsort."""
+    index = np.uint64((1 << max(1, len(hashes)).bit_length()) - 1)
+    packed = (hashes & ~index) | np.arange(len(hashes), dtype=np.uint64)
+    packed.sort()
+    order = (packed & index).astype(np.int64)
+    in_order = hashes[order]
+    if (in_order[1:] < in_order[:-1]).any():  # hashes that differ in their last bits only
+        return np.argsort(hashes, kind="stable")
+    return order
+
+
 class _Chunk:
     """Words and word pairs of a chunk, each distinct one in an order that any task finds again."""
 
@@ -153,7 +167,7 @@ class _Chunk:
         words, codes, offsets = split_words(texts)
         words = pa.concat_arrays([words.cast(pa.string()), pa.array([_END, _START], pa.string())])
         h = hash_words(words)
-        order = np.argsort(h, kind="stable")
+        order = _order(h)
         if (h[order][1:] == h[order][:-1]).any():  # one hash for several words: those by their text
             order = np.array(sorted(order.tolist(), key=lambda i: (int(h[i]), words[i].as_py())))
         place = np.empty(len(order), np.int64)
@@ -175,9 +189,15 @@ class _Chunk:
         self.token = token
         self.learned = np.repeat(~np.asarray(docs.column("held_out").combine_chunks(), dtype=bool), n + 1)
 
-        key = mix64(self.hash[before] * _STEP + mix64(self.hash[token]))
-        self.pair, first, self.pair_of = np.unique(key, return_index=True, return_inverse=True)
-        self.context, self.word = before[first], token[first]
+        key = (self.hash * _STEP)[before]
+        key += mix64(self.hash)[token]
+        key = mix64(key)
+        order = _order(key)
+        cut = runs(key[order])
+        self.pair_of = np.empty(len(order), np.int64)
+        self.pair_of[order] = np.repeat(np.arange(len(cut)), np.diff(np.append(cut, len(order))))
+        first = order[cut]
+        self.pair, self.context, self.word = key[first], before[first], token[first]
         self.pair_cut = _cuts(self.pair, buckets)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
@@ -207,12 +227,12 @@ class _Model:
         t = seat(self.chunk.hash >> np.uint64(64 - 8 * _KEY_BYTES), c, np.full(len(c), parent_weight(self.distinct)), discount, parent_seed(chain, state["sweep"]))
         return (c - discount * t + (strength + discount * all_t) * uniform) / (strength + all_c)
 
-    def tables(self, state: dict | None, chain: int, sweep: int) -> np.ndarray:
-        """Tables of each pair, re-seated against the state before."""
+    def tables(self, state: dict | None, chain: int, sweep: int, of: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Tables of each pair, or of those asked for, re-seated against the state before."""
         discount, strength = CONTEXT
         n = self.customers**discount if state is None else state["tables"][chain]
-        new = (strength + discount * n[self.chunk.context]) * self.parent(state, chain)[self.chunk.word]
-        return seat(self.chunk.pair, self.c_pair, new, discount, 1 + 2 * (chain + CHAINS * sweep))
+        new = (strength + discount * n[self.chunk.context[of]]) * self.parent(state, chain)[self.chunk.word[of]]
+        return seat(self.chunk.pair[of], self.c_pair[of], new, discount, 1 + 2 * (chain + CHAINS * sweep))
 
 
 def parent_weight(distinct: int) -> float:
@@ -301,7 +321,10 @@ def _add_counts(chunks: int) -> Callable:
 
 
 def _model_of(docs: pa.Table, answers: pa.Table, buckets: int) -> tuple[_Model, np.ndarray | None, dict | None, dict | None]:
-    """The chunk's model, which pairs it owns, the state of the last sweep and the one before."""
+    """The chunk's model, which pairs it owns, the state of the last sweep and the one before.
+
+    ``answers`` are those of the last pass, or of the counts and the last sweeps together, told apart by :func:`_kind`.
+    """
     chunk = _Chunk(docs, buckets)
     words, pairs = np.zeros(len(chunk.words), np.int64), np.zeros(len(chunk.pair), np.int64)
     owner = np.zeros(len(chunk.pair), bool)
@@ -335,19 +358,40 @@ def _model_of(docs: pa.Table, answers: pa.Table, buckets: int) -> tuple[_Model,
     for b, _, _, data in _rows(answers, _TABLES):
         w = slice(chunk.word_cut[b], chunk.word_cut[b + 1])
         n = w.stop - w.start
-        for c in range(CHAINS):
-            state["tables"][c, w] = _unplanes(data, n, 16 * n * c)
-            state["customers"][c, w] = _unplanes(data, n, 16 * n * c + 8 * n)
+        state["tables"][:, w], state["customers"][:, w] = _unplanes_of(data, n)
+    for sweep in sorted({k // len(_KINDS) - 1 for k in answers.column("kind").to_pylist()} - {-1}):
+        before, state = state, _state(n_words, sweep)
+        for b, _, kind, data in _rows(answers, _kind(_TABLES, sweep), _kind(_TOTALS, sweep)):
+            if kind == _kind(_TOTALS, sweep):
+                state["totals"] += np.frombuffer(data, "<i8").reshape(CHAINS, 2)
+                continue
+            w = slice(chunk.word_cut[b], chunk.word_cut[b + 1])
+            n = w.stop - w.start
+            state["tables"][:, w], state["customers"][:, w] = _unplanes_of(data, n)
     return _Model(chunk, words, pairs, total, distinct), owner, state, before
 
 
+def _kind(kind: int, sweep: int) -> int:
+    """The kind of a message of one sweep among those of several."""
+    return kind + len(_KINDS) * (sweep + 1)
+
+
+def _unplanes_of(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables and customers of all chains."""
+    both = np.stack([_unplanes(data, n, 8 * n * k) for k in range(2 * CHAINS)])
+    return both[::2], both[1::2]
+
+
 def _state(n_words: int, sweep: int) -> dict:
     zeros = np.zeros((CHAINS, n_words), np.int64)
     return {"tables": zeros, "customers": zeros.copy(), "totals": np.zeros((CHAINS, 2), np.int64), "sweep": sweep}
 
 
-def _send_tables(buckets: int, sweep: int) -> Callable:
-    """Chunk: re-seats its pairs and sends the tables of those it owns, by context and by word."""
+def _send_tables(buckets: int, sweep: int, own_rows: bool = True) -> Callable:
+    """Chunk: re-seats the pairs it owns and sends their tables, by context and by word.
+
+    With ``own_rows`` it hands on what it knows, so that the next pass needs no earlier answers.
+    """
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if docs.num_rows == 0:
@@ -357,7 +401,7 @@ def _send_tables(buckets: int, sweep: int) -> Callable:
         n = len(chunk.words)
         stats = []
         for c in range(CHAINS):
-            t = model.tables(state, c, sweep)[owner]
+            t = model.tables(state, c, sweep, owner)
             stats += [np.bincount(chunk.context[owner], t, n).astype(np.int64), np.bincount(chunk.word[owner], t, n).astype(np.int64)]
         rows = []
         for b in range(buckets):
@@ -365,6 +409,8 @@ def _send_tables(buckets: int, sweep: int) -> Callable:
             if w.stop > w.start:
                 head = np.array([model.distinct], "<i8").tobytes() + _key_bytes(chunk.hash[w], buckets)
                 rows.append((b, number, _TABLES, head + b"".join(_planes(s[w]) for s in stats)))
+        if not own_rows:
+            return _messages(rows)
         own = [np.array([model.total, model.distinct, sweep], "<i8").tobytes(), _planes(model.c_word), _planes(model.c_pair), np.packbits(owner).tobytes()]
         if sweep > 0:
             for c in range(CHAINS):
@@ -375,8 +421,12 @@ def _send_tables(buckets: int, sweep: int) -> Callable:
     return run
 
 
-def _add_tables(chunks: int, buckets: int, sweep: int) -> Callable:
-    """Bucket: tables of each context and the parent's customers, and their totals; chunks' own rows pass through."""
+def _add_tables(chunks: int, buckets: int, sweep: int, own_rows: bool = True) -> Callable:
+    """Bucket: tables of each context and the parent's customers, and their totals; chunks' own rows pass through.
+
+    Without ``own_rows`` the answers are marked with their sweep, to be read beside earlier ones.
+    """
+    as_tables, as_totals = (k if own_rows else _kind(k, sweep) for k in (_TABLES, _TOTALS))
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -400,8 +450,8 @@ def _add_tables(chunks: int, buckets: int, sweep: int) -> Callable:
                 # The parent's own seating: each word's customers, seated on its tables.
                 weight = np.full(len(word), parent_weight(distinct))
                 totals[c] = total.sum(), seat(first_bits, total, weight, UNIGRAM[0], parent_seed(c, sweep)).sum()
-            rows += [(bucket, chunk, _TABLES, b"".join(a)) for a, (chunk, _, _) in zip(answers, asked, strict=True)]
-        rows += [(bucket, chunk, _TOTALS, totals.astype("<i8").tobytes()) for chunk in range(chunks)]
+            rows += [(bucket, chunk, as_tables, b"".join(a)) for a, (chunk, _, _) in zip(answers, asked, strict=True)]
+        rows += [(bucket, chunk, as_totals, totals.astype("<i8").tobytes()) for chunk in range(chunks)]
         return _messages(rows)
 
     return run
@@ -474,11 +524,18 @@ def score_documents(
     buckets = 1 << (n - 1).bit_length()
     number = F.pmod(F.xxhash64(F.col(id_col), text), F.lit(n)).cast("int")
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), text.alias("text"), number.alias("chunk"))
-    chunks = rows.groupBy("chunk")
-    answers = chunks.applyInArrow(_send_counts(buckets), _MESSAGE).groupBy("bucket").applyInArrow(_add_counts(n), _MESSAGE)
+
+    def answered(sent: DataFrame, add: Callable) -> DataFrame:
+        return sent.groupBy("bucket").applyInArrow(add, _MESSAGE).repartition(n, "chunk")
+
+    # Texts and answers are dealt out alike and once: a pass reads the exchanges of all earlier answers that it needs.
+    chunks = rows.repartition(n, "chunk").groupBy("chunk")
+    counts, states = answered(chunks.applyInArrow(_send_counts(buckets), _MESSAGE), _add_counts(n)), []
     for sweep in range(sweeps):
-        sent = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_send_tables(buckets, sweep), _MESSAGE)
-        answers = sent.groupBy("bucket").applyInArrow(_add_tables(n, buckets, sweep), _MESSAGE)
+        answers = reduce(DataFrame.union, states[-1:], counts)
+        sent = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_send_tables(buckets, sweep, own_rows=False), _MESSAGE)
+        states.append(answered(sent, _add_tables(n, buckets, sweep, own_rows=False)))
+    answers = reduce(DataFrame.union, states[-2:], counts)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_score(buckets, sweeps), schema)

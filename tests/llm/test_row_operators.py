@@ -257,6 +257,35 @@ def test_seats_follow_the_restaurants_law():
         assert t.mean() == pytest.approx(want, rel=0.05)
 
 
+def test_query_seats_again_given_a_sampled_state(spark):
+    """The query's scores are those of two sweeps, not of one draw from the fixed start."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got, one, two = (
+        {r["doc_id"]: r["score"] for r in out.collect()}
+        for out in (queries.queries()["op6_pitman_yor"](spark, SF_SMALL), P.score_documents(docs, sweeps=1), P.score_documents(docs, chunk_bytes=50_000, sweeps=2))
+    )
+    assert got.keys() == two.keys() and all(got[k] == pytest.approx(two[k], rel=1e-12) for k in got)
+    assert sum(got[k] != pytest.approx(one[k], rel=1e-6) for k in got) > 0.9 * len(got)
+
+
+def test_seats_of_forty_customers_have_the_exact_law():
+    customers, new, discount, n = 40, 30.0, 0.5, 200_000
+    law = np.zeros(customers + 1)
+    law[1] = 1.0
+    for k in range(1, customers):  # customer by customer
+        opens = new / (new + k - discount * np.arange(customers + 1))
+        law = law * (1 - opens) + np.concatenate([[0.0], (law * opens)[:-1]])
+    t = P.seat(P.mix64(np.arange(n, dtype=np.uint64)), np.full(n, customers), np.full(n, new), discount, 1)
+    assert 0.5 * np.abs(np.bincount(t.astype(int), minlength=customers + 1) / n - law).sum() < 0.02
+
+
+def test_hashes_that_differ_in_their_last_bits_are_sorted():
+    h = P.mix64(np.arange(3000, dtype=np.uint64) // np.uint64(2))
+    h[:50] = h[0] ^ np.arange(50, 0, -1, dtype=np.uint64)
+    for x in (h, h[50:], h[:0], h[:1]):
+        assert P._order(x).tolist() == np.argsort(x, kind="stable").tolist()
+
+
 # -- quality ------------------------------------------------------------------------
 
 
