@@ -44,6 +44,7 @@ _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _DATE = "1970-01-01T00:00:00Z"
 _VERSION_LINE = re.compile(rb"WARC/\d\.\d\r?\n")
 _GZIP_MAGIC = b"\x1f\x8b\x08"
+_START = re.compile(rb"WARC/\d\.\d\r?\n|\x1f\x8b\x08")
 _HASHES = ("sha256", "sha1", "md5")
 #: Compressed bytes inflated at a time.
 _INFLATE = 256
@@ -207,7 +208,7 @@ def _parse(data: bytes, at: int, offset: int) -> tuple[Record, int]:
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
-    """What the gzip member at ``at`` inflates to, where it ends and what is wrong with it ('' if nothing).
+    """What the gzip member at ``at`` inflates to, where it (or what was read of it) ends and what is wrong ('' if nothing).
 
     Its CRC and size are checked by zlib; of a broken member the part before the damage is returned.
     """
@@ -216,10 +217,10 @@ def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
         try:
             plain.append(inflate.decompress(data[start : start + _INFLATE]))
         except zlib.error as e:
-            return b"".join(plain), at, f"gzip member: {e}"
+            return b"".join(plain), start + _INFLATE, f"gzip member: {e}"
         if inflate.eof:
             return b"".join(plain), min(start + _INFLATE, len(data)) - len(inflate.unused_data), ""
-    return b"".join(plain), at, "unfinished gzip member"
+    return b"".join(plain), len(data), "unfinished gzip member"
 
 
 def _plain(data: bytes, base: int | None = None) -> Iterator[Record | Gap]:
@@ -246,39 +247,53 @@ def _plain(data: bytes, base: int | None = None) -> Iterator[Record | Gap]:
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """Every valid record of an archive in order, and the byte gaps between them.
 
+    Plain records and gzip members may stand side by side: after a failed check
+    whichever starts first is tried, so a plain record's gzip body costs nothing.
     Gaps of plain archives and of broken gzip members are counted in the
     archive's bytes; a gap inside a sound member has the member's offset and
     the length in uncompressed bytes. A broken member is a gap as a whole, but
     records before its damage are given out when their digest proves them.
     """
-    if _GZIP_MAGIC not in data[:4096] and _VERSION_LINE.search(data[:4096]):
-        yield from _plain(data)
-        return
-    if _GZIP_MAGIC not in data:
-        yield from _plain(data)
-        return
     at, gap, reason = 0, None, ""
+    given, until = [], 0  # records of a broken member, whose bytes hold them once more if they were stored uncompressed
     while at < len(data):
-        plain, end, wrong = _member(data, at) if data[at : at + 3] == _GZIP_MAGIC else (b"", at, "no gzip member")
-        if not wrong and not _VERSION_LINE.search(plain):
-            wrong = "no record in gzip member"
+        found: list[Record | Gap] = []
+        if data[at : at + 3] == _GZIP_MAGIC:
+            plain, end, wrong = _member(data, at)
+            if not wrong and not _VERSION_LINE.search(plain):
+                wrong = "no record in gzip member"
+            found = list(_plain(plain, at))
+            if wrong:  # records before the damage count if their digest proves them whole
+                given, until = [x for x in found if isinstance(x, Record) and _proven(x)], end
+                yield from given
+        else:
+            try:
+                record, end = _parse(data, at, at)
+                if end <= until and any((x.headers, x.block) == (record.headers, record.block) for x in given):
+                    raise _Invalid("part of a broken gzip member")
+                found, wrong = [record], ""
+            except _Invalid as e:
+                wrong = str(e)
         if wrong:
-            # Records before the damage count if their digest proves them whole.
-            yield from (x for x in _plain(plain, at) if isinstance(x, Record) and _proven(x))
             if gap is None:
                 gap, reason = at, wrong
-            found = data.find(_GZIP_MAGIC, at + 1)
-            at = found if found >= 0 else len(data)
+            at = _next_start(data, at + 1)
             continue
         if gap is not None:
             yield Gap(gap, at - gap, reason)
             gap = None
-        yield from _plain(plain, at)
+        yield from found
         at = end
     if gap is not None:
         yield Gap(gap, len(data) - gap, reason)
 
 
+def _next_start(data: bytes, at: int) -> int:
+    """Where the next version line or gzip member may begin, whichever comes first; the end if there is none."""
+    start = _START.search(data, at)
+    return start.start() if start else len(data)
+
+
 _RECORD_SCHEMA = (
     "archive string, offset bigint, kind string, length bigint, reason string, record_id string, refers_to string, "
     "target_uri string, payload_bytes bigint, payload_digest string, stated_digest string, headers map<string,string>, payload binary"

@@ -73,6 +73,32 @@ def test_gzip_members_are_searched():
     assert gaps[0][:2] == (0, len(several))
 
 
+def test_plain_records_with_gzip_bodies():
+    bodies = [gzip.compress(f"page {i} ".encode() * 40) for i in range(4)]
+    records = [_record(i, b) for i, b in enumerate(bodies)]
+    got, gaps = _read(b"".join(records))
+    assert [r[2] for r in got] == bodies and gaps == []
+    # The first record damaged: in its head, in its closing bytes, and beyond the first 4,096 bytes of noise.
+    for bad in (records[0].replace(b"WARC/1.1", b"WURC/1.1"), records[0][:-3], os.urandom(5000).replace(b"\x1f\x8b", b"  ")):
+        got, gaps = _read(bad + b"".join(records[1:]))
+        assert [r[2] for r in got] == bodies[1:] and [g[:2] for g in gaps] == [(0, len(bad))]
+
+
+def test_plain_records_between_gzip_members():
+    inner, outer = _record(1, gzip.compress(b"body " * 50)), gzip.compress(_record(2))
+    got, gaps = _read(outer + inner + outer + b"noise" + inner)
+    assert [r[1] for r in got] == [f"<urn:page:{i}>" for i in (2, 1, 2, 1)]
+    assert gaps == [(2 * len(outer) + len(inner), 5, "no version line")]
+
+
+def test_stored_records_of_a_broken_member_are_read_once():
+    broken = bytearray(gzip.compress(b"".join(_record(i, os.urandom(300)) for i in range(4)), compresslevel=0))
+    broken[-6] ^= 0xFF
+    got, gaps = _read(bytes(broken) + _record(9))
+    assert [r[1] for r in got] == [f"<urn:page:{i}>" for i in (0, 1, 2, 3, 9)]
+    assert gaps[0][0] == 0
+
+
 def test_nothing_to_read():
     assert _read(b"") == ([], [])
     assert _read(b"no archive at all")[1] == [(0, 17, "no version line")]
