@@ -18,15 +18,35 @@ from pyspark.sql import functions as F
 
 from civicspark.llm.common import LOWER, UPPER
 
-#: Terms that reject a url on their own.
-STRICT_TERMS = (
-    "casino", "cheap-pills", "cialis", "escorts", "free-bets", "hentai", "porn", "spam-farm", "viagra", "warez", "xxx",
-)
-#: Terms that reject a url when several different ones occur.
-SOFT_TERMS = (
-    "adult", "bet", "bets", "bonus", "cheap", "crack", "farm", "free", "jackpot", "keygen", "loans", "lottery",
-    "payday", "pills", "poker", "replica", "sexy", "slots", "spam", "torrent",
-)
+#: Terms that reject a url on their own, by category. Site owners take these words for what they offer.
+STRICT_BY_CATEGORY = {
+    "adult": (
+        "adult", "adults", "bdsm", "camgirl", "camgirls", "camsex", "erotic", "erotica", "escort", "escorts", "fetish", "hentai", "hookup", "hookups",
+        "milf", "nsfw", "nude", "nudes", "porn", "porno", "pornography", "sex", "sexcam", "sexcams", "sexy", "stripper", "strippers", "swingers", "xxx",
+    ),
+    "gambling": (
+        "baccarat", "betting", "blackjack", "bookmaker", "bookmakers", "casino", "gamble", "gambling", "jackpot", "jackpots", "poker",
+        "roulette", "sportsbook",
+    ),
+    "pharma": ("ambien", "cialis", "kamagra", "levitra", "modafinil", "phentermine", "tramadol", "viagra", "xanax"),
+    "spam": ("clickbait", "linkfarm", "malware", "phishing", "scam", "scams", "spam", "spammer", "spammy"),
+    "warez": ("crackz", "keygen", "keygens", "nulled", "serialz", "torrent", "torrents", "warez"),
+    "ads": (
+        "ads", "adserver", "adservice", "adtrack", "adtracker", "adtracking", "advert", "adverts", "clicktrack", "clicktracker",
+        "doubleclick", "popunder", "popunders", "webbug",
+    ),
+}
+#: Terms that reject a url when several different ones occur; each of them has harmless uses.
+SOFT_BY_CATEGORY = {
+    "adult": ("cam", "cams", "dating", "girls", "hot", "live", "mature", "singles", "strip", "teen", "teens", "webcam"),
+    "gambling": ("bet", "bets", "bingo", "bonus", "casinos", "lottery", "lotto", "odds", "slots", "spins", "wager", "win", "winner"),
+    "pharma": ("cheap", "diet", "drug", "drugs", "meds", "pharmacy", "pill", "pills", "prescription", "steroids", "weightloss"),
+    "spam": ("cash", "credit", "deal", "deals", "discount", "earn", "farm", "free", "loan", "loans", "money", "offer", "payday", "prize", "replica"),
+    "warez": ("crack", "cracked", "cracks", "hack", "hacks", "iso", "mod", "patch", "pirate", "rip", "serial", "serials"),
+    "tracking": ("ad", "advertising", "affiliate", "banner", "banners", "beacon", "click", "clicks", "pixel", "popup", "popups", "sponsor", "track", "tracker", "tracking"),
+}
+STRICT_TERMS = tuple(sorted({t for terms in STRICT_BY_CATEGORY.values() for t in terms}))
+SOFT_TERMS = tuple(sorted({t for terms in SOFT_BY_CATEGORY.values() for t in terms} - set(STRICT_TERMS)))
 
 #: Largest vocabulary or rule list shipped to the tasks, in characters.
 MAX_LIST_CHARS = 64 << 20

@@ -192,6 +192,24 @@ def test_urls_are_judged(spark):
     assert none.where("verdict <> 'allow'").count() == 0
 
 
+def test_vocabulary_is_general(spark):
+    """Hosts that are in no given table, of every category, and harmless ones beside them."""
+    bad = [
+        "http://adult-videos.test/a", "https://nude.pics.test/", "http://royal-casino.test/", "http://online-betting.test/x", "http://buy-xanax.test/",
+        "http://cheap-meds.test/", "http://phishing-kit.test/", "http://payday-loans.test/", "http://nulled-scripts.test/", "http://my.torrents.test/",
+        "http://ads.news.test/b", "http://pixel-tracker.test/c.gif", "http://ad-banner.test/", "http://x-adult.test/", "http://ads-tracker.test/",
+    ]
+    good = [
+        "http://farm-museum.test/", "http://free-library.test/", "http://adulthood-studies.test/", "http://essex.test/sussex", "http://track-and-field.test/",
+        "http://download.test/adsorption", "http://scampi-recipes.test/", "http://better-slotted.test/", "http://cheap-flights.test/",
+    ]
+    out = U.filter_urls(spark.createDataFrame([(u,) for u in bad + good], "url string")).collect()
+    assert [r["url"] for r in out if r["verdict"] == "block"] == bad
+    hosts = {r["host"] for r in U.filter_urls(spark.read.parquet(f"{SF_SMALL}/pages.parquet")).select("host").distinct().collect()}
+    labels = {label for h in hosts for label in h.split(".")}
+    assert not {t for t in (*U.STRICT_TERMS, *U.SOFT_TERMS) if "-" in t and t in labels}
+
+
 def test_longest_rule_wins_and_lists_are_bounded(spark, monkeypatch):
     rules = [U.SiteRule("block", "b.org", "/x"), U.SiteRule("allow", "org", "/x/long"), U.SiteRule("block", "a.b.org", "/x")]
     by_host = {}
