@@ -56,6 +56,8 @@ _GATHER = 4096
 STAR_YIELD = 0.05
 #: Shingles on either side of a cell in which pairs across components are compared.
 CELL_SHINGLES = 1 << 17
+#: Sets on either side, on average: a cell counts common shingles in a matrix of rows by rows.
+CELL_ROWS = 4096
 _COLUMNS = 2048
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -243,13 +245,16 @@ def _across(members: DataFrame, n_members: int, sets: DataFrame, percent: int) -
     largest component. Buckets with one main component are put together, so a
     class that agrees with a cloud of copies in many bands is compared once;
     members of the main component need no comparison among themselves. Clouds
-    are cut into cells by the size of their sets, and only the links leave a cell.
+    are cut into cells by the size and number of their sets, and only the links leave a cell.
     """
     cloud = members.groupBy("main", "node").agg(F.max("n").alias("n"), F.max("comp").alias("comp"))
     cloud, n_cloud = materialize_counted(few_tasks(cloud, n_members), "clouds")
     minor = F.col("comp") != F.col("main")
-    blocks = cloud.groupBy("main").agg(F.sum("n").alias("all"), F.sum(F.when(minor, F.col("n")).otherwise(0)).alias("minors"))
-    blocks = blocks.select("main", *(F.ceil(F.col(c) / F.lit(CELL_SHINGLES)).cast("int").alias(c) for c in ("all", "minors")))
+    sides = {"all": F.lit(True), "minors": minor}
+    sizes = (F.sum(F.when(of, x).otherwise(0)).alias(f"{c}_{k}") for c, of in sides.items() for k, x in (("n", F.col("n")), ("rows", F.lit(1))))
+    blocks = cloud.groupBy("main").agg(*sizes)
+    cuts = {c: F.greatest(F.col(f"{c}_n") / F.lit(CELL_SHINGLES), F.col(f"{c}_rows") / F.lit(CELL_ROWS)) for c in sides}
+    blocks = blocks.select("main", *(F.ceil(cut).cast("int").alias(c) for c, cut in cuts.items()))
     blocks = materialize(few_tasks(blocks, n_members).where("minors > 0"), "cloud-blocks")
     placed = few_tasks(cloud.join(blocks, "main"), n_cloud)
 

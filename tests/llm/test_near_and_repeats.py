@@ -67,6 +67,27 @@ def test_near_groups(spark, monkeypatch, star_yield, cell):
     assert sum(not r["kept"] for r in got) > 30
 
 
+def test_cells_of_many_short_sets_are_bounded_in_rows(spark, monkeypatch):
+    """Lines that differ in the last of ten words share bands but are not linked (Jaccard 5/7)."""
+    real = M._cell_links
+
+    def bounded(percent):
+        run = real(percent)
+
+        def checked(cell):
+            if cell.num_rows > 400:
+                raise ValueError(f"a cell of {cell.num_rows} rows")
+            return run(cell)
+
+        return checked
+
+    monkeypatch.setattr(M, "_cell_links", bounded)
+    monkeypatch.setattr(M, "CELL_ROWS", 100, raising=False)
+    rows = [(i, f"one two three four five six seven eight nine end{i}") for i in range(600)]
+    got = M.near_groups(documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (6, i) for i, _ in rows}
+
+
 def test_near_groups_null_ids_and_repeated_rows(spark):
     a, b = prose(1, 50), prose(2, 50)
     rows = [(None, a), (7, a), (7, a), (7, b), (9, b + " more"), (None, prose(3, 40)), (11, None), (11, None)]
