@@ -100,10 +100,40 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _draw(k: int) -> str:
+    return f"CAST('0x' || substr(h, {8 * k - 7}, 8) AS BIGINT)"
+
+
+_FILL_IN_MIDDLE = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u
+  FROM documents
+), cut AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least({_draw(1)} % (len(u) + 1), {_draw(2)} % (len(u) + 1)) AS a,
+    greatest({_draw(1)} % (len(u) + 1), {_draw(2)} % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_draw(3)} % 100 >= 50
+      THEN 'plain' WHEN {_draw(4)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), piece AS (
+  SELECT *, coalesce(array_to_string(u[1 : a], ''), '') AS p, coalesce(array_to_string(u[a + 1 : b], ''), '') AS m,
+    coalesce(array_to_string(u[b + 1 : n], ''), '') AS s
+  FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM piece
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": _WARC,
         "op2_url_filter": _url_filter(),
         "op3_block_naming": _EXACT,
         "op8_decontaminate": _CONTAMINATION,
+        "op11_fill_in_middle": _FILL_IN_MIDDLE,
     }

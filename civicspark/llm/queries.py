@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, circulant_minhash, decontaminate, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, warc
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, fill_in_middle, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, warc
 from civicspark.llm.common import show_package
 from civicspark.session import materialize, scratch_path
 
@@ -98,6 +98,13 @@ def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), restored_col="restored")
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    )
+
+
 def _importable(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         show_package(spark)
@@ -118,6 +125,7 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": op8_decontaminate,
         "op9_quality": op9_quality,
         "op10_circulant_minhash": op10_circulant_minhash,
+        "op11_fill_in_middle": op11_fill_in_middle,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _importable(query) for name, query in found.items()}
