@@ -101,11 +101,11 @@ def scratch_scope(spark: SparkSession, name: str):
         yield folder
     finally:
         sc.setLocalProperty(_SCOPE, outer)
-        _delete(spark, folder)
+        delete_path(spark, folder)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Recursively delete ``path`` through the Hadoop file system Spark writes with."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` through the Hadoop file system Spark writes with; a missing path is no error."""
     sc = spark.sparkContext
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
