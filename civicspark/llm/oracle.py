@@ -129,6 +129,43 @@ FROM piece
 """
 
 
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Assign and average, round by round, each as two common table expressions."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(x) AS x, min({entries} * d + e) % {entries} AS e, min({entries} * d + e) // {entries} AS d
+  FROM (SELECT vec_id, part.p, x, e, CAST(list_inner_product(x, x) + list_inner_product(v, v) - 2 * list_inner_product(x, v) AS BIGINT) AS d
+    FROM part JOIN c{r} ON part.p = c{r}.p)
+  GROUP BY vec_id, p
+)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.p, c{r}.e, coalesce(m.v, c{r}.v) AS v
+  FROM c{r} LEFT JOIN (
+    SELECT p, e, list(floor(s / n) ORDER BY i) AS v
+    FROM (SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY p, e, i)
+    GROUP BY p, e
+  ) AS m ON m.p = c{r}.p AND m.e = c{r}.e
+)""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), part AS MATERIALIZED (
+  SELECT vec_id, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) AS t(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS v FROM part QUALIFY e < {entries}
+), {", ".join(steps)}, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(v, lambda c: CAST(c AS BIGINT)), ','), ',' ORDER BY p, e)) AS digest FROM c{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": _WARC,
@@ -136,4 +173,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_block_naming": _EXACT,
         "op8_decontaminate": _CONTAMINATION,
         "op11_fill_in_middle": _FILL_IN_MIDDLE,
+        "op12_vector_codes": _vector_codes(),
     }

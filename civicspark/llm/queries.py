@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, circulant_minhash, decontaminate, fill_in_middle, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, warc
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, fill_in_middle, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, vector_codes, warc
 from civicspark.llm.common import show_package
 from civicspark.session import materialize, scratch_path
 
@@ -105,6 +105,13 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return vector_codes.label_errors(coded.codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(coded.codebooks_sha256()).alias("codebooks_sha256")
+    )
+
+
 def _importable(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         show_package(spark)
@@ -126,6 +133,7 @@ def queries() -> dict[str, Query]:
         "op9_quality": op9_quality,
         "op10_circulant_minhash": op10_circulant_minhash,
         "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_vector_codes": op12_vector_codes,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _importable(query) for name, query in found.items()}
