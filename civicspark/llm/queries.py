@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import block_naming, circulant_minhash, decontaminate, fill_in_middle, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, vector_codes, warc
+from civicspark.llm import block_naming, circulant_minhash, decontaminate, fill_in_middle, html_extract, oracle, pair_index_bpe, pitman_yor, quality, secrets, suffix_radix, url_filter, vector_codes, warc
 from civicspark.llm.common import show_package
 from civicspark.session import materialize, scratch_path
 
@@ -112,6 +112,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def _importable(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         show_package(spark)
@@ -134,6 +138,7 @@ def queries() -> dict[str, Query]:
         "op10_circulant_minhash": op10_circulant_minhash,
         "op11_fill_in_middle": op11_fill_in_middle,
         "op12_vector_codes": op12_vector_codes,
+        "op13_html_extract": op13_html_extract,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _importable(query) for name, query in found.items()}
