@@ -8,11 +8,16 @@ which sends a customer to the parent. Several chains of seatings are sampled;
 their predictive probabilities are averaged into a document's score, from
 which :func:`perplexity` follows.
 
-Gibbs sampling. Given the parent's probabilities and a restaurant's number of
-tables, the seatings of its words are independent, so one sweep re-seats all
-words of all restaurants at once and then the parent. Random numbers are
-hashes of (pair, chain, sweep, customer), so every task that meets a pair
-draws the same seating, and a task that runs again draws it once more.
+Gibbs sampling (:mod:`civicspark.llm.seating`). Given the parent's
+distribution the restaurants are independent, and given an auxiliary Gamma
+number per restaurant so are its dishes. One sweep draws, in this order: the
+parent's distribution from its seating (a Gamma number per word for its tables,
+one more for the tables that nobody sits at, spread evenly over the
+vocabulary); every restaurant's Gamma number given its tables; the tables of
+every dish from their exact conditional law; then the parent's own Gamma number
+and the tables of its words in the same way. Random numbers are hashes of
+(pair or word, chain, sweep), so every task that meets a pair draws the same
+seating, and a task that runs again draws it once more.
 
 Scale. Documents are dealt into chunks of bounded size, the one shuffle of
 the texts; all passes read it again, and the answers of earlier passes too. Chunks send each distinct word and word
@@ -34,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.common import hash_words, mix64, pack, partitions_for, runs, split_words, text_bytes, unpack
+from civicspark.llm.seating import gammas, seat
 
 #: Text bytes in a chunk, and for each bucket.
 CHUNK_BYTES = 8 << 20
@@ -49,10 +55,8 @@ _END, _START = "\n", "\r"  # no word holds white space
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of a hash, after its bucket's bits, that tell words or pairs of a bucket apart.
 _KEY_BYTES = 6
-#: Customers of a dish seated one by one; later ones come in blocks that grow by a quarter.
-_SINGLY = 48
 
-_WORDS, _PAIRS, _TOTALS, _TABLES, _OWN = _KINDS = range(5)
+_WORDS, _PAIRS, _TOTALS, _TABLES = _KINDS = range(4)
 _MESSAGE = "bucket int, chunk int, kind int, data binary"
 
 
@@ -85,58 +89,6 @@ def _bits(buckets: int) -> int:
     return buckets.bit_length() - 1
 
 
-# -- seating ----------------------------------------------------------------------
-
-
-def _uniform(key: np.ndarray, seed: int, n: int) -> np.ndarray:
-    return (mix64(key ^ np.uint64((seed * 0x9E3779B97F4A7C15 + n * 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1)) >> np.uint64(11)) * 2.0**-53
-
-
-def _poisson(rate: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Poisson numbers from uniform ones; for large rates, where it makes no difference, rounded normal ones."""
-    big = rate > 25
-    bell = np.sqrt(-2 * np.log(np.maximum(u, 1e-300))) * np.cos(2 * np.pi * v)
-    out = np.where(big, np.maximum(np.rint(rate + np.sqrt(rate) * bell), 0), 0.0)
-    p = np.exp(-np.where(big, 0.0, rate))
-    total, more = p.copy(), np.flatnonzero(~big & (u > p))
-    while len(more):
-        out[more] += 1
-        p[more] *= rate[more] / out[more]
-        total[more] += p[more]
-        more = more[(u[more] > total[more]) & (p[more] > 1e-15)]
-    return out
-
-
-def seat(key: np.ndarray, customers: np.ndarray, new: np.ndarray, discount: float, seed: int) -> np.ndarray:
-    """Tables that ``customers`` of one dish take when a new table has weight ``new``.
-
-    Customer by customer this is the exact conditional of the seating given
-    the rest of the restaurant; beyond the first ones, blocks of customers
-    open a Poisson number of tables with the same expectation.
-    """
-    tables = (customers > 0).astype(np.float64)
-    # Dishes by falling number of customers: those still being seated are always the first ones.
-    order = np.flatnonzero(customers > 1)
-    order = order[np.argsort(-customers[order], kind="stable")]
-    guests, a, k, t = customers[order], new[order], key[order], tables[order]
-    n, left = 1, len(order)
-    while left:
-        alpha, seated = a[:left], t[:left]
-        if n < _SINGLY:
-            seated += _uniform(k[:left], seed, n) * (alpha + n - discount * seated) < alpha
-            n += 1
-        else:
-            step = max(1, n // 4)
-            until = np.minimum(guests[:left], n + step)
-            rate = alpha * np.log((alpha + until - discount * seated) / (alpha + n - discount * seated))
-            opened = _poisson(rate, _uniform(k[:left], seed, n), _uniform(k[:left], seed, -n))
-            seated += np.minimum(opened, until - n)
-            n += step
-        left = int(np.searchsorted(-guests[:left], -n, "left"))
-    tables[order] = t
-    return tables
-
-
 # -- one chunk of documents -------------------------------------------------------
 
 
@@ -217,31 +169,53 @@ class _Model:
         customers[chunk.start] = words[chunk.end]  # every document starts once
         self.customers = customers
 
-    def parent(self, state: dict | None, chain: int) -> np.ndarray:
-        """Unigram probabilities: of the seated parent, or before the first sweep by relative frequency."""
+    def drawn_parent(self, state: dict | None, chain: int) -> np.ndarray:
+        """The parent's distribution drawn from its seating; before the first sweep relative frequencies."""
         uniform = 1.0 / (self.distinct + 1)
         if state is None:
             return (self.c_word + uniform) / (self.total + 1.0)
+        _, weights = parent_draws(self._parent_key(), state["customers"][chain], self.distinct, state["totals"][chain, 3], chain, state["sweep"])
+        _, all_t, all_w, _ = state["totals"][chain]
+        rest = gammas(_key_of(chain, state["sweep"]), np.array([UNIGRAM[1] + UNIGRAM[0] * all_t]), _seed(_REST, chain, state["sweep"]))[0]
+        return (weights + rest * uniform) / (all_w + rest)
+
+    def parent(self, state: dict, chain: int) -> np.ndarray:
+        """Unigram probabilities that the parent's seating predicts."""
         discount, strength = UNIGRAM
-        c, (all_c, all_t) = state["customers"][chain], state["totals"][chain]
-        t = seat(self.chunk.hash >> np.uint64(64 - 8 * _KEY_BYTES), c, np.full(len(c), parent_weight(self.distinct)), discount, parent_seed(chain, state["sweep"]))
-        return (c - discount * t + (strength + discount * all_t) * uniform) / (strength + all_c)
+        c, (all_c, all_t, _, before) = state["customers"][chain], state["totals"][chain]
+        t, _ = parent_draws(self._parent_key(), c, self.distinct, before, chain, state["sweep"])
+        return (c - discount * t + (strength + discount * all_t) / (self.distinct + 1)) / (strength + all_c)
+
+    def _parent_key(self) -> np.ndarray:
+        return self.chunk.hash >> np.uint64(64 - 8 * _KEY_BYTES)
 
     def tables(self, state: dict | None, chain: int, sweep: int, of: np.ndarray | slice = slice(None)) -> np.ndarray:
-        """Tables of each pair, or of those asked for, re-seated against the state before."""
+        """Tables of each pair, or of those asked for, drawn anew given the state before."""
         discount, strength = CONTEXT
-        n = self.customers**discount if state is None else state["tables"][chain]
-        new = (strength + discount * n[self.chunk.context[of]]) * self.parent(state, chain)[self.chunk.word[of]]
-        return seat(self.chunk.pair[of], self.c_pair[of], new, discount, 1 + 2 * (chain + CHAINS * sweep))
+        n = np.ceil(self.customers**discount) if state is None else state["tables"][chain]
+        x = gammas(self.chunk.hash, np.where(n > 0, strength / discount + n, 0.0), _seed(_CONTEXT, chain, sweep))
+        weight = discount * x[self.chunk.context[of]] * self.drawn_parent(state, chain)[self.chunk.word[of]]
+        return seat(self.chunk.pair[of], self.c_pair[of], weight, discount, _seed(_PAIR, chain, sweep))
 
 
-def parent_weight(distinct: int) -> float:
-    """Weight of a new table in the parent, whose every word has one at least."""
-    return (UNIGRAM[1] + UNIGRAM[0] * distinct) / (distinct + 1)
+_PAIR, _CONTEXT, _PARENT, _PARENT_GAMMA, _WEIGHT, _REST = range(6)
 
 
-def parent_seed(chain: int, sweep: int) -> int:
-    return 2 * (chain + CHAINS * sweep)
+def _seed(kind: int, chain: int, sweep: int) -> int:
+    """A seed of its own for every kind of draw, chain and sweep."""
+    return 1 + kind + 6 * (chain + CHAINS * sweep)
+
+
+def _key_of(chain: int, sweep: int) -> np.ndarray:
+    return mix64(np.array([1 + chain + CHAINS * sweep], np.uint64))
+
+
+def parent_draws(key: np.ndarray, customers: np.ndarray, distinct: int, tables_before: float, chain: int, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of the parent's words, given how many it had in all before, and the Gamma numbers of what sits at them."""
+    discount, strength = UNIGRAM
+    x = gammas(_key_of(chain, sweep), np.array([strength / discount + tables_before]), _seed(_PARENT_GAMMA, chain, sweep))[0]
+    t = seat(key, customers, np.full(len(key), discount * x / (distinct + 1)), discount, _seed(_PARENT, chain, sweep))
+    return t, gammas(key, customers - discount * t, _seed(_WEIGHT, chain, sweep))
 
 
 # -- passes -------------------------------------------------------------------------
@@ -320,29 +294,15 @@ def _add_counts(chunks: int) -> Callable:
     return run
 
 
-def _model_of(docs: pa.Table, answers: pa.Table, buckets: int) -> tuple[_Model, np.ndarray | None, dict | None, dict | None]:
+def _model_of(docs: pa.Table, answers: pa.Table, buckets: int) -> tuple[_Model, np.ndarray, dict | None, dict | None]:
     """The chunk's model, which pairs it owns, the state of the last sweep and the one before.
 
-    ``answers`` are those of the last pass, or of the counts and the last sweeps together, told apart by :func:`_kind`.
+    ``answers`` are those of the counts and of the last sweeps, told apart by :func:`_kind`.
     """
     chunk = _Chunk(docs, buckets)
     words, pairs = np.zeros(len(chunk.words), np.int64), np.zeros(len(chunk.pair), np.int64)
     owner = np.zeros(len(chunk.pair), bool)
     total = distinct = 0
-    n_words, n_pairs = len(words), len(pairs)
-    before = state = None
-    for _, _, _, data in _rows(answers, _OWN):
-        total, distinct, sweep = (int(x) for x in np.frombuffer(data, "<i8", 3))
-        words, at = _unplanes(data, n_words, 24), 24 + 8 * n_words
-        pairs, at = _unplanes(data, n_pairs, at), at + 8 * n_pairs
-        owner, at = np.unpackbits(np.frombuffer(data, np.uint8, (n_pairs + 7) // 8, at), count=n_pairs).astype(bool), at + (n_pairs + 7) // 8
-        if sweep > 0:
-            before = _state(n_words, sweep - 1)
-            for c in range(CHAINS):
-                before["tables"][c], at = _unplanes(data, n_words, at), at + 8 * n_words
-                before["customers"][c], at = _unplanes(data, n_words, at), at + 8 * n_words
-                before["totals"][c], at = np.frombuffer(data, "<i8", 2, at).copy(), at + 16
-        state = _state(n_words, sweep)
     for b, _, kind, data in _rows(answers, _WORDS, _PAIRS, _TOTALS):
         if kind == _WORDS:
             words[chunk.word_cut[b] : chunk.word_cut[b + 1]] = _unplanes(data, chunk.word_cut[b + 1] - chunk.word_cut[b])
@@ -351,23 +311,19 @@ def _model_of(docs: pa.Table, answers: pa.Table, buckets: int) -> tuple[_Model,
             n = p.stop - p.start
             pairs[p] = _unplanes(data, n)
             owner[p] = np.unpackbits(np.frombuffer(data, np.uint8, (n + 7) // 8, 8 * n), count=n).astype(bool)
-        elif state is None:
-            total, distinct = (x + int(y) for x, y in zip((total, distinct), np.frombuffer(data, "<i8"), strict=True))
         else:
-            state["totals"] += np.frombuffer(data, "<i8").reshape(CHAINS, 2)
-    for b, _, _, data in _rows(answers, _TABLES):
-        w = slice(chunk.word_cut[b], chunk.word_cut[b + 1])
-        n = w.stop - w.start
-        state["tables"][:, w], state["customers"][:, w] = _unplanes_of(data, n)
+            total, distinct = (x + int(y) for x, y in zip((total, distinct), np.frombuffer(data, "<i8"), strict=True))
+    before = state = None
     for sweep in sorted({k // len(_KINDS) - 1 for k in answers.column("kind").to_pylist()} - {-1}):
-        before, state = state, _state(n_words, sweep)
+        before, state = state, _state(len(words), sweep)
         for b, _, kind, data in _rows(answers, _kind(_TABLES, sweep), _kind(_TOTALS, sweep)):
             if kind == _kind(_TOTALS, sweep):
-                state["totals"] += np.frombuffer(data, "<i8").reshape(CHAINS, 2)
+                more = np.frombuffer(data, "<f8").reshape(CHAINS, 4)
+                state["totals"][:, :3] += more[:, :3]
+                state["totals"][:, 3] = np.maximum(state["totals"][:, 3], more[:, 3])
                 continue
             w = slice(chunk.word_cut[b], chunk.word_cut[b + 1])
-            n = w.stop - w.start
-            state["tables"][:, w], state["customers"][:, w] = _unplanes_of(data, n)
+            state["tables"][:, w], state["customers"][:, w] = _unplanes_of(data, w.stop - w.start)
     return _Model(chunk, words, pairs, total, distinct), owner, state, before
 
 
@@ -383,15 +339,13 @@ def _unplanes_of(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _state(n_words: int, sweep: int) -> dict:
+    """Of each chain: tables by context, the parent's customers by word, and the parent's customers, tables, weights and tables before."""
     zeros = np.zeros((CHAINS, n_words), np.int64)
-    return {"tables": zeros, "customers": zeros.copy(), "totals": np.zeros((CHAINS, 2), np.int64), "sweep": sweep}
-
+    return {"tables": zeros, "customers": zeros.copy(), "totals": np.zeros((CHAINS, 4)), "sweep": sweep}
 
-def _send_tables(buckets: int, sweep: int, own_rows: bool = True) -> Callable:
-    """Chunk: re-seats the pairs it owns and sends their tables, by context and by word.
 
-    With ``own_rows`` it hands on what it knows, so that the next pass needs no earlier answers.
-    """
+def _send_tables(buckets: int, sweep: int) -> Callable:
+    """Chunk: draws the tables of the pairs it owns and sends them, by context and by word."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if docs.num_rows == 0:
@@ -403,55 +357,47 @@ def _send_tables(buckets: int, sweep: int, own_rows: bool = True) -> Callable:
         for c in range(CHAINS):
             t = model.tables(state, c, sweep, owner)
             stats += [np.bincount(chunk.context[owner], t, n).astype(np.int64), np.bincount(chunk.word[owner], t, n).astype(np.int64)]
+        # At first the parent has one table per word.
+        head = np.array([model.distinct, *([model.distinct] * CHAINS if state is None else state["totals"][:, 1])], "<f8").tobytes()
         rows = []
         for b in range(buckets):
             w = slice(chunk.word_cut[b], chunk.word_cut[b + 1])
             if w.stop > w.start:
-                head = np.array([model.distinct], "<i8").tobytes() + _key_bytes(chunk.hash[w], buckets)
-                rows.append((b, number, _TABLES, head + b"".join(_planes(s[w]) for s in stats)))
-        if not own_rows:
-            return _messages(rows)
-        own = [np.array([model.total, model.distinct, sweep], "<i8").tobytes(), _planes(model.c_word), _planes(model.c_pair), np.packbits(owner).tobytes()]
-        if sweep > 0:
-            for c in range(CHAINS):
-                own += [_planes(state["tables"][c]), _planes(state["customers"][c]), state["totals"][c].astype("<i8").tobytes()]
-        rows.append((number % buckets, number, _OWN, b"".join(own)))
+                rows.append((b, number, _TABLES, head + _key_bytes(chunk.hash[w], buckets) + b"".join(_planes(s[w]) for s in stats)))
         return _messages(rows)
 
     return run
 
 
-def _add_tables(chunks: int, buckets: int, sweep: int, own_rows: bool = True) -> Callable:
-    """Bucket: tables of each context and the parent's customers, and their totals; chunks' own rows pass through.
+def _add_tables(chunks: int, buckets: int, sweep: int) -> Callable:
+    """Bucket: tables of each context and the parent's customers, and the totals of the parent's own draws.
 
-    Without ``own_rows`` the answers are marked with their sweep, to be read beside earlier ones.
+    The answers are marked with their sweep, to be read beside earlier ones.
     """
-    as_tables, as_totals = (k if own_rows else _kind(k, sweep) for k in (_TABLES, _TOTALS))
+    head = 8 * (1 + CHAINS)
 
     def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        rows = [(bucket, chunk, _OWN, data) for _, chunk, _, data in _rows(table, _OWN)]
-        asked = [(chunk, data, (len(data) - 8) // (_KEY_BYTES + 16 * CHAINS)) for _, chunk, _, data in _rows(table, _TABLES)]
-        totals = np.zeros((CHAINS, 2), np.int64)
+        bucket, rows = table.column("bucket")[0].as_py(), []
+        asked = [(chunk, data, (len(data) - head) // (_KEY_BYTES + 16 * CHAINS)) for _, chunk, _, data in _rows(table, _TABLES)]
+        totals = np.zeros((CHAINS, 4))
         if asked:
-            distinct = int(np.frombuffer(asked[0][1], "<i8", 1)[0])
-            word, index = np.unique(np.concatenate([_keys(data, n, 8) for _, data, n in asked]), return_inverse=True)
+            distinct, *before = np.frombuffer(asked[0][1], "<f8", 1 + CHAINS).tolist()
+            word, index = np.unique(np.concatenate([_keys(data, n, head) for _, data, n in asked]), return_inverse=True)
             bits = _bits(buckets)
             first_bits = (word >> np.uint64(bits)) | np.uint64(bucket << (8 * _KEY_BYTES - bits))  # of the whole hash, as chunks have it
             answers: list[list[bytes]] = [[] for _ in asked]
             for c in range(CHAINS):
                 for k in range(2):
                     total = np.zeros(len(word), np.int64)
-                    np.add.at(total, index, np.concatenate([_unplanes(data, n, 8 + _KEY_BYTES * n + 8 * n * (2 * c + k)) for _, data, n in asked]))
+                    np.add.at(total, index, np.concatenate([_unplanes(data, n, head + _KEY_BYTES * n + 8 * n * (2 * c + k)) for _, data, n in asked]))
                     at = 0
                     for answer, (_, _, n) in zip(answers, asked, strict=True):
                         answer.append(_planes(total[index[at : at + n]]))
                         at += n
-                # The parent's own seating: each word's customers, seated on its tables.
-                weight = np.full(len(word), parent_weight(distinct))
-                totals[c] = total.sum(), seat(first_bits, total, weight, UNIGRAM[0], parent_seed(c, sweep)).sum()
-            rows += [(bucket, chunk, as_tables, b"".join(a)) for a, (chunk, _, _) in zip(answers, asked, strict=True)]
-        rows += [(bucket, chunk, as_totals, totals.astype("<i8").tobytes()) for chunk in range(chunks)]
+                t, weights = parent_draws(first_bits, total, int(distinct), before[c], c, sweep)  # every word's customers, on its tables
+                totals[c] = total.sum(), t.sum(), weights.sum(), before[c]
+            rows += [(bucket, chunk, _kind(_TABLES, sweep), b"".join(a)) for a, (chunk, _, _) in zip(answers, asked, strict=True)]
+        rows += [(bucket, chunk, _kind(_TOTALS, sweep), totals.astype("<f8").tobytes()) for chunk in range(chunks)]
         return _messages(rows)
 
     return run
@@ -533,8 +479,8 @@ def score_documents(
     counts, states = answered(chunks.applyInArrow(_send_counts(buckets), _MESSAGE), _add_counts(n)), []
     for sweep in range(sweeps):
         answers = reduce(DataFrame.union, states[-1:], counts)
-        sent = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_send_tables(buckets, sweep, own_rows=False), _MESSAGE)
-        states.append(answered(sent, _add_tables(n, buckets, sweep, own_rows=False)))
+        sent = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_send_tables(buckets, sweep), _MESSAGE)
+        states.append(answered(sent, _add_tables(n, buckets, sweep)))
     answers = reduce(DataFrame.union, states[-2:], counts)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"

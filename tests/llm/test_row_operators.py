@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import json
 import math
 import random
@@ -20,6 +21,7 @@ from civicspark.llm import pair_index_bpe as B
 from civicspark.llm import pitman_yor as P
 from civicspark.llm import quality as Q
 from civicspark.llm import queries
+from civicspark.llm import seating as G
 from civicspark.llm import secrets as S
 from tests.conftest import SF_SMALL
 from tests.llm.frames import WHITE_WORDS, corpus, documents, low, prose
@@ -208,53 +210,207 @@ def test_nothing_to_learn_from(spark):
     assert [(r["train_tokens"], r["n_known"], r["base_score"], r["score"]) for r in out] == [(0, 0, 0.0, 0.0)] * 2
 
 
-@pytest.mark.parametrize("sweeps", [1, 3])
-def test_predictive_probabilities_add_up(sweeps):
-    """Over the vocabulary and one unknown word, in every context, whatever the seating."""
-    rnd = random.Random(3)
-    texts = [" ".join(rnd.choice("aabbbcde") for _ in range(rnd.randrange(1, 30))) for _ in range(40)]
-    words = sorted({w for t in texts for w in t.split()})
-    probes = [f"{u} {w}" for u in [*words, "unseen"] for w in [*words, "new"]]
+def _seated(texts, probes, sweeps, n=4):
+    """The model of one chunk after each sweep, by the passes that the query runs."""
     table = pa.table({
         "chunk": pa.array([0] * (len(texts) + len(probes)), pa.int32()), "doc_id": pa.array(range(len(texts) + len(probes)), pa.int64()),
         "held_out": pa.array([False] * len(texts) + [True] * len(probes)), "text": pa.array([*texts, *probes]),
     })
-    n = 4
 
     def buckets(messages, add):
         return pa.concat_tables([add(messages.filter(pa.compute.equal(messages["bucket"], b))) for b in range(n) if b in messages["bucket"].to_pylist()])
 
-    answers = buckets(P._send_counts(n)(table), P._add_counts(1))
+    counts, states = buckets(P._send_counts(n)(table), P._add_counts(1)), []
     for sweep in range(sweeps):
-        answers = buckets(P._send_tables(n, sweep)(table, answers), P._add_tables(1, n, sweep))
-    model, _, state, before = P._model_of(table, answers, n)
+        answers = pa.concat_tables([counts, *states[-1:]])
+        states.append(buckets(P._send_tables(n, sweep)(table, answers), P._add_tables(1, n, sweep)))
+        yield P._model_of(table, pa.concat_tables([counts, *states[-2:]]), n)
+
+
+def _predictions(model, state, before, chain):
+    """The parent's probabilities and, per pair of the chunk, its tables and probability."""
     chunk, (discount, strength) = model.chunk, P.CONTEXT
-    place = {w: i for i, w in enumerate(chunk.words.to_pylist())}
-    pair_at = {(int(u), int(w)): k for k, (u, w) in enumerate(zip(chunk.context, chunk.word))}
-    for c in range(P.CHAINS):
-        t, parent = model.tables(before, c, sweeps - 1), model.parent(state, c)
-        known = [place[w] for w in [*words, "\n"]]
-        assert parent[known].sum() + parent[place["new"]] == pytest.approx(1.0)
-        tables = np.bincount(chunk.context, t, len(place))
-        assert np.allclose(tables, state["tables"][c])
-        for u in [place[x] for x in words]:
-            total = 0.0
-            for w in [*known, place["new"]]:
-                k = pair_at.get((u, w))
-                count, own = (model.c_pair[k], t[k]) if k is not None else (0, 0.0)
-                total += (count - discount * own + (strength + discount * state["tables"][c][u]) * parent[w]) / (strength + model.customers[u])
-            assert total == pytest.approx(1.0)
-
-
-def test_seats_follow_the_restaurants_law():
+    t, parent = model.tables(before, chain, state["sweep"]), model.parent(state, chain)
+    fresh = strength + discount * state["tables"][chain][chunk.context]
+    return parent, t, (model.c_pair - discount * t + fresh * parent[chunk.word]) / (strength + model.customers[chunk.context])
+
+
+def test_predictive_probabilities_add_up():
+    """Over the vocabulary and one unknown word, in every context, whatever the seating."""
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice("aabbbcde") for _ in range(rnd.randrange(1, 30))) for _ in range(40)]
+    words = sorted({w for t in texts for w in t.split()})
+    probes = [f"{u} {w}" for u in [*words, "unseen"] for w in [*words, "new"]]
+    for model, _, state, before in _seated(texts, probes, 3):
+        chunk, (discount, strength) = model.chunk, P.CONTEXT
+        place = {w: i for i, w in enumerate(chunk.words.to_pylist())}
+        pair_at = {(int(u), int(w)): k for k, (u, w) in enumerate(zip(chunk.context, chunk.word))}
+        for c in range(P.CHAINS):
+            parent, t, p = _predictions(model, state, before, c)
+            known = [place[w] for w in [*words, "\n"]]
+            assert parent[known].sum() + parent[place["new"]] == pytest.approx(1.0)
+            assert np.allclose(np.bincount(chunk.context, t, len(place)), state["tables"][c])
+            assert np.allclose(np.bincount(chunk.word, t, len(place)), state["customers"][c])
+            drawn = model.drawn_parent(state, c)
+            assert drawn[known].sum() + drawn[place["new"]] == pytest.approx(1.0)
+            for u in [place[x] for x in words]:
+                total = 0.0
+                for w in [*known, place["new"]]:
+                    k = pair_at.get((u, w))
+                    fresh = (strength + discount * state["tables"][c][u]) * parent[w] / (strength + model.customers[u])
+                    total += p[k] if k is not None else fresh
+                assert total == pytest.approx(1.0)
+
+
+# A slow sampler of the same model, customer by customer, with every table's size.
+
+
+class _Restaurant:
+    def __init__(self, discount, strength, base):
+        self.discount, self.strength, self.base, self.tables = discount, strength, base, {}
+
+    def probability(self, w):
+        sizes = self.tables.get(w, [])
+        all_c, all_t = sum(map(sum, self.tables.values())), sum(map(len, self.tables.values()))
+        return (sum(sizes) - self.discount * len(sizes) + (self.strength + self.discount * all_t) * self.base.probability(w)) / (self.strength + all_c)
+
+    def enter(self, w, rnd):
+        sizes = self.tables.setdefault(w, [])
+        weights = [s - self.discount for s in sizes]
+        weights.append((self.strength + self.discount * sum(map(len, self.tables.values()))) * self.base.probability(w))
+        k = rnd.choices(range(len(weights)), weights)[0]
+        if k == len(sizes):
+            sizes.append(0)
+            self.base.enter(w, rnd)
+        sizes[k] += 1
+
+    def leave(self, w, rnd):
+        sizes = self.tables[w]
+        k = rnd.choices(range(len(sizes)), sizes)[0]
+        sizes[k] -= 1
+        if not sizes[k]:
+            del sizes[k]
+            self.base.leave(w, rnd)
+
+
+class _Even:
+    def __init__(self, n):
+        self.n = n
+
+    def probability(self, _):
+        return 1 / self.n
+
+    def enter(self, *_):
+        pass
+
+    leave = enter
+
+
+def test_scores_are_those_of_a_slow_sampler():
+    rnd = random.Random(11)
+    texts = [" ".join(rnd.choice(["a", "a", "b", "b", "c", "d", f"w{k}"]) for _ in range(rnd.randrange(2, 9))) for k in range(12)]
+    vocabulary = sorted({w for t in texts for w in t.split()} | {"\n"})
+    pairs = [p for t in texts for p in zip(["\r", *t.split()], [*t.split(), "\n"], strict=True)]
+    asked = sorted({*pairs, *((u, w) for u in "abc" for w in ("a", "b", "c", "d", "new"))})
+    parent = _Restaurant(P.UNIGRAM[0], P.UNIGRAM[1], _Even(len(vocabulary) + 1))
+    rooms = {u: _Restaurant(P.CONTEXT[0], P.CONTEXT[1], parent) for u in {p[0] for p in pairs}}
+    for u, w in pairs:
+        rooms[u].enter(w, rnd)
+    slow, n = dict.fromkeys(asked, 0.0), 0
+    for sweep in range(900):
+        for u, w in pairs:
+            rooms[u].leave(w, rnd)
+            rooms[u].enter(w, rnd)
+        if sweep >= 30 and sweep % 2:
+            n += 1
+            for u, w in asked:
+                slow[u, w] += rooms[u].probability(w)
+    fast, m = dict.fromkeys(asked, 0.0), 0
+    probes = [f"{u} {w}" for u in "abc" for w in ("a", "b", "c", "d", "new")]
+    for model, _, state, before in _seated(texts, probes, 300):
+        if state["sweep"] < 5:
+            continue
+        name = model.chunk.words.to_pylist()
+        for c in range(P.CHAINS):
+            m += 1
+            for u, w, p in zip(model.chunk.context, model.chunk.word, _predictions(model, state, before, c)[2], strict=True):
+                if (name[u], name[w]) in fast:
+                    fast[name[u], name[w]] += p
+    ratio = np.array([fast[p] / m / (slow[p] / n) for p in asked])
+    assert np.abs(np.log(ratio)).max() < 0.06 and abs(np.log(ratio).mean()) < 0.01
+
+
+# -- the seating draws --------------------------------------------------------------
+
+
+def _partitions(n):
+    """Sizes of the blocks of every partition of n customers."""
+    found = [[1]]
+    for _ in range(n - 1):
+        found = [[*p[:k], p[k] + 1, *p[k + 1 :]] for p in found for k in range(len(p))] + [[*p, 1] for p in found]
+    return found
+
+
+def _weights(n, discount):
+    """Sum of the seatings' weights by number of tables, by enumeration."""
+    total = np.zeros(n + 1)
+    for sizes in _partitions(n):
+        total[len(sizes)] += math.prod(math.prod(j - discount for j in range(1, s)) for s in sizes)
+    return total
+
+
+@pytest.mark.parametrize("discount", [0.8, 0.6])
+def test_stirling_numbers_are_sums_over_seatings(discount):
+    for n in range(1, 9):
+        assert np.allclose(np.exp(G.log_stirling(discount)[n, : n + 1]), _weights(n, discount))
+
+
+@pytest.mark.parametrize("dishes", [[(8, 0.3)], [(5, 0.05)], [(8, 0.001)], [(6, 0.3), (7, 0.05)], [(4, 0.05), (8, 0.001)]])
+def test_tables_follow_the_restaurants_law(dishes):
+    """Sweeps of the Gamma number and of the dishes reach the law that enumeration of all seatings gives."""
+    discount, strength, chains = 0.8, 1.0, 60_000
+    key = P.mix64(np.arange(chains, dtype=np.uint64))
+    t = [np.ones(chains) for _ in dishes]
+    for sweep in range(25):
+        x = G.gammas(key, strength / discount + sum(t), 7 * sweep)
+        t = [G.seat(P.mix64(key + np.uint64(k)), np.full(chains, n), discount * x * p, discount, 7 * sweep + 1 + k) for k, (n, p) in enumerate(dishes)]
+    law = {}
+    for ts in itertools.product(*(range(1, n + 1) for n, _ in dishes)):
+        rest = math.prod(strength + i * discount for i in range(1, sum(ts)))
+        law[ts] = rest * math.prod(_weights(n, discount)[k] * p**k for (n, p), k in zip(dishes, ts, strict=True))
+    whole = sum(law.values())
+    got = Counter(zip(*(x.astype(int).tolist() for x in t), strict=True))
+    assert 0.5 * sum(abs(got[k] / chains - v / whole) for k, v in law.items()) < 0.01
+
+
+@pytest.mark.parametrize("discount", [0.8, 0.6])
+@pytest.mark.parametrize("n", [1, 2, 40, 512, 513, 1500])
+def test_draws_follow_the_tabled_law(n, discount):
+    key = P.mix64(np.arange(100_000, dtype=np.uint64))
+    for weight in (1e-4, 0.3, 3.0, 20.0, 60.0, 200.0):
+        logs = G.log_stirling(discount, n + 1)[n, 1 : n + 1] + np.arange(1, n + 1) * math.log(weight)
+        law = np.exp(logs - logs.max())
+        law /= law.sum()
+        got = np.bincount(G.seat(key, np.full(len(key), n), np.full(len(key), weight), discount, 5).astype(int), minlength=n + 1)[1:] / len(key)
+        noise = 0.5 * np.sqrt(2 / math.pi * law * (1 - law) / len(key)).sum()
+        assert len(got) == n and 0.5 * np.abs(got - law).sum() < 1.5 * noise + 0.01, weight
+
+
+def test_draws_for_millions_of_customers():
+    """Beyond any table: mean and spread of many tables lie where the law's saddle point puts them."""
+    key = P.mix64(np.arange(20_000, dtype=np.uint64))
+    for n, weight in ((10**6, 2.0), (10**6, 5000.0), (10**9, 300.0)):
+        t = G.seat(key, np.full(len(key), n), np.full(len(key), weight), 0.8, 5)
+        few = weight / 0.8  # tables but one are nearly Poisson where customers are many
+        assert t.min() >= 1 and t.mean() == pytest.approx(1 + few, rel=0.03) and t.std() == pytest.approx(few**0.5, rel=0.1)
+
+
+def test_gamma_numbers():
     key = P.mix64(np.arange(200_000, dtype=np.uint64))
-    for customers, new in ((2, 0.5), (10, 2.0), (400, 3.0), (5000, 400.0)):
-        t = P.seat(key, np.full(len(key), customers), np.full(len(key), new), 0.5, 1)
-        assert t.min() >= 1 and t.max() <= customers
-        want = 0.0  # expected tables: each customer opens one with probability new / (new + n - d t); mean-field recursion
-        for n in range(customers):
-            want += 1.0 if n == 0 else new / (new + n - 0.5 * want)
-        assert t.mean() == pytest.approx(want, rel=0.05)
+    for shape in (0.2, 0.9, 1.0, 3.5, 400.0):
+        g = G.gammas(key, np.full(len(key), shape), 3)
+        assert g.mean() == pytest.approx(shape, rel=0.02) and g.var() == pytest.approx(shape, rel=0.04)
+    assert G.gammas(key[:3], np.zeros(3), 1).tolist() == [0, 0, 0]
 
 
 def test_query_seats_again_given_a_sampled_state(spark):
@@ -268,17 +424,6 @@ def test_query_seats_again_given_a_sampled_state(spark):
     assert sum(got[k] != pytest.approx(one[k], rel=1e-6) for k in got) > 0.9 * len(got)
 
 
-def test_seats_of_forty_customers_have_the_exact_law():
-    customers, new, discount, n = 40, 30.0, 0.5, 200_000
-    law = np.zeros(customers + 1)
-    law[1] = 1.0
-    for k in range(1, customers):  # customer by customer
-        opens = new / (new + k - discount * np.arange(customers + 1))
-        law = law * (1 - opens) + np.concatenate([[0.0], (law * opens)[:-1]])
-    t = P.seat(P.mix64(np.arange(n, dtype=np.uint64)), np.full(n, customers), np.full(n, new), discount, 1)
-    assert 0.5 * np.abs(np.bincount(t.astype(int), minlength=customers + 1) / n - law).sum() < 0.02
-
-
 def test_hashes_that_differ_in_their_last_bits_are_sorted():
     h = P.mix64(np.arange(3000, dtype=np.uint64) // np.uint64(2))
     h[:50] = h[0] ^ np.arange(50, 0, -1, dtype=np.uint64)
