@@ -7,14 +7,21 @@ checksum or structure are reported only when that is valid:
 
 ``github`` and ``npm`` tokens end in the CRC-32 of their random part, in six
 base-62 digits; a ``jwt`` has a JSON object with an ``alg`` as its header and a
-JSON object as its payload; a ``pem`` private key block must be closed by the
-matching line.
+JSON object as its payload; a ``pem`` private key block, encrypted ones too,
+must be closed by the matching line; an extended private key (``xprv``) ends in
+four bytes of its double SHA-256; ``age`` and ``nsec`` secret keys carry a
+Bech32 checksum.
+
+Time is linear in the text: keyword hits of one kind come in order, a match is
+not entered again, and neither is a run of characters in which a token could
+not be completed (whichever hit of the run it began at, it would go on alike).
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import hashlib
 import json
 import re
 import string
@@ -30,7 +37,7 @@ from pyspark.sql import types as T
 from civicspark.llm.common import LOWER, UPPER, byte_slices
 
 #: Kinds in the order in which spans that start together are listed.
-KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "pem")
+KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "pem", "xprv", "age", "nsec")
 BASE_KINDS = KINDS[:3]
 
 SLICE_BYTES = 8 << 20
@@ -45,8 +52,13 @@ _MIN_ASSIGN, _MIN_ACCESS, _MIN_HEX = 6, 20, 24
 
 _GITHUB = re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 _NPM = re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----")
+_JWT = re.compile(r"eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++")
+_JWT_RUN = re.compile(r"[A-Za-z0-9_-]*+")
+# Lines of headers ("Proc-Type: 4,ENCRYPTED") may come before the key; nothing within holds five hyphens.
+_PEM = re.compile(r"-----BEGIN ([A-Z ]*+(?<=PRIVATE KEY))-----\s*+(?:[A-Za-z0-9-]++:(?:(?!-----)[^\n])*+\n\s*+)*+[A-Za-z0-9+/=\s]++-----END \1-----")
+_XPRV = re.compile(r"xprv[1-9A-HJ-NP-Za-km-z]{107}(?![1-9A-HJ-NP-Za-km-z])")
+_AGE = re.compile(r"AGE-SECRET-KEY-1[02-9AC-HJ-NP-Z]{58}(?![A-Z0-9])")
+_NSEC = re.compile(r"nsec1[02-9ac-hj-np-z]{58}(?![a-z0-9])")
 
 _BASE62 = string.digits + UPPER + LOWER
 _LOWER_TABLE = str.maketrans(UPPER, LOWER)
@@ -79,6 +91,33 @@ def _jwt_valid(match: re.Match) -> bool:
     return isinstance(head, dict) and "alg" in head and isinstance(_json_part(payload), dict)
 
 
+# The alphabets of Base58 and Bech32 and the generator of the latter's checksum.
+_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+_BECH32 = "qpzry9x8gf2tvdw0s3jn54khce6mua7l"
+_BECH32_GENERATOR = (0x3B6A57B2, 0x26508E6D, 0x1EA119FA, 0x3D4233DD, 0x2A1462B3)
+
+
+def base58_valid(match: re.Match) -> bool:
+    """Whether the last four bytes are those of the double SHA-256 of the others."""
+    n = 0
+    for c in match.group():
+        n = 58 * n + _BASE58.index(c)
+    raw = n.to_bytes(82, "big")
+    return hashlib.sha256(hashlib.sha256(raw[:-4]).digest()).digest()[:4] == raw[-4:]
+
+
+def bech32_valid(match: re.Match) -> bool:
+    """Whether prefix and data digits leave the checksum's remainder 1."""
+    prefix, _, data = match.group().lower().rpartition("1")
+    digits = [ord(c) >> 5 for c in prefix] + [0] + [ord(c) & 31 for c in prefix] + [_BECH32.index(c) for c in data]
+    rest = 1
+    for d in digits:
+        top, rest = rest >> 25, (rest & 0x1FFFFFF) << 5 ^ d
+        for i, g in enumerate(_BECH32_GENERATOR):
+            rest ^= g if top >> i & 1 else 0
+    return rest == 1
+
+
 #: Keyword (lower case) -> kind, expression and validation. A kind's matches never overlap each other.
 _RULES: dict[str, tuple[str, re.Pattern, Callable[[re.Match], bool]]] = {
     **{k: ("assign", _ASSIGN, lambda m: len(m.group(2)) >= _MIN_ASSIGN) for k in ("password", "passwd", "secret", "token", "apikey", "api_key")},
@@ -87,7 +126,12 @@ _RULES: dict[str, tuple[str, re.Pattern, Callable[[re.Match], bool]]] = {
     "npm_": ("npm", _NPM, _checked),
     "eyj": ("jwt", _JWT, _jwt_valid),
     "-----begin ": ("pem", _PEM, lambda m: True),
+    "xprv": ("xprv", _XPRV, base58_valid),
+    "age-secret-key-1": ("age", _AGE, bech32_valid),
+    "nsec1": ("nsec", _NSEC, bech32_valid),
 }
+#: Kinds whose matches begin with a run of characters: without a match at one hit there is none at another of its run.
+_RUNS = {"jwt": _JWT_RUN}
 
 
 @lru_cache(maxsize=1)
@@ -115,6 +159,8 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
             taken[kind] = match.end()
             if valid(match):
                 spans.append((kind, start, match.end()))
+        elif kind in _RUNS:
+            taken[kind] = _RUNS[kind].match(text, start).end()
     for match in _HEX_LONG.finditer(text):
         spans.append(("hex", match.start(), match.end()))
     order = {k: i for i, k in enumerate(KINDS)}
@@ -130,8 +176,10 @@ _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int3
 def scan_secrets(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """``docs`` plus ``spans``: an array of ``(kind, start, end)`` over each whole text.
 
-    A null or empty text has none. A column already named ``spans_col`` is
-    replaced. One Arrow pass, no shuffle.
+    A null or empty text has none; repeated rows have theirs each; the time
+    for a very long text is in proportion to it. A column already named
+    ``spans_col`` is replaced, all others stay as they are. An empty table
+    gives an empty result. One Arrow pass, no shuffle.
     """
     kept = [f for f in docs.schema.fields if f.name != spans_col]
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
