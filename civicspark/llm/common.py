@@ -174,6 +174,23 @@ def hash_words(words: pa.Array) -> np.ndarray:
     return mix64(total[starts + size] - total[starts] + size.astype(np.uint64))
 
 
+def neutral(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns called ``c0, c1, ...``, the new names of ``names``, and the way back.
+
+    The way back takes a frame that has those columns, whatever else it has,
+    and gives the columns of ``docs``. In between no column of ``docs`` can
+    have the name of one that an operator adds.
+    """
+    new = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: n for c, n in zip(reversed(docs.columns), reversed(new), strict=True)}
+    folded = {c.lower(): n for c, n in at.items()}
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*new).toDF(*docs.columns)
+
+    return docs.toDF(*new), [at.get(n) or folded[n.lower()] for n in names], back
+
+
 def one_row_each(docs: DataFrame, verdict: DataFrame, on: Column, keys: list[str]) -> DataFrame:
     """Rows of ``docs`` matched by ``verdict`` (``keys`` and ``_n_copies``), repeated rows once."""
     joined = docs.join(verdict, on)

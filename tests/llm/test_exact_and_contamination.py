@@ -4,8 +4,10 @@ import hashlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from civicspark.llm import block_naming, decontaminate
+from civicspark.llm.common import keyed
 from tests.conftest import SF_SMALL
 from tests.llm.frames import PLAIN_WORDS, corpus, documents, low
 from tests.oracle_check import assert_matches_oracle
@@ -93,6 +95,41 @@ def test_contamination(spark, broadcast):
     assert Counter((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got) == want
 
 
+def test_no_document_crosses_the_exchange_of_many_windows(spark):
+    """Beyond the broadcast, a word that may start a match takes at most 25 words along, and few words may."""
+    rows = [(i, " ".join(f"w{(i * 977 + k) % 5000}" for k in range(2000))) for i in range(30)] + [(99, "x " + ITEMS[0][1] + " y")]
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    docs = keyed(documents(spark, rows))
+    probes = spark.createDataFrame([("w7", 0, ["w7", "w8"], 2, ["a"]), ("w11", 1, ["w10", "w11"], 2, ["b"])], "word string, offset int, wanted array<string>, len int, items array<string>")
+    cut = docs.select("doc_id", "_text_hash", decontaminate.words_of(F.col("text")).alias("words"))
+    hits = decontaminate._shuffled_hits(cut, probes, 13)
+    got = Counter((r["doc_id"], r["start"], r["items"][0]) for r in hits.collect())
+    want = Counter()
+    for i, t in rows:
+        words = t.split()
+        want.update((i, k, {"w7": "a", "w10": "b"}[w]) for k, w in enumerate(words[:-1]) if (w, words[k + 1]) in (("w7", "w8"), ("w10", "w11")))
+    assert got == want and want
+    plan = hits._jdf.queryExecution().optimizedPlan()
+    join = next(p for p in iter_plan(plan) if p.nodeName() == "Join")
+    sent = join.children().head()
+    names = [sent.output().apply(k).name() for k in range(sent.output().size())]
+    assert "words" not in names and {"pos", "word", "near"} <= set(names)
+    bits = decontaminate._word_map(probes)
+    assert len(bits) == decontaminate.MAP_BITS // 8 and sum(b.bit_count() for b in bits) == 2
+    spark.conf.set("civicspark.decontaminateBroadcastRows", "0")
+    try:
+        assert decontaminate.contamination(documents(spark, rows), bench).where("contaminated").select("doc_id").collect() == [(99,)]
+    finally:
+        spark.conf.unset("civicspark.decontaminateBroadcastRows")
+
+
+def iter_plan(plan):
+    yield plan
+    children = plan.children()
+    for k in range(children.size()):
+        yield from iter_plan(children.apply(k))
+
+
 def test_contaminated_rows_leave(spark):
     rows = _contaminated_rows()
     docs, bench = documents(spark, rows), spark.createDataFrame(ITEMS, "item_id bigint, text string")
