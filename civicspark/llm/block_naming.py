@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import TEXT_HASH, ascii_lower, keyed, one_row_each
+from civicspark.llm.common import TEXT_HASH, ascii_lower, keyed, neutral, one_row_each
 from civicspark.session import materialize
 
 #: Bytes in a block.
@@ -138,14 +138,17 @@ def exact_groups(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_groups` keeps, one row of each, with all their columns.
+    """The rows of ``docs`` that :func:`exact_groups` keeps, one row of each, with all their columns, whatever their names.
 
     Rows that repeat id and text differ at most in other columns; any one of
-    them stays.
+    them stays. A null text is empty; a null id is smaller than every other.
+    Very long texts are cut into blocks like all others. An empty table gives
+    an empty result.
     """
-    groups = exact_groups(docs, id_col, text_col, block_bytes).where("kept")
+    plain, (doc_id, text), back = neutral(docs, id_col, text_col)
+    groups = exact_groups(plain, doc_id, text, block_bytes).where("kept")
     verdict = groups.groupBy(*_KEY).agg(F.max("n_copies").alias("_n_copies"))
     verdict = verdict.withColumnsRenamed({"doc_id": "_k_id", TEXT_HASH: "_k_hash"})
-    low = F.xxhash64(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))))
-    on = F.col(id_col).eqNullSafe(F.col("_k_id")) & (F.col("_low_hash") == F.col("_k_hash"))
-    return one_row_each(docs.withColumn("_low_hash", low), verdict, on, ["_k_id", "_k_hash"]).drop("_low_hash")
+    low = F.xxhash64(ascii_lower(F.coalesce(F.col(text), F.lit(""))))
+    on = F.col(doc_id).eqNullSafe(F.col("_k_id")) & (F.col("_low_hash") == F.col("_k_hash"))
+    return back(one_row_each(plain.withColumn("_low_hash", low), verdict, on, ["_k_id", "_k_hash"]))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicspark.llm.common import byte_slices, hash_words, mix64, releasing, split_words
+from civicspark.llm.common import byte_slices, hash_words, mix64, neutral, releasing, split_words
 from civicspark.session import materialize, tuning
 
 #: Most labelled documents the heads are fitted on (those with the smallest hash of their id).
@@ -370,13 +370,20 @@ def judge(scored: DataFrame, sites: Sites, reject: float = REJECT) -> DataFrame:
     return out.withColumn("kept", ~rejected).drop(*keys)
 
 
-def drop_low_quality(docs: DataFrame, labels: DataFrame, levels: Sequence[str] = SITE_LEVELS, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with all their columns.
+def drop_low_quality(
+    docs: DataFrame, labels: DataFrame, levels: Sequence[str] = SITE_LEVELS, text_col: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, with all their columns, whatever their names.
 
     Texts are scored once for the site averages and again for the verdicts,
-    which is cheaper than shuffling them to join the scores.
+    which is cheaper than shuffling them to join the scores. A null text is
+    empty, a null id is a row without a label, a null site column is a site
+    named ''. Repeated rows get one verdict each. Very long texts are scored
+    whole, one at a time. An empty table gives an empty result; without labels
+    nothing is dropped.
     """
-    heads = fit(docs, labels, text_col=text_col)
-    narrow = docs.select(F.col(text_col).alias("text"), *(F.col(f"`{c}`") for c in levels))
-    sites = site_posteriors(score(narrow, heads), levels)
-    return judge(score(docs, heads, text_col), sites).where("kept").select(docs.columns)
+    plain, (text, doc_id, *sites_cols), back = neutral(docs, text_col, id_col, *levels)
+    heads = fit(plain, labels, id_col=doc_id, text_col=text)
+    narrow = plain.select(F.col(text).alias("text"), *sites_cols)
+    sites = site_posteriors(score(narrow, heads), sites_cols)
+    return back(judge(score(plain, heads, text), sites).where("kept"))

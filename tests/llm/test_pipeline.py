@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from civicspark.llm import quality
@@ -30,6 +31,31 @@ def test_stages_follow_the_contract(spark, documents_table):
         assert out.columns == documents_table.columns and out.count() == 0
 
 
+#: Every column name that the stages use inside, with values of types that theirs do not have.
+INSIDE = (
+    "kept p_low p_toxic site_low site_toxic post_low post_toxic _site0 _site1 _low_hash _n_copies _k_id _k_hash _bad_id _bad_hash _o_id _o_hash "
+    "_text_hash _group _copy n n_rows n_shingles component_id keep_id group_size n_copies level name text_sha256 hit hits items word pos words start len "
+    "c0 c1 c2 c3 low toxic style lexical _label_id comp node band host path contaminated bands f1 f2"
+).split()
+
+
+def test_columns_with_any_name_pass_unchanged(spark):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    shadowed = base.select("*", *(F.concat(F.lit(f"{name}:"), F.col("doc_id")).alias(name) for name in INSIDE), F.struct(F.lit(1).alias("a.b")).alias("dotted.name"))
+    docs, want = shadowed, shadowed.toPandas().set_index("doc_id", drop=False)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.dtypes == shadowed.dtypes, name
+    left = docs.toPandas()
+    assert 0 < len(left) < len(want)
+    for r in left.to_dict("records"):
+        assert r == want.loc[r["doc_id"]].to_dict()
+    plain = base
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, plain, "/root/testdata/sf0.001")
+    assert sorted(left["doc_id"]) == sorted(r["doc_id"] for r in plain.collect())
+
+
 def test_run_matches_plain_python(spark, documents_table):
     heads = quality.fit(documents_table, spark.read.parquet(f"{SF}/labels.parquet"))
     scored = quality.score(documents_table, heads)
