@@ -35,7 +35,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import TEXT_HASH, byte_slices, few_tasks, hash_words, keyed, mix64, one_row_each, release_memory, releasing, runs, split_words
+from civicspark.llm.common import TEXT_HASH, byte_slices, few_tasks, hash_words, keyed, mix64, neutral, one_row_each, release_memory, releasing, runs, split_words
 from civicspark.llm.components import connected_components
 from civicspark.session import materialize, materialize_counted
 
@@ -59,6 +59,8 @@ CELL_SHINGLES = 1 << 17
 #: Sets on either side, on average: a cell counts common shingles in a matrix of rows by rows.
 CELL_ROWS = 4096
 _COLUMNS = 2048
+#: Rows whose counts are compared with the bound at a time.
+_STRIP = 256
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -215,7 +217,8 @@ def _cell_links(percent: int):
         values = [np.frombuffer(b"".join(raw[i] for i in side), np.uint64) for side in (x, y)]
         owners = [np.repeat(np.arange(len(side)), n[side]) for side in (x, y)]
         shared = np.intersect1d(*values)  # other shingles are in no intersection
-        common, held = np.zeros((len(x), len(y)), np.float32), []  # counts up to 2^24 are exact
+        exact = np.float32 if int(n.max()) < 1 << 24 else np.float64  # counts of smaller sets are exact in the narrow one
+        common, held = np.zeros((len(x), len(y)), exact), []
         for at in range(0, len(shared), _COLUMNS):
             part = shared[at : at + _COLUMNS]
             held = []
@@ -227,9 +230,14 @@ def _cell_links(percent: int):
                 held.append(table)
             common += held[0] @ held[1].T
         del held, values, owners, raw
-        # 100 * common >= percent * (n_x + n_y - common)
-        close = (100 + percent) * common >= percent * (n[x][:, None] + n[y][None, :]).astype(np.float32)
-        i, j = np.nonzero(close & (comp[x][:, None] != comp[y][None, :]))
+        found = []
+        for at in range(0, len(x), _STRIP):
+            strip = x[at : at + _STRIP]
+            # 100 * common >= percent * (n_x + n_y - common), in integers
+            close = (100 + percent) * common[at : at + _STRIP].astype(np.int64) >= percent * (n[strip][:, None] + n[y][None, :])
+            rows, columns = np.nonzero(close & (comp[strip][:, None] != comp[y][None, :]))
+            found.append((rows + at, columns))
+        i, j = (np.concatenate(side) for side in zip(*found, strict=True))
         _, once = np.unique(np.stack([i, comp[y][j]]), axis=1, return_index=True)
         del common, close
         release_memory()
@@ -342,7 +350,8 @@ def near_groups(
     comps = _link(buckets, n_members, sets, percent)
 
     placed = classes.select("node", *same, "rep").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    smallest = placed.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    # Written first, the components are a plain shuffle beside a hot one, so that AQE can split it.
+    smallest = materialize(placed.groupBy("comp").agg(F.min("rep").alias("component_id")), "components")
     placed = materialize(placed.join(smallest, "comp").select(*same, F.col("comp").alias("_group"), "component_id"), "class-components")
     out = signed.select("doc_id", TEXT_HASH, *same).join(placed, same, "left")
     empty = F.col("n") == 0
@@ -357,8 +366,14 @@ def near_groups(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, and every document without words."""
-    kept = near_groups(docs, id_col, text_col, percent).where("kept")
+    """The rows of ``docs`` that stay, with all their columns, whatever their names: one of each component, and every document without words.
+
+    A null text has no words; a null id is never the smallest of a component
+    that has another. Of rows that repeat id and text one stays. Very long
+    texts are compared whole. An empty table gives an empty result.
+    """
+    plain, (doc_id, text), back = neutral(docs, id_col, text_col)
+    kept = near_groups(plain, doc_id, text, percent).where("kept")
     one = kept.where("n_shingles > 0").groupBy("_group", "doc_id").agg(F.min(TEXT_HASH).alias(TEXT_HASH))
     rows = kept.groupBy("doc_id", TEXT_HASH).agg(F.count(F.lit(1)).alias("_n_copies"), F.max("n_shingles").alias("n"))
     r = one.select(F.col("doc_id").alias("_o_id"), F.col(TEXT_HASH).alias("_o_hash"))
@@ -367,5 +382,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     verdict = chosen.select(
         F.col("doc_id").alias("_k_id"), F.col(TEXT_HASH).alias("_k_hash"), F.when(F.col("n") == 0, 1).otherwise(F.col("_n_copies")).alias("_n_copies")
     )
-    on = F.col(id_col).eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_k_hash"))
-    return one_row_each(docs, verdict, on, ["_k_id", "_k_hash"])
+    on = F.col(doc_id).eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_k_hash"))
+    return back(one_row_each(plain, verdict, on, ["_k_id", "_k_hash"]))
