@@ -30,12 +30,14 @@ from math import gamma, lgamma, log, pi, sin
 
 import numpy as np
 
-from civicspark.llm.common import mix64, runs
+from civicspark.llm.common import mix64
 
 #: Customers up to which Stirling numbers are tabled.
 TABLED = 512
 #: Expected tables up to which the binomial series is used, and the tables and terms it has.
 FEW, SERIES_TABLES, SERIES_TERMS = 40, 96, 64
+#: Tables up to which the law's terms are multiplied up, not added as logarithms.
+PRODUCTS = 64
 #: Points at which the law of many tables is computed, cells it is interpolated to, and nodes of a contour.
 POINTS, GRID, NODES = 17, 96, 32
 #: Customers times distance of the saddle point from the cut, below which the contour is used.
@@ -191,32 +193,55 @@ def _many(weight: np.ndarray, n: np.ndarray, y: np.ndarray, u: np.ndarray, disco
     return np.clip(np.rint(low + (high - low) * (k + np.clip(part, 0, 1)) / GRID), 1, n)
 
 
+@lru_cache(maxsize=4)
+def _shares(discount: float) -> np.ndarray:
+    """``[n, t - 1]``: Stirling numbers over that of one table, to ``PRODUCTS`` tables."""
+    logs = log_stirling(discount)[:, 1 : PRODUCTS + 1]
+    with np.errstate(invalid="ignore"):
+        return np.nan_to_num(np.exp(logs - logs[:, :1]), nan=0.0)
+
+
+def _by_products(weight: np.ndarray, n: np.ndarray, u: np.ndarray, discount: float, width: int) -> np.ndarray:
+    """Few tables of tabled numbers of customers: the law's terms are multiplied up."""
+    terms = np.empty((len(n), width))
+    terms[:, 0] = 1.0
+    terms[:, 1:] = weight[:, None]
+    np.cumprod(terms, axis=1, out=terms)
+    terms *= _shares(discount)[:, :width][n]
+    np.cumsum(terms, axis=1, out=terms)
+    return np.minimum(1 + (terms < (u * terms[:, -1])[:, None]).sum(1), n)
+
+
 def seat(key: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: float, seed: int) -> np.ndarray:
     """Tables of each dish, drawn with probability proportional to ``weight**t * S(customers, t)``."""
     tables = (customers > 0).astype(np.float64)
-    order = np.flatnonzero(customers > 1)
-    order = order[np.argsort(customers[order], kind="stable")]
-    n, u = customers[order], uniform(key[order], seed, 0)
-    a = np.maximum(weight[order], 1e-300)
-    tabled = int(np.searchsorted(n, TABLED, side="right"))
-    table = log_stirling(discount) if tabled else None
-    ends = [*runs(n[:tabled]).tolist(), tabled]
-    for start, stop in zip(ends, ends[1:]):  # noqa: B905
-        m = int(n[start])
-        logs, t = table[m, 1 : m + 1], np.arange(1, m + 1)
-        step = max(1, _CELLS // m)
-        for at in range(start, stop, step):
-            part = slice(at, min(at + step, stop))
-            tables[order[part]] = 1 + _pick(np.log(a[part])[:, None] * t + logs, u[part])
-    rest = slice(tabled, len(order))
-    if rest.start < rest.stop:
-        many_n, many_a, many_u, out = n[rest].astype(np.float64), a[rest], u[rest], np.empty(len(order) - tabled)
-        y = _root(many_n, many_a, discount)
-        few = many_a / discount * -np.expm1(discount * np.log(y)) <= FEW
-        for chosen, draw in ((np.flatnonzero(few), _few), (np.flatnonzero(~few), _many)):
+    open_ = np.flatnonzero(customers > 1)
+    n, u, a = customers[open_], uniform(key[open_], seed, 0), np.maximum(weight[open_], 1e-300)
+    # S(n, t + 1) <= S(n, t) / (discount t), so tables but one are no more than Poisson numbers: beyond this bound lies less than 1e-9 of it.
+    few = a / discount
+    bound = np.minimum(n, np.ceil(few + 8 * np.sqrt(few)) + 3)
+    out = np.empty(len(n))
+    width, small = 4, n <= TABLED
+    left = small.copy()
+    while left.any():
+        chosen = np.flatnonzero(left & (bound <= width))
+        left &= bound > width
+        step = max(1, _CELLS // width)
+        for at in range(0, len(chosen), step):
+            part = chosen[at : at + step]
+            if width <= PRODUCTS:
+                out[part] = _by_products(a[part], n[part], u[part], discount, width)
+            else:
+                logs = log_stirling(discount)[n[part], 1 : width + 1]
+                out[part] = 1 + _pick(np.log(a[part])[:, None] * np.arange(1, width + 1) + logs, u[part])
+        width *= 2
+    rest = np.flatnonzero(~small)
+    if len(rest):
+        y = _root(n[rest].astype(np.float64), a[rest], discount)
+        fits = a[rest] / discount * -np.expm1(discount * np.log(y)) <= FEW
+        for chosen, at_y, draw in ((rest[fits], (), _few), (rest[~fits], (y[~fits],), _many)):
             for at in range(0, len(chosen), 4096):
                 part = chosen[at : at + 4096]
-                more = () if draw is _few else (y[part],)
-                out[part] = draw(many_a[part], many_n[part], *more, many_u[part], discount)
-        tables[order[rest]] = out
+                out[part] = draw(a[part], n[part].astype(np.float64), *(v[at : at + 4096] for v in at_y), u[part], discount)
+    tables[open_] = out
     return tables
