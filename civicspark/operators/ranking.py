@@ -1,4 +1,5 @@
-"""Global row numbers and dense surrogate keys, without a one-task window.
+"""Global row numbers and dense surrogate keys, without a one-task window (W1-W3, O4),
+and sums over all rows before each one.
 
 ``row_number() OVER (ORDER BY ...)`` with no PARTITION BY runs in a single
 task. Here the rows are range-partitioned on the order keys, sorted inside
@@ -42,6 +43,26 @@ def numbered(df: DataFrame, order: list[Column], name: str, num_partitions: int
     return placed.join(F.broadcast(offsets), "_part").select(place.cast("bigint").alias(name), *df.columns)
 
 
+def prefix_sums(df: DataFrame, order: list[Column], value: str, name: str, num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name`` (bigint): the sum of ``value`` over all rows before each one in the order.
+
+    The order must be total. Range partitions are summed on their own, one
+    total per partition gives each its offset, and a running sum stays inside
+    a partition.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), f"prefix-{name}")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.sum(value).alias("_total"))
+        .select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    running = F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0))
+    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, running.cast("bigint").alias(name))
+
+
 def dense_rank_ids(df: DataFrame, order_cols: list[str], id_col: str, num_partitions: int | None = None) -> DataFrame:
     """Append ``id_col`` (bigint, 1-based) ranking the distinct rows of ``df``, nulls last.
 

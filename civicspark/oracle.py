@@ -24,6 +24,8 @@ DATE_RANGE = ("1997-01-01", "1998-12-31")
 PAGE = (2000, 1000)  # offset, page size
 TOTAL_LIMIT = 5000
 PAGED_LIMIT = 2500  # pages of PAGE[1] rows: two full pages and a shrunk last one
+SOURCE_PAGES = (250, 4, 3, 600)  # page size, number of the empty page, of the short page, total limit
+SHORT_PAGE = 40  # records on the short page
 BATCH_RANGE = ("1995-01-01", "2001-12-31")
 NAN_THRESHOLDS = {"latitude": 0.01, "longitude": 0.01}
 
@@ -383,6 +385,21 @@ def oracle_sql() -> dict[str, str]:
     q["page_slice"] = _q(["requests_raw"], f"SELECT * FROM requests_raw ORDER BY {order} LIMIT {size} OFFSET {off}")
     q["total_limit"] = _q(["requests_raw"], f"SELECT * FROM requests_raw ORDER BY {order} LIMIT {TOTAL_LIMIT}")
     q["paged_read"] = _q(["requests_raw"], f"SELECT * FROM requests_raw ORDER BY {order} LIMIT {PAGED_LIMIT}")
+    size, empty, short, limit = SOURCE_PAGES
+    sources = {"empty page": size * empty, "short page": size * short + SHORT_PAGE, "limit": limit}
+    q["page_source"] = _q(
+        ["requests_raw"],
+        " UNION ALL ".join(f"(SELECT '{name}' AS source, * FROM requests_raw ORDER BY {order} LIMIT {n})" for name, n in sources.items()),
+    )
+    key = "coalesce(TRY_CAST(unique_key AS BIGINT), 0)"
+    point = " || ',' || ".join(f"'\"{c}\":\"' || {c} || '\"'" for c in ("latitude", "longitude"))
+    q["read_pages_union"] = _q(
+        ["requests_raw"],
+        f"SELECT *, CASE WHEN {key} % 2 = 0 THEN 'Closed' WHEN {key} % 5 = 0 THEN 'Open' END AS status, "
+        "CASE WHEN borough = 'MN' THEN 'NEW YORK' END AS city, "
+        f"CASE WHEN {key} % 7 = 0 THEN '{{\"boroughs\":[\"' || borough || '\"],' || {point} || '}}' END AS location, "
+        f"CASE WHEN {key} % 11 = 0 THEN 'it''s `odd`' END AS \"Agency's name\" FROM requests_raw",
+    )
     q["read_pages"] = _q(["requests_raw"], "SELECT * FROM requests_raw")
     q["round_trip_csv"] = _q(
         ["requests_raw"], "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS) + " FROM requests_raw"

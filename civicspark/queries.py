@@ -27,9 +27,9 @@ from civicspark.plans.clean import Stage, clean_requests, impute, stage_requests
 from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS, RAW_SCHEMA
-from civicspark.session import scratch_path
+from civicspark.session import materialize, scratch_path
 from civicspark.sinks.files import save_parquet, save_raw, save_table, star_row_counts
-from civicspark.sources import fixture, paging
+from civicspark.sources import fixture, landed, paging
 from civicspark.sources.files import load_file, read_dataset, read_pages, read_star
 from civicspark.sources.fixture import requests_raw
 
@@ -163,6 +163,29 @@ def _read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, path, RAW_SCHEMA)
 
 
+def _page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages read up to an empty page, up to a short one, and up to a limit."""
+    size, empty, short, limit = oracle.SOURCE_PAGES
+    texts = materialize(landed.page_texts(_raw(spark, sf_dir), size), "page-texts")
+    page = F.col("page")
+    gap = texts.withColumn("page", F.when(page < empty, page).otherwise(page + 1))
+    gap = gap.unionByName(spark.createDataFrame([(empty, "[]")], "page bigint, value string"))
+    first = F.slice(F.try_variant_get(F.parse_json("value"), "$", "array<variant>"), 1, oracle.SHORT_PAGE)
+    cut = texts.withColumn("value", F.when(page == short, F.to_json(first)).otherwise(F.col("value")))
+    parts = []
+    for name, pages, total in (("empty page", gap, None), ("short page", cut, None), ("limit", gap, limit)):
+        path = scratch_path(spark, "pages")
+        landed.land_pages(pages, path)
+        parts.append(landed.read_page_source(spark, path, size, total).select(F.lit(name).alias("source"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_pages_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "pages")
+    landed.land_pages(landed.page_texts(fixture.requests_more_keys(spark, sf_dir)), path)
+    return landed.read_page_source(spark, path, schema=None)
+
+
 def _hive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "hive")
     _clean(spark, sf_dir).write.partitionBy("borough").parquet(path)
@@ -360,6 +383,8 @@ def queries() -> dict[str, Query]:
             "total_limit": _total_limit,
             "paged_read": _paged_read,
             "read_pages": _read_pages,
+            "page_source": _page_source,
+            "read_pages_union": _read_pages_union,
             "hive_scan": _hive_scan,
             "nested_scan": _nested_scan,
             "round_trip_parquet": _round_trip_parquet,

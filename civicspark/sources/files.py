@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from civicspark.schema import RAW_SCHEMA, STAR_TABLES
 
 
-def _missing(e: AnalysisException) -> bool:
+def is_missing_path(e: AnalysisException) -> bool:
+    """Whether an error says that a path does not exist."""
     cond = (e.getCondition() or "") if hasattr(e, "getCondition") else ""
     return cond == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
 
@@ -30,7 +31,7 @@ def read_pages(
     try:
         return spark.read.schema(schema).option("multiLine", multi_line).json(path)
     except AnalysisException as e:
-        if _missing(e):
+        if is_missing_path(e):
             raise FileNotFoundError(f"File not found: {path}") from e
         raise
 
@@ -66,7 +67,7 @@ def load_file(
             *[F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
         )
     except AnalysisException as e:
-        if _missing(e):
+        if is_missing_path(e):
             raise FileNotFoundError(f"File not found: {path}") from e
         raise
 
@@ -89,7 +90,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     try:
         files = [unquote(f) for f in every.parquet(path).inputFiles()]
     except AnalysisException as e:
-        if _missing(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if is_missing_path(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             raise FileNotFoundError(f"Clean data directory not found, or without Parquet files: {path}") from e
         raise
     root = unquote(path.rstrip("/")).split("://", 1)[-1].removeprefix("file:") + "/"
@@ -119,7 +120,7 @@ def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
         try:
             tables[name] = spark.read.parquet(f"{star_dir.rstrip('/')}/{name}.parquet")
         except AnalysisException as e:
-            if not _missing(e):
+            if not is_missing_path(e):
                 raise
             missing.append(f"{name}.parquet")
     if missing:

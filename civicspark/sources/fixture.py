@@ -162,3 +162,16 @@ def two_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     x = F.when(k % 20 < 10, F.lit(0.0)).when(k % 20 < 19, F.lit(10.0)).otherwise((k % 997).cast("double") / 100)
     return _table(spark, sf_dir, "orders").select(x.alias("x"))
+
+
+def requests_more_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``requests_raw`` with keys that only some records have, one of them nested, one with an odd name."""
+    key = F.coalesce(F.col("unique_key").try_cast("bigint"), F.lit(0))
+    parts = F.struct(F.col("latitude"), F.col("longitude"), F.array("borough").alias("boroughs"))
+    return requests_raw(spark, sf_dir).select(
+        "*",
+        F.when(key % 2 == 0, F.lit("Closed")).when(key % 5 == 0, F.lit("Open")).alias("status"),
+        F.when(F.col("borough") == "MN", F.lit("NEW YORK")).alias("city"),
+        F.when(key % 7 == 0, parts).alias("location"),
+        F.when(key % 11 == 0, F.lit("it's `odd`")).alias("Agency's name"),
+    )
