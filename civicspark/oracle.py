@@ -26,6 +26,7 @@ TOTAL_LIMIT = 5000
 PAGED_LIMIT = 2500  # pages of PAGE[1] rows: two full pages and a shrunk last one
 SOURCE_PAGES = (250, 4, 3, 600)  # page size, number of the empty page, of the short page, total limit
 SHORT_PAGE = 40  # records on the short page
+RERUN_MONTH = ("1996-02-01", "1996-02-29")
 BATCH_RANGE = ("1995-01-01", "2001-12-31")
 NAN_THRESHOLDS = {"latitude": 0.01, "longitude": 0.01}
 
@@ -410,6 +411,16 @@ def oracle_sql() -> dict[str, str]:
     for name in ["hive_scan", "nested_scan", "round_trip_parquet", "round_trip_table"]:
         q[name] = _q(["clean"], "SELECT * FROM clean")
 
+    versions = {"first": "WHERE borough = 'BRONX'", "after an unfinished write": "WHERE borough = 'BRONX'", "catalog": ""}
+    q["snapshot_versions"] = _q(["clean"], " UNION ALL ".join(f"SELECT '{v}' AS version, * FROM clean {w}" for v, w in versions.items()))
+
+    def within(lo: str, hi: str) -> str:
+        return f"created_date >= TIMESTAMP '{lo} 00:00:00' AND created_date <= TIMESTAMP '{hi} 23:59:59'"
+
+    q["month_range_clean"] = _q(["clean"], f"SELECT * FROM clean WHERE {within(*DATE_RANGE)}")
+    q["month_rerun"] = _q(["clean"], f"SELECT * REPLACE (CASE WHEN {within(*RERUN_MONTH)} THEN lower(agency) ELSE agency END AS agency) FROM clean")
+    q["monthly_layout_counts"] = q["monthly_volume_trend"]
+
     # End-to-end batch. Its range leaves out rows without a parseable creation
     # time, which the null-rate check (V4) would stop the job for.
     totals = [

@@ -19,7 +19,8 @@ from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS
 from civicspark.session import scratch_scope
-from civicspark.sinks.files import publish, register_table, save_parquet, save_raw
+from civicspark.sinks.files import save_raw
+from civicspark.sinks.snapshots import commit_snapshot, discard_snapshot, register_snapshot, stage_snapshot
 from civicspark.sources.paging import check_batch_size, created_between, take_newest
 
 log = logging.getLogger(__name__)
@@ -67,22 +68,25 @@ def _run(spark: SparkSession, source: DataFrame, settings: BatchSettings) -> Dat
     if raw.limit(1).count() == 0:
         raise EmptySourceError("No data fetched - aborting")
 
-    # The clean table is written once, next to its final place, checked there,
-    # and then moved; the catalog table lies over the same files. So the job
-    # writes its input three times: raw, typed stage, clean.
+    # The clean table is written once, as a snapshot that no reader sees yet,
+    # checked there, and then committed; the catalog table lies over the same
+    # files. So the job writes its input three times: raw, typed stage, clean.
     clean = clean_requests(raw, settings.required_columns, settings.drop_duplicates)
-    clean_dir, unchecked = settings.path("clean"), settings.path("clean.unchecked")
+    root, staged = settings.path("clean"), None
     if clean.columns:  # (a table without columns cannot be written; the checks reject it anyway)
-        save_parquet(clean, unchecked)
-        clean = spark.read.parquet(unchecked)
-    validate(clean)  # raises ValidationError before anything is loaded
-
-    publish(spark, unchecked, clean_dir)
-    clean = spark.read.parquet(clean_dir)
-    register_table(spark, settings.table_name, clean_dir)
+        staged = stage_snapshot(clean, root)
+        clean = spark.read.parquet(staged)
+    try:
+        validate(clean)  # raises ValidationError before anything is loaded
+    except Exception:
+        if staged is not None:
+            discard_snapshot(spark, root, staged)
+        raise
+    commit_snapshot(spark, root, staged)
+    register_snapshot(spark, settings.table_name, root)
 
     star_dir = settings.path("analytics")
-    counts = build_star_schema(spark, clean_dir, star_dir)
+    counts = build_star_schema(spark, staged, star_dir)
     reports = generate_reports(spark, star_dir, settings.path("reports"))
 
     stages = [("raw", raw), ("clean", clean)]

@@ -29,6 +29,8 @@ from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS, RAW_SCHEMA
 from civicspark.session import materialize, scratch_path
 from civicspark.sinks.files import save_parquet, save_raw, save_table, star_row_counts
+from civicspark.sinks.months import monthly_counts, read_months, save_by_month
+from civicspark.sinks.snapshots import read_snapshot, register_snapshot, stage_snapshot, write_snapshot
 from civicspark.sources import fixture, landed, paging
 from civicspark.sources.files import load_file, read_dataset, read_pages, read_star
 from civicspark.sources.fixture import requests_raw
@@ -229,6 +231,35 @@ def _round_trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a table, a write between them that never commits, and the catalog table over the last one."""
+    root, clean = scratch_path(spark, "snapshots"), _clean(spark, sf_dir)
+    write_snapshot(clean.where("borough = 'BRONX'"), root)
+    stage_snapshot(clean.where("borough = 'QUEENS'"), root)
+    between = read_snapshot(spark, root)
+    write_snapshot(clean, root)
+    register_snapshot(spark, "requests_clean_snapshots", root)
+    parts = {"first": read_snapshot(spark, root, 1), "after an unfinished write": between, "catalog": spark.table("requests_clean_snapshots")}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("version"), "*") for name, df in parts.items()])
+
+
+def _by_month(spark: SparkSession, sf_dir: str) -> str:
+    def build() -> str:
+        path = scratch_path(spark, "by-month")
+        save_by_month(_clean(spark, sf_dir), path)
+        return path
+
+    return _memo(spark, sf_dir, "by-month", build)
+
+
+def _month_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table by month, and one month written again with other agencies."""
+    path, (first, last) = scratch_path(spark, "by-month"), oracle.RERUN_MONTH
+    save_by_month(_clean(spark, sf_dir), path)
+    save_by_month(read_months(spark, path, first, last).withColumn("agency", F.lower("agency")), path)
+    return read_months(spark, path)
+
+
 def _report_lines(spark: SparkSession, reports_dir: str, schemas: dict[str, StructType]) -> DataFrame:
     """The report CSVs of a folder in one table: ``report, label, n_requests, value``."""
     none = F.lit(None)
@@ -266,7 +297,7 @@ def _batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     parts = [
         total("raw", spark.read.parquet(f"{out}/raw/requests_raw.parquet"), F.sum(F.length("unique_key"))),
-        total("clean", spark.read.parquet(f"{out}/clean"), F.round(F.sum(F.col("latitude") + F.col("longitude")), 3)),
+        total("clean", read_snapshot(spark, f"{out}/clean"), F.round(F.sum(F.col("latitude") + F.col("longitude")), 3)),
         total("dim_agency", star["dim_agency"], F.sum(F.col("agency_id") * F.length("agency"))),
         total("dim_complaint", star["dim_complaint"], F.sum(F.col("complaint_id") * F.length("complaint_type"))),
         total("dim_location", star["dim_location"], F.sum(F.col("location_id") * F.length("borough"))),
@@ -392,6 +423,10 @@ def queries() -> dict[str, Query]:
             "csv_reordered_header": _csv_round_trip(lambda s, d: _raw(s, d).select(*reversed(RAW_COLUMNS))),
             "csv_multiline": _csv_round_trip(_two_line_descriptors),
             "round_trip_table": _round_trip_table,
+            "snapshot_versions": _snapshot_versions,
+            "month_range_clean": lambda s, d: read_months(s, _by_month(s, d), *oracle.DATE_RANGE),
+            "month_rerun": _month_rerun,
+            "monthly_layout_counts": lambda s, d: monthly_counts(s, _by_month(s, d)),
             "reports_csv": _reports_csv,
             "batch_summary": _batch_summary,
         }

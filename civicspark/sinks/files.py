@@ -45,26 +45,6 @@ def save_table(df: DataFrame, table_name: str, path: str | None = None) -> None:
     writer.saveAsTable(table_name)
 
 
-def publish(spark: SparkSession, source: str, target: str) -> None:
-    """Move a written folder to ``target``, replacing what is there, by the file system's rename."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    src, dst = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
-    fs = dst.getFileSystem(conf)
-    fs.mkdirs(dst.getParent())
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def register_table(spark: SparkSession, table_name: str, path: str) -> None:
-    """Create or replace a catalog table over Parquet files that are already there (S10, no copy)."""
-    if not table_name.isidentifier():
-        raise ValueError(f"Invalid table name: '{table_name}'")
-    spark.sql(f"DROP TABLE IF EXISTS `{table_name}`")
-    spark.catalog.createTable(table_name, path=path, source="parquet")
-
-
 def write_star(
     tables: dict[str, DataFrame | Callable[[], DataFrame]], star_dir: str, concurrent: bool = True
 ) -> dict[str, int]:
