@@ -43,6 +43,37 @@ def numbered(df: DataFrame, order: list[Column], name: str, num_partitions: int
     return placed.join(F.broadcast(offsets), "_part").select(place.cast("bigint").alias(name), *df.columns)
 
 
+def numbered_groups(df: DataFrame, group: str, order: list[Column], name: str, num_partitions: int | None = None) -> dict[object, DataFrame]:
+    """For each value of ``group``: its rows of ``df`` with ``name`` (bigint, 1-based), their place in the order within it.
+
+    All groups are range-partitioned, sorted and written together, in the order
+    (group, order). Where each group begins in each partition (one number per
+    group and partition) goes through the driver, so the frames returned have
+    no job of their own before they are read.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(group).asc_nulls_last(), *order]
+    placed = (
+        df.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id())
+    )
+    placed = materialize(placed, f"numbered-{name}", df_schema=True)
+    starts: dict[object, dict[int, int]] = {}
+    done: dict[object, int] = {}
+    for r in sorted(placed.groupBy(group, "_part").agg(F.min("_pos").alias("first"), F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["_part"]):
+        before = done.get(r[group], 0)
+        starts.setdefault(r[group], {})[r["_part"]] = before - r["first"] + 1
+        done[r[group]] = before + r["n"]
+    out = {}
+    for value, by_part in starts.items():
+        shift = F.element_at(F.lit([by_part.get(p, 0) for p in range(max(by_part) + 1)]).cast("array<bigint>"), F.col("_part") + 1)
+        rows = placed.where(F.col(group).eqNullSafe(F.lit(value)))
+        out[value] = rows.select((F.col("_pos") + shift).alias(name), *[c for c in df.columns if c != group])
+    return out
+
+
 def prefix_sums(df: DataFrame, order: list[Column], value: str, name: str, num_partitions: int | None = None) -> DataFrame:
     """``df`` with ``name`` (bigint): the sum of ``value`` over all rows before each one in the order.
 

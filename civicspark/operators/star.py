@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions import columns as C
 from civicspark.operators.joins import lookup
-from civicspark.operators.ranking import dense_rank_ids
+from civicspark.operators.ranking import dense_rank_ids, numbered_groups
 
 
 def _non_empty(c: str):
@@ -51,6 +51,46 @@ def dim_date(clean: DataFrame) -> DataFrame:
     )
 
 
+def dimensions_in_one_scan(clean: DataFrame) -> dict[str, DataFrame]:
+    """All four dimensions (D1-D4) from one scan, one distinct and one numbering.
+
+    Every row gives one tuple per dimension that takes it, tagged with the
+    dimension's number; equal tuples meet in one partial and final aggregate,
+    and one range numbering ordered by (dimension, tuple) ranks each dimension's
+    tuples, nulls last. Rows and keys are those of :func:`dim_agency`,
+    :func:`dim_complaint`, :func:`dim_location` and :func:`dim_date`.
+    """
+    fields = {"agency": "agency", "complaint_type": "complaint_type", "descriptor": "descriptor"} | {c: c for c in LOCATION_COLUMNS}
+    types = {f.name: f.dataType for f in clean.schema.fields}
+    date = C.calendar_date(F.col("created_date"))
+
+    def tuple_of(table: int, columns: list[str], with_date: bool = False) -> F.Column:
+        parts = [F.lit(table).alias("table")]
+        parts += [(F.col(c) if c in columns else F.lit(None).cast(types[c])).alias(c) for c in fields]
+        parts.append((date if with_date else F.lit(None).cast("date")).alias("date"))
+        return F.struct(*parts)
+
+    tuples = F.array(
+        F.when(_non_empty("agency"), tuple_of(0, ["agency"])),
+        F.when(_non_empty("complaint_type"), tuple_of(1, ["complaint_type", "descriptor"])),
+        tuple_of(2, LOCATION_COLUMNS),
+        F.when(F.col("created_date").isNotNull(), tuple_of(3, [], with_date=True)),
+    )
+    tagged = clean.select(F.explode(tuples).alias("t")).where(F.col("t").isNotNull()).select("t.*").distinct()
+    order = [F.col(c).asc_nulls_last() for c in [*fields, "date"]]
+    found = numbered_groups(tagged, "table", order, "_id")
+    ids = {"dim_agency": ("agency_id", ["agency"]), "dim_complaint": ("complaint_id", ["complaint_type", "descriptor"]), "dim_location": ("location_id", LOCATION_COLUMNS)}
+    nothing = tagged.where("false").select(F.lit(0).cast("bigint").alias("_id"), *fields, "date")
+    out = {}
+    for table, (name, (key, columns)) in enumerate(ids.items()):
+        out[name] = found.get(table, nothing).select(F.col("_id").alias(key), *columns)
+    d = F.col("date").cast("timestamp_ntz")
+    out["dim_date"] = found.get(3, nothing).select(
+        "date", C.year_of(d).alias("year"), C.month_of(d).alias("month"), C.day_of(d).alias("day"), C.weekday_sunday0(d).alias("day_of_week")
+    )
+    return out
+
+
 FACT_COLUMNS = [
     "unique_key",
     "created_date",

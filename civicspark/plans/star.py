@@ -23,39 +23,18 @@ def _require_response(clean: DataFrame) -> None:
         raise ValueError(f"star schema needs the column '{RESPONSE_COLUMN}'")
 
 
-def dimensions(clean: DataFrame) -> dict[str, DataFrame]:
-    _require_response(clean)
-    return {
-        "dim_agency": S.dim_agency(clean),
-        "dim_complaint": S.dim_complaint(clean),
-        "dim_location": S.dim_location(clean),
-        "dim_date": S.dim_date(clean),
-    }
-
-
-def star_tables(clean: DataFrame) -> dict[str, DataFrame]:
-    """The five star tables as DataFrames (dimension keys already stable)."""
-    dims = dimensions(clean)
-    fact = S.fact_requests(clean, dims["dim_agency"], dims["dim_complaint"], dims["dim_location"])
-    return {**dims, FACT_TABLE: fact}
-
-
 def build_star_schema(spark: SparkSession, clean_dir: str, star_dir: str) -> dict[str, int]:
     """Read the clean dataset, write the star tables, return their row counts.
 
-    Each dimension is built and written in its own thread (its ranking jobs
-    included); the fact follows once all four are written.
+    The clean table is scanned twice: once for all dimensions, whose distinct
+    tuples are numbered together and written side by side, and once for the
+    fact, once they are written.
     """
     clean = read_dataset(spark, clean_dir)
     _require_response(clean)
-    builders = {
-        "dim_agency": lambda: S.dim_agency(clean),
-        "dim_complaint": lambda: S.dim_complaint(clean),
-        "dim_location": lambda: S.dim_location(clean),
-        "dim_date": lambda: S.dim_date(clean),
-    }
-    counts = write_star(builders, star_dir)
-    written = {name: spark.read.parquet(f"{star_dir.rstrip('/')}/{name}.parquet") for name in DIMENSIONS}
+    dims = S.dimensions_in_one_scan(clean)
+    counts = write_star(dims, star_dir)
+    written = {name: spark.read.schema(dims[name].schema).parquet(f"{star_dir.rstrip('/')}/{name}.parquet") for name in DIMENSIONS}
     fact = S.fact_requests(
         clean, written["dim_agency"], written["dim_complaint"], written["dim_location"], dim_rows=counts
     )

@@ -111,17 +111,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, df_schema: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the scratch root and read it back.
 
     This cuts lineage: later jobs read the written files (column-pruned,
     filter-pushed) instead of recomputing the plan, and a lost executor only
-    costs re-reading files, never a re-run with different results.
+    costs re-reading files, never a re-run with different results. With
+    ``df_schema`` no job reads the schema from the files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return (spark.read.schema(df.schema) if df_schema else spark.read).parquet(path)
 
 
 def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:

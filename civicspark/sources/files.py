@@ -86,13 +86,15 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     by layout and put together by column name; columns a layout lacks are null.
     A column with different types in two layouts is an error.
     """
-    every = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     try:
-        files = [unquote(f) for f in every.parquet(path).inputFiles()]
+        files = [unquote(f) for f in every.load(path).inputFiles()]  # a listing: no file is opened
     except AnalysisException as e:
-        if is_missing_path(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if is_missing_path(e):
             raise FileNotFoundError(f"Clean data directory not found, or without Parquet files: {path}") from e
         raise
+    if not files:
+        raise FileNotFoundError(f"Clean data directory not found, or without Parquet files: {path}")
     root = unquote(path.rstrip("/")).split("://", 1)[-1].removeprefix("file:") + "/"
     layouts: dict[tuple[str, ...], list[str]] = {}
     for f in files:
@@ -113,12 +115,16 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
-def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
-    """The five star tables; every missing one is named in the error."""
+def read_star(spark: SparkSession, star_dir: str, schemas: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The five star tables; every missing one is named in the error.
+
+    ``schemas`` names the columns to read of each table, which then need not be looked up in the files.
+    """
     tables, missing = {}, []
     for name in STAR_TABLES:
         try:
-            tables[name] = spark.read.parquet(f"{star_dir.rstrip('/')}/{name}.parquet")
+            reader = spark.read.schema(schemas[name]) if schemas else spark.read
+            tables[name] = reader.parquet(f"{star_dir.rstrip('/')}/{name}.parquet")
         except AnalysisException as e:
             if not is_missing_path(e):
                 raise

@@ -17,7 +17,7 @@ def test_batch_runs_every_stage(spark, tmp_dir):
     assert summary["raw"] >= summary["clean"]
     assert summary["report:monthly_volume_trend"] > 0
     for name in ["avg_response_time_by_borough", "data_quality_null_rates"]:
-        assert os.path.isdir(os.path.join(tmp_dir, "reports", f"{name}.csv"))
+        assert os.path.isfile(os.path.join(tmp_dir, "reports", f"{name}.csv"))
     assert spark.table(settings.table_name).count() == summary["clean"]
 
 
