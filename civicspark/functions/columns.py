@@ -17,6 +17,8 @@ from civicspark.schema import BOROUGH_MAP, UNKNOWN
 # ' ' and a time with an optional fraction. Anything else (including a bare
 # year, which a plain cast would take) parses to null.
 ISO_LAYOUT = "iso"
+#: Layouts that a column may be found to have, in the order in which ties are decided.
+KNOWN_LAYOUTS = (ISO_LAYOUT, "MM/dd/yyyy hh:mm:ss a", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy", "yyyy-MM-dd'T'HH:mm:ssX", "yyyyMMdd")
 _TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?$"
 
 # Plain decimal or scientific notation with surrounding blanks. Suffixes such as

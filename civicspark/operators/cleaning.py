@@ -86,6 +86,34 @@ def parse_dates(df: DataFrame, layouts: tuple[str, ...] = (C.ISO_LAYOUT,)) -> Da
     return out
 
 
+def infer_layouts(df: DataFrame, candidates: tuple[str, ...], columns: list[str] | None = None) -> dict[str, str]:
+    """For each date column the layout that parses most of its texts, ties by declared order (F1).
+
+    One combinable aggregate over the date columns alone: a count per column
+    and candidate. Columns that are typed already, and those of which no
+    candidate parses a value, are left out.
+    """
+    if not candidates:
+        raise ValueError("no layouts to choose from")
+    names = [c for c in (columns or DATE_COLUMNS) if c in df.columns and not isinstance(df.schema[c].dataType, _TEMPORAL)]
+    if not names:
+        return {}
+    votes = [F.count(C.parse_timestamp(F.col(c), layouts=(layout,))).alias(f"v{i}_{j}") for i, c in enumerate(names) for j, layout in enumerate(candidates)]
+    counted = df.select(*names).agg(*votes).first()
+    best = {c: max(range(len(candidates)), key=lambda j: (counted[f"v{i}_{j}"], -j)) for i, c in enumerate(names)}
+    return {c: candidates[best[c]] for i, c in enumerate(names) if counted[f"v{i}_{best[c]}"] > 0}
+
+
+def parse_dates_inferred(df: DataFrame, candidates: tuple[str, ...] = C.KNOWN_LAYOUTS) -> DataFrame:
+    """created_date / closed_date by the layout that fits each column best; texts of another layout become null (F1)."""
+    chosen = infer_layouts(df, candidates)
+    out = df
+    for c in DATE_COLUMNS:
+        if c in df.columns:
+            out = out.withColumn(c, C.parse_timestamp(F.col(c), df.schema[c].dataType, (chosen.get(c, candidates[0]),)))
+    return out
+
+
 def parse_coordinates(df: DataFrame) -> DataFrame:
     """Parse each complete coordinate pair to double and null out-of-range values (F2 + P7)."""
     out = df
@@ -129,20 +157,18 @@ def drop_null_keys(df: DataFrame) -> DataFrame:
     return df.where(F.col(KEY_COLUMN).isNotNull())
 
 
-def typed_columns(df: DataFrame, layouts: tuple[str, ...] = (C.ISO_LAYOUT,)) -> DataFrame:
-    """Steps F1, F2+P7, F3, P8, F4 in their fixed order: one lazy projection."""
-    df = parse_dates(df, layouts)
+def typed_columns(df: DataFrame, layouts: tuple[str, ...] = (C.ISO_LAYOUT,), inferred: bool = False) -> DataFrame:
+    """Steps F1, F2+P7, F3, P8, F4 in their fixed order: one lazy projection.
+
+    With ``inferred`` one of the layouts is chosen for each date column first (a count over these columns).
+    """
+    df = parse_dates_inferred(df, layouts) if inferred else parse_dates(df, layouts)
     df = parse_coordinates(df)
     df = standardize_borough(df)
     df = repair_dates(df)
     return add_response_time(df)
 
 
-def typed_requests(df: DataFrame) -> DataFrame:
-    """Steps F1, F2+P7, F3, P8, F4, then P4."""
-    return drop_null_keys(typed_columns(df))
-
-
 # --------------------------------------------------------------------------
 # Imputation (F5-F8). The statistics come from ``operators.stats.profile``.
 # --------------------------------------------------------------------------

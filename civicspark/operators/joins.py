@@ -29,13 +29,6 @@ def bounded_count(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def checked_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``limit`` rows, else ``df`` unchanged."""
-    if limit is None:
-        limit = tuning(df.sparkSession, "broadcastRows", BROADCAST_ROWS)
-    return F.broadcast(df) if bounded_count(df, limit) is not None else df
-
-
 def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 

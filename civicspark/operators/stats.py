@@ -51,20 +51,14 @@ def profile(df: DataFrame) -> Profile:
     return read_profile(df.agg(*profile_exprs(df)).first().asDict(), list(df.columns))
 
 
-def null_counts(df: DataFrame, columns: list[str] | None = None) -> tuple[int, dict[str, int]]:
-    """(row count, {column: missing count}) in one aggregate."""
-    cols = list(df.columns if columns is None else columns)
-    p = read_profile(df.agg(*profile_exprs(df, cols)).first().asDict(), cols)
-    return p.rows, p.nulls
-
-
 def median_table(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(column_name, median)`` per column that has a value (G6): NaN and null are skipped.
 
     One job writes the counted values in range partitions (so that sampled
-    boundaries cannot move when a task is run again); the plan returned reads
-    them. Totals are one row per partition and column; only the at most two
-    partitions per column with a middle rank are ranked.
+    boundaries cannot move when a task is run again), a folder per column and
+    partition; the plan returned reads them. Totals are one row per partition
+    and column; only the files of the at most two partitions per column with a
+    middle rank are read for their values.
     """
     cols = list(columns)
     value = {c: nan_as_null(_c(c).cast("double"), T.DoubleType()) for c in cols}
@@ -77,9 +71,9 @@ def median_table(df: DataFrame, columns: list[str]) -> DataFrame:
     )
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = counted.repartitionByRange(n, "c", "v").withColumn("part", F.spark_partition_id())
-    ranged = materialize(ranged, "counted-values")
+    ranged = materialize(ranged, "counted-values", df_schema=True, partition_by=["c", "part"])
 
-    totals = ranged.groupBy("c", "part").agg(F.sum("cnt").alias("total"))
+    totals = ranged.groupBy("c", "part").agg(F.sum("cnt").alias("total"))  # reads the counts only
     by_part = Window.partitionBy("c").orderBy("part")
     totals = totals.select(
         "c", "part", "total",
@@ -89,7 +83,7 @@ def median_table(df: DataFrame, columns: list[str]) -> DataFrame:
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
     middle = totals.where((F.col("below") <= high) & (F.col("below") + F.col("total") > low))
 
-    # Few partitions hold a middle rank; the others are filtered out before the running count.
+    # Few parts hold a middle rank. They are folders, so the join prunes the files of all others before they are read.
     inside = ranged.join(F.broadcast(middle.select("c", "part", "below", "n")), ["c", "part"])
     running = Window.partitionBy("c", "part").orderBy("v")
     upto = inside.withColumn("upto", F.col("below") + F.sum("cnt").over(running))

@@ -373,6 +373,13 @@ def oracle_sql() -> dict[str, str]:
         ["requests_raw"], f"SELECT borough, count(*) AS n_rows FROM requests_raw WHERE borough NOT IN ({allowed}) GROUP BY borough"
     )
     q["parse_dates_layouts"] = q["parse_dates"]
+    q["fact_colocated"] = q["fact_requests"]
+    # Even days of creation are in another layout: the one with more rows is read, ties go to the ISO layout.
+    q["parse_dates_inferred"] = _q(
+        ["s_dates", "s_selected"],
+        "SELECT * REPLACE (CASE WHEN (day(created_date) % 2 = 0) = (SELECT count(*) FILTER (WHERE day(created_date) % 2 = 0) > "
+        "count(*) FILTER (WHERE day(created_date) % 2 = 1) FROM s_dates) THEN created_date END AS created_date) FROM s_dates",
+    )
     q["clean_nan_source"] = q["clean_requests"]
 
     lo, hi = DATE_RANGE

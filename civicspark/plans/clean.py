@@ -48,7 +48,7 @@ _TYPED_INPUTS = {KEY_COLUMN, "borough", *DATE_COLUMNS, *(c for pair in COORDINAT
 
 
 def stage_requests(
-    df: DataFrame, required_columns: list[str] | None = None, layouts: tuple[str, ...] = (ISO_LAYOUT,)
+    df: DataFrame, required_columns: list[str] | None = None, layouts: tuple[str, ...] = (ISO_LAYOUT,), inferred: bool = False
 ) -> Stage:
     """P1, P2, P3, F1..P4, written once; P2 and the statistics come from observations."""
     spark = df.sparkSession
@@ -61,7 +61,7 @@ def stage_requests(
         seen, F.count(F.lit(1)).alias("_rows"), *[K.count_values(df, c).alias(f"_v{i}") for i, c in enumerate(raw_cols)]
     )
     named = K.normalize_column_names(observed)
-    staged = K.drop_null_keys(K.typed_columns(named, layouts))
+    staged = K.drop_null_keys(K.typed_columns(named, layouts, inferred))
     stats = Observation(f"stage_profile_{uuid.uuid4().hex[:8]}")
     path = scratch_path(spark, "clean-stage")
     staged.observe(stats, *profile_exprs(staged)).write.parquet(path)
@@ -71,7 +71,7 @@ def stage_requests(
     if empty:
         log.info("Dropping columns without values: %s", sorted(empty.values()))
     if empty.keys() & _TYPED_INPUTS:
-        return stage_requests(K.select_required(df, [c for c in raw_cols if c not in empty.values()]), None, layouts)
+        return stage_requests(K.select_required(df, [c for c in raw_cols if c not in empty.values()]), None, layouts, inferred)
     prof = read_profile(stats.get, staged.columns)
     dropped = int(counts["_rows"]) - prof.rows
     if dropped:
@@ -105,14 +105,16 @@ def clean_requests(
     drop_duplicates: bool = True,
     impute_response_time: bool = True,
     layouts: tuple[str, ...] = (ISO_LAYOUT,),
+    inferred: bool = False,
 ) -> DataFrame:
     """The whole cleaning job in its fixed order: P1, P2, P3, F1, F2+P7, F3, P8, F4, P4, F5-F8, G12.
 
     ``impute_response_time=False`` leaves open requests without a response
     time instead of giving them the median. ``layouts`` declares the accepted
-    timestamp texts (see ``parse_timestamp``).
+    timestamp texts (see ``parse_timestamp``); with ``inferred`` each date column
+    gets the one of them that parses most of its texts.
     """
-    stage = stage_requests(df, required_columns, layouts)
+    stage = stage_requests(df, required_columns, layouts, inferred)
     if not stage.df.columns:
         return stage.df
     out = impute(stage.df, stage.profile, impute_response_time)

@@ -9,6 +9,7 @@ root and re-read by later queries, as the batch job itself hands them over.
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,6 +22,9 @@ from civicspark.functions.columns import ISO_LAYOUT
 from civicspark.operators import cleaning as K
 from civicspark.operators import quality as V
 from civicspark.operators import reports as R
+from civicspark.operators.colocated import colocated_lookup, save_colocated
+from civicspark.operators.joins import lookup
+from civicspark.operators.star import FACT_COLUMNS
 from civicspark.operators.stats import duplicate_count, exact_medians, median_table, modes
 from civicspark.plans.batch import BatchSettings, run_batch
 from civicspark.plans.clean import Stage, clean_requests, impute, stage_requests
@@ -356,6 +360,23 @@ def _parse_dates_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.parse_dates(fixture.requests_two_layouts(spark, sf_dir), layouts)
 
 
+def _parse_dates_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.parse_dates_inferred(fixture.requests_two_layouts(spark, sf_dir))
+
+
+def _fact_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's location lookup between tables laid out by the location, with some locations hot."""
+    star, keys = _stars(spark, sf_dir), (("borough", "incident_zip"), ("latitude", "longitude"))
+    tag = uuid.uuid4().hex[:8]
+    path = scratch_path(spark, "colocated")
+    fact = save_colocated(_clean(spark, sf_dir), f"clean_by_location_{tag}", path, *keys, buckets=16, hot_slots=2000)
+    dim = save_colocated(star["dim_location"], f"locations_{tag}", path, *keys, buckets=16, unique=True)
+    located = colocated_lookup(spark, fact, dim, ["location_id"])
+    with_agency = lookup(located, star["dim_agency"], ["agency"], [], ["agency_id"])
+    keyed = lookup(with_agency, star["dim_complaint"], ["complaint_type", "descriptor"], [], ["complaint_id"])
+    return _fact_attributes(star | {"fact_311_requests": keyed.select(*FACT_COLUMNS)})
+
+
 def _report(name: str) -> Query:
     return lambda spark, sf_dir: R.all_reports(_stars(spark, sf_dir))[name]
 
@@ -383,6 +404,7 @@ def queries() -> dict[str, Query]:
         "clean_requests": lambda s, d: clean_requests(_raw(s, d), RAW_COLUMNS),
         "clean_nan_source": _clean_nan_source,
         "parse_dates_layouts": _parse_dates_layouts,
+        "parse_dates_inferred": _parse_dates_inferred,
         "column_medians": _column_medians,
         "median_two_peaks": lambda s, d: median_table(fixture.two_peaks(s, d), ["x"]),
         "column_modes": _column_modes,
@@ -393,6 +415,7 @@ def queries() -> dict[str, Query]:
         "dim_date": lambda s, d: _stars(s, d)["dim_date"],
         "fact_requests": lambda s, d: _fact_attributes(_stars(s, d)),
         "fact_unimputed": _fact_unimputed,
+        "fact_colocated": _fact_colocated,
         "star_row_counts": lambda s, d: star_row_counts(s, _star_dir(s, d)),
     }
     for name in R.REPORT_NAMES:

@@ -111,17 +111,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def materialize(df: DataFrame, name: str, df_schema: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str, df_schema: bool = False, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the scratch root and read it back.
 
     This cuts lineage: later jobs read the written files (column-pruned,
     filter-pushed) instead of recomputing the plan, and a lost executor only
     costs re-reading files, never a re-run with different results. With
-    ``df_schema`` no job reads the schema from the files.
+    ``df_schema`` no job reads the schema from the files. ``partition_by`` lays
+    the files out in folders, which later filters and joins prune.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     return (spark.read.schema(df.schema) if df_schema else spark.read).parquet(path)
 
 
@@ -137,9 +138,9 @@ def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 def tuning(spark: SparkSession, name: str, default: int) -> int:
     """An integer knob read from the session conf ``civicspark.<name>``, else ``default``.
 
-    The engine's size bounds (broadcast rows, single-task rows, hot-key slots,
-    histogram rows) are set this way, e.g. to force every large-data path on
-    a small input.
+    The engine's size bounds (``broadcastRows``, ``hotSlots``, ``sliceSortRows``
+    and those of the training-data operators) are set this way, e.g. to force
+    every large-data path on a small input.
     """
     value = spark.conf.get(f"civicspark.{name}", None)
     return default if value is None else int(value)

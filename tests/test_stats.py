@@ -46,7 +46,7 @@ def test_exact_median_skips_nan(spark):
     nan = float("nan")
     df = _frame(spark, [1.0, nan, 3.0, None, 5.0])
     assert S.exact_medians(df, ["x"])["x"] == 3.0
-    assert S.null_counts(df) == (5, {"x": 2})
+    assert S.profile(df) == S.Profile(5, {"x": 2})
     assert S.exact_medians(_frame(spark, [nan, None]), ["x"])["x"] is None
 
 
@@ -67,6 +67,6 @@ def test_duplicate_count_treats_null_keys_as_equal(spark):
     assert S.duplicate_count(df, "k").first()["n_duplicates"] == 3
 
 
-def test_null_counts(spark):
+def test_profile(spark):
     df = spark.createDataFrame([(1, None), (None, "x"), (None, None)], "a long, b string")
-    assert S.null_counts(df) == (3, {"a": 2, "b": 2})
+    assert S.profile(df) == S.Profile(3, {"a": 2, "b": 2})

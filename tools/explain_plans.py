@@ -66,7 +66,7 @@ def main() -> None:
         rendered.append((title, _plan(df)))
 
     add("requests_raw (fixture from the driver tables)", raw)
-    add("clean stage: typed projection F1..P4 (written once, observed)", K.typed_requests(raw))
+    add("clean stage: typed projection F1..P4 (written once, observed)", K.drop_null_keys(K.typed_columns(raw)))
     add("clean: imputation + de-duplication over the staged files", K.dedup_rows(impute(stage.df, stage.profile)))
     add("quality_report (V1-V6 in one aggregate pass)", quality_report(clean))
     add("dim_location distinct input", clean.select(*S.LOCATION_COLUMNS).distinct())
