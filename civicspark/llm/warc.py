@@ -68,7 +68,8 @@ def mark_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     """
     long_enough = pages.where(F.col("payload_bytes") >= min_bytes)
     first = long_enough.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-    first = first.where((F.col("n") > 1) & F.col("refers_to").isNotNull()).select("digest", "refers_to")
+    # Written first, the repeated payloads are a plain shuffle beside a hot one (an error page), which AQE can then split.
+    first = materialize(first.where((F.col("n") > 1) & F.col("refers_to").isNotNull()).select("digest", "refers_to"), "repeated-payloads")
     repeats = long_enough.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     return repeats.select("row_key", "refers_to").distinct()
 
@@ -345,18 +346,24 @@ def page_records(records: DataFrame) -> DataFrame:
 
     A revisit takes the length and digest of the payload it stands for from
     the response it refers to (matched on page and stated digest); if that
-    record was lost, the length is null and the digest the stated one.
+    record was lost, the length is null and the digest the stated one. Ids that
+    are not a page's number are null. The archives are parsed once: the narrow
+    rows are written, and revisits are resolved from them.
     """
     def page(c: Column) -> Column:
-        return F.nullif(F.regexp_extract(c, r"^<urn:page:(.*)>$", 1), F.lit("")).cast("bigint")
+        return F.nullif(F.regexp_extract(c, r"^<urn:page:(.*)>$", 1), F.lit("")).try_cast("bigint")
 
     rows = records.where("kind IN ('response', 'revisit')").select(
         page(F.col("record_id")).alias("page_id"), page(F.col("refers_to")).alias("refers_to"), F.col("kind").alias("record_type"),
         "payload_bytes", "payload_digest", F.regexp_replace("stated_digest", "^sha256:", "").alias("stated"), "archive", "offset",
     )
+    rows = materialize(rows, "page-records")
     responses = rows.where("record_type = 'response'")
     revisits = rows.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
+    # Only pages that a revisit names are looked up; written first, they are a plain shuffle beside a page that many revisit.
+    named = revisits.select("refers_to", "stated").distinct()
     known = responses.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated"), "payload_bytes").distinct()
+    known = materialize(known.join(named, ["refers_to", "stated"], "left_semi"), "revisited-pages")
     resolved = revisits.join(known, ["refers_to", "stated"], "left").withColumn("payload_digest", F.col("stated"))
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset"]
     return responses.select(cols).unionByName(resolved.select(cols))

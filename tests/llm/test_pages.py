@@ -123,7 +123,9 @@ def test_archives_round_trip(spark, tmp_dir, compression, archive_bytes, few):
         spark.conf.unset("civicspark.warcBroadcastRevisits")
     records = warc.read_archives(spark, path)
     assert records.where("kind = 'gap'").count() == 0
-    got = Counter(tuple(r)[:5] for r in warc.page_records(records).collect())
+    resolved = warc.page_records(records)
+    assert "MapInArrow" not in resolved._jdf.queryExecution().executedPlan().toString()  # the archives are not parsed again
+    got = Counter(tuple(r)[:5] for r in resolved.collect())
     first = {"p" * 120: 1, "r" * 150: 8}
     want = Counter()
     for page, _, html, _ in PAGES:
@@ -133,6 +135,17 @@ def test_archives_round_trip(spark, tmp_dir, compression, archive_bytes, few):
     assert got == want
 
 
+def test_ids_that_are_no_page_numbers_are_null(spark):
+    fields = "kind string, record_id string, refers_to string, payload_bytes bigint, payload_digest string, stated_digest string, archive string, offset bigint"
+    rows = [("response", "<urn:page:abc>", None, 3, "d1", "sha256:d1", "a", 0), ("response", "<urn:uuid:1>", None, 4, "d2", None, "a", 9), ("response", "<urn:page:7>", None, 5, "d3", "sha256:d3", "a", 19)]
+    rows += [("revisit", "<urn:page:8>", "<urn:page:7>", 0, "e", "sha256:d3", "a", 29), ("revisit", "<urn:page:9>", "<urn:page:99999999999999999999>", 0, "e", "sha256:d4", "a", 39)]
+    got = {r["offset"]: tuple(r)[:5] for r in warc.page_records(spark.createDataFrame(rows, fields)).collect()}
+    assert got == {
+        0: (None, 3, "d1", "response", None), 9: (None, 4, "d2", "response", None), 19: (7, 5, "d3", "response", None),
+        29: (8, 5, "d3", "revisit", 7), 39: (9, None, "d4", "revisit", None),
+    }
+
+
 def test_damaged_archive_keeps_its_other_pages(spark, tmp_dir):
     pages = spark.createDataFrame([(i, f"http://x/{i}", f"text {i} " * 40) for i in range(20)], "page_id bigint, url string, html string")
     path = os.path.join(tmp_dir, "damaged")
