@@ -17,15 +17,17 @@ document's verdict combines its own odds with those of its path.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from civicspark.llm.common import byte_slices, hash_words, mix64, neutral, releasing, split_words
 from civicspark.session import materialize, tuning
@@ -189,21 +191,36 @@ def _log_loss(p: np.ndarray, y: np.ndarray) -> float:
     return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
 
 
-def fit_head(style: np.ndarray, lexical: np.ndarray, starts: np.ndarray, y: np.ndarray) -> Head:
-    """The head whose evidence threshold does best on a fifth of the sample, refitted on all of it."""
-    if len(y) == 0 or y.min() == y.max():
-        return Head(None, None)
-    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))
-    aside = np.arange(len(y)) % 5 == 4
-    learn = ~aside
-    best = (math.inf, LEAST_EVIDENCE[-1])
-    if y[learn].min() < y[learn].max() and aside.any():
-        of = (np.cumsum(learn) - 1).astype(np.int32)
+@dataclass(frozen=True)
+class Sample:
+    """Features and classes of the sampled documents that have a label for a head."""
+
+    style: np.ndarray
+    lexical: np.ndarray
+    starts: np.ndarray
+    y: np.ndarray
+
+    @property
+    def one_class(self) -> bool:
+        return len(self.y) == 0 or self.y.min() == self.y.max()
+
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.starts))
+
+    def trial(self, least: float) -> float:
+        """Log loss, on a fifth of the sample, of a head with that evidence threshold fitted on the others; infinite if they are of one class."""
+        aside = np.arange(len(self.y)) % 5 == 4
+        learn = ~aside
+        if self.one_class or self.y[learn].min() == self.y[learn].max() or not aside.any():
+            return math.inf
+        row, of = self.rows(), (np.cumsum(learn) - 1).astype(np.int32)
         mine = learn[row]
-        for least in LEAST_EVIDENCE:
-            head = _fit_with(style[learn], lexical[mine], of[row[mine]], y[learn], least)
-            best = min(best, (_log_loss(head.probabilities(style, lexical, starts)[aside], y[aside]), least))
-    return _fit_with(style, lexical, row, y, best[1])
+        head = _fit_with(self.style[learn], self.lexical[mine], of[row[mine]], self.y[learn], least)
+        return _log_loss(head.probabilities(self.style, self.lexical, self.starts)[aside], self.y[aside])
+
+    def head(self, least: float) -> Head:
+        """The head with that evidence threshold, fitted on the whole sample."""
+        return Head(None, None) if self.one_class else _fit_with(self.style, self.lexical, self.rows(), self.y, least)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_training: int = MAX_TRAINING) -> dict[str, Head]:
@@ -212,7 +229,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ``labels`` has ``doc_id, quality (1 good), toxic (1 toxic)``. Repeated
     labels of a document count by majority, ties as the worse label; null
     labels are left out of their head. Labels without a document are ignored.
-    A head whose sample has one class only rejects nothing.
+    A head whose sample has one class only rejects nothing. The evidence
+    threshold of a head is the one that does best on a fifth of the sample that
+    is set aside; all trials of both heads run as tasks of one job, and so do
+    the two fits on the whole sample. The sample reaches them by a broadcast:
+    its size is bounded by ``max_training``.
     """
     worse = F.when(F.avg(1 - F.col("quality")) >= 0.5, 1.0).when(F.avg(1 - F.col("quality")) < 0.5, 0.0)
     toxic = F.when(F.avg("toxic") >= 0.5, 1.0).when(F.avg("toxic") < 0.5, 0.0)
@@ -233,19 +254,71 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     sample = rows.select("doc_id", "low", "toxic", "text").mapInArrow(releasing(run), f"doc_id {kind}, low double, toxic double, style array<double>, lexical array<int>")
-    table = sample.toArrow()
-    return {name: _fit_column(table.filter(pc.is_valid(table.column(name))), name) for name in HEADS}
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(_as_bytes(sample.toArrow()))
+    try:
+        tried = _in_tasks(spark, [(h, least) for h in HEADS for least in LEAST_EVIDENCE], shared, _trial, _TRIAL)
+        best = {h: min((r["loss"], r["least"]) for r in tried if r["head"] == h) for h in HEADS}
+        chosen = [(h, best[h][1] if math.isfinite(best[h][0]) else LEAST_EVIDENCE[-1]) for h in HEADS]
+        fitted = _in_tasks(spark, chosen, shared, _whole_fit, _FIT)
+    finally:
+        shared.unpersist()
+    return {r["head"]: _unpacked(r) for r in fitted}
+
+
+_TRIAL = pa.schema([("head", pa.string()), ("least", pa.float64()), ("loss", pa.float64())])
+_FIT = pa.schema([("head", pa.string()), ("style", pa.list_(pa.float64())), ("places", pa.list_(pa.int32())), ("weights", pa.list_(pa.float64()))])
 
 
-def _fit_column(sample: pa.Table, name: str) -> Head:
-    """The head of one label over the sampled rows that have it."""
-    if sample.num_rows == 0:
+def _as_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _in_tasks(spark: SparkSession, work: list[tuple[str, float]], shared: Broadcast, do: Callable, schema: pa.Schema) -> list[Row]:
+    """``do(sample, head, least)`` for every item of work, a task each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                head, least = work[i]
+                yield pa.RecordBatch.from_pylist([do(_sample_of(shared.value, head), head, least)], schema=schema)
+
+    return spark.range(0, len(work), 1, len(work)).mapInArrow(releasing(run), from_arrow_schema(schema)).collect()  # a row per item
+
+
+def _trial(sample: Sample, head: str, least: float) -> dict:
+    return {"head": head, "least": least, "loss": sample.trial(least)}
+
+
+def _whole_fit(sample: Sample, head: str, least: float) -> dict:
+    """The fitted head; of its lexical weights those that are not 0."""
+    found = sample.head(least)
+    if found.style is None:
+        return {"head": head, "style": None, "places": None, "weights": None}
+    places = np.flatnonzero(found.lexical)
+    return {"head": head, "style": found.style, "places": places, "weights": found.lexical[places]}
+
+
+def _unpacked(r: Row) -> Head:
+    if r["style"] is None:
         return Head(None, None)
-    sample = sample.take(pc.sort_indices(sample.column("doc_id")))
-    style = np.array(sample.column("style").to_pylist(), dtype=np.float64)
+    lexical = np.zeros(1 << FEATURE_BITS)
+    lexical[r["places"]] = r["weights"]
+    return Head(np.array(r["style"]), lexical)
+
+
+def _sample_of(table: bytes, name: str) -> Sample:
+    """The sampled rows that have a label of a head, in order of their ids."""
+    sample = pa.ipc.open_stream(table).read_all()
+    sample = sample.filter(pc.is_valid(sample.column(name)))
+    sample = sample.take(pc.sort_indices(sample.column("doc_id"))).combine_chunks()
+    style = np.array(sample.column("style").to_pylist(), dtype=np.float64).reshape(sample.num_rows, -1 if sample.num_rows else 1)
     lists = sample.column("lexical").combine_chunks()
     starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
-    return fit_head(style, np.asarray(lists.flatten()), starts, np.asarray(sample.column(name), dtype=np.float64))
+    return Sample(style, np.asarray(lists.flatten()), starts, np.asarray(sample.column(name), dtype=np.float64))
 
 
 def score(docs: DataFrame, heads: dict[str, Head], text_col: str = "text") -> DataFrame:

@@ -531,6 +531,52 @@ def test_majority_labels_and_odd_texts(spark):
     spark.conf.unset("civicspark.qualityBroadcastSites")
 
 
+def _posteriors(rows, head):
+    """Site posteriors of one head from ``(host, path, score)`` rows, by the definitions."""
+
+    def moments(group):
+        n, s, q = len(group), sum(group), sum(x * x for x in group)
+        return n, s, (q / n - (s / n) ** 2) / n
+
+    mean = sum(x for *_, x in rows) / len(rows)
+    above, out = {(): mean}, {}
+    for depth in (1, 2):
+        groups = {}
+        for *site, x in rows:
+            groups.setdefault(tuple(site[:depth]), []).append(x)
+        found = {k: moments(g) for k, g in groups.items()}
+        spread = sum(n * ((s / n - above[k[:-1]]) ** 2 - chance) for k, (n, s, chance) in found.items()) / len(rows)
+        m = min(max(mean, 1e-6), 1 - 1e-6)
+        weight = m * (1 - m) / spread if spread > 1e-12 else math.inf
+        out = {k: above[k[:-1]] if math.isinf(weight) else (weight * above[k[:-1]] + s) / (weight + n) for k, (n, s, _) in found.items()}
+        above = out
+    return mean, out
+
+
+def test_verdicts_by_the_definitions(spark):
+    """Posteriors, odds and verdicts of every document, computed again in plain Python from the documents' own scores."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    own = {r["doc_id"]: r for r in Q.score(docs, Q.fit(docs, labels)).collect()}
+    got = {r["doc_id"]: r for r in queries.queries()["op9_quality"](spark, sf).collect()}
+    assert got.keys() == own.keys()
+
+    def logit(p):
+        p = min(max(p, 1e-9), 1 - 1e-9)
+        return min(max(math.log(p / (1 - p)), -12.0), 12.0)
+
+    kept = dict.fromkeys(own, True)
+    for head in Q.HEADS:
+        mean, site = _posteriors([(r["source"] or "", r["lang"] or "", r[f"p_{head}"]) for r in own.values()], head)
+        for i, r in own.items():
+            at = site[r["source"] or "", r["lang"] or ""]
+            odds = logit(r[f"p_{head}"]) + logit(at) - logit(mean)
+            post = 1 / (1 + math.exp(-odds)) if r[f"p_{head}"] > 0 else 0.0
+            assert got[i][f"site_{head}"] == pytest.approx(at, rel=1e-9) and got[i][f"post_{head}"] == pytest.approx(post, rel=1e-6, abs=1e-12)
+            kept[i] &= post < Q.REJECT
+    assert {i: r["kept"] for i, r in got.items()} == kept and 0.5 < sum(kept.values()) / len(kept) < 1
+
+
 def test_sparse_sites_are_shrunk_towards_their_prior(spark):
     rows = [("good", f"p{i % 4}", 0.02) for i in range(400)] + [("bad", f"p{i % 4}", 0.9) for i in range(400)]
     rows += [("bad", "new", 0.1), ("lone", "new", 0.9), (None, None, 0.3)]
