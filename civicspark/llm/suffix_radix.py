@@ -1,9 +1,15 @@
-"""Repeated passages by a depth-limited radix sort of suffixes.
+"""Repeated passages, by anchors and fingerprints in place of a depth-limited radix sort of suffixes.
 
 A byte is removed when a 50-byte string over it also starts in a document with
-a smaller id. Such strings are the groups of suffixes that stay equal through
-50 bytes, so suffixes are dealt out by their most significant digits first and
-only groups that still hold two documents go on to the next pass:
+a smaller id. A radix sort by most significant digits would deal out every
+suffix by its leading bytes, pass by pass down to byte 50, and find such strings
+as the groups that stay equal. Measured on this library's test documents its
+first pass alone would write 3.3 times the input with digits of 8 bytes, after
+which four suffixes in five go on, and 10 times with digits of 16 bytes (see
+the README); so this module takes the same groups in another way. Passes go
+from coarse to fine like those of the sort, and only groups that still hold
+two documents go on, but of every 50-byte window one suffix is dealt, and
+groups are compared by fingerprints:
 
 1. First digit. Of the 16-byte grams of every 50-byte window the one with the
    least hash is its anchor; equal windows have equal anchors at equal places,
