@@ -47,12 +47,46 @@ def byte_alphabet() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+# The parts of a tokenizer file that this module carries out itself.
+_CARRIED_OUT = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def _refuse_others(spec: dict) -> None:
+    """Raise for a tokenizer file that asks for steps which are not carried out here."""
+    other = [part for part, known in _CARRIED_OUT.items() if spec.get(part) != known]
+    other += [f"model.{option}" for option, known in _MODEL.items() if spec["model"].get(option, known) != known]
+    plain = ("single_word", "lstrip", "rstrip", "normalized")
+    other += [f"added token {t['content']}" for t in spec["added_tokens"] if any(t.get(flag) for flag in plain)]
+    if other:
+        raise ValueError(f"tokenizer file with unsupported parts: {', '.join(other)}")
+
+
 class PairIndexBpe:
-    """A BPE vocabulary with word-end symbols, read from a tokenizer file."""
+    """A BPE vocabulary with word-end symbols, read from a tokenizer file; files with other steps than these are refused."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        _refuse_others(spec)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]

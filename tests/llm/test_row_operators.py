@@ -60,6 +60,21 @@ def test_tokens_are_the_librarys(spark):
     assert B.encode_documents(docs.limit(0), PATH).count() == 0
 
 
+def test_files_with_other_steps_are_refused(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    B.PairIndexBpe(PATH)
+    changes = {
+        "normalizer": {"normalizer": None}, "pre_tokenizer": {"pre_tokenizer": {"type": "Whitespace"}}, "decoder": {"decoder": {"type": "ByteLevel"}},
+        "model.dropout": {"model": spec["model"] | {"dropout": 0.1}}, "added token": {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]},
+    }
+    for part, change in changes.items():
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(spec | change), encoding="utf-8")
+        with pytest.raises(ValueError, match=part):
+            B.PairIndexBpe(str(path))
+
+
 def test_bpe_query(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = queries.queries()["op5_pair_index_bpe"](spark, SF_SMALL).collect()
