@@ -181,29 +181,37 @@ def quality_report(df: DataFrame, min_rows: int = 1) -> DataFrame:
     return out
 
 
-def raise_first_failure(report: DataFrame) -> DataFrame:
+#: Unexpected boroughs that an error names.
+NAMED_BOROUGHS = 5
+
+
+def raise_first_failure(report: DataFrame, checked: DataFrame | None = None) -> DataFrame:
     """Strict mode for any check table: raise ``ValidationError`` at its first failure.
 
     A report has one row per check and listed column, so it is read whole.
     Failed rows of one check are reported together (e.g. every column over
-    its null-rate limit in one message).
+    its null-rate limit in one message). With the ``checked`` rows at hand, an
+    error about boroughs names the first few of them.
     """
     rows = sorted(report.collect(), key=lambda r: r["seq"])
     failed = [r for r in rows if not r["passed"]]
     if failed:
         first = failed[0]["seq"]
         group = [r for r in failed if r["seq"] == first]
-        raise ValidationError(_message(group))
+        values = []
+        if checked is not None and group[0]["check_name"] == "borough_values":
+            values = [r["borough"] for r in unexpected_boroughs(checked).orderBy("borough").limit(NAMED_BOROUGHS + 1).collect()]
+        raise ValidationError(_message(group, values))
     return report
 
 
 def validate(df: DataFrame, min_rows: int = 1) -> DataFrame:
     """Run all checks in order V1..V6 and raise at the first failure (V7, strict)."""
-    return raise_first_failure(quality_report(df, min_rows))
+    return raise_first_failure(quality_report(df, min_rows), df)
 
 
 # Callers match on the phrases of these messages.
-def _message(group: list) -> str:
+def _message(group: list, values: list[str]) -> str:
     row = group[0]
     name, subject, observed, threshold = row["check_name"], row["subject"], row["observed"], row["threshold"]
     if name == "row_count":
@@ -220,5 +228,6 @@ def _message(group: list) -> str:
     if name == "date_logic":
         return f"Found {int(observed)} rows where closed_date is before created_date."
     if name == "borough_values":
-        return f"Unexpected borough values in {int(observed)} rows; unexpected_boroughs() lists them all with their counts"
+        named = f": {sorted(values[:NAMED_BOROUGHS])}" + (" and more" if len(values) > NAMED_BOROUGHS else "") if values else ""
+        return f"Unexpected borough values in {int(observed)} rows{named}; unexpected_boroughs() lists them all with their counts"
     return f"Check {name} failed"

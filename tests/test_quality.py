@@ -105,7 +105,8 @@ FAILURES = [
     ("all keys null", lambda s: _frame(s, _spoiled("unique_key", [None] * 30)), "29 duplicate values"),
     ("agencies null, boroughs strange", lambda s: _frame(s, [r | {"borough": "Atlantis"} for r in _spoiled("agency", [None] * 9)]), "Null rate violations"),
     ("closed too early, boroughs strange", lambda s: _frame(s, [r | {"borough": "Atlantis"} for r in _spoiled("closed_date", [dt.datetime(1999, 1, 1)])]), "closed_date is before created_date"),
-    ("boroughs strange", lambda s: _frame(s, _spoiled("borough", ["Atlantis", "Lemuria"])), "Unexpected borough values in 2 rows"),
+    ("boroughs strange", lambda s: _frame(s, _spoiled("borough", ["Lemuria", "Atlantis", "Lemuria"])), r"Unexpected borough values in 3 rows: \['Atlantis', 'Lemuria'\];"),
+    ("many boroughs strange", lambda s: _frame(s, _spoiled("borough", list("gfedcba"))), r"in 7 rows: \['a', 'b', 'c', 'd', 'e'\] and more;"),
     ("nothing there", lambda s: s.createDataFrame([], "a string"), "0 rows"),
 ]
 
