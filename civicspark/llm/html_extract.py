@@ -24,6 +24,7 @@ the others has no hot key.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +56,17 @@ _LISTS = frozenset("ul ol dl div section table".split())
 _NAMES = frozenset("article post entry story content text body main".split())
 
 
+# Headings of what stands around an article, in the languages of the pages this was made for.
+_ASIDE_HEADING = re.compile(
+    r"(\d+\s+)?(reader |user |all |leser)?"
+    r"(comments?|replies|responses|discussion|leave a (comment|reply)|join the discussion|kommentare?|commentaires?|comentarios?|"
+    r"related( articles| posts| stories| content)?|more stories|recommended( for you)?|you may also like|most read|"
+    r"advertisement|sponsored|anzeige|werbung|publicité|publicidad|newsletter|share this|follow us)\W*(\(?\d+\)?)?\W*",
+    re.IGNORECASE,
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend summary".split())
+
+
 class Layout:
     """Scores of a page's containers."""
 
@@ -79,11 +91,12 @@ class Layout:
             whole[up] += whole[i]
             marks[up] |= marks[i]
             titles[up] |= titles[i]
+        titled = self._titled()
         bad = [False] * len(page.tag)
         for i in range(1, len(page.tag)):
             if bad[page.parent[i]]:
                 bad[i] = True
-            elif page.hinted[i]:
+            elif page.hinted[i] or titled[i]:
                 # A form or a wrapper "page-with-sidebar" around the article itself is none of the things it is named after.
                 holds = marks[i] or ((titles[i] or page.tag[i] == "form") and 2 * whole[i] > whole[0])
                 bad[i] = page.tag[i] in ("nav", "footer", "aside") or not holds
@@ -91,6 +104,19 @@ class Layout:
                 bad[i] = not self._within(i)
         return bad
 
+    def _titled(self) -> list[bool]:
+        """Containers that begin with a heading for comments, related articles or adverts."""
+        page, seen = self.page, [False] * len(self.page.tag)
+        titled = [False] * len(page.tag)
+        for node, text, _, _ in page.blocks:
+            says_so = page.tag[node] in _HEADINGS and len(text) < 60 and _ASIDE_HEADING.fullmatch(text) is not None
+            at = node
+            while at > 0 and not seen[at]:  # elements of which this is the first block
+                seen[at] = True
+                titled[at] = says_so and at != node and page.tag[at] in ("div", "section", "article")
+                at = page.parent[at]
+        return titled
+
     def _within(self, i: int) -> bool:
         """Whether an element lies in a marked one (the header of an article is part of it)."""
         while i > 0:

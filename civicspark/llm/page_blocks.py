@@ -34,6 +34,10 @@ ASIDE_WORDS = frozenset(
     "newsletter subscribe subscription signup login search share sharing social related recommended recommendations "
     "comment comments reply replies respond discussion disqus form pagination pager copyright legal disclaimer sitemap".split()
 )
+#: Parts that name the same in words run together (sitefooter, cookiebar), and endings that do (topnav).
+ASIDE_PARTS = ("sidebar", "footer", "comment", "cookie", "advert", "newsletter", "breadcrumb", "sponsor", "masthead", "pagination", "banner", "popup", "paywall")
+ASIDE_ENDS = ("nav", "menu")
+ARTICLE_PARTS = ("article", "post", "entry", "story", "content")
 ARTICLE_ASIDE_WORDS = frozenset("comment comments reply replies respond ad ads advert advertisement sponsored promo related recommended".split())
 ARTICLE_WORDS = frozenset("article articles post posts entry story content contents body text main page blog news".split())
 
@@ -82,9 +86,9 @@ def _negative(tag: str, attributes: dict[str, str]) -> bool:
     words = [w for w, before in zip(words, ["", *words], strict=False) if before not in ("has", "with", "no", "without", "hide")]
     if tag in ("article", "main"):
         return any(w in ARTICLE_ASIDE_WORDS for w in words)
-    if any(w in ASIDE_WORDS for w in words):
+    if any(w in ASIDE_WORDS or w.endswith(ASIDE_ENDS) or any(part in w for part in ASIDE_PARTS) for w in words):
         return True
-    return "header" in words and not any(w in ARTICLE_WORDS for w in words)
+    return any(w.endswith("header") for w in words) and not any(w in ARTICLE_WORDS or any(part in w for part in ARTICLE_PARTS) for w in words)
 
 
 def _generalised(tag: str, attributes: dict[str, str]) -> str:

@@ -59,6 +59,29 @@ def test_each_template(template):
         assert H.main_text(page) == text, (template, n)
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<div class=topNav>x</div>", "<div class='siteheader'>The Site</div>", "<div id=disqus_thread><p>No!</p></div>", "<div class=cookiebar>We use cookies</div>",
+        "<section><h2>12 Comments</h2><p>First! A long remark of a reader, who has read it all.</p></section>", "<div><h3>Kommentare (3)</h3><p>Nein.</p></div>",
+        "<div><h4>Related articles</h4><p>Another one</p></div>", "<div hidden>unseen</div>", "<div style='display: none'>unseen</div>", "<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul>",
+        "<form action=x>Your mail <input><button>Send</button></form>", "<div role=alert>Old browser</div>", "<div class='wp-newsletter-box'>Subscribe</div>", "<noscript>Turn it on</noscript>", "<aside><p>Aside.</p></aside>",
+    ],
+)
+def test_what_stands_around_is_left_out(around):
+    body = "<h1>Comments on the law</h1><p>The first paragraph has some words.</p>{}<p>The second has some more of them.</p><div><h2>History</h2><p>It began.</p></div>"
+    text = "Comments on the law\nThe first paragraph has some words.\nThe second has some more of them.\nHistory\nIt began."
+    for shell in ("<article>{}</article>", "<div class=post>{}</div>", "<main>{}</main>"):
+        assert H.main_text(shell.format(body.format(around))) == text
+        assert H.main_text(around + shell.format(body.format("")) + around) == text
+
+
+@pytest.mark.parametrize("name", ["article-header", "postHeader", "entry_content", "has-sidebar main", "textbody", "note", "shadow", "lead adapted", "loading"])
+def test_names_that_mean_no_harm(name):
+    page = f"<article><div class='{name}'><h1>Title</h1><p>Lead of the story.</p></div><p>And then the rest of it, at some length.</p></article>"
+    assert H.main_text(page) == "Title\nLead of the story.\nAnd then the rest of it, at some length."
+
+
 def test_hosts_vote(spark):
     rnd, rows, want = random.Random(5), [], {}
     for h, template in enumerate(TEMPLATES):
