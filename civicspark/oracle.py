@@ -443,5 +443,8 @@ def oracle_sql() -> dict[str, str]:
     parts += [
         f"SELECT 'report:' || report, count(*), CAST(round(sum(coalesce(n_requests, 0) + coalesce(value, 0)), 2) AS DOUBLE) FROM ({_report_lines('b_')}) GROUP BY report"
     ]
+    q["batch_from_pages"] = _q(
+        [src for _, src, _ in totals], " UNION ALL ".join(f"SELECT '{name}' AS stage, count(*) AS n_rows FROM {src}" for name, src, _ in totals)
+    )
     q["batch_summary"] = _q([src for _, src, _ in totals], " UNION ALL ".join(parts))
     return q

@@ -20,7 +20,8 @@ from civicspark.plans.star import build_star_schema
 from civicspark.schema import RAW_COLUMNS
 from civicspark.session import scratch_scope
 from civicspark.sinks.files import save_raw
-from civicspark.sinks.snapshots import commit_snapshot, discard_snapshot, register_snapshot, stage_snapshot
+from civicspark.sinks.snapshots import commit_snapshot, discard_snapshot, register_snapshot, remove_old_versions, stage_snapshot
+from civicspark.sources.landed import read_page_source
 from civicspark.sources.paging import check_batch_size, created_between, take_newest
 
 log = logging.getLogger(__name__)
@@ -38,6 +39,8 @@ class BatchSettings:
     required_columns: list[str] = field(default_factory=lambda: list(RAW_COLUMNS))
     drop_duplicates: bool = True
     table_name: str = "service_requests_clean"
+    #: Versions of the clean table that stay readable after a run (None: all).
+    keep_versions: int | None = 2
 
     def path(self, name: str) -> str:
         return f"{self.out_dir.rstrip('/')}/{name}"
@@ -59,6 +62,14 @@ def run_batch(spark: SparkSession, source: DataFrame, settings: BatchSettings) -
         return _run(spark, source, settings)
 
 
+def run_batch_from_pages(spark: SparkSession, pages_dir: str, settings: BatchSettings) -> DataFrame:
+    """:func:`run_batch` over landed page files, read by the stop rules of the paged source.
+
+    All keys of the records are read; the cleaning job picks the required ones.
+    """
+    return run_batch(spark, read_page_source(spark, pages_dir, settings.batch_size, schema=None), settings)
+
+
 def _run(spark: SparkSession, source: DataFrame, settings: BatchSettings) -> DataFrame:
     check_batch_size(settings.batch_size)
     raw = take_newest(created_between(source, settings.start_date, settings.end_date), settings.total_limit)
@@ -89,6 +100,9 @@ def _run(spark: SparkSession, source: DataFrame, settings: BatchSettings) -> Dat
     counts = build_star_schema(spark, staged, star_dir)
     reports = generate_reports(spark, star_dir, settings.path("reports"))
 
+    if settings.keep_versions is not None:
+        remove_old_versions(spark, root, settings.keep_versions)
+
     stages = [("raw", raw), ("clean", clean)]
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows") for name, df in stages]
     star_rows = spark.createDataFrame([(name, n) for name, n in counts.items()], "stage string, n_rows bigint")

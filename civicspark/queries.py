@@ -26,7 +26,7 @@ from civicspark.operators.colocated import colocated_lookup, save_colocated
 from civicspark.operators.joins import lookup
 from civicspark.operators.star import FACT_COLUMNS
 from civicspark.operators.stats import duplicate_count, exact_medians, median_table, modes
-from civicspark.plans.batch import BatchSettings, run_batch
+from civicspark.plans.batch import BatchSettings, run_batch, run_batch_from_pages
 from civicspark.plans.clean import Stage, clean_requests, impute, stage_requests
 from civicspark.plans.reports import generate_reports
 from civicspark.plans.star import build_star_schema
@@ -318,6 +318,15 @@ def _batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.unionByName(reports)
 
 
+def _batch_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the tables that the batch job leaves behind when it reads landed pages."""
+    pages, out = scratch_path(spark, "pages"), scratch_path(spark, "batch")
+    landed.land_pages(landed.page_texts(fixture.requests_more_keys(spark, sf_dir)), pages)
+    first, last = oracle.BATCH_RANGE
+    counts = run_batch_from_pages(spark, pages, BatchSettings(out_dir=out, start_date=first, end_date=last, table_name="requests_clean_from_pages"))
+    return counts.where(~F.col("stage").startswith("report:"))
+
+
 def _reports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report job writes every report as CSV; all are read back."""
     out = scratch_path(spark, "reports")
@@ -452,6 +461,7 @@ def queries() -> dict[str, Query]:
             "monthly_layout_counts": lambda s, d: monthly_counts(s, _by_month(s, d)),
             "reports_csv": _reports_csv,
             "batch_summary": _batch_summary,
+            "batch_from_pages": _batch_from_pages,
         }
     )
     return q

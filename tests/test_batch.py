@@ -5,8 +5,10 @@ import os
 import pytest
 
 from civicspark.operators.quality import ValidationError
-from civicspark.plans.batch import BatchSettings, EmptySourceError, run_batch
+from civicspark.plans.batch import BatchSettings, EmptySourceError, run_batch, run_batch_from_pages
+from civicspark.sinks.snapshots import current_snapshot
 from civicspark.sources.fixture import requests_raw
+from civicspark.sources.landed import land_pages, page_texts
 from tests.conftest import SF_SMALL
 
 
@@ -21,6 +23,18 @@ def test_batch_runs_every_stage(spark, tmp_dir):
     assert spark.table(settings.table_name).count() == summary["clean"]
 
 
+def test_batch_over_pages_keeps_the_versions_asked_for(spark, tmp_dir):
+    raw = requests_raw(spark, SF_SMALL)
+    land_pages(page_texts(raw), f"{tmp_dir}/pages")
+    settings = BatchSettings(out_dir=f"{tmp_dir}/out", start_date="1995-01-01", end_date="2001-12-31", table_name="requests_of_pages_test", keep_versions=1)
+    first = {r["stage"]: r["n_rows"] for r in run_batch_from_pages(spark, f"{tmp_dir}/pages", settings).collect()}
+    again = {r["stage"]: r["n_rows"] for r in run_batch_from_pages(spark, f"{tmp_dir}/pages", settings).collect()}
+    assert first == again and first["clean"] > 0
+    assert first["raw"] == raw.where("created_date >= '1995' AND created_date < '2002'").count()
+    assert current_snapshot(spark, f"{tmp_dir}/out/clean").version == 2 and len(os.listdir(f"{tmp_dir}/out/clean/data")) == 1
+    assert spark.table(settings.table_name).count() == first["clean"]
+
+
 def test_batch_aborts_on_empty_source(spark, tmp_dir):
     settings = BatchSettings(out_dir=tmp_dir, start_date="1980-01-01", end_date="1980-12-31")
     with pytest.raises(EmptySourceError):

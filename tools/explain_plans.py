@@ -40,7 +40,11 @@ def main() -> None:
     from civicspark.operators import star as S
     from civicspark.operators.joins import lookup
     from civicspark.operators.quality import quality_report
-    from civicspark.operators.reports import all_reports
+    from civicspark.operators.colocated import Colocated, colocated_lookup, save_colocated
+    from civicspark.operators.reports import all_reports, report_lines
+    from civicspark.operators.stats import median_table
+    from civicspark.sinks.months import monthly_counts, read_months, save_by_month
+    from civicspark.sources.paging import reach
     from civicspark.plans.clean import impute, stage_requests
     from civicspark.plans.star import build_star_schema
     from civicspark.schema import RAW_COLUMNS
@@ -69,10 +73,20 @@ def main() -> None:
     add("clean stage: typed projection F1..P4 (written once, observed)", K.drop_null_keys(K.typed_columns(raw)))
     add("clean: imputation + de-duplication over the staged files", K.dedup_rows(impute(stage.df, stage.profile)))
     add("quality_report (V1-V6 in one aggregate pass)", quality_report(clean))
-    add("dim_location distinct input", clean.select(*S.LOCATION_COLUMNS).distinct())
+    raw_path = scratch_path(spark, "plans-raw")
+    save_parquet(raw, raw_path)
+    landed = spark.read.parquet(raw_path)
+    add("page_slice: the rows in reach of ranks 2001 to 3000, the bound pushed into the scan", landed.where(reach(landed, 2000, 3000).condition))
+    add("column medians: values read for the middle parts only (dynamic partition pruning)", median_table(clean, ["latitude", "response_time_hours"]))
+    by_month = scratch_path(spark, "plans-months")
+    save_by_month(clean, by_month)
+    add("clean table by month: a date range as partition filters", read_months(spark, by_month, "1996-02-10", "1996-04-05"))
+    add("monthly totals from the layout", monthly_counts(spark, by_month))
+    add("dim_agency of the dimensions built in one scan (numbered table, offsets as literals)", S.dimensions_in_one_scan(clean)["dim_agency"])
     add("fact lookups (dimension sizes known from their writes)",
         S.fact_requests(clean, star["dim_agency"], star["dim_complaint"], star["dim_location"],
                         dim_rows={"dim_agency": 6, "dim_complaint": 182, "dim_location": 2638}))
+    add("all six reports in one pass over the fact", report_lines(star))
     for name, df in reports.items():
         add(f"report {name}", df)
 
@@ -84,6 +98,12 @@ def main() -> None:
                ["location_id"], broadcast_rows=0, hot_slots=20))
     add("forced: report avg_response_time_by_borough without broadcast", all_reports(star)["avg_response_time_by_borough"])
 
+    keys = (("borough", "incident_zip"), ("latitude", "longitude"))
+    fact = save_colocated(clean, "plans_clean_by_location", scratch_path(spark, "plans-bucketed"), *keys, buckets=8)
+    dim = save_colocated(star["dim_location"], "plans_locations", scratch_path(spark, "plans-bucketed"), *keys, buckets=8, unique=True)
+    cold = Colocated(fact.name, None, fact.eq_keys, fact.nullsafe_keys, fact.buckets)
+    add("co-located location lookup (cold keys): no exchange on either side", colocated_lookup(spark, cold, dim, ["location_id"]))
+
     out = ["# Physical plans", "",
            f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local[8], 8 shuffle partitions, AQE on;",
            "plans are shown before adaptive re-planning). Expression ids are stripped.", ""]
