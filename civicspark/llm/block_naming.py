@@ -111,8 +111,9 @@ def exact_groups(
     empty. Of equal texts the largest ``doc_id`` is ``keep_id`` and ``kept``.
     ``group_size`` counts rows. A null ``doc_id`` is smaller than every other;
     a group of nulls only keeps its nulls. Rows that repeat id and text
-    (``n_copies`` of them) share one verdict. Other columns are ignored. An
-    empty table gives an empty result.
+    (``n_copies`` of them) share one verdict. Other columns are ignored,
+    whatever their names; very long texts are cut into blocks like all others.
+    An empty table gives an empty result.
     """
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
     normal = keyed(docs.select(F.col(id_col).alias("doc_id"), text.alias("text")))

@@ -327,8 +327,9 @@ def near_groups(
     Without words or text the set is empty and linked with nothing.
     ``component_id`` is the smallest ``doc_id`` reachable over links; a null
     ``doc_id`` is never the smallest. ``_group`` numbers the components that
-    have shingles. Rows that repeat id and text share one verdict. Other
-    columns are ignored; an empty table gives an empty result.
+    have shingles. Rows that repeat id and text share one verdict. Very long
+    texts are compared by their whole sets. Other columns are ignored, whatever
+    their names; an empty table gives an empty result.
     """
     rows_in = keyed(docs, id_col, text_col)
     signed = materialize(sign_documents(rows_in, bands, rows), "signatures")

@@ -167,8 +167,9 @@ def contamination(
     ``items`` lists the ids (as text, sorted) of the items with a window in the
     document; items with a null id hit words but are not listed. Null or empty
     texts have no words; an item without words has no window. Rows that repeat
-    id and text get the same verdict each. Empty tables give no rows, or no hits.
-    Other columns are ignored.
+    id and text get the same verdict each. Very long texts are searched whole.
+    Empty tables give no rows, or no hits. Other columns, of both tables and
+    whatever their names, are ignored.
     """
     rows = keyed(docs, id_col, text_col)
     words = F.size(words_of(F.col("text"))).cast("bigint")

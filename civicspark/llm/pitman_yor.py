@@ -460,8 +460,9 @@ def score_documents(
     column; :func:`held_out_by_crc` of the id by default). Words are split at
     ASCII white space after lower-casing A-Z; a document's end is a token.
     A null text is empty and has the end only. Scores are log10 probabilities.
-    Repeated rows count and score one by one. Other columns are ignored;
-    without training documents every word is unknown, and an empty table
+    Repeated rows count and score one by one; a null id is held out by default.
+    Very long texts are read whole: a chunk holds one text at least. Other
+    columns are ignored, whatever their names; without training documents every word is unknown, and an empty table
     gives an empty result.
     """
     held_out = held_out_by_crc(F.col(id_col)) if held_out is None else F.coalesce(held_out, F.lit(True))
