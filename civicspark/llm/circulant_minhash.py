@@ -35,7 +35,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.common import TEXT_HASH, byte_slices, few_tasks, hash_words, keyed, mix64, neutral, one_row_each, release_memory, releasing, runs, split_words
+from civicspark.llm.common import TEXT_HASH, arrow_batches, byte_slices, few_tasks, hash_words, keyed, mix64, neutral, one_row_each, release_memory, releasing, runs, split_words
 from civicspark.llm.components import connected_components
 from civicspark.session import materialize, materialize_counted
 
@@ -59,6 +59,8 @@ CELL_SHINGLES = 1 << 17
 #: Sets on either side, on average: a cell counts common shingles in a matrix of rows by rows.
 CELL_ROWS = 4096
 _COLUMNS = 2048
+#: Bytes handed to a Python worker at a time.
+BATCH_BYTES = 16 << 20
 #: Rows whose counts are compared with the bound at a time.
 _STRIP = 256
 
@@ -317,21 +319,8 @@ def _link(buckets: DataFrame, n_members: int, sets: DataFrame, percent: int) ->
     return connected_components(links.unionByName(found)) if n_found else comps
 
 
-def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept`` (and ``_text_hash, _group``).
-
-    Words are split at ASCII white space after lower-casing A-Z; a set holds
-    the distinct 5-word shingles, the whole sequence if there are fewer words.
-    Without words or text the set is empty and linked with nothing.
-    ``component_id`` is the smallest ``doc_id`` reachable over links; a null
-    ``doc_id`` is never the smallest. ``_group`` numbers the components that
-    have shingles. Rows that repeat id and text share one verdict. Very long
-    texts are compared by their whole sets. Other columns are ignored, whatever
-    their names; an empty table gives an empty result.
-    """
-    rows_in = keyed(docs, id_col, text_col)
+def _grouped(rows_in: DataFrame, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Written signatures of all rows, and ``(n, f1, f2, _group, component_id)`` of every class of equal sets."""
     signed = materialize(sign_documents(rows_in, bands, rows), "signatures")
     same = ["n", "f1", "f2"]
     classes = signed.where("n > 0").groupBy(*same).agg(
@@ -354,6 +343,26 @@ def near_groups(
     # Written first, the components are a plain shuffle beside a hot one, so that AQE can split it.
     smallest = materialize(placed.groupBy("comp").agg(F.min("rep").alias("component_id")), "components")
     placed = materialize(placed.join(smallest, "comp").select(*same, F.col("comp").alias("_group"), "component_id"), "class-components")
+    return signed, placed
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept`` (and ``_text_hash, _group``).
+
+    Words are split at ASCII white space after lower-casing A-Z; a set holds
+    the distinct 5-word shingles, the whole sequence if there are fewer words.
+    Without words or text the set is empty and linked with nothing.
+    ``component_id`` is the smallest ``doc_id`` reachable over links; a null
+    ``doc_id`` is never the smallest. ``_group`` numbers the components that
+    have shingles. Rows that repeat id and text share one verdict. Very long
+    texts are compared by their whole sets. Other columns are ignored, whatever
+    their names; an empty table gives an empty result.
+    """
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):  # pairs of whole sets are large rows
+        signed, placed = _grouped(keyed(docs, id_col, text_col), percent, bands, rows)
+    same = ["n", "f1", "f2"]
     out = signed.select("doc_id", TEXT_HASH, *same).join(placed, same, "left")
     empty = F.col("n") == 0
     return out.select(

@@ -12,6 +12,7 @@ import ctypes
 import os
 import string
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -133,6 +134,21 @@ def releasing(run: Callable) -> Callable:
     return inner
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """Jobs started inside the block hand at most ``n_bytes`` at a time to Python workers (one row at least)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(n_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def runs(sorted_values: np.ndarray) -> np.ndarray:
     """Start index of each run of equal values in a sorted array."""
     if len(sorted_values) == 0:
