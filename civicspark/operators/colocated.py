@@ -78,9 +78,9 @@ def save_colocated(
     hot_path = None
     if not unique:
         slots = tuning(spark, "hotSlots", HOT_SLOTS) if hot_slots is None else hot_slots
-        counts = materialize(rows.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+        counts = materialize(rows.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("_n")), "key-counts", df_schema=True)
         total = int(counts.agg(F.sum("_n")).first()[0] or 0)
-        hot = materialize(counts.where(F.col("_n") >= max(2, -(-total // slots))).select(KEY_HASH), "hot-keys")  # at most `slots` rows
+        hot = materialize(counts.where(F.col("_n") >= max(2, -(-total // slots))).select(KEY_HASH), "hot-keys", df_schema=True)  # at most `slots` rows
         hot_path = f"{path.rstrip('/')}/hot-{uuid.uuid4().hex[:12]}"
         rows.join(F.broadcast(hot), KEY_HASH, "left_semi").write.parquet(hot_path)
         rows = rows.join(F.broadcast(hot), KEY_HASH, "left_anti")

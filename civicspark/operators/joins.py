@@ -78,10 +78,10 @@ def lookup(
     # Large dimension: find the hot key values (partial aggregation keeps this
     # shuffle to one row per key and map task), at most hot_slots of them.
     source = (fact if keys_from is None else keys_from).select(*keys)
-    per_key = materialize(source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")), "key-counts")
+    per_key = materialize(source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")), "key-counts", df_schema=True)
     n = int(per_key.agg(F.sum("_cnt")).first()[0] or 0)
     threshold = max(1, -(-n // hot_slots))
-    hot = materialize(per_key.where(F.col("_cnt") >= threshold).select(*keys), "hot-keys")
+    hot = materialize(per_key.where(F.col("_cnt") >= threshold).select(*keys), "hot-keys", df_schema=True)
     hot_b = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
 
     def is_hot(left: DataFrame, prefix: str = "") -> Column:

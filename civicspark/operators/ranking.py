@@ -29,7 +29,7 @@ def numbered(df: DataFrame, order: list[Column], name: str, num_partitions: int
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    placed = materialize(placed, f"numbered-{name}")
+    placed = materialize(placed, f"numbered-{name}", df_schema=True)
 
     # One row per range partition: its first position and running offset.
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,7 +82,7 @@ def prefix_sums(df: DataFrame, order: list[Column], value: str, name: str, num_p
     a partition.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), f"prefix-{name}")
+    placed = materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), f"prefix-{name}", df_schema=True)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")

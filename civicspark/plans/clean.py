@@ -76,7 +76,7 @@ def stage_requests(
     dropped = int(counts["_rows"]) - prof.rows
     if dropped:
         log.info("Dropped %d rows with null unique_key", dropped)
-    return Stage(spark.read.parquet(path).drop(*empty), prof, dropped)
+    return Stage(spark.read.schema(staged.schema).parquet(path).drop(*empty), prof, dropped)
 
 
 def impute(stage: DataFrame, prof: Profile | None = None, impute_response_time: bool = True) -> DataFrame:

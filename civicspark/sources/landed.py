@@ -90,7 +90,7 @@ def reached_pages(sizes: DataFrame, batch_size: int, total_limit: int | None = N
     placed = prefix_sums(reached, order, "n", "before")
     if total_limit is not None:
         placed = placed.where(F.col("before") < total_limit)
-    placed = materialize(placed, "reached-pages")
+    placed = materialize(placed, "reached-pages", df_schema=True)
     bad = placed.where(~F.col("valid")).first()  # the stop, if it was reached
     if bad is not None:
         raise PageError(f"page {bad['number']} is not an array of records: {bad['file']}")
@@ -104,7 +104,7 @@ def page_records(
     check_batch_size(batch_size)
     if total_limit is not None and total_limit < 0:
         raise ValueError(f"total_limit must be >= 0, got {total_limit}")
-    sizes = materialize(page_sizes(spark, path, number), "page-sizes")
+    sizes = materialize(page_sizes(spark, path, number), "page-sizes", df_schema=True)
     reached = reached_pages(sizes, batch_size, total_limit).select(F.col("file").alias("_file"), "before")
     pages = _whole_pages(spark, path, number)
     rows = pages.join(reached, F.col("file") == F.col("_file")).select("before", F.posexplode("records").alias("at", "record"))
