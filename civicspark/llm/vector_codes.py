@@ -51,15 +51,15 @@ SLICE_BYTES = 8 << 20
 
 @dataclass(frozen=True)
 class Compression:
-    """Parameters: parts of a vector, entries of a codebook (256 at most), rounds."""
+    """Parameters: parts of a vector, entries of a codebook (256 at most), rounds (255 at most: a stamp is a byte)."""
 
     parts: int = 4
     entries: int = 256
     rounds: int = 4
 
     def __post_init__(self) -> None:
-        if not (self.parts >= 1 and 1 <= self.entries <= 256 and self.rounds >= 0):
-            raise ValueError("at least one part, 1 to 256 entries, no negative rounds")
+        if not (self.parts >= 1 and 1 <= self.entries <= 256 and 0 <= self.rounds <= 255):
+            raise ValueError("at least one part, 1 to 256 entries, 0 to 255 rounds")
 
 
 # -- exact distances and bounds, within a task ------------------------------------

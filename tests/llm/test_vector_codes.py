@@ -127,6 +127,8 @@ def test_edges(spark):
         V.compress(_frame(spark, _vectors(5, 6, 1)))
     with pytest.raises(ValueError, match="256"):
         V.Compression(entries=300)
+    with pytest.raises(ValueError, match="255"):
+        V.Compression(rounds=256)
     mixed = _vectors(20, 4, 2) + [(100, [1.0] * 8, 1), (101, [2e5] * 4, 1)]  # another length; beyond the range
     assert V.compress(_frame(spark, mixed)).codes.count() == 20
     same = V.compress(_frame(spark, [(i, [0.25] * 4, None) for i in range(300)]))
