@@ -73,6 +73,16 @@ def test_page_after_a_short_one_does_not_matter(spark, tmp_dir):
     assert [r["unique_key"] for r in landed.read_page_source(spark, tmp_dir, 3).collect()] == ["1"]
 
 
+def test_files_without_a_number_come_by_name_and_last(spark, tmp_dir):
+    full = [[{"unique_key": f"{k}{i}"} for i in range(2)] for k in range(5)]
+    _write(tmp_dir, {2: full[0], 1: full[1], 3: [{"unique_key": "short"}], 4: full[4]}, "{:03d}.json")
+    keys = lambda df: sorted(r["unique_key"] for r in df.collect())
+    assert keys(landed.read_page_source(spark, tmp_dir, 2)) == ["00", "01", "10", "11", "short"]
+    assert keys(landed.read_page_source(spark, tmp_dir, 2, 3)) == ["00", "10", "11"]
+    _write(tmp_dir, {9: full[2]}, "page{}.json")
+    assert keys(landed.read_page_source(spark, tmp_dir, 2, 3)) == ["10", "20", "21"]
+
+
 def test_arguments_and_missing_folder(spark, tmp_dir):
     with pytest.raises(ValueError, match="batch_size"):
         landed.read_page_source(spark, tmp_dir, 1001)
