@@ -72,7 +72,7 @@ _MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword
 
 def _refuse_others(spec: dict) -> None:
     """Raise for a tokenizer file that asks for steps which are not carried out here."""
-    other = [part for part, known in _CARRIED_OUT.items() if spec.get(part) != known]
+    other = [part for part, known in _CARRIED_OUT.items() if spec.get(part, known) != known]  # a bare model states none of them
     other += [f"model.{option}" for option, known in _MODEL.items() if spec["model"].get(option, known) != known]
     plain = ("single_word", "lstrip", "rstrip", "normalized")
     other += [f"added token {t['content']}" for t in spec["added_tokens"] if any(t.get(flag) for flag in plain)]
