@@ -28,7 +28,7 @@ def _plan(df) -> str:
     for block in re.split(r"\n\s*\n", details):
         lines = block.strip().splitlines()
         if lines and "Scan parquet" in lines[0]:
-            keep = [lines[0]] + [ln for ln in lines[1:] if ln.startswith(("PushedFilters", "ReadSchema"))]
+            keep = [lines[0]] + [ln for ln in lines[1:] if ln.startswith(("PartitionFilters", "PushedFilters", "ReadSchema"))]
             scans.append("\n".join(keep))
     text = tree.strip() + ("\n\n" + "\n".join(scans) if scans else "")
     return re.sub(r"#\d+L?", "", text)
