@@ -136,7 +136,8 @@ def write_csv_files(lines: DataFrame, headers: dict[str, list[str]], paths: dict
     heads = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(csv_header(c)).alias("value")) for n, c in headers.items()]))
     head = spark.range(1).select(heads.alias("h")).select("h.name", F.lit(-1).cast("bigint").alias("_row"), "h.value")
     every = head.unionByName(lines.select("name", F.col("_row").cast("bigint").alias("_row"), "value"))
-    folder = f"{next(iter(paths.values())).rstrip('/').rpartition('/')[0]}/.writing-{uuid.uuid4().hex[:12]}"
+    parent, slash, _ = next(iter(paths.values())).rstrip("/").rpartition("/")
+    folder = f"{parent if slash else '.'}/.writing-{uuid.uuid4().hex[:12]}"
     every.coalesce(1).sortWithinPartitions("name", "_row").select("name", "value").write.partitionBy("name").text(folder)
     try:
         for name, path in paths.items():
