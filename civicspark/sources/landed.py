@@ -1,7 +1,10 @@
 """Paged source over landed page files, with its stop rules (S1, S5) and the union of record keys.
 
-A page is one file holding a JSON array of records; its number comes from the
-file's path. Read one after another, pages would end with the first one that
+A page is a JSON array of records. It lies in a file of its own, its number in
+the file's path, or with others in a file below a folder ``pages=...``: a
+source of very many small pages would else be a file and a folder for each,
+whose making, listing and opening takes far longer than their records do
+(:func:`land_pages`). Read one after another, pages would end with the first one that
 has fewer records than were asked for (an empty one included) or when a total
 limit is reached. Here no page waits for another: one pass takes every page's
 number and size, the stop is a minimum over short pages, the limit is a prefix
@@ -30,6 +33,10 @@ from civicspark.sources.paging import check_batch_size, newest_positions, POSITI
 
 #: Where a page's number stands in its path (the last match counts).
 PAGE_NUMBER = r".*page[=_-]?(\d+)"
+#: Folders of files that hold many pages, each as its number, a tab, its text and a record separator (which no JSON text holds as it is).
+BUNDLE, SEPARATOR = "pages", "\x1e"
+#: Pages in such a file: of 1000 records, some 10 MB.
+PAGES_PER_FILE = 32
 
 
 class PageError(ValueError):
@@ -46,36 +53,49 @@ def page_texts(df: DataFrame, batch_size: int = MAX_BATCH_SIZE, column: str = "c
 
 
 def land_pages(texts: DataFrame, path: str) -> None:
-    """Write ``(page, value)`` rows as one file per page."""
+    """Write ``(page, value)`` rows, :data:`PAGES_PER_FILE` consecutive page numbers per file."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts.repartition(n, "page").write.mode("overwrite").partitionBy("page").text(path)
+    text = F.concat(F.coalesce(F.col("page").cast("string"), F.lit("")), F.lit("\t"), F.coalesce("value", F.lit("")))
+    bundled = texts.select(text.alias("value"), F.floor(F.col("page") / PAGES_PER_FILE).alias(BUNDLE))
+    bundled.repartition(n, BUNDLE).write.mode("overwrite").partitionBy(BUNDLE).option("lineSep", SEPARATOR).text(path)
 
 
 def _whole_pages(spark: SparkSession, path: str, number: str) -> DataFrame:
-    """``(number, file, records)``: records are null where a page is no array."""
+    """``(number, file, at, records)``, ``at`` being the place in the file: records are null where a page is no array."""
     try:
-        files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+        files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).where("value <> ''")
     except AnalysisException as e:
         if is_missing_path(e):
             raise FileNotFoundError(f"File not found: {path}") from e
         raise
     file = F.col("_metadata.file_path")
-    records = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
-    return files.select(F.regexp_extract(file, number, 1).try_cast("bigint").alias("number"), file.alias("file"), records.alias("records"))
+    bundled = F.transform(
+        F.filter(F.split("value", SEPARATOR), lambda t: t != ""),
+        lambda t: F.struct(F.substring_index(t, "\t", 1).alias("number"), F.substr(t, F.locate("\t", t) + 1).alias("text")),
+    )
+    alone = F.array(F.struct(F.regexp_extract(file, number, 1).alias("number"), F.col("value").alias("text")))
+    pages = F.when(file.rlike(f"/{BUNDLE}=[^/]*/[^/]*$"), bundled).otherwise(alone)
+    each = files.select(file.alias("file"), F.posexplode(pages).alias("at", "page"))
+    records = F.try_variant_get(F.try_parse_json("page.text"), "$", "array<variant>")
+    return each.select(F.col("page.number").try_cast("bigint").alias("number"), "file", "at", records.alias("records"))
 
 
-_ORDER = ["number", "file"]
+_ORDER = ["number", "file", "at"]
 
 
-def page_sizes(spark: SparkSession, path: str, number: str = PAGE_NUMBER) -> DataFrame:
-    """``(number, file, n, valid)`` of every page file; a page is valid if it is an array of objects only."""
+def _sizes(pages: DataFrame) -> DataFrame:
     is_record = F.forall("records", lambda r: F.schema_of_variant(r).startswith("OBJECT"))
     valid = F.coalesce(F.col("records").isNotNull() & is_record, F.lit(False))
-    return _whole_pages(spark, path, number).select("number", "file", F.coalesce(F.size("records"), F.lit(0)).alias("n"), valid.alias("valid"))
+    return pages.select(*_ORDER, F.coalesce(F.size("records"), F.lit(0)).alias("n"), valid.alias("valid"))
+
+
+def page_sizes(spark: SparkSession, path: str, number: str = PAGE_NUMBER) -> DataFrame:
+    """``(number, file, at, n, valid)`` of every page; a page is valid if it is an array of objects only."""
+    return _sizes(_whole_pages(spark, path, number))
 
 
 def reached_pages(sizes: DataFrame, batch_size: int, total_limit: int | None = None) -> DataFrame:
-    """``(number, file, before)``: the pages that reading one after another would have asked for.
+    """``(number, file, at, before)``: the pages that reading one after another would have asked for.
 
     ``before`` counts the records of the pages before. Pages come by number,
     files without one last. A page that was reached and is not an array of
@@ -85,8 +105,8 @@ def reached_pages(sizes: DataFrame, batch_size: int, total_limit: int | None = N
     stop = sizes.where((F.col("n") < batch_size) | ~F.col("valid")).agg(F.min(F.struct(key.alias("key"), "valid")).alias("s")).first()["s"]
     reached = sizes
     if stop is not None:
-        reached = sizes.where(key <= F.struct(*(F.lit(v).cast(t) for v, t in zip(stop["key"], ("boolean", "bigint", "string"), strict=True))))
-    order = [F.col("number").asc_nulls_last(), F.col("file").asc()]
+        reached = sizes.where(key <= F.struct(*(F.lit(v).cast(t) for v, t in zip(stop["key"], ("boolean", "bigint", "string", "int"), strict=True))))
+    order = [F.col("number").asc_nulls_last(), F.col("file").asc(), F.col("at").asc()]
     placed = prefix_sums(reached, order, "n", "before")
     if total_limit is not None:
         placed = placed.where(F.col("before") < total_limit)
@@ -94,7 +114,7 @@ def reached_pages(sizes: DataFrame, batch_size: int, total_limit: int | None = N
     bad = placed.where(~F.col("valid")).first()  # the stop, if it was reached
     if bad is not None:
         raise PageError(f"page {bad['number']} is not an array of records: {bad['file']}")
-    return placed.select("number", "file", "before")
+    return placed.select(*_ORDER, "before")
 
 
 def page_records(
@@ -104,11 +124,12 @@ def page_records(
     check_batch_size(batch_size)
     if total_limit is not None and total_limit < 0:
         raise ValueError(f"total_limit must be >= 0, got {total_limit}")
-    sizes = materialize(page_sizes(spark, path, number), "page-sizes", df_schema=True)
-    reached = reached_pages(sizes, batch_size, total_limit).select(F.col("file").alias("_file"), "before")
-    pages = _whole_pages(spark, path, number)
-    rows = pages.join(reached, F.col("file") == F.col("_file")).select("before", F.posexplode("records").alias("at", "record"))
-    rows = rows.select((F.col("before") + F.col("at")).alias("position"), "record")
+    pages = _whole_pages(spark, path, number)  # one listing serves both reads
+    sizes = materialize(_sizes(pages), "page-sizes", df_schema=True)
+    reached = reached_pages(sizes, batch_size, total_limit).select(F.col("file").alias("_file"), F.col("at").alias("_at"), "before")
+    here = (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_at"))
+    rows = pages.join(reached, here).select("before", F.posexplode("records").alias("in_page", "record"))
+    rows = rows.select((F.col("before") + F.col("in_page")).alias("position"), "record")
     return rows if total_limit is None else rows.where(F.col("position") < total_limit)
 
 

@@ -127,6 +127,35 @@ def test_landed_pages_come_back(spark, tmp_dir):
     assert sorted(map(tuple, first)) == sorted(newest)
 
 
+def test_many_small_pages_share_files(spark, tmp_dir):
+    """Making, listing and opening files takes no more for small pages than for large ones."""
+    rows = [(k, json.dumps([{"unique_key": f"{k}\n\t{i}"} for i in range(2)], indent=1 if k % 2 else None)) for k in range(100)]
+    texts = spark.createDataFrame(rows, "page bigint, value string")
+    landed.land_pages(texts, tmp_dir + "/p")
+    files = [f for _, _, names in os.walk(tmp_dir + "/p") for f in names if f.startswith("part-")]
+    assert len(files) == -(-100 // landed.PAGES_PER_FILE)
+    want = [f"{k}\n\t{i}" for k in range(100) for i in range(2)]
+    key = F.variant_get("record", "$.unique_key", "string")
+    got = landed.page_records(spark, tmp_dir + "/p", 2).select("position", key).collect()
+    assert sorted(map(tuple, got)) == list(enumerate(want))
+    assert sorted(r[0] for r in landed.page_records(spark, tmp_dir + "/p", 2, 77).select(key).collect()) == sorted(want[:77])
+    assert sorted((r["number"], r["n"], r["valid"]) for r in landed.page_sizes(spark, tmp_dir + "/p").collect()) == [(k, 2, True) for k in range(100)]
+
+    value = F.when(F.col("page") == 70, F.lit("[1]")).when(F.col("page") == 60, F.lit("[]")).otherwise(F.col("value"))
+    landed.land_pages(texts.withColumn("value", value), tmp_dir + "/stop")
+    assert landed.page_records(spark, tmp_dir + "/stop", 2).count() == 120
+    landed.land_pages(texts.withColumn("value", F.when(F.col("page") == 70, F.lit(None)).otherwise(F.col("value"))), tmp_dir + "/bad")
+    with pytest.raises(landed.PageError, match="page 70"):
+        landed.page_records(spark, tmp_dir + "/bad", 2)
+
+
+def test_pages_of_both_layouts_are_one_source(spark, tmp_dir):
+    landed.land_pages(spark.createDataFrame([(k, json.dumps([{"unique_key": str(k)}])) for k in (0, 1, 40)], "page bigint, value string"), tmp_dir)
+    _write(tmp_dir, {2: [{"unique_key": "2"}], 50: []})
+    got = landed.page_records(spark, tmp_dir, 1).select("position", F.variant_get("record", "$.unique_key", "string")).collect()
+    assert sorted(map(tuple, got)) == [(0, "0"), (1, "1"), (2, "2"), (3, "40")]
+
+
 # -- slices by rank -----------------------------------------------------------------
 
 
