@@ -169,12 +169,12 @@ class _Model:
         customers[chunk.start] = words[chunk.end]  # every document starts once
         self.customers = customers
 
-    def drawn_parent(self, state: dict | None, chain: int) -> np.ndarray:
-        """The parent's distribution drawn from its seating; before the first sweep relative frequencies."""
+    def drawn_parent(self, state: dict | None, chain: int, of: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The parent's distribution, at some words, drawn from its seating; before the first sweep relative frequencies."""
         uniform = 1.0 / (self.distinct + 1)
         if state is None:
-            return (self.c_word + uniform) / (self.total + 1.0)
-        _, weights = parent_draws(self._parent_key(), state["customers"][chain], self.distinct, state["totals"][chain, 3], chain, state["sweep"])
+            return (self.c_word[of] + uniform) / (self.total + 1.0)
+        _, weights = parent_draws(self._parent_key()[of], state["customers"][chain][of], self.distinct, state["totals"][chain, 3], chain, state["sweep"])
         _, all_t, all_w, _ = state["totals"][chain]
         rest = gammas(_key_of(chain, state["sweep"]), np.array([UNIGRAM[1] + UNIGRAM[0] * all_t]), _seed(_REST, chain, state["sweep"]))[0]
         return (weights + rest * uniform) / (all_w + rest)
@@ -183,19 +183,36 @@ class _Model:
         """Unigram probabilities that the parent's seating predicts."""
         discount, strength = UNIGRAM
         c, (all_c, all_t, _, before) = state["customers"][chain], state["totals"][chain]
-        t, _ = parent_draws(self._parent_key(), c, self.distinct, before, chain, state["sweep"])
+        t = parent_tables(self._parent_key(), c, self.distinct, before, chain, state["sweep"])
         return (c - discount * t + (strength + discount * all_t) / (self.distinct + 1)) / (strength + all_c)
 
     def _parent_key(self) -> np.ndarray:
         return self.chunk.hash >> np.uint64(64 - 8 * _KEY_BYTES)
 
     def tables(self, state: dict | None, chain: int, sweep: int, of: np.ndarray | slice = slice(None)) -> np.ndarray:
-        """Tables of each pair, or of those asked for, drawn anew given the state before."""
+        """Tables of each pair, or of those asked for, drawn anew given the state before.
+
+        One customer sits at one table whatever else is drawn, so only the
+        contexts and words of pairs with more customers get their numbers.
+        """
         discount, strength = CONTEXT
-        n = np.ceil(self.customers**discount) if state is None else state["tables"][chain]
-        x = gammas(self.chunk.hash, np.where(n > 0, strength / discount + n, 0.0), _seed(_CONTEXT, chain, sweep))
-        weight = discount * x[self.chunk.context[of]] * self.drawn_parent(state, chain)[self.chunk.word[of]]
-        return seat(self.chunk.pair[of], self.c_pair[of], weight, discount, _seed(_PAIR, chain, sweep))
+        chunk, customers = self.chunk, self.c_pair[of]
+        drawn = np.flatnonzero(customers > 1)
+        contexts, context = _distinct(chunk.context[of][drawn], len(chunk.words))
+        words, word = _distinct(chunk.word[of][drawn], len(chunk.words))
+        n = np.ceil(self.customers[contexts] ** discount) if state is None else state["tables"][chain][contexts]
+        x = gammas(chunk.hash[contexts], np.where(n > 0, strength / discount + n, 0.0), _seed(_CONTEXT, chain, sweep))
+        weight = discount * x[context] * self.drawn_parent(state, chain, words)[word]
+        out = (customers > 0).astype(np.float64)
+        out[drawn] = seat(chunk.pair[of][drawn], customers[drawn], weight, discount, _seed(_PAIR, chain, sweep))
+        return out
+
+
+def _distinct(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers (below ``n``) among ``values``, ascending, and each value's place among them."""
+    seen = np.zeros(n, bool)
+    seen[values] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
 
 
 _PAIR, _CONTEXT, _PARENT, _PARENT_GAMMA, _WEIGHT, _REST = range(6)
@@ -210,12 +227,17 @@ def _key_of(chain: int, sweep: int) -> np.ndarray:
     return mix64(np.array([1 + chain + CHAINS * sweep], np.uint64))
 
 
-def parent_draws(key: np.ndarray, customers: np.ndarray, distinct: int, tables_before: float, chain: int, sweep: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tables of the parent's words, given how many it had in all before, and the Gamma numbers of what sits at them."""
+def parent_tables(key: np.ndarray, customers: np.ndarray, distinct: int, tables_before: float, chain: int, sweep: int) -> np.ndarray:
+    """Tables of the parent's words, given how many it had in all before."""
     discount, strength = UNIGRAM
     x = gammas(_key_of(chain, sweep), np.array([strength / discount + tables_before]), _seed(_PARENT_GAMMA, chain, sweep))[0]
-    t = seat(key, customers, np.full(len(key), discount * x / (distinct + 1)), discount, _seed(_PARENT, chain, sweep))
-    return t, gammas(key, customers - discount * t, _seed(_WEIGHT, chain, sweep))
+    return seat(key, customers, np.full(len(key), discount * x / (distinct + 1)), discount, _seed(_PARENT, chain, sweep))
+
+
+def parent_draws(key: np.ndarray, customers: np.ndarray, distinct: int, tables_before: float, chain: int, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`parent_tables`, and the Gamma numbers of what sits at them."""
+    t = parent_tables(key, customers, distinct, tables_before, chain, sweep)
+    return t, gammas(key, customers - UNIGRAM[0] * t, _seed(_WEIGHT, chain, sweep))
 
 
 # -- passes -------------------------------------------------------------------------

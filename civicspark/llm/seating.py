@@ -195,21 +195,25 @@ def _many(weight: np.ndarray, n: np.ndarray, y: np.ndarray, u: np.ndarray, disco
 
 @lru_cache(maxsize=4)
 def _shares(discount: float) -> np.ndarray:
-    """``[n, t - 1]``: Stirling numbers over that of one table, to ``PRODUCTS`` tables."""
+    """``[t - 1, n]``: Stirling numbers over that of one table, to ``PRODUCTS`` tables."""
     logs = log_stirling(discount)[:, 1 : PRODUCTS + 1]
     with np.errstate(invalid="ignore"):
-        return np.nan_to_num(np.exp(logs - logs[:, :1]), nan=0.0)
+        return np.ascontiguousarray(np.nan_to_num(np.exp(logs - logs[:, :1]), nan=0.0).T)
 
 
 def _by_products(weight: np.ndarray, n: np.ndarray, u: np.ndarray, discount: float, width: int) -> np.ndarray:
-    """Few tables of tabled numbers of customers: the law's terms are multiplied up."""
-    terms = np.empty((len(n), width))
-    terms[:, 0] = 1.0
-    terms[:, 1:] = weight[:, None]
-    np.cumprod(terms, axis=1, out=terms)
-    terms *= _shares(discount)[:, :width][n]
-    np.cumsum(terms, axis=1, out=terms)
-    return np.minimum(1 + (terms < (u * terms[:, -1])[:, None]).sum(1), n)
+    """Few tables of tabled numbers of customers: the law's terms are multiplied up, and summed up table by table."""
+    shares = _shares(discount)
+    sums, power = np.empty((width, len(n))), np.ones(len(n))
+    sums[0] = shares[0][n]
+    for t in range(1, width):
+        power *= weight
+        np.multiply(power, shares[t][n], out=sums[t])
+        sums[t] += sums[t - 1]
+    goal, out = u * sums[-1], np.ones(len(n))
+    for total in sums:
+        out += total < goal
+    return np.minimum(out, n)
 
 
 def seat(key: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: float, seed: int) -> np.ndarray:
@@ -221,8 +225,10 @@ def seat(key: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: f
     few = a / discount
     bound = np.minimum(n, np.ceil(few + 8 * np.sqrt(few)) + 3)
     out = np.empty(len(n))
-    width, small = 4, n <= TABLED
-    left = small.copy()
+    small = n <= TABLED
+    pairs = n == 2  # the commonest: two tables at most
+    out[pairs] = _by_products(a[pairs], n[pairs], u[pairs], discount, 2)
+    width, left = 4, small & ~pairs
     while left.any():
         chosen = np.flatnonzero(left & (bound <= width))
         left &= bound > width

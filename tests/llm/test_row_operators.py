@@ -333,6 +333,24 @@ def test_predictive_probabilities_add_up():
                 assert total == pytest.approx(1.0)
 
 
+def test_single_customers_cost_no_draws(monkeypatch):
+    """Numbers are drawn for the contexts and words of pairs with several customers only; they are those drawn for all."""
+    texts = [f"a b c{k} d{k}" for k in range(50)]
+    wanted, real = [], P.gammas
+    monkeypatch.setattr(P, "gammas", lambda key, shape, seed: (wanted.append(len(key)), real(key, shape, seed))[1])
+    for model, _, state, before in _seated(texts, [], 2):
+        chunk, (discount, strength) = model.chunk, P.CONTEXT
+        for c in range(P.CHAINS):
+            wanted.clear()
+            t = model.tables(before, c, state["sweep"])
+            several = np.flatnonzero(model.c_pair > 1)
+            assert len(several) == 2 and max(wanted) <= 2 and (t[model.c_pair == 1] == 1).all()
+            n = np.ceil(model.customers**discount) if before is None else before["tables"][c]
+            x = real(chunk.hash, np.where(n > 0, strength / discount + n, 0.0), P._seed(P._CONTEXT, c, state["sweep"]))
+            weight = discount * x[chunk.context] * model.drawn_parent(before, c)[chunk.word]
+            assert (t == P.seat(chunk.pair, model.c_pair, weight, discount, P._seed(P._PAIR, c, state["sweep"]))).all()
+
+
 # A slow sampler of the same model, customer by customer, with every table's size.
 
 
