@@ -5,6 +5,8 @@ and ``commits/<number>.json``, one small file per committed version that names
 its data folder. A write first puts all its files where no reader looks, then
 creates the next commit file: the file system creates it only if it is not
 there, so of two writers one gets the number and the other takes the next one.
+(Hadoop's local file system looks and creates in two steps, so writers of one
+process take turns; those of several need a store that creates in one step.)
 Readers take the highest commit. Nothing is moved, renamed over or deleted on
 the way, so a job that fails anywhere before the commit leaves the version
 before readable, on object stores too, and readers that have begun go on
@@ -14,6 +16,7 @@ undisturbed. :func:`remove_old_versions` frees space when asked.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -24,6 +27,7 @@ from civicspark.session import delete_path
 
 _DIGITS = 20
 _ATTEMPTS = 100
+_creating = threading.Lock()
 
 
 class NoSnapshotError(FileNotFoundError):
@@ -61,12 +65,13 @@ class _Folder:
     def create(self, version: int, text: str) -> bool:
         """Create a commit file; False if it is there already."""
         self._fs.mkdirs(self._path(f"{self.root}/commits"))
-        try:
-            out = self._fs.create(self._commit(version), False)
-        except Exception as e:
-            if self._fs.exists(self._commit(version)):
-                return False
-            raise OSError(f"cannot commit version {version} below {self.root}") from e
+        with _creating:
+            try:
+                out = self._fs.create(self._commit(version), False)
+            except Exception as e:
+                if self._fs.exists(self._commit(version)):
+                    return False
+                raise OSError(f"cannot commit version {version} below {self.root}") from e
         try:
             out.write(bytearray(text.encode()))
         finally:
