@@ -149,6 +149,15 @@ def test_many_small_pages_share_files(spark, tmp_dir):
         landed.page_records(spark, tmp_dir + "/bad", 2)
 
 
+def test_union_of_keys_over_pages_of_several_lines_and_shared_files(spark, tmp_dir):
+    _write(tmp_dir, {1: json.dumps([{"unique_key": "1", "odd key": "x"}], indent=2)})
+    value = json.dumps([{"unique_key": "2", "more": {"a": [1]}}], indent=2)
+    landed.land_pages(spark.createDataFrame([(2, value), (40, "[]")], "page bigint, value string"), tmp_dir + "/later")
+    table = landed.read_page_source(spark, tmp_dir, 1, schema=None)
+    assert table.columns == ["unique_key", "more", "odd key"]
+    assert sorted(map(tuple, table.collect())) == [("1", None, "x"), ("2", '{"a":[1]}', None)]
+
+
 def test_pages_of_both_layouts_are_one_source(spark, tmp_dir):
     landed.land_pages(spark.createDataFrame([(k, json.dumps([{"unique_key": str(k)}])) for k in (0, 1, 40)], "page bigint, value string"), tmp_dir)
     _write(tmp_dir, {2: [{"unique_key": "2"}], 50: []})
