@@ -44,9 +44,13 @@ class PageError(ValueError):
 
 
 def page_texts(df: DataFrame, batch_size: int = MAX_BATCH_SIZE, column: str = "created_date") -> DataFrame:
-    """``(page, value)``: the newest-first pages of ``df``, each a JSON array; null fields are left out of a record."""
+    """``(page, value)``: the newest-first pages of ``df``, each a JSON array; null fields are left out of a record.
+
+    The rows are written first: placing them reads them twice, to sample the
+    order and to sort, which would else run the joins behind ``df`` twice.
+    """
     check_batch_size(batch_size)
-    placed = newest_positions(df, column)
+    placed = newest_positions(materialize(df, "page-rows", df_schema=True), column)
     page = F.floor((F.col(POSITION) - 1) / batch_size).cast("bigint")
     records = F.sort_array(F.collect_list(F.struct(POSITION, F.struct(*df.columns).alias("record"))))  # batch_size at most
     return placed.groupBy(page.alias("page")).agg(F.to_json(F.transform(records, lambda r: r["record"])).alias("value"))
@@ -61,7 +65,7 @@ def land_pages(texts: DataFrame, path: str) -> None:
 
 
 def _whole_pages(spark: SparkSession, path: str, number: str) -> DataFrame:
-    """``(number, file, at, records)``, ``at`` being the place in the file: records are null where a page is no array."""
+    """``(number, file, at, text)``, ``at`` being the place in the file."""
     try:
         files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).where("value <> ''")
     except AnalysisException as e:
@@ -76,17 +80,21 @@ def _whole_pages(spark: SparkSession, path: str, number: str) -> DataFrame:
     alone = F.array(F.struct(F.regexp_extract(file, number, 1).alias("number"), F.col("value").alias("text")))
     pages = F.when(file.rlike(f"/{BUNDLE}=[^/]*/[^/]*$"), bundled).otherwise(alone)
     each = files.select(file.alias("file"), F.posexplode(pages).alias("at", "page"))
-    records = F.try_variant_get(F.try_parse_json("page.text"), "$", "array<variant>")
-    return each.select(F.col("page.number").try_cast("bigint").alias("number"), "file", "at", records.alias("records"))
+    return each.select(F.col("page.number").try_cast("bigint").alias("number"), "file", "at", F.col("page.text").alias("text"))
+
+
+def _records() -> Column:
+    """A page's records; null where it is no array."""
+    return F.try_variant_get(F.try_parse_json("text"), "$", "array<variant>")
 
 
 _ORDER = ["number", "file", "at"]
 
 
 def _sizes(pages: DataFrame) -> DataFrame:
-    is_record = F.forall("records", lambda r: F.schema_of_variant(r).startswith("OBJECT"))
+    is_record = F.forall("records", lambda r: F.try_variant_get(r, "$", "struct<unique_key:variant>").isNotNull())  # any object is
     valid = F.coalesce(F.col("records").isNotNull() & is_record, F.lit(False))
-    return pages.select(*_ORDER, F.coalesce(F.size("records"), F.lit(0)).alias("n"), valid.alias("valid"))
+    return pages.withColumn("records", _records()).select(*_ORDER, F.coalesce(F.size("records"), F.lit(0)).alias("n"), valid.alias("valid"))
 
 
 def page_sizes(spark: SparkSession, path: str, number: str = PAGE_NUMBER) -> DataFrame:
@@ -128,7 +136,9 @@ def page_records(
     sizes = materialize(_sizes(pages), "page-sizes", df_schema=True)
     reached = reached_pages(sizes, batch_size, total_limit).select(F.col("file").alias("_file"), F.col("at").alias("_at"), "before")
     here = (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_at"))
-    rows = pages.join(reached, here).select("before", F.posexplode("records").alias("in_page", "record"))
+    # posexplode would have the planner ask beforehand whether a page has records, by parsing it again, pages not reached included.
+    texts = pages.join(reached, here).select("before", _records().alias("records"))
+    rows = texts.select("before", F.posexplode_outer("records").alias("in_page", "record")).where("in_page IS NOT NULL")
     rows = rows.select((F.col("before") + F.col("in_page")).alias("position"), "record")
     return rows if total_limit is None else rows.where(F.col("position") < total_limit)
 

@@ -67,22 +67,31 @@ def created_between(
 POSITION = "_position"
 
 
-def newest_first(df: DataFrame, column: str = "created_date") -> list[Column]:
+_TIME = "_parsed_time"
+
+
+def newest_first(df: DataFrame, column: str = "created_date", time: Column | None = None) -> list[Column]:
     """Sort order: newest first, then the key, then every other column.
 
     The trailing columns make the order total up to identical rows, so page
-    slices never overlap or miss a row at a tie.
+    slices never overlap or miss a row at a tie. ``time`` is the parsed
+    ``column``, where the caller has it.
     """
     rest = [c for c in df.columns if c not in (KEY_COLUMN, column)]
-    order = [_as_timestamp(df, column).desc_nulls_last()]
+    order = [(_as_timestamp(df, column) if time is None else time).desc_nulls_last()]
     if KEY_COLUMN in df.columns:
         order.append(F.col(KEY_COLUMN).asc_nulls_last())
     return order + [F.col(c).asc_nulls_last() for c in [column, *rest]]
 
 
 def newest_positions(df: DataFrame, column: str = "created_date") -> DataFrame:
-    """``df`` with ``_position`` (1-based) in newest-first order, from one range-partitioned pass."""
-    return numbered(df, newest_first(df, column), POSITION)
+    """``df`` with ``_position`` (1-based) in newest-first order, from one range-partitioned pass.
+
+    The time is parsed once a row: a sort would parse it at every comparison of
+    rows of one time.
+    """
+    timed = df.withColumn(_TIME, _as_timestamp(df, column))
+    return numbered(timed, newest_first(df, column, F.col(_TIME)), POSITION).drop(_TIME)
 
 
 def _page(placed: DataFrame, first: int, last: int) -> DataFrame:

@@ -165,6 +165,45 @@ def test_pages_of_both_layouts_are_one_source(spark, tmp_dir):
     assert sorted(map(tuple, got)) == [(0, "0"), (1, "1"), (2, "2"), (3, "40")]
 
 
+def test_any_object_is_a_record(spark, tmp_dir):
+    pages = {1: '[{}, {"a": null}, {"unique_key": {"b": 1}}]', 2: "[[]]", 3: '[{"a": 1}, "x"]', 4: "[[{}]]", 5: "[]", 6: "[true]", 7: "[null]"}
+    _write(tmp_dir, pages)
+    got = {r["number"]: (r["n"], r["valid"]) for r in landed.page_sizes(spark, tmp_dir).collect()}
+    assert got == {1: (3, True), 2: (1, False), 3: (2, False), 4: (1, False), 5: (0, True), 6: (1, False), 7: (1, False)}
+
+
+def test_records_of_reached_pages_are_parsed_once(spark, tmp_dir):
+    _write(tmp_dir, {1: [{"unique_key": "1"}], 2: [{"unique_key": "2"}], 3: [], 4: [{"unique_key": "4"}]})
+    records = landed.page_records(spark, tmp_dir, 1)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
+    assert plan.index("parseJson") < plan.index("Join")  # above the join, so pages that are not reached are not parsed
+    key = F.variant_get("record", "$.unique_key", "string")
+    assert sorted(map(tuple, records.select("position", key).collect())) == [(0, "1"), (1, "2")]
+
+
+def test_rows_are_placed_by_a_time_parsed_once(spark, monkeypatch):
+    df = spark.createDataFrame([(str(k), f"2024-01-{k:02d}") for k in range(1, 9)], "unique_key string, created_date string")
+    monkeypatch.setattr(paging, "numbered", lambda df, order, name: df.sort(*order).withColumn(name, F.lit(1)))
+    placed = paging.newest_positions(df)
+    assert placed.columns == ["unique_key", "created_date", paging.POSITION]
+    sort = next(line for line in placed._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in line)
+    assert "cast" not in sort and "RLIKE" not in sort
+
+
+def test_pages_compute_their_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(key):
+        read.add(1)
+        return key
+
+    rows = spark.createDataFrame([(str(k), f"2024-01-{k % 28 + 1:02d}") for k in range(57)], "unique_key string, created_date string")
+    df = rows.withColumn("unique_key", F.udf(count, "string")("unique_key"))
+    assert landed.page_texts(df, 10).count() == 6
+    assert read.value == 57
+
+
 # -- slices by rank -----------------------------------------------------------------
 
 
